@@ -1 +1,94 @@
-"""Registered queries (filled in below)."""
+"""Queries over image integrity and write gates."""
+
+from __future__ import annotations
+
+from slotwise.operators import integrity as I
+from slotwise.operators import topology as T
+from slotwise.plans.catalog import query
+from slotwise.plans.q_topology import INACTIVE_SQL
+
+SHA_OK = "COALESCE(regexp_matches(regexp_replace(expected_sha, ' $', ''), '^[a-fA-F0-9]{64}$'), false)"
+FILE_TYPE = ("CASE WHEN ends_with(path, '.xz') THEN 'xz' WHEN ends_with(path, '.gz') THEN 'gz' "
+             "WHEN ends_with(path, '.raw') THEN 'raw' END")
+VERDICT = f"""CASE WHEN path IS NULL OR expected_sha IS NULL OR expected_sha = '' THEN 'missing input'
+     WHEN NOT {SHA_OK} THEN 'malformed'
+     WHEN sha256(body) <> regexp_replace(expected_sha, ' $', '') THEN 'mismatch' ELSE 'ok' END"""
+
+STAGED_SQL = """
+sid AS (SELECT device_id, lower(COALESCE(nullif(regexp_extract(content, 'boot_uuid=(.{36})', 1), ''),
+                                         nullif(regexp_extract(content, 'PARTUUID=(.{36})', 1), ''))) AS staged_id
+        FROM fx_staged),
+ids AS (SELECT DISTINCT device_id, dev, id FROM (
+          SELECT device_id, dev, lower(uuid) AS id FROM fx_blkid UNION ALL SELECT device_id, dev, lower(partuuid) FROM fx_blkid) x
+        WHERE NOT contains(dev, 'loop') AND id IS NOT NULL),
+m AS (SELECT s.device_id, s.staged_id, i.dev FROM sid s JOIN ids i ON i.device_id = s.device_id AND i.id = s.staged_id),
+parts AS (SELECT device_id, '/dev/' || nullif(regexp_replace(name, '^[^a-zA-Z0-9]*', ''), '') AS dev, ord FROM fx_block WHERE type = 'part'),
+mp AS (SELECT m.device_id, m.dev, p.ord FROM m LEFT JOIN parts p ON p.device_id = m.device_id AND p.dev = m.dev),
+firstpart AS (SELECT device_id, dev FROM (SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY ord) AS rn
+                                           FROM mp WHERE ord IS NOT NULL) x WHERE rn = 1),
+j4 AS (SELECT s.device_id, s.staged_id, f.dev AS target, COALESCE(c.n, 0) AS matches
+       FROM sid s LEFT JOIN firstpart f ON f.device_id = s.device_id
+       LEFT JOIN (SELECT device_id, count(DISTINCT dev) AS n FROM m GROUP BY device_id) c ON c.device_id = s.device_id),
+j5 AS (SELECT t.device_id, t.target_block, s.staged_id,
+              CASE WHEN NOT EXISTS (SELECT 1 FROM m WHERE m.device_id = t.device_id) THEN 'free'
+                   WHEN NOT EXISTS (SELECT 1 FROM m WHERE m.device_id = t.device_id AND m.dev IS DISTINCT FROM t.target_block) THEN 'same'
+                   ELSE 'duplicate' END AS verdict
+       FROM wtb t LEFT JOIN sid s ON s.device_id = t.device_id)
+"""
+
+
+@query("f1_valid_path", """
+SELECT image_id, path, CASE WHEN path IS NULL OR path = '' THEN 'empty'
+  WHEN NOT regexp_matches(path, '^[a-zA-Z0-9._/-]+$') THEN 'invalid characters' END AS path_reason
+FROM fx_image""")
+def f1_valid_path(fx):
+    return I.path_checks(fx.image).select("image_id", "path", "path_reason")
+
+
+@query("f2_valid_sha", f"SELECT image_id, {SHA_OK} AS sha_ok FROM fx_image")
+def f2_valid_sha(fx):
+    return I.path_checks(fx.image).select("image_id", "sha_ok")
+
+
+@query("f4_image_type", f"""
+SELECT image_id, COALESCE({FILE_TYPE}, 'Invalid File Type') AS file_type,
+       COALESCE({FILE_TYPE} IN ('xz', 'gz'), false) AS compressed FROM fx_image""")
+def f4_image_type(fx):
+    return I.path_checks(fx.image).select("image_id", "file_type", "compressed")
+
+
+@query("f11_extract_id", "WITH " + STAGED_SQL.split("ids AS")[0].rstrip().rstrip(",") + "\nSELECT device_id, staged_id FROM sid")
+def f11_extract_id(fx):
+    return I.staged_ids(fx.staged)
+
+
+@query("j1_verify_checksum", f"SELECT image_id, path, {VERDICT} AS verdict FROM fx_image")
+def j1_verify_checksum(fx):
+    return I.verify_checksum(fx.image)
+
+
+@query("j4_staged_target", "WITH " + STAGED_SQL + "SELECT device_id, staged_id, target, matches FROM j4")
+def j4_staged_target(fx):
+    return I.staged_target(fx.staged, fx.blkid, fx.block)
+
+
+@query("j5_id_conflict", INACTIVE_SQL + "," + STAGED_SQL + "SELECT device_id, target_block, staged_id, verdict FROM j5")
+def j5_id_conflict(fx):
+    targets = T.write_target(fx.block, fx.crypt)
+    return I.id_conflict(targets, fx.staged, fx.blkid)
+
+
+@query("j6_space_check", """
+SELECT device_id, avail_kb, CAST(2500 * 1024 AS BIGINT) AS required_kb, avail_kb >= 2500 * 1024 AS enough FROM fx_space""")
+def j6_space_check(fx):
+    return I.space_check(fx.space)
+
+
+@query("j7_command_trust", """
+SELECT device_id, cmd, path,
+  CASE WHEN path IS NULL THEN 'not found' WHEN birth_s < 0 THEN 'no birth date' WHEN os_birth_s < 0 THEN 'no OS birth date'
+       WHEN floor(birth_s / 86400) > floor(os_birth_s / 86400) THEN 'newer than OS' ELSE 'ok' END AS verdict,
+  birth_s = 0 AS birth_unknown
+FROM fx_command""")
+def j7_command_trust(fx):
+    return I.command_trust(fx.command)
