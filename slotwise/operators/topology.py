@@ -16,8 +16,11 @@ from pyspark.sql import functions as F
 from slotwise import constants as K
 from slotwise.functions import columns as C
 
-W_DEV = Window.partitionBy("device_id").orderBy("ord")
-_BEFORE = W_DEV.rowsBetween(Window.unboundedPreceding, -1)
+
+def _before():
+    """Rows of the same device before the current one (windows need a session,
+    so they are built on use, not at import)."""
+    return Window.partitionBy("device_id").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
 
 
 def _first_by_ord(value: Column, cond: Column) -> Column:
@@ -35,9 +38,9 @@ def with_scan_columns(block: DataFrame) -> DataFrame:
     name = C.clean_name("name")
     return (block
             .withColumn("cname", name)
-            .withColumn("prev_name", F.last(name, ignorenulls=True).over(_BEFORE))
-            .withColumn("prev_top", F.last(F.when(F.col("depth") <= 1, name), ignorenulls=True).over(_BEFORE))
-            .withColumn("prev_sub", F.last(F.when(F.col("depth") >= 2, name), ignorenulls=True).over(_BEFORE)))
+            .withColumn("prev_name", F.last(name, ignorenulls=True).over(_before()))
+            .withColumn("prev_top", F.last(F.when(F.col("depth") <= 1, name), ignorenulls=True).over(_before()))
+            .withColumn("prev_sub", F.last(F.when(F.col("depth") >= 2, name), ignorenulls=True).over(_before())))
 
 
 def _dev(name: Column) -> Column:
