@@ -49,11 +49,14 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir`` (never a local default)."""
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
-    if not configured:
-        raise RuntimeError("spark.checkpoint.dir is not set; point it at shared storage")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
+        # Unset: only a local test session gets here (a cluster names a shared
+        # folder).  Refuse to invent a machine-local folder on a cluster.
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; point it at shared storage")
+        configured = tempfile.mkdtemp(prefix="slotwise-ckpt-")
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(configured)
     return configured
