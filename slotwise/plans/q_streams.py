@@ -1 +1,97 @@
-"""Registered queries (filled in below)."""
+"""Streaming queries ST1-ST4.
+
+Each query replays a fixture table as a file stream (time-ordered slices in
+a fresh folder under ``spark.checkpoint.dir``), runs the streaming operator
+with ``trigger(availableNow=True)`` into a Parquet sink, and returns the
+sink's rows.  ST2 and ST4 must equal their batch twins exactly, so they carry
+the batch oracle; ST1 and ST3 emit a row only once the watermark has passed
+it, so they are checked against their batch twins in the tests.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from slotwise.operators import lifecycle as LC
+from slotwise.plans.catalog import query
+from slotwise.plans.q_lifecycle import LIFE_SQL
+from slotwise.session import checkpoint_dir
+from slotwise.sources import readers as R
+from slotwise.streaming import operators as ST
+from slotwise.streaming.sources import stage_slices
+
+FILES_PER_TRIGGER = 4
+
+
+def _scratch(spark) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/slotwise-stream-{uuid.uuid4().hex}"
+
+
+def _source(spark, df: DataFrame, ts_col: str, base: str, name: str) -> DataFrame:
+    path = f"{base}/{name}"
+    stage_slices(df, path, ts_col, partitions=FILES_PER_TRIGGER)
+    schema = spark.read.parquet(path).schema
+    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES_PER_TRIGGER).parquet(path)
+                 .drop("slice_ts"))
+
+
+def run_available(stream: DataFrame, base: str, name: str, mode: str = "append") -> DataFrame:
+    """Run ``stream`` over everything available into a Parquet sink; read it back."""
+    sink, ckpt = f"{base}/{name}-sink", f"{base}/{name}-ckpt"
+    q = (stream.writeStream.format("parquet").option("checkpointLocation", ckpt).outputMode(mode)
+               .trigger(availableNow=True).start(sink))
+    q.awaitTermination()
+    return stream.sparkSession.read.parquet(sink)
+
+
+def _log_source(fx, base):
+    ts = R.read_log(fx.log).select("device_id", "seq", "ts")
+    staged = fx.log.join(ts, ["device_id", "seq"]).withColumn(
+        "slice_ts", F.coalesce("ts", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))).drop("ts")
+    return _source(fx.spark, staged, "slice_ts", base, "log")
+
+
+@query("st1_stream_log_counts")
+def st1_stream_log_counts(fx):
+    """Log lines per device, level and hour, from a watermarked stream."""
+    base = _scratch(fx.spark)
+    return run_available(ST.log_counts_stream(_log_source(fx, base)), base, "st1")
+
+
+@query("st2_stream_lifecycle", LIFE_SQL + "SELECT * FROM life")
+def st2_stream_lifecycle(fx):
+    """Lifecycle state machine over the action stream (batch twin: W9)."""
+    base = _scratch(fx.spark)
+    src = _source(fx.spark, fx.action, "ts", base, "action")
+    return run_available(ST.lifecycle_stream(src), base, "st2")
+
+
+@query("st3_stream_wait_for")
+def st3_stream_wait_for(fx):
+    """Apply -> reboot waits from a stream-stream left outer join (J11 twin)."""
+    base = _scratch(fx.spark)
+    acts = _source(fx.spark, fx.action, "ts", base, "action")
+    pairs = ST.wait_for_stream(acts.where(F.col("action") == "apply"),
+                               acts.where(F.col("action") == "reboot"))
+    out = run_available(pairs, base, "st3")
+    return ST.first_tick(out, LC.HOUR, 6 * LC.HOUR)
+
+
+@query("st4_stream_admit_runs", """
+WITH RECURSIVE r AS (SELECT run_id, device_id, start_ts, end_ts,
+                            row_number() OVER (PARTITION BY device_id ORDER BY start_ts, run_id) AS rn FROM fx_run),
+walk AS (SELECT device_id, rn, end_ts AS lock_end, true AS admitted FROM r WHERE rn = 1
+         UNION ALL
+         SELECT w.device_id, r.rn, CASE WHEN r.start_ts >= w.lock_end THEN r.end_ts ELSE w.lock_end END,
+                r.start_ts >= w.lock_end
+         FROM walk w JOIN r ON r.device_id = w.device_id AND r.rn = w.rn + 1)
+SELECT r.run_id, r.device_id, w.admitted, CASE WHEN w.admitted THEN 0 ELSE 1 END AS exit_code
+FROM r JOIN walk w ON w.device_id = r.device_id AND w.rn = r.rn""")
+def st4_stream_admit_runs(fx):
+    """Lock admission over the run stream (batch twin: W10)."""
+    base = _scratch(fx.spark)
+    src = _source(fx.spark, fx.run.select("run_id", "device_id", "start_ts", "end_ts"), "start_ts", base, "run")
+    return run_available(ST.admit_runs_stream(src), base, "st4")
