@@ -32,6 +32,20 @@ def read_boot_entries(lines: DataFrame, context: int = CONTEXT_LINES) -> DataFra
         F.min_by(boot, F.when(boot.isNotNull(), F.col("ord"))).alias("boot_uuid"))
 
 
+def _entry_vs_partition(entries: DataFrame, active: DataFrame, blkid: DataFrame) -> DataFrame:
+    ids = blkid.select("device_id", F.col("dev").alias("active"), "uuid", "partuuid")
+    a = active.join(ids, ["device_id", "active"], "left")
+    return a.join(entries, "device_id", "left")
+
+
+def _matched() -> "F.Column":
+    entry_id = F.when(F.col("mode") == "plain", F.coalesce("root_partuuid", "boot_uuid")).otherwise(F.col("boot_uuid"))
+    part_id = F.when(F.col("mode") == "plain", F.col("partuuid")).otherwise(F.col("uuid"))
+    return (F.when(part_id.isNull(), F.lit("no partition id"))
+             .when(entry_id.isNull(), F.lit("no entry id"))
+             .when(entry_id == part_id, F.lit("yes")).otherwise(F.lit("no")))
+
+
 def uki_matches(entries: DataFrame, active: DataFrame, blkid: DataFrame) -> DataFrame:
     """Does each boot entry point at the device's active partition?
 
@@ -41,23 +55,18 @@ def uki_matches(entries: DataFrame, active: DataFrame, blkid: DataFrame) -> Data
     partition), both against ``boot_uuid=``.  Result ``yes`` / ``no`` or the
     reason no comparison was possible.
     """
-    ids = blkid.select("device_id", F.col("dev").alias("active"), "uuid", "partuuid")
-    a = active.join(ids, ["device_id", "active"], "left")
-    j = entries.join(a, "device_id")
-    entry_id = F.when(F.col("mode") == "plain", F.coalesce("root_partuuid", "boot_uuid")).otherwise(F.col("boot_uuid"))
-    part_id = F.when(F.col("mode") == "plain", F.col("partuuid")).otherwise(F.col("uuid"))
-    return j.select(
-        "device_id", "uki",
-        F.when(part_id.isNull(), F.lit("no partition id"))
-         .when(entry_id.isNull(), F.lit("no entry id"))
-         .when(entry_id == part_id, F.lit("yes")).otherwise(F.lit("no")).alias("matched"))
-
-
-def active_uki(matches: DataFrame, devices: DataFrame) -> DataFrame:
-    """First matching boot image per device in file-name order, or NULL."""
-    found = (matches.where(F.col("matched") == "yes")
-                    .groupBy("device_id").agg(F.min("uki").alias("active_uki")))
-    return devices.select("device_id").join(found, "device_id", "left")
+    j = _entry_vs_partition(entries, active, blkid).where(F.col("uki").isNotNull())
+    return j.select("device_id", "uki", _matched().alias("matched"))
+
+
+def active_uki(entries: DataFrame, active: DataFrame, blkid: DataFrame) -> DataFrame:
+    """First matching boot image per device in file-name order, or NULL.
+
+    Keeps every column of ``active``; device rows, their partition ids and
+    their (few) boot entries meet in one join chain and one aggregation.
+    """
+    j = _entry_vs_partition(entries, active, blkid)
+    return j.groupBy(*active.columns).agg(F.min(F.when(_matched() == "yes", F.col("uki"))).alias("active_uki"))
 
 
 def first_file(files: DataFrame, path_col: str = "path") -> DataFrame:

@@ -67,29 +67,34 @@ def staged_target(staged: DataFrame, blkid: DataFrame, block: DataFrame) -> Data
     id: ``device_id, staged_id, target, matches``.  No id -> no target (H2)."""
     parts = (block.where(F.col("type") == "part")
                   .select("device_id", F.concat(F.lit("/dev/"), C.clean_name("name")).alias("dev"), "ord"))
-    m = staged_matches(staged, blkid).join(parts, ["device_id", "dev"], "left")
-    agg = m.groupBy("device_id").agg(
+    m = (staged_ids(staged)
+         .join(_id_rows(blkid).withColumnRenamed("id", "staged_id"), ["device_id", "staged_id"], "left")
+         .join(parts, ["device_id", "dev"], "left"))
+    return m.groupBy("device_id").agg(
+        F.max("staged_id").alias("staged_id"),
         F.min_by("dev", F.col("ord")).alias("target"),
-        F.count_distinct("dev").alias("matches"))
-    return (staged_ids(staged).join(agg, "device_id", "left")
-            .select("device_id", "staged_id", "target",
-                    F.coalesce("matches", F.lit(0)).cast("long").alias("matches")))
+        F.count_distinct("dev").cast("long").alias("matches"))
 
 
 def id_conflict(targets: DataFrame, staged: DataFrame, blkid: DataFrame) -> DataFrame:
     """Is the new id already used?  ``same`` (only by the target itself),
     ``duplicate`` (by another non-loop partition) or ``free``.
 
-    ``targets(device_id, target_block)``: the partition that will carry the id.
+    ``targets(device_id, target_block, ...)``: the partition that will carry
+    the id; all its columns are passed through, ``staged_id`` and ``verdict``
+    are added.  The matching partitions of a device are a handful (bounded by
+    its partition table), collected per device.
     """
-    m = staged_matches(staged, blkid)
-    per = m.groupBy("device_id").agg(F.collect_set("dev").alias("devs"))
-    t = targets.select("device_id", "target_block").join(staged_ids(staged), "device_id", "left")
-    j = t.join(per, "device_id", "left")
-    others = F.filter(F.coalesce("devs", F.array()), lambda d: ~d.eqNullSafe(F.col("target_block")))
+    ids = staged_ids(staged)
+    per = (ids.join(_id_rows(blkid).withColumnRenamed("id", "staged_id"), ["device_id", "staged_id"], "left")
+              .groupBy("device_id")
+              .agg(F.max("staged_id").alias("staged_id"), F.collect_set("dev").alias("devs")))
+    j = targets.join(per, "device_id", "left")
+    devs = F.coalesce(F.col("devs"), F.array().cast("array<string>"))
+    others = F.filter(devs, lambda d: ~d.eqNullSafe(F.col("target_block")))
     return j.select(
-        "device_id", "target_block", "staged_id",
-        F.when(F.size(F.coalesce("devs", F.array())) == 0, F.lit("free"))
+        *targets.columns, "staged_id",
+        F.when(F.size(devs) == 0, F.lit("free"))
          .when(F.size(others) == 0, F.lit("same"))
          .otherwise(F.lit("duplicate")).alias("verdict"))
 

@@ -118,28 +118,61 @@ def active_verity(block: DataFrame) -> DataFrame:
         _first_by_ord(_dev(F.col("prev_top")), active_verity_cond()).alias("active"))
 
 
-def active_partition(block: DataFrame, crypt: DataFrame) -> DataFrame:
-    """Mode and active partition per device.
-
-    W1, W2 and W3 are computed in the same window pass and the same
-    aggregation; the mode picks one of them.
+def device_pass(block: DataFrame, crypt: DataFrame) -> DataFrame:
+    """Everything the slot finders need, per device, from ONE window pass and
+    ONE aggregation over the block table (plus the crypt aggregation).
+
+    Columns: ``device_id, mode, active`` (W7), ``w4_name`` (first W4
+    candidate that is not the active partition), ``w5_target, w5_guessed``
+    (W5), ``parent_a, parent_b`` (W6 for the two slot volumes).  W4
+    candidates are collected per device: a device's block table is bounded
+    by its hardware, so this list is a handful of rows.
     """
     s = with_scan_columns(block)
+    w4_cond = (F.col("mountpoint").isNull() & F.col("fstype").isNotNull()
+               & F.col("partlabel").startswith("rootfs")
+               & ~F.coalesce(F.col("cname").startswith("loop"), F.lit(False)))
     per_dev = s.groupBy("device_id").agg(
         (F.count_if(_root()) >= 2).alias("is_verity"),
         _first_by_ord(active_plain_expr(), _root()).alias("a_plain"),
         _first_by_ord(_dev(F.col("prev_top")), active_fde_cond()).alias("a_fde"),
         _first_by_ord(_dev(F.col("prev_top")), active_verity_cond()).alias("a_verity"),
+        _first_by_ord(F.col("prev_top"), _root()).alias("root_top"),
+        _first_by_ord(F.col("prev_sub"), _root()).alias("root_sub"),
+        F.count_if(_root()).alias("roots"),
+        F.sort_array(F.collect_list(F.when(w4_cond, F.struct("ord", "cname")))).alias("w4_cands"),
+        _first_by_ord(_dev(F.col("prev_top")), F.col("cname") == "rootfs_a").alias("parent_a"),
+        _first_by_ord(_dev(F.col("prev_top")), F.col("cname") == "rootfs_b").alias("parent_b"),
     )
     fde = is_fde(crypt, per_dev)
     mode = (F.when(F.col("is_fde"), F.lit("fde"))
              .when(F.col("is_verity"), F.lit("verity")).otherwise(F.lit("plain")))
+    active = (F.when(F.col("mode") == "fde", F.col("a_fde"))
+               .when(F.col("mode") == "verity", F.col("a_verity")).otherwise(F.col("a_plain")))
+    starts = lambda c, p: F.coalesce(F.col(c).startswith(p), F.lit(False))
+    is_a = starts("root_top", "rootfs_a") | starts("root_sub", "rootfs_a")
+    is_b = starts("root_top", "rootfs_b") | starts("root_sub", "rootfs_b")
+    has_root = F.col("roots") > 0
     return (per_dev.join(fde, "device_id")
                    .withColumn("mode", mode)
-                   .select("device_id", "mode",
-                           F.when(F.col("mode") == "fde", F.col("a_fde"))
-                            .when(F.col("mode") == "verity", F.col("a_verity"))
-                            .otherwise(F.col("a_plain")).alias("active")))
+                   .withColumn("active", active)
+                   .select("device_id", "mode", "active",
+                           F.get(F.filter("w4_cands", lambda c: ~F.coalesce(_dev(c["cname"]) == F.col("active"),
+                                                                           F.lit(False))), 0)["cname"].alias("w4_name"),
+                           F.when(~has_root, F.lit(None))
+                            .when(is_a, F.lit(f"{K.CRYPTED_PART}/rootfs_b"))
+                            .otherwise(F.lit(f"{K.CRYPTED_PART}/rootfs_a")).alias("w5_target"),
+                           (has_root & ~is_a & ~is_b).alias("w5_guessed"),
+                           "parent_a", "parent_b"))
+
+
+def active_partition(block: DataFrame, crypt: DataFrame) -> DataFrame:
+    """Mode and active partition per device.
+
+    W1, W2 and W3 are computed in the same window pass and the same
+    aggregation; the mode picks one of them.
+    """
+    return device_pass(block, crypt).select("device_id", "mode", "active")
 
 
 # --- inactive slot ----------------------------------------------------------
@@ -205,19 +238,20 @@ def write_target(block: DataFrame, crypt: DataFrame) -> DataFrame:
     """Target of ``-w`` per device: W5 in fde mode, else W4 against W1/W3.
 
     Returns ``device_id, mode, active, target, error, target_block`` where
-    ``target_block`` is the partition backing the target (W6 for fde).
+    ``target_block`` is the partition backing the target (W6 for fde).  One
+    pass over the block table (:func:`device_pass`).
     """
-    act = active_partition(block, crypt)
-    plain = inactive_plain(block, act)
-    fde = inactive_fde(block).select("device_id", F.col("target").alias("fde_target"))
-    parents = parent_of(block)
-    out = (act.join(plain, "device_id", "left").join(fde, "device_id", "left")
-              .withColumn("target", F.when(F.col("mode") == "fde", F.col("fde_target")).otherwise(F.col("target")))
-              .withColumn("error", F.when(F.col("mode") == "fde", F.lit(None)).otherwise(F.col("error")))
-              .withColumn("volume", F.regexp_extract("target", r"([^/]+)$", 1)))
-    return (out.join(parents, ["device_id", "volume"], "left")
-               .select("device_id", "mode", "active", "target", "error",
-                       F.when(F.col("mode") == "fde", F.col("parent")).otherwise(F.col("target")).alias("target_block")))
+    d = device_pass(block, crypt)
+    bad = F.col("w4_name").isNotNull() & ~C.is_allowed_root("w4_name")
+    fde = F.col("mode") == "fde"
+    target = F.when(fde, F.col("w5_target")).when(bad, F.lit(None)).otherwise(_dev(F.col("w4_name")))
+    error = F.when(~fde & bad, F.concat(
+        F.lit(f"Partition index must be either {K.INDEX_PART_A} or {K.INDEX_PART_B}. Found: "),
+        F.coalesce(C.trailing_number("w4_name").cast("string"), F.lit(""))))
+    vol = F.regexp_extract(F.col("w5_target"), r"([^/]+)$", 1)
+    block_of = F.when(vol == "rootfs_a", F.col("parent_a")).when(vol == "rootfs_b", F.col("parent_b"))
+    return d.select("device_id", "mode", "active", target.alias("target"), error.alias("error"),
+                    F.when(fde, block_of).otherwise(target).alias("target_block"))
 
 
 def normalize_devices(block: DataFrame) -> DataFrame:

@@ -54,14 +54,14 @@ def write_readiness(assign: DataFrame, images: DataFrame, space: DataFrame, stag
                     block: DataFrame, blkid: DataFrame, crypt: DataFrame) -> DataFrame:
     """Q2: first failing gate of a write per device and its exit code."""
     gates = image_gates(images)
-    targets = T.write_target(block, crypt)
-    conflict = I.id_conflict(targets, staged, blkid).select("device_id", F.col("verdict").alias("id_verdict"))
+    targets = T.write_target(block, crypt).select("device_id", "target", "error", "target_block")
+    conflict = (I.id_conflict(targets, staged, blkid)
+                 .select("device_id", "target", "error", F.col("verdict").alias("id_verdict")))
     room = I.space_check(space).select("device_id", "enough")
     j = (assign.select("device_id", "image_id")
                .join(gates, "image_id", "left")
-               .join(targets.select("device_id", "target", "error"), "device_id", "left")
-               .join(room, "device_id", "left")
-               .join(conflict, "device_id", "left"))
+               .join(conflict, "device_id", "left")
+               .join(room, "device_id", "left"))
     failed = {
         "bad path": F.col("path_reason").isNotNull() | F.col("path").isNull(),
         "malformed digest": F.col("has_sha") & ~F.col("sha_ok"),
@@ -84,8 +84,7 @@ def write_readiness(assign: DataFrame, images: DataFrame, space: DataFrame, stag
 
 def _active_and_uki(block, crypt, blkid, boot_lines):
     act = T.active_partition(block, crypt)
-    m = B.uki_matches(B.read_boot_entries(boot_lines), act, blkid)
-    return act.join(B.active_uki(m, act), "device_id", "left")
+    return B.active_uki(B.read_boot_entries(boot_lines), act, blkid)
 
 
 def apply_plan(staged: DataFrame, blkid: DataFrame, block: DataFrame, crypt: DataFrame,

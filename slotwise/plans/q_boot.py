@@ -42,8 +42,8 @@ def entries_of(fx):
 
 def active_uki_of(fx, act=None):
     act = act if act is not None else T.active_partition(fx.block, fx.crypt)
-    m = B.uki_matches(entries_of(fx), act, fx.blkid)
-    return B.active_uki(m, act)
+    return B.active_uki(entries_of(fx), act.select("device_id", "mode", "active"), fx.blkid).select(
+        "device_id", "active_uki")
 
 
 @query("s3_read_boot_entries", BOOT_SQL + "SELECT device_id, uki, root_partuuid, boot_uuid FROM entries")

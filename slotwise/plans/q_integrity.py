@@ -74,7 +74,7 @@ def j4_staged_target(fx):
 
 @query("j5_id_conflict", INACTIVE_SQL + "," + STAGED_SQL + "SELECT device_id, target_block, staged_id, verdict FROM j5")
 def j5_id_conflict(fx):
-    targets = T.write_target(fx.block, fx.crypt)
+    targets = T.write_target(fx.block, fx.crypt).select("device_id", "target_block")
     return I.id_conflict(targets, fx.staged, fx.blkid)
 
 

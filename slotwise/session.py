@@ -42,6 +42,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
     if not os.environ.get("SLOTWISE_CHECKPOINT_DIR"):
         os.environ["SLOTWISE_CHECKPOINT_DIR"] = tempfile.mkdtemp(prefix="slotwise-ckpt-")
     builder = builder.config("spark.checkpoint.dir", os.environ["SLOTWISE_CHECKPOINT_DIR"])
+    # quiet a pandas deprecation notice printed by Python workers on every batch
+    os.environ.setdefault("PYTHONWARNINGS", "ignore::FutureWarning")
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

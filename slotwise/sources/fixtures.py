@@ -9,6 +9,8 @@ the scan stage instead of planning a nested-loop join.
 
 from __future__ import annotations
 
+import hashlib
+import os
 import re
 
 # Fixed fixture definitions (FIXTURES.md section 3), in definition order.
@@ -285,18 +287,57 @@ def oracle_with(sql: str) -> str:
 _REGISTERED: dict[int, str] = {}
 
 
-def register(spark, sf_dir: str) -> None:
-    """Register the base tables of ``sf_dir`` and every fixture as temp views."""
+def _source_key(sf_dir: str) -> str:
+    """Identity of a scale directory: path, sizes and modification times."""
+    parts = [os.path.abspath(sf_dir)]
+    for t in BASE_TABLES:
+        p = f"{sf_dir}/{t}.parquet"
+        if os.path.exists(p):
+            st = os.stat(p)
+            parts.append(f"{t}:{st.st_size}:{int(st.st_mtime)}")
+    return hashlib.sha256("|".join(parts).encode()).hexdigest()[:16]
+
+
+def register(spark, sf_dir: str, materialize: bool = True) -> None:
+    """Register the base tables of ``sf_dir`` and every fixture as temp views.
+
+    Fixtures are device inventories in production, i.e. stored tables.  With
+    ``materialize`` each fixture is derived once by Spark from the base
+    tables, written as Parquet into the shared folder of
+    ``spark.checkpoint.dir`` (keyed by the source files) and read back, so
+    queries scan stored inputs instead of re-deriving them per reference.
+    """
     key = id(spark)
     if _REGISTERED.get(key) == sf_dir and spark.catalog.tableExists("fx_space"):
         return
     for t in BASE_TABLES:
         spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
+    base = None
+    if materialize:
+        from slotwise.session import checkpoint_dir
+        base = f"{checkpoint_dir(spark).rstrip('/')}/slotwise-fixtures/{_source_key(sf_dir)}"
     for n in ORACLE_SQL:
-        spark.sql(_dialect(SPARK_SQL[n], "spark")).createOrReplaceTempView(n)
+        df = spark.sql(_dialect(SPARK_SQL[n], "spark"))
+        if base is not None:
+            path = f"{base}/{n}"
+            if not _exists(spark, f"{path}/_SUCCESS"):
+                df.write.mode("overwrite").parquet(path)
+            df = spark.read.parquet(path)
+        df.createOrReplaceTempView(n)
     _REGISTERED[key] = sf_dir
 
 
+def fixture_path(spark, sf_dir: str, name: str) -> str:
+    from slotwise.session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/slotwise-fixtures/{_source_key(sf_dir)}/{name}"
+
+
+def _exists(spark, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 class Fleet:
     """Fixture DataFrames of one scale directory (registered as temp views)."""
 
