@@ -144,8 +144,10 @@ def device_pass(block: DataFrame, crypt: DataFrame) -> DataFrame:
         _first_by_ord(_dev(F.col("prev_top")), F.col("cname") == "rootfs_a").alias("parent_a"),
         _first_by_ord(_dev(F.col("prev_top")), F.col("cname") == "rootfs_b").alias("parent_b"),
     )
-    fde = is_fde(crypt, per_dev)
-    mode = (F.when(F.col("is_fde"), F.lit("fde"))
+    fde_agg = (crypt.groupBy("device_id")
+                    .agg((F.bool_or(F.col("target").contains("rootfs_a"))
+                          & F.bool_or(F.col("target").contains("rootfs_b"))).alias("is_fde")))
+    mode = (F.when(F.coalesce(F.col("is_fde"), F.lit(False)), F.lit("fde"))
              .when(F.col("is_verity"), F.lit("verity")).otherwise(F.lit("plain")))
     active = (F.when(F.col("mode") == "fde", F.col("a_fde"))
                .when(F.col("mode") == "verity", F.col("a_verity")).otherwise(F.col("a_plain")))
@@ -153,7 +155,7 @@ def device_pass(block: DataFrame, crypt: DataFrame) -> DataFrame:
     is_a = starts("root_top", "rootfs_a") | starts("root_sub", "rootfs_a")
     is_b = starts("root_top", "rootfs_b") | starts("root_sub", "rootfs_b")
     has_root = F.col("roots") > 0
-    return (per_dev.join(fde, "device_id")
+    return (per_dev.join(fde_agg, "device_id", "left")
                    .withColumn("mode", mode)
                    .withColumn("active", active)
                    .select("device_id", "mode", "active",
