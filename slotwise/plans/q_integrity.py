@@ -92,3 +92,24 @@ SELECT device_id, cmd, path,
 FROM fx_command""")
 def j7_command_trust(fx):
     return I.command_trust(fx.command)
+
+
+@query("s7_read_images", """
+SELECT image_id, strlen(body) + 1 AS length, sha256(body) AS sha
+FROM fx_image""")
+def s7_read_images(fx):
+    """Image files: every body written as a file under the shared folder, read
+    back with the ``binaryFile`` source; length and digest per file (the text
+    writer ends each file with one newline, which the digest leaves out)."""
+    import uuid
+
+    from pyspark.sql import functions as F
+
+    from slotwise.session import checkpoint_dir
+    from slotwise.sources import readers as R
+    root = f"{checkpoint_dir(fx.spark).rstrip('/')}/slotwise-images-{uuid.uuid4().hex}"
+    fx.image.select("image_id", "body").write.partitionBy("image_id").text(root)
+    files = R.read_images(fx.spark, root).where(F.col("path").endswith(".txt"))
+    content = F.expr("substring(content, 1, length(content) - 1)")
+    return files.select(F.regexp_extract("path", r"image_id=([0-9]+)", 1).cast("long").alias("image_id"),
+                        "length", F.sha2(content, 256).alias("sha"))

@@ -182,3 +182,17 @@ GROUP BY t.device_id, t.target""")
 def f10_device_present(fx):
     """Is each device's write target present in its block table; rows mounted under it."""
     return T.device_present(fx.block, T.write_target(fx.block, fx.crypt).select("device_id", "target"))
+
+
+@query("s1_read_block", """
+SELECT device_id, ord, depth, nullif(regexp_replace(name, '^[^a-zA-Z0-9]*', ''), '') AS name, fstype, partlabel, mountpoint
+FROM fx_block""")
+def s1_read_block(fx):
+    """lsblk text rendered from the block table, parsed back into columns."""
+    return R.read_block(R.render_block(fx.block))
+
+
+@query("s2_read_blkid", "SELECT device_id, dev, uuid, partuuid FROM fx_blkid")
+def s2_read_blkid(fx):
+    """blkid text rendered from the id table, parsed back (attributes as a map)."""
+    return R.read_blkid(R.render_blkid(fx.blkid)).drop("attrs")

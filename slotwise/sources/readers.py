@@ -15,23 +15,39 @@ from slotwise.functions import columns as C
 
 
 def read_block(lines: DataFrame) -> DataFrame:
-    """Lsblk text ``NAME FSTYPE [PARTLABEL] MOUNTPOINT`` -> block rows.
+    """Lsblk text ``NAME FSTYPE PARTLABEL MOUNTPOINT`` -> block rows.
 
-    ``depth`` is the count of leading tree glyph pairs; columns are taken by
-    position after the glyphs.  Blank-collapsed rows cannot tell which middle
-    cell was empty (H11); prefer ``-P`` style input when it matters.
+    ``depth`` is the width of the leading tree glyphs (two characters per
+    level).  Cells are split on single blanks, so an empty middle cell stays
+    in its column; the blank-collapsing read of the updater would shift it
+    (H11).
     """
     glyphs = F.regexp_extract("line", r"^([^a-zA-Z0-9]*)", 1)
-    body = F.split(F.trim(F.regexp_replace("line", r"^[^a-zA-Z0-9]*", "")), " +")
+    body = F.split(F.regexp_replace("line", r"^[^a-zA-Z0-9]*", ""), " ")
     return lines.select(
         "device_id", "ord",
-        (F.length(F.regexp_replace(glyphs, r"[ ]", "")) / 2).cast("int").alias("depth"),
+        (F.length(glyphs) / 2).cast("int").alias("depth"),
         C.clean_name(F.get(body, 0)).alias("name"),
         C.nullif_empty(F.get(body, 1)).alias("fstype"),
         C.nullif_empty(F.get(body, 2)).alias("partlabel"),
         C.nullif_empty(F.get(body, 3)).alias("mountpoint"))
 
 
+def render_block(block: DataFrame) -> DataFrame:
+    """lsblk-style text of block rows (the inverse of :func:`read_block`)."""
+    glyph = F.when(F.col("depth") > 0, F.concat(F.repeat(F.lit("  "), F.col("depth") - 1), F.lit("└─"))).otherwise(F.lit(""))
+    cells = F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in ("name", "fstype", "partlabel", "mountpoint")])
+    return block.select("device_id", "ord", F.concat(glyph, cells).alias("line"))
+
+
+def render_blkid(blkid: DataFrame) -> DataFrame:
+    """blkid-style text ``dev: UUID="..." PARTUUID="..."`` of blkid rows."""
+    return blkid.select("device_id", F.concat(
+        F.col("dev"), F.lit(":"),
+        F.coalesce(F.concat(F.lit(' UUID="'), F.col("uuid"), F.lit('"')), F.lit("")),
+        F.coalesce(F.concat(F.lit(' PARTUUID="'), F.col("partuuid"), F.lit('"')), F.lit(""))).alias("line"))
+
+
 def read_blkid(lines: DataFrame) -> DataFrame:
     """``dev: KEY="v" KEY="v"`` -> ``device_id, dev, uuid, partuuid, attrs``."""
     keys = F.regexp_extract_all("line", F.lit(r'([A-Z_]+)="[^"]*"'), 1)
