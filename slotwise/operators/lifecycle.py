@@ -10,6 +10,8 @@ per-chunk summary, so no task ever holds a whole device.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -106,34 +108,34 @@ def admit_runs(runs: DataFrame, chunk_seconds: int = DAY, checkpoint_every: int
     ``start, run_id`` order).  The admitted runs of a device are the chain
     ``r0, next(r0), next(next(r0)), ...`` of :func:`next_free_run`; the chain is
     walked by pointer doubling: round k adds ``jump_k(A)`` to the admitted
-    set A and squares the jump table, so a chain of length L takes about
-    log2(L) rounds of joins over (run_id) keys, with no group ever
-    collected.  Lineage is cut by ``checkpoint()`` into
-    ``spark.checkpoint.dir`` each round.
+    set A and squares the jump table, so a chain of length L takes
+    ceil(log2(L)) rounds of joins over ``run_id`` keys (L is bounded by the
+    largest run count of a device, known up front, so no per-round counting),
+    with no group ever collected.  Lineage is cut by ``checkpoint()`` into
+    ``spark.checkpoint.dir`` every ``checkpoint_every`` rounds.
     """
     spark = runs.sparkSession
     checkpoint_dir(spark)
     nxt = next_free_run(runs, chunk_seconds)
-    first = (runs.groupBy("device_id")
-                 .agg(F.min_by("run_id", F.struct("start_ts", "run_id")).alias("run_id")))
-    jump = nxt.where(F.col("nxt").isNotNull()).select("run_id", F.col("nxt").alias("to"))
-    admitted = first.select("run_id").checkpoint(eager=True)
-    size = admitted.count()
-    rnd = 0
-    while True:
-        rnd += 1
+    stats = runs.groupBy("device_id").agg(
+        F.min_by("run_id", F.struct("start_ts", "run_id")).alias("run_id"), F.count(F.lit(1)).alias("n"))
+    stats = stats.checkpoint(eager=True)
+    longest = stats.agg(F.max("n")).first()[0] or 0
+    # a chain never has more links than its device has runs: after k rounds
+    # the admitted set holds the first 2**k links, so this bounds the rounds
+    rounds = max(0, math.ceil(math.log2(longest))) if longest > 1 else 0
+    jump = nxt.where(F.col("nxt").isNotNull()).select("run_id", F.col("nxt").alias("to")).checkpoint(eager=True)
+    admitted = stats.select("run_id")
+    for rnd in range(1, rounds + 1):
         reached = admitted.join(jump, "run_id").select(F.col("to").alias("run_id"))
-        grown = admitted.unionByName(reached).distinct()
-        if rnd % checkpoint_every == 0:
-            grown = grown.checkpoint(eager=True)
-        grown_size = grown.count()
-        admitted = grown
-        if grown_size == size:
-            break
-        size = grown_size
-        j2 = (jump.alias("a").join(jump.alias("b"), F.col("a.to") == F.col("b.run_id"))
-                  .select(F.col("a.run_id").alias("run_id"), F.col("b.to").alias("to")))
-        jump = j2.checkpoint(eager=True) if rnd % checkpoint_every == 0 else j2
+        admitted = admitted.unionByName(reached).distinct()
+        if rnd < rounds:
+            jump = (jump.alias("a").join(jump.alias("b"), F.col("a.to") == F.col("b.run_id"))
+                        .select(F.col("a.run_id").alias("run_id"), F.col("b.to").alias("to")))
+        if rnd % checkpoint_every == 0 or rnd == rounds:
+            admitted = admitted.checkpoint(eager=True)
+            if rnd < rounds:
+                jump = jump.checkpoint(eager=True)
     flag = admitted.withColumn("admitted", F.lit(True))
     return (runs.select("run_id", "device_id").join(flag, "run_id", "left")
                 .select("run_id", "device_id", F.coalesce("admitted", F.lit(False)).alias("admitted"),
