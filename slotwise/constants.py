@@ -57,17 +57,16 @@ CONFIG_DEFAULTS = {
     "CRYPTEDPART": "/dev/mapper",
 }
 
-# --- fixed values: error message -> stage, and the exit code of each stage --
+# --- fixed values: error messages in the order the tool emits them, their
+# stage, and the exit code of each stage --------------------------------------
 STAGE_EXIT_CODE = {"validation": 1, "write": 3, "apply": 3, "commit": 4}
 ERROR_STAGE = {
     "No parameters were passed.": "validation",
     "-u requires string input": "validation",
     "-u requires a valid file system path.": "validation",
     "Invalid SHA-256 hash for -s.": "validation",
-    "No Suitable Partition for Update Found.": "validation",
-    "Nothing to apply.": "validation",
-    "Nothing to commit.": "validation",
     "Failed check image sha.": "write",
+    "No Suitable Partition for Update Found.": "validation",
     "Failed image extraction.": "write",
     "Failed write image.": "write",
     "Failed copy onboarding var.": "write",
@@ -77,7 +76,9 @@ ERROR_STAGE = {
     "Failed Set luks UUID.": "write",
     "Failed Set part UUID.": "write",
     "Failed Set Verity.": "write",
+    "Nothing to apply.": "validation",
     "Failed apply boot changes.": "apply",
+    "Nothing to commit.": "validation",
     "Failed to get active UKI.": "commit",
     "Failed to change boot.": "commit",
     "Failed to commit update OS.": "commit",

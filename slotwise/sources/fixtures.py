@@ -314,6 +314,10 @@ def register(spark, sf_dir: str, materialize: bool = True, buckets: int | None =
     need no shuffle.
     """
     key = id(spark)
+    # Times in the inputs are UTC wall times (timestamp_ntz); day boundaries,
+    # epoch conversions and log offsets are all judged in UTC.
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     if _REGISTERED.get(key) == sf_dir and spark.catalog.tableExists("fx_space"):
         return
     for t in BASE_TABLES:
