@@ -45,18 +45,19 @@ def lifecycle(actions: DataFrame, chunk_seconds: int = DAY) -> DataFrame:
     act = F.col("action")
     order = ["ts", "seq"]
     keys = ["device_id"]
+    b = scan.choose_bucket(actions, keys, "chunk")
 
-    a = scan.carry_last(a, keys, order, F.when(act == "write", 1).when(act == "commit", 0), "staged_before", "chunk")
+    a = scan.carry_last(a, keys, order, F.when(act == "write", 1).when(act == "commit", 0), "staged_before", b)
     a = a.withColumn("staged_before", F.coalesce("staged_before", F.lit(0)))
     apply_ok = (act == "apply") & (F.col("staged_before") == 1)
     commit_ok = (act == "commit") & (F.col("staged_before") == 1)
 
-    a = scan.carry_last(a, keys, order, F.when(apply_ok, 1).when(act == "reboot", 0), "armed_before", "chunk")
+    a = scan.carry_last(a, keys, order, F.when(apply_ok, 1).when(act == "reboot", 0), "armed_before", b)
     a = a.withColumn("armed_before", F.coalesce("armed_before", F.lit(0)))
     armed_reboot = (act == "reboot") & (F.col("armed_before") == 1)
 
     trial_v = F.when(armed_reboot, 1).when(act == "reboot", 0).when(apply_ok, 0).when(commit_ok, 0)
-    a = scan.carry_last(a, keys, order, trial_v, "trial_before", "chunk")
+    a = scan.carry_last(a, keys, order, trial_v, "trial_before", b)
     a = a.withColumn("trial_before", F.coalesce("trial_before", F.lit(0)))
 
     outcome = (F.when(act == "write", F.lit("staged"))
@@ -79,7 +80,7 @@ def step_gate(actions: DataFrame, chunk_seconds: int = DAY) -> DataFrame:
             .select("device_id", "seq", "action", F.col("outcome").alias("verdict")))
 
 
-def next_free_run(runs: DataFrame, chunk_seconds: int = DAY) -> DataFrame:
+def next_free_run(runs: DataFrame, chunk_seconds: int = DAY, bucket: str | None = "chunk") -> DataFrame:
     """For each run, the first later run (order ``start, run_id``) that starts
     at or after its end: where the lock is free again if this run holds it.
 
@@ -97,7 +98,7 @@ def next_free_run(runs: DataFrame, chunk_seconds: int = DAY) -> DataFrame:
                        F.lit(None).cast("long").alias("val"), F.col("run_id").alias("q"))
     merged = starts.unionByName(queries).withColumn(
         "chunk", F.floor(F.col("t") / F.lit(chunk_seconds * 1_000_000)).cast("long"))
-    found = scan.carry_next(merged, ["device_id"], ["t", "k", "id", "sub"], F.col("val"), "nxt", bucket="chunk")
+    found = scan.carry_next(merged, ["device_id"], ["t", "k", "id", "sub"], F.col("val"), "nxt", bucket=bucket)
     return found.where(F.col("q").isNotNull()).select("device_id", F.col("q").alias("run_id"), "nxt")
 
 
@@ -106,24 +107,35 @@ def admit_runs(runs: DataFrame, chunk_seconds: int = DAY, checkpoint_every: int
 
     A run is admitted iff no admitted run still holds the lock (greedy in
     ``start, run_id`` order).  The admitted runs of a device are the chain
-    ``r0, next(r0), next(next(r0)), ...`` of :func:`next_free_run`; the chain is
+    ``r0, next(r0), next(next(r0)), ...`` of :func:`next_free_run`.  A run
+    that starts after every earlier run has ended (an island root) is always
+    admitted, so every island root starts a chain; the chains are
     walked by pointer doubling: round k adds ``jump_k(A)`` to the admitted
     set A and squares the jump table, so a chain of length L takes
     ceil(log2(L)) rounds of joins over ``run_id`` keys (L is bounded by the
-    largest run count of a device, known up front, so no per-round counting),
+    largest island, known up front, so no per-round counting),
     with no group ever collected.  Lineage is cut by ``checkpoint()`` into
     ``spark.checkpoint.dir`` every ``checkpoint_every`` rounds.
     """
     spark = runs.sparkSession
     checkpoint_dir(spark)
-    nxt = next_free_run(runs, chunk_seconds)
-    stats = runs.groupBy("device_id").agg(
-        F.min_by("run_id", F.struct("start_ts", "run_id")).alias("run_id"), F.count(F.lit(1)).alias("n"))
-    stats = stats.checkpoint(eager=True)
-    longest = stats.agg(F.max("n")).first()[0] or 0
-    # a chain never has more links than its device has runs: after k rounds
-    # the admitted set holds the first 2**k links, so this bounds the rounds
+    b = scan.choose_bucket(runs, ["device_id"], "chunk")
+    nxt = next_free_run(runs, chunk_seconds, b)
+    # Island roots: runs that start after every earlier run of the device has
+    # ended.  The lock is free for them whatever happened before, so they are
+    # admitted outright and chains only need walking inside a busy period.
+    r = runs.select("device_id", "run_id", _micros("start_ts").alias("s"), _micros("end_ts").alias("e"))
+    r = r.withColumn("chunk", F.floor(F.col("s") / F.lit(chunk_seconds * 1_000_000)).cast("long"))
+    r = scan.carry_max(r, ["device_id"], ["s", "run_id"], F.col("e"), "busy_until", bucket=b)
+    r = r.withColumn("root", F.col("busy_until").isNull() | (F.col("s") >= F.col("busy_until")))
+    r = scan.carry_last(r, ["device_id"], ["s", "run_id"], F.when(F.col("root"), F.col("run_id")), "island",
+                        bucket=b, inclusive=True)
+    r = r.select("run_id", "device_id", "island", "root").checkpoint(eager=True)
+    longest = r.groupBy("device_id", "island").count().agg(F.max("count")).first()[0] or 0
+    # a chain inside an island has at most as many links as the island has
+    # runs: after k rounds the admitted set holds the first 2**k links of each
     rounds = max(0, math.ceil(math.log2(longest))) if longest > 1 else 0
+    stats = r.where(F.col("root")).select("run_id")
     jump = nxt.where(F.col("nxt").isNotNull()).select("run_id", F.col("nxt").alias("to")).checkpoint(eager=True)
     admitted = stats.select("run_id")
     for rnd in range(1, rounds + 1):
@@ -154,7 +166,8 @@ def overlapping_runs(runs: DataFrame, chunk_seconds: int = DAY) -> DataFrame:
     """
     r = runs.select("device_id", "run_id", _micros("start_ts").alias("s"), _micros("end_ts").alias("e"))
     r = r.withColumn("chunk", F.floor(F.col("s") / F.lit(chunk_seconds * 1_000_000)).cast("long"))
-    r = scan.position(r, ["device_id"], ["s", "run_id"], "pos", bucket="chunk")
+    b = scan.choose_bucket(runs, ["device_id"], "chunk")
+    r = scan.position(r, ["device_id"], ["s", "run_id"], "pos", bucket=b)
     # starts sort after ends at equal time (strict overlap) and by position
     starts = r.select("device_id", F.col("s").alias("t"), F.lit(1).alias("k"), F.col("pos").alias("o"),
                       F.col("pos").alias("val"), F.lit(None).cast("long").alias("q"), F.lit(None).cast("long").alias("qpos"))
@@ -162,7 +175,7 @@ def overlapping_runs(runs: DataFrame, chunk_seconds: int = DAY) -> DataFrame:
                     F.lit(None).cast("long").alias("val"), F.col("run_id").alias("q"), F.col("pos").alias("qpos"))
     merged = starts.unionByName(ends).withColumn(
         "chunk", F.floor(F.col("t") / F.lit(chunk_seconds * 1_000_000)).cast("long"))
-    upto = (scan.carry_last(merged, ["device_id"], ["t", "k", "o"], F.col("val"), "upto", bucket="chunk")
+    upto = (scan.carry_last(merged, ["device_id"], ["t", "k", "o"], F.col("val"), "upto", bucket=b)
                 .where(F.col("q").isNotNull() & (F.col("upto") > F.col("qpos"))))
     cand = upto.select("device_id", F.col("q").alias("run_a"),
                        F.explode(F.sequence(F.col("qpos") + 1, F.col("upto"))).alias("pos"))
@@ -189,7 +202,8 @@ def wait_for(starts: DataFrame, signals: DataFrame, interval_s: int = 1, timeout
                         F.lit(False).alias("is_start"))
     merged = st.unionByName(sg).withColumn(
         "chunk", F.floor(F.col("t") / F.lit(chunk_seconds * 1_000_000)).cast("long"))
-    found = scan.carry_next(merged, ["device_id"], ["t", "k"], F.col("val"), "sig", bucket="chunk")
+    b = scan.choose_bucket(merged, ["device_id"], "chunk")
+    found = scan.carry_next(merged, ["device_id"], ["t", "k"], F.col("val"), "sig", bucket=b)
     iv = interval_s * 1_000_000
     dt = F.col("sig") - F.col("t")
     ok = F.col("sig").isNotNull() & (dt <= F.lit(timeout_s * 1_000_000))

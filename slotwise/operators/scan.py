@@ -17,11 +17,38 @@ whose size per key is bounded by nature (one device's block table).
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Largest history one task may scan whole.  Above it, the key's history is
+# split into chunks.  SLOTWISE_MAX_KEY_ROWS=0 forces chunking (tests do).
+MAX_KEY_ROWS = 2_000_000
+
+
+def max_key_rows() -> int:
+    return int(os.environ.get("SLOTWISE_MAX_KEY_ROWS", MAX_KEY_ROWS))
+
+
+def needs_chunks(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> bool:
+    """Does any key hold more rows than one task should scan?
+
+    One partial-aggregated count per key (a small job); only the single
+    maximum comes back to the driver.
+    """
+    limit = max_key_rows() if limit is None else limit
+    if limit <= 0:
+        return True
+    top = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
+    return bool(top and top > limit)
+
+
+def choose_bucket(df: DataFrame, keys: Sequence[str], bucket: str) -> str | None:
+    """``bucket`` when some key is hot, else None (plain windows suffice)."""
+    return bucket if needs_chunks(df, keys) else None
+
 
 def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
@@ -56,6 +83,24 @@ def carry_last(df: DataFrame, keys: Sequence[str], order: Sequence, value: Colum
                 .drop(tmp_v, tmp_local, tmp_carry))
 
 
+def carry_max(df: DataFrame, keys: Sequence[str], order: Sequence, value: Column, out: str,
+              bucket: str | None = None) -> DataFrame:
+    """``out`` = max of ``value`` over the rows before each row (per ``keys``)."""
+    order_c = _cols(order)
+    if bucket is None:
+        w = Window.partitionBy(*keys).orderBy(*order_c).rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumn(out, F.max(value).over(w))
+    tmp_v, tmp_local, tmp_carry = f"__{out}_v", f"__{out}_local", f"__{out}_carry"
+    wl = Window.partitionBy(*keys, bucket).orderBy(*order_c).rowsBetween(Window.unboundedPreceding, -1)
+    base = df.withColumn(tmp_v, value).withColumn(tmp_local, F.max(tmp_v).over(wl))
+    summary = base.groupBy(*keys, bucket).agg(F.max(tmp_v).alias(tmp_v))
+    wc = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select(*keys, bucket, F.max(tmp_v).over(wc).alias(tmp_carry))
+    return (base.join(carry, [*keys, bucket], "left")
+                .withColumn(out, F.greatest(F.col(tmp_local), F.col(tmp_carry)))
+                .drop(tmp_v, tmp_local, tmp_carry))
+
+
 def carry_next(df: DataFrame, keys: Sequence[str], order: Sequence, value: Column, out: str,
                bucket: str | None = None, inclusive: bool = False) -> DataFrame:
     """``out`` = first non-NULL ``value`` of the rows after each row.

@@ -47,3 +47,11 @@ def test_position_matches_row_number(spark):
     got = scan.position(df, ["k"], ["t", "id"], "pos", bucket="b")
     want = df.withColumn("pos", F.row_number().over(Window.partitionBy("k").orderBy("t", "id")))
     assert sorted(got.select("id", "pos").collect()) == sorted(want.select("id", "pos").collect())
+
+
+def test_carry_max_matches_window(spark):
+    df = _data(spark, seed=13)
+    got = scan.carry_max(df, ["k"], ["t", "id"], F.col("v"), "out", bucket="b")
+    w = Window.partitionBy("k").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, -1)
+    want = df.withColumn("out", F.max("v").over(w))
+    assert sorted(got.select("id", "out").collect()) == sorted(want.select("id", "out").collect())
