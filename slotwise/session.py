@@ -62,3 +62,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(configured)
     return configured
+
+
+def cluster_conf(input_bytes: int, executor_cores: int = 4, target_partition_bytes: int = 128 << 20) -> dict:
+    """Settings to size a cluster session for ``input_bytes`` of input.
+
+    Shuffle partitions start at about one per ``target_partition_bytes`` of
+    input (AQE coalesces small ones and splits skewed ones at runtime), scans
+    split at the same size, and device-keyed inventories get a bucket count
+    of the same order so their joins and windows stay shuffle-free.
+    """
+    parts = max(200, -(-input_bytes // target_partition_bytes))
+    buckets = 1 << max(3, (parts - 1).bit_length() - 2)   # power of two, ~parts/4
+    return {
+        **SESSION_CONF,
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.executor.cores": str(executor_cores),
+        "slotwise.buckets": str(buckets),
+    }
