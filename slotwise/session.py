@@ -73,7 +73,8 @@ def cluster_conf(input_bytes: int, executor_cores: int = 4, target_partition_byt
     of the same order so their joins and windows stay shuffle-free.
     """
     parts = max(200, -(-input_bytes // target_partition_bytes))
-    buckets = 1 << max(3, (parts - 1).bit_length() - 2)   # power of two, ~parts/4
+    # inventories are a small share of the input: ~parts/4 buckets, capped
+    buckets = min(16384, 1 << max(3, (parts - 1).bit_length() - 2))
     return {
         **SESSION_CONF,
         "spark.sql.shuffle.partitions": str(parts),

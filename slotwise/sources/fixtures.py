@@ -322,7 +322,7 @@ def register(spark, sf_dir: str, materialize: bool = True, buckets: int | None =
         return
     for t in BASE_TABLES:
         spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
-    nb = buckets or int(os.environ.get("SLOTWISE_BUCKETS", DEFAULT_BUCKETS))
+    nb = buckets or int(spark.conf.get("slotwise.buckets", None) or os.environ.get("SLOTWISE_BUCKETS", DEFAULT_BUCKETS))
     base = None
     if materialize:
         from slotwise.session import checkpoint_dir
