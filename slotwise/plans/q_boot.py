@@ -64,12 +64,14 @@ def j3_active_uki(fx):
 @query("f9_other_slot", BOOT_SQL + r"""
 SELECT device_id, active_uki,
   CASE WHEN active_uki IS NULL THEN NULL WHEN regexp_matches(active_uki, '-2\.efi$') THEN 'linux-2.efi' ELSE 'linux.efi' END AS active_boot,
-  CASE WHEN active_uki IS NULL THEN NULL WHEN regexp_matches(active_uki, '-2\.efi$') THEN 'linux.efi' ELSE 'linux-2.efi' END AS next_boot
+  CASE WHEN active_uki IS NULL THEN NULL WHEN regexp_matches(active_uki, '-2\.efi$') THEN 'linux.efi' ELSE 'linux-2.efi' END AS next_boot,
+  CASE WHEN active_uki IS NULL THEN NULL WHEN regexp_matches(active_uki, '-2\.efi$') THEN 'linux.efi' ELSE 'linux-2.efi' END AS previous_boot
 FROM j3""")
 def f9_other_slot(fx):
     a = active_uki_of(fx)
     return a.select("device_id", "active_uki", C.active_boot_image("active_uki").alias("active_boot"),
-                    C.other_boot_image("active_uki").alias("next_boot"))
+                    C.other_boot_image("active_uki").alias("next_boot"),
+                    C.other_boot_image("active_uki").alias("previous_boot"))
 
 
 @query("l1_first_file", r"""

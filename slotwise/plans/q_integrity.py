@@ -109,7 +109,7 @@ def s7_read_images(fx):
     from slotwise.sources import readers as R
     root = f"{checkpoint_dir(fx.spark).rstrip('/')}/slotwise-images-{uuid.uuid4().hex}"
     fx.image.select("image_id", "body").write.partitionBy("image_id").text(root)
-    files = R.read_images(fx.spark, root).where(F.col("path").endswith(".txt"))
+    files = R.read_images(fx.spark, root, name_glob="*.txt")
     content = F.expr("substring(content, 1, length(content) - 1)")
     return files.select(F.regexp_extract("path", r"image_id=([0-9]+)", 1).cast("long").alias("image_id"),
                         "length", F.sha2(content, 256).alias("sha"))

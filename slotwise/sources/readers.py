@@ -103,11 +103,14 @@ def read_log(lines: DataFrame) -> DataFrame:
         F.when(level.isNotNull(), F.regexp_extract(plain, _LOG_RE, 3)).alias("msg"))
 
 
-def read_images(spark, path_glob: str, recursive: bool = True) -> DataFrame:
-    """Image files as ``path, length, content`` (regular files only)."""
+def read_images(spark, path_glob: str, recursive: bool = True, name_glob: str | None = None) -> DataFrame:
+    """Image files as ``path, length, content`` (regular files only);
+    ``name_glob`` keeps only matching file names (e.g. ``*.raw.gz``)."""
     reader = spark.read.format("binaryFile")
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
+    if name_glob:
+        reader = reader.option("pathGlobFilter", name_glob)
     return reader.load(path_glob).select("path", "length", "content")
 
 

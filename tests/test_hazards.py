@@ -95,3 +95,30 @@ def test_time_is_utc_calendar_day(spark):
                                  "device_id long, cmd string, path string, birth_s long, os_birth_s long")
     assert one(I.command_trust(cmds), "verdict") == ["ok", "newer than OS"]
     assert dt.datetime.fromtimestamp(1704153600, dt.timezone.utc).date() == dt.date(2024, 1, 2)
+
+
+def test_h6_no_active_image_gives_reason_in_apply_and_commit(spark):
+    from conftest import SF_CHECK
+    from slotwise.plans import catalog
+    catalog.load_all()
+    q3 = catalog.QUERIES["q3_apply_plan"](spark, SF_CHECK)
+    q4 = catalog.QUERIES["q4_commit_plan"](spark, SF_CHECK)
+    r3 = q3.where(F.col("active_uki").isNull() & F.col("target").isNotNull()).select("reason", "exit_code").distinct().collect()
+    r4 = q4.where(F.col("active_uki").isNull() & (F.col("reason") != "Nothing to commit.")).select("reason", "exit_code").distinct().collect()
+    assert [(r["reason"], r["exit_code"]) for r in r3] == [("Failed to get active UKI.", 3)]
+    assert [(r["reason"], r["exit_code"]) for r in r4] == [("Failed to get active UKI.", 4)]
+
+
+def test_h8_bad_file_type_stops_the_write_with_3(spark):
+    from slotwise.plans.pipelines import WRITE_GATES
+    assert dict(WRITE_GATES)["file type"] == 3
+    imgs = spark.createDataFrame([(1, "/img/os.iso", "x", None)], "image_id long, path string, body string, expected_sha string")
+    from slotwise.plans.pipelines import image_gates
+    assert image_gates(imgs).first()["file_type"] == "Invalid File Type"
+
+
+def test_h11_empty_middle_cell_stays_in_its_column(spark):
+    from slotwise.sources import readers as R
+    lines = spark.createDataFrame([(1, 0, "└─sda6 ext4  /")], "device_id long, ord int, line string")
+    r = R.read_block(lines).first()
+    assert (r["depth"], r["name"], r["fstype"], r["partlabel"], r["mountpoint"]) == (1, "sda6", "ext4", None, "/")
