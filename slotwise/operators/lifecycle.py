@@ -26,6 +26,16 @@ def _micros(ts: str):
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
+def _level(df: DataFrame, bucket: str | None) -> DataFrame:
+    """Between stacked chunked scans, store the level in the checkpoint folder:
+    each scan's summary branch reads it instead of re-deriving every earlier
+    level, and a lost executor only costs the current level."""
+    if bucket is None:
+        return df
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def lifecycle(actions: DataFrame, chunk_seconds: int = DAY) -> DataFrame:
     """W8 + W9: outcome and state after every event.
 
@@ -46,14 +56,15 @@ def lifecycle(actions: DataFrame, chunk_seconds: int = DAY) -> DataFrame:
     order = ["ts", "seq"]
     keys = ["device_id"]
     b = scan.choose_bucket(actions, keys, "chunk")
+    a = scan.spread(a, keys, b)
 
     a = scan.carry_last(a, keys, order, F.when(act == "write", 1).when(act == "commit", 0), "staged_before", b)
-    a = a.withColumn("staged_before", F.coalesce("staged_before", F.lit(0)))
+    a = _level(a.withColumn("staged_before", F.coalesce("staged_before", F.lit(0))), b)
     apply_ok = (act == "apply") & (F.col("staged_before") == 1)
     commit_ok = (act == "commit") & (F.col("staged_before") == 1)
 
     a = scan.carry_last(a, keys, order, F.when(apply_ok, 1).when(act == "reboot", 0), "armed_before", b)
-    a = a.withColumn("armed_before", F.coalesce("armed_before", F.lit(0)))
+    a = _level(a.withColumn("armed_before", F.coalesce("armed_before", F.lit(0))), b)
     armed_reboot = (act == "reboot") & (F.col("armed_before") == 1)
 
     trial_v = F.when(armed_reboot, 1).when(act == "reboot", 0).when(apply_ok, 0).when(commit_ok, 0)
@@ -98,6 +109,7 @@ def next_free_run(runs: DataFrame, chunk_seconds: int = DAY, bucket: str | None
                        F.lit(None).cast("long").alias("val"), F.col("run_id").alias("q"))
     merged = starts.unionByName(queries).withColumn(
         "chunk", F.floor(F.col("t") / F.lit(chunk_seconds * 1_000_000)).cast("long"))
+    merged = scan.spread(merged, ["device_id"], bucket)
     found = scan.carry_next(merged, ["device_id"], ["t", "k", "id", "sub"], F.col("val"), "nxt", bucket=bucket)
     return found.where(F.col("q").isNotNull()).select("device_id", F.col("q").alias("run_id"), "nxt")
 
@@ -126,6 +138,7 @@ def admit_runs(runs: DataFrame, chunk_seconds: int = DAY, checkpoint_every: int
     # admitted outright and chains only need walking inside a busy period.
     r = runs.select("device_id", "run_id", _micros("start_ts").alias("s"), _micros("end_ts").alias("e"))
     r = r.withColumn("chunk", F.floor(F.col("s") / F.lit(chunk_seconds * 1_000_000)).cast("long"))
+    r = scan.spread(r, ["device_id"], b)
     r = scan.carry_max(r, ["device_id"], ["s", "run_id"], F.col("e"), "busy_until", bucket=b)
     r = r.withColumn("root", F.col("busy_until").isNull() | (F.col("s") >= F.col("busy_until")))
     r = scan.carry_last(r, ["device_id"], ["s", "run_id"], F.when(F.col("root"), F.col("run_id")), "island",
@@ -167,7 +180,7 @@ def overlapping_runs(runs: DataFrame, chunk_seconds: int = DAY) -> DataFrame:
     r = runs.select("device_id", "run_id", _micros("start_ts").alias("s"), _micros("end_ts").alias("e"))
     r = r.withColumn("chunk", F.floor(F.col("s") / F.lit(chunk_seconds * 1_000_000)).cast("long"))
     b = scan.choose_bucket(runs, ["device_id"], "chunk")
-    r = scan.position(r, ["device_id"], ["s", "run_id"], "pos", bucket=b)
+    r = _level(scan.position(scan.spread(r, ["device_id"], b), ["device_id"], ["s", "run_id"], "pos", bucket=b), b)
     # starts sort after ends at equal time (strict overlap) and by position
     starts = r.select("device_id", F.col("s").alias("t"), F.lit(1).alias("k"), F.col("pos").alias("o"),
                       F.col("pos").alias("val"), F.lit(None).cast("long").alias("q"), F.lit(None).cast("long").alias("qpos"))
@@ -175,6 +188,7 @@ def overlapping_runs(runs: DataFrame, chunk_seconds: int = DAY) -> DataFrame:
                     F.lit(None).cast("long").alias("val"), F.col("run_id").alias("q"), F.col("pos").alias("qpos"))
     merged = starts.unionByName(ends).withColumn(
         "chunk", F.floor(F.col("t") / F.lit(chunk_seconds * 1_000_000)).cast("long"))
+    merged = scan.spread(merged, ["device_id"], b)
     upto = (scan.carry_last(merged, ["device_id"], ["t", "k", "o"], F.col("val"), "upto", bucket=b)
                 .where(F.col("q").isNotNull() & (F.col("upto") > F.col("qpos"))))
     cand = upto.select("device_id", F.col("q").alias("run_a"),
@@ -203,6 +217,7 @@ def wait_for(starts: DataFrame, signals: DataFrame, interval_s: int = 1, timeout
     merged = st.unionByName(sg).withColumn(
         "chunk", F.floor(F.col("t") / F.lit(chunk_seconds * 1_000_000)).cast("long"))
     b = scan.choose_bucket(merged, ["device_id"], "chunk")
+    merged = scan.spread(merged, ["device_id"], b)
     found = scan.carry_next(merged, ["device_id"], ["t", "k"], F.col("val"), "sig", bucket=b)
     iv = interval_s * 1_000_000
     dt = F.col("sig") - F.col("t")

@@ -50,6 +50,16 @@ def choose_bucket(df: DataFrame, keys: Sequence[str], bucket: str) -> str | None
     return bucket if needs_chunks(df, keys) else None
 
 
+def spread(df: DataFrame, keys: Sequence[str], bucket: str | None) -> DataFrame:
+    """Hash-partition by (keys, chunk) before chunked scans.
+
+    Needed because a partitioning by ``keys`` alone (a bucketed table, an
+    earlier join) also satisfies the (keys, chunk) windows, and would keep a
+    hot key's whole history in one task.  Call once; stacked scans reuse it.
+    """
+    return df if bucket is None else df.repartition(*keys, bucket)
+
+
 def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 

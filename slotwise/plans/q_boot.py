@@ -90,6 +90,6 @@ def a5_adjacent_distinct(fx):
     from slotwise.operators import scan
     log = fx.log.select("device_id", "seq", F.regexp_replace("line", r"^.*\]: ", "").alias("msg"))
     log = log.withColumn("chunk", F.shiftright("seq", 12))
-    out = scan.carry_last(log, ["device_id"], ["seq"], F.col("msg"), "prev",
-                          bucket=scan.choose_bucket(log, ["device_id"], "chunk"))
+    b = scan.choose_bucket(log, ["device_id"], "chunk")
+    out = scan.carry_last(scan.spread(log, ["device_id"], b), ["device_id"], ["seq"], F.col("msg"), "prev", bucket=b)
     return out.where(~F.col("prev").eqNullSafe(F.col("msg"))).select("device_id", "seq", "msg")

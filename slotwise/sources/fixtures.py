@@ -299,6 +299,9 @@ def _source_key(sf_dir: str) -> str:
 
 
 DEFAULT_BUCKETS = 8
+# Event histories: unbounded per device, so never bucketed by device (a hot
+# device would become one bucket file and one scan task); stored in time order.
+HISTORY_TABLES = {"fx_run": "start_ts", "fx_action": "ts", "fx_log": "seq"}
 
 
 def register(spark, sf_dir: str, materialize: bool = True, buckets: int | None = None) -> None:
@@ -326,13 +329,13 @@ def register(spark, sf_dir: str, materialize: bool = True, buckets: int | None =
     base = None
     if materialize:
         from slotwise.session import checkpoint_dir
-        base = f"{checkpoint_dir(spark).rstrip('/')}/slotwise-fixtures/{_source_key(sf_dir)}-b{nb}"
+        base = f"{checkpoint_dir(spark).rstrip('/')}/slotwise-fixtures/{_source_key(sf_dir)}-b{nb}-v2"
     src_key = _source_key(sf_dir)
     for n in ORACLE_SQL:
         df = spark.sql(_dialect(SPARK_SQL[n], "spark"))
         if base is not None:
             path = f"{base}/{n}"
-            if "device_id" in df.columns:
+            if "device_id" in df.columns and n not in HISTORY_TABLES:
                 table = f"slotwise_{n}_{src_key}_b{nb}"
                 if not _exists(spark, f"{path}/_SUCCESS"):
                     (df.repartition(nb, "device_id").write.mode("overwrite")
@@ -344,7 +347,11 @@ def register(spark, sf_dir: str, materialize: bool = True, buckets: int | None =
                 df = spark.table(table)
             else:
                 if not _exists(spark, f"{path}/_SUCCESS"):
-                    df.repartition(nb).write.mode("overwrite").parquet(path)
+                    if n in HISTORY_TABLES:
+                        df = df.repartitionByRange(nb, HISTORY_TABLES[n]).sortWithinPartitions(HISTORY_TABLES[n])
+                    else:
+                        df = df.repartition(nb)
+                    df.write.mode("overwrite").parquet(path)
                 df = spark.read.parquet(path)
         df.createOrReplaceTempView(n)
     _REGISTERED[key] = sf_dir
