@@ -48,7 +48,8 @@ def log_counts_stream(lines: DataFrame, window: str = "1 hour", watermark: str =
 
 def _lifecycle_step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     staged, armed, trial = state.get if state.exists else (0, 0, 0)
-    events = pd.concat(list(batches), ignore_index=True).sort_values(["ts", "seq"], kind="mergesort")
+    events = (pd.concat(list(batches), ignore_index=True)
+                .sort_values(["ts", "seq"], kind="mergesort").reset_index(drop=True))
     outcome, s_col, a_col, t_col = [], [], [], []
     for action in events["action"].tolist():
         if action == "write":
@@ -93,7 +94,8 @@ def lifecycle_stream(actions: DataFrame) -> DataFrame:
 
 def _admit_step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     lock_end = state.get[0] if state.exists else None
-    runs = pd.concat(list(batches), ignore_index=True).sort_values(["start_ts", "run_id"], kind="mergesort")
+    runs = (pd.concat(list(batches), ignore_index=True)
+              .sort_values(["start_ts", "run_id"], kind="mergesort").reset_index(drop=True))
     starts = runs["start_ts"].astype("int64").tolist()
     ends = runs["end_ts"].astype("int64").tolist()
     admitted = []

@@ -36,3 +36,38 @@ def test_entry_contract(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+class _State:
+    def __init__(self, value=None):
+        self.value = value
+
+    @property
+    def exists(self):
+        return self.value is not None
+
+    @property
+    def get(self):
+        return self.value
+
+    def update(self, v):
+        self.value = v
+
+
+def test_state_functions_sort_unordered_events():
+    import pandas as pd
+
+    from slotwise.streaming.operators import _admit_step, _lifecycle_step
+    ts = pd.to_datetime(["2024-01-01 03:00", "2024-01-01 01:00", "2024-01-01 02:00"])
+    ev = pd.DataFrame({"device_id": [1, 1, 1], "seq": [3, 1, 2], "ts": ts, "action": ["reboot", "write", "apply"]})
+    st = _State()
+    out = next(_lifecycle_step((1,), iter([ev]), st))
+    assert list(zip(out["seq"], out["action"], out["outcome"])) == [
+        (1, "write", "staged"), (2, "apply", "accepted"), (3, "reboot", "trial")]
+    assert st.value == (1, 0, 1)
+    runs = pd.DataFrame({"run_id": [2, 1, 3], "device_id": [1, 1, 1],
+                         "start_ts": [5, 0, 10], "end_ts": [8, 6, 12]})
+    st = _State()
+    out = next(_admit_step((1,), iter([runs]), st))
+    assert dict(zip(out["run_id"], out["admitted"])) == {1: True, 2: False, 3: True}
+    assert st.value == (12,)
