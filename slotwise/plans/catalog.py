@@ -38,6 +38,12 @@ def oracles() -> dict[str, str]:
     return {k: oracle_with(v) for k, v in _ORACLE_BODIES.items()}
 
 
+def oracle_bodies() -> dict[str, str]:
+    """Oracle SQL without the fixture CTEs (for engines that have the fixture
+    tables registered already)."""
+    return dict(_ORACLE_BODIES)
+
+
 MODULES = ("q_topology", "q_integrity", "q_boot", "q_commands", "q_config", "q_lifecycle",
            "q_slots", "q_pipelines", "q_streams")
 

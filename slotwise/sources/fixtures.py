@@ -325,11 +325,8 @@ def register(spark, sf_dir: str, materialize: bool = True, buckets: int | None =
         return
     for t in BASE_TABLES:
         spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
-    nb = buckets or int(spark.conf.get("slotwise.buckets", None) or os.environ.get("SLOTWISE_BUCKETS", DEFAULT_BUCKETS))
-    base = None
-    if materialize:
-        from slotwise.session import checkpoint_dir
-        base = f"{checkpoint_dir(spark).rstrip('/')}/slotwise-fixtures/{_source_key(sf_dir)}-b{nb}-v2"
+    nb = _buckets(spark, buckets)
+    base = fixture_dir(spark, sf_dir, nb) if materialize else None
     src_key = _source_key(sf_dir)
     for n in ORACLE_SQL:
         df = spark.sql(_dialect(SPARK_SQL[n], "spark"))
@@ -357,9 +354,15 @@ def register(spark, sf_dir: str, materialize: bool = True, buckets: int | None =
     _REGISTERED[key] = sf_dir
 
 
-def fixture_path(spark, sf_dir: str, name: str) -> str:
+def _buckets(spark, buckets: int | None = None) -> int:
+    return buckets or int(spark.conf.get("slotwise.buckets", None) or os.environ.get("SLOTWISE_BUCKETS", DEFAULT_BUCKETS))
+
+
+def fixture_dir(spark, sf_dir: str, buckets: int | None = None) -> str:
+    """Folder of the stored fixture tables of ``sf_dir`` (one sub-folder each)."""
     from slotwise.session import checkpoint_dir
-    return f"{checkpoint_dir(spark).rstrip('/')}/slotwise-fixtures/{_source_key(sf_dir)}/{name}"
+    nb = _buckets(spark, buckets)
+    return f"{checkpoint_dir(spark).rstrip('/')}/slotwise-fixtures/{_source_key(sf_dir)}-b{nb}-v2"
 
 
 def _exists(spark, path: str) -> bool:
