@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+import uuid
 
 # Fixed fixture definitions (FIXTURES.md section 3), in definition order.
 ORACLE_SQL: dict[str, str] = {}
@@ -331,29 +332,64 @@ def register(spark, sf_dir: str, materialize: bool = True, buckets: int | None =
     for n in ORACLE_SQL:
         df = spark.sql(_dialect(SPARK_SQL[n], "spark"))
         if base is not None:
-            path = f"{base}/{n}"
-            if "device_id" in df.columns and n not in HISTORY_TABLES:
-                table = f"slotwise_{n}_{src_key}_b{nb}"
-                if not _exists(spark, f"{path}/_SUCCESS"):
-                    (df.repartition(nb, "device_id").write.mode("overwrite")
-                       .bucketBy(nb, "device_id").sortBy("device_id")
-                       .option("path", path).saveAsTable(table))
-                elif not spark.catalog.tableExists(table):
-                    spark.sql(f"CREATE TABLE {table} USING parquet CLUSTERED BY (device_id) "
-                              f"SORTED BY (device_id) INTO {nb} BUCKETS LOCATION '{path}'")
-                df = spark.table(table)
-            else:
-                if not _exists(spark, f"{path}/_SUCCESS"):
-                    if n in HISTORY_TABLES:
-                        df = df.repartitionByRange(nb, HISTORY_TABLES[n]).sortWithinPartitions(HISTORY_TABLES[n])
-                    else:
-                        df = df.repartition(nb)
-                    df.write.mode("overwrite").parquet(path)
-                df = spark.read.parquet(path)
+            df = _stored(spark, df, n, f"{base}/{n}", nb, src_key)
         df.createOrReplaceTempView(n)
     _REGISTERED[key] = sf_dir
 
 
+def _stored(spark, df, name: str, path: str, nb: int, src_key: str):
+    """Store ``df`` once at ``path`` and return a DataFrame reading it.
+
+    Written to a private folder first and published by an atomic rename, so
+    sessions racing on the same shared folder never see a half-written table
+    (the loser drops its copy).
+    """
+    bucketed = "device_id" in df.columns and name not in HISTORY_TABLES
+    table = f"slotwise_{name}_{src_key}_b{nb}"
+    if not _exists(spark, f"{path}/_SUCCESS"):
+        tmp = f"{path}.tmp-{uuid.uuid4().hex}"
+        if bucketed:
+            tmp_table = f"{table}_tmp_{uuid.uuid4().hex[:8]}"
+            (df.repartition(nb, "device_id").write.mode("overwrite")
+               .bucketBy(nb, "device_id").sortBy("device_id")
+               .option("path", tmp).saveAsTable(tmp_table))
+            spark.sql(f"DROP TABLE IF EXISTS {tmp_table}")      # external: files stay
+        else:
+            if name in HISTORY_TABLES:
+                df = df.repartitionByRange(nb, HISTORY_TABLES[name]).sortWithinPartitions(HISTORY_TABLES[name])
+            else:
+                df = df.repartition(nb)
+            df.write.mode("overwrite").parquet(tmp)
+        if not _rename(spark, tmp, path):
+            _delete(spark, tmp)
+    if not bucketed:
+        return spark.read.parquet(path)
+    if not spark.catalog.tableExists(table):
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet CLUSTERED BY (device_id) "
+                  f"SORTED BY (device_id) INTO {nb} BUCKETS LOCATION '{path}'")
+    return spark.table(table)
+
+
+def _fs(spark, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _rename(spark, src: str, dst: str) -> bool:
+    s, fs = _fs(spark, src)
+    d, _ = _fs(spark, dst)
+    if fs.exists(d):
+        return False
+    return bool(fs.rename(s, d))
+
+
+def _delete(spark, path: str) -> None:
+    p, fs = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def _buckets(spark, buckets: int | None = None) -> int:
     return buckets or int(spark.conf.get("slotwise.buckets", None) or os.environ.get("SLOTWISE_BUCKETS", DEFAULT_BUCKETS))
 
