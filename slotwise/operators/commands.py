@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from slotwise import constants as K
 
-OPTIONS = ("-v", "-a", "-c", "-w", "-u", "-s", "-h", "--debug", "--dev")
 _FLAGS = {"-v": "v", "-a": "a", "-c": "c", "-w": "w", "--dev": "dev", "--debug": "debug"}
 
 

@@ -114,7 +114,7 @@ def next_free_run(runs: DataFrame, chunk_seconds: int = DAY, bucket: str | None
     return found.where(F.col("q").isNotNull()).select("device_id", F.col("q").alias("run_id"), "nxt")
 
 
-def admit_runs(runs: DataFrame, chunk_seconds: int = DAY, checkpoint_every: int = 1) -> DataFrame:
+def admit_runs(runs: DataFrame, chunk_seconds: int = DAY, checkpoint_every: int = 3) -> DataFrame:
     """Which runs get the non-blocking lock.
 
     A run is admitted iff no admitted run still holds the lock (greedy in

@@ -82,7 +82,7 @@ def mode_counts(modes: DataFrame) -> DataFrame:
 
 # --- active slot ------------------------------------------------------------
 
-def _root(c=None) -> Column:
+def _root() -> Column:
     return F.col("mountpoint") == "/"
 
 

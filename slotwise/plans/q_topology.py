@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from slotwise.operators import topology as T
 from slotwise.plans.catalog import query
@@ -42,10 +41,6 @@ act AS (SELECT m.device_id, m.mode,
 """
 
 
-def _blocks(fx):
-    return fx.block
-
-
 @query("a1_is_fde", SCAN_SQL + "SELECT device_id, is_fde FROM fde")
 def a1_is_fde(fx):
     """Is full-disk encryption on (both slot volumes among the crypt targets)?"""
