@@ -69,6 +69,14 @@ def st2_stream_lifecycle(fx):
     return run_available(ST.lifecycle_stream(src), base, "st2")
 
 
+@query("st2_stream_armed_timeout")
+def st2_stream_armed_timeout(fx):
+    """Devices armed or on trial for a day of event time without a commit."""
+    base = _scratch(fx.spark)
+    src = _source(fx.spark, fx.action, "ts", base, "action")
+    return run_available(ST.lifecycle_timeouts(src, timeout_s=LC.DAY), base, "st2t")
+
+
 @query("st3_stream_wait_for")
 def st3_stream_wait_for(fx):
     """Apply -> reboot waits from a stream-stream left outer join (J11 twin)."""

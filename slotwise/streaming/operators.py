@@ -90,6 +90,83 @@ def lifecycle_stream(actions: DataFrame) -> DataFrame:
         _lifecycle_step, LIFECYCLE_OUT, LIFECYCLE_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
+PENDING_STATE = "staged int, armed int, trial int, pending_since long"
+TIMEOUT_OUTCOME = "armed but never committed"
+
+
+def _step_machine(action, staged, armed, trial):
+    if action == "write":
+        return 1, armed, trial, "staged"
+    if action == "apply":
+        return (staged, 1, 0, "accepted") if staged else (staged, armed, trial, "Nothing to apply.")
+    if action == "reboot":
+        if armed:
+            return staged, 0, 1, "trial"
+        if trial:
+            return staged, armed, 0, "rollback"
+        return staged, armed, trial, "plain"
+    if action == "commit":
+        return (0, armed, 0, "accepted") if staged else (staged, armed, trial, "Nothing to commit.")
+    return staged, armed, trial, "no change"
+
+
+REPORTED = -1   # ``pending_since`` of an episode already reported
+
+
+def _timeout_step(timeout_us: int):
+    """State function of :func:`lifecycle_timeouts`: one row per episode in
+    which a device stayed armed or on trial, without a commit or rollback,
+    for ``timeout_us`` of event time (times kept in epoch microseconds)."""
+    def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        staged, armed, trial, since = state.get if state.exists else (0, 0, 0, None)
+        cols = ["device_id", "since", "fired", "staged", "armed", "trial"]
+        fired = []
+        if state.hasTimedOut:
+            # the deadline passed with no event: report once, stay pending
+            state.update((staged, armed, trial, REPORTED))
+            yield pd.DataFrame([[int(key[0]), since, since + timeout_us, staged, armed, trial]], columns=cols)
+            return
+        events = (pd.concat(list(batches), ignore_index=True)
+                    .sort_values(["ts", "seq"], kind="mergesort").reset_index(drop=True))
+        us = events["ts"].astype("datetime64[us]").astype("int64").tolist()
+        for action, t in zip(events["action"].tolist(), us):
+            if since is not None and since != REPORTED and t >= since + timeout_us:
+                fired.append([int(key[0]), since, since + timeout_us, staged, armed, trial])
+                since = REPORTED
+            staged, armed, trial, _ = _step_machine(action, staged, armed, trial)
+            if armed or trial:
+                if since is None:
+                    since = int(t)
+            else:
+                since = None
+        if since is not None and since != REPORTED:
+            due_ms = -(-(since + timeout_us) // 1000)
+            if due_ms > state.getCurrentWatermarkMs():
+                state.setTimeoutTimestamp(due_ms)
+        state.update((staged, armed, trial, since))
+        yield pd.DataFrame(fired, columns=cols).astype(
+            {"device_id": "int64", "since": "int64", "fired": "int64",
+             "staged": "int32", "armed": "int32", "trial": "int32"})
+    return step
+
+
+def lifecycle_timeouts(actions: DataFrame, timeout_s: int, watermark: str = "1 hour") -> DataFrame:
+    """ST2 timeout: episodes in which a device stayed armed (or on trial)
+    without a commit or rollback for ``timeout_s`` of event time.  Reported
+    when a later event of the device shows the deadline passed, or, with no
+    event, once the watermark passes the deadline (event-time timeout of the
+    device's state).  Each episode is reported once."""
+    ev = actions.withColumn("event_time", F.col("ts").cast("timestamp")).withWatermark("event_time", watermark)
+    out = ev.groupBy("device_id").applyInPandasWithState(
+        _timeout_step(timeout_s * 1_000_000),
+        "device_id long, since long, fired long, staged int, armed int, trial int",
+        PENDING_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    return out.select("device_id",
+                      F.timestamp_micros("since").cast("timestamp_ntz").alias("pending_since"),
+                      F.timestamp_micros("fired").cast("timestamp_ntz").alias("deadline"),
+                      F.lit(TIMEOUT_OUTCOME).alias("outcome"), "staged", "armed", "trial")
+
+
 # --- ST4 --------------------------------------------------------------------
 
 def _admit_step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:

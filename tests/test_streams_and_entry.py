@@ -71,3 +71,30 @@ def test_state_functions_sort_unordered_events():
     out = next(_admit_step((1,), iter([runs]), st))
     assert dict(zip(out["run_id"], out["admitted"])) == {1: True, 2: False, 3: True}
     assert st.value == (12,)
+
+
+def test_st2_timeouts_equal_long_pending_episodes(spark):
+    from pyspark.sql import Window
+
+    from slotwise.operators import lifecycle as LC
+    out = _c.QUERIES["st2_stream_armed_timeout"](spark, SF_CHECK)
+    got = {(r["device_id"], r["pending_since"]) for r in out.collect()}
+    # batch twin: episodes of W9 state with armed or trial set
+    w9 = LC.lifecycle(Fleet(spark, SF_CHECK).action)
+    w = Window.partitionBy("device_id").orderBy("ts", "seq")
+    pend = (F.col("armed") == 1) | (F.col("trial") == 1)
+    e = (w9.withColumn("pending", pend)
+           .withColumn("prev", F.coalesce(F.lag("pending").over(w), F.lit(False)))
+           .withColumn("start", F.when(F.col("pending") & ~F.col("prev"), F.col("ts")))
+           .withColumn("since", F.last("start", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+           .withColumn("end", F.when(~F.col("pending") & F.col("prev"), F.col("ts"))))
+    since_end = (e.select("device_id", "end",
+                          F.last("since", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("s"))
+                  .where(F.col("end").isNotNull()))
+    day = F.expr("INTERVAL 1 DAY")
+    closed = {(r["device_id"], r["s"]) for r in since_end.where(F.col("end") >= F.col("s") + day).collect()}
+    last = e.groupBy("device_id").agg(F.max_by("pending", F.struct("ts", "seq")).alias("p"),
+                                     F.max_by("since", F.struct("ts", "seq")).alias("s"))
+    open_ = {(r["device_id"], r["s"]) for r in last.where("p").collect()}
+    assert closed and closed <= got              # every long closed episode is reported
+    assert got <= closed | open_                 # and nothing else (open ones when the watermark passed)
