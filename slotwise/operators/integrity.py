@@ -90,13 +90,12 @@ def id_conflict(targets: DataFrame, staged: DataFrame, blkid: DataFrame) -> Data
               .groupBy("device_id")
               .agg(F.max("staged_id").alias("staged_id"), F.collect_set("dev").alias("devs")))
     j = targets.join(per, "device_id", "left")
-    devs = F.coalesce(F.col("devs"), F.array().cast("array<string>"))
-    others = F.filter(devs, lambda d: ~d.eqNullSafe(F.col("target_block")))
-    return j.select(
-        *targets.columns, "staged_id",
-        F.when(F.size(devs) == 0, F.lit("free"))
-         .when(F.size(others) == 0, F.lit("same"))
-         .otherwise(F.lit("duplicate")).alias("verdict"))
+    devs = "coalesce(devs, CAST(array() AS array<string>))"
+    return j.selectExpr(
+        *[f"`{c}`" for c in targets.columns], "staged_id",
+        f"CASE WHEN size({devs}) = 0 THEN 'free'"
+        f" WHEN size(filter({devs}, d -> NOT (d <=> target_block))) = 0 THEN 'same'"
+        " ELSE 'duplicate' END AS verdict")
 
 
 def space_check(space: DataFrame, size_mb: int = K.EXPECTED_RAW_SIZE_MB) -> DataFrame:

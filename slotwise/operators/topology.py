@@ -28,19 +28,23 @@ def _first_by_ord(value: Column, cond: Column) -> Column:
     return F.min_by(value, F.when(cond, F.col("ord")))
 
 
+_CNAME = "nullif(regexp_replace(name, '^[^a-zA-Z0-9]*', ''), '')"
+_BEFORE_SQL = "OVER (PARTITION BY device_id ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+
+
 def with_scan_columns(block: DataFrame) -> DataFrame:
     """Carry-forward columns every slot finder needs, in one window pass.
 
     ``prev_name``: last non-empty name before the row (any depth);
     ``prev_top``: last top-level name (depth <= 1) before the row;
     ``prev_sub``: last sub-volume name (depth >= 2) before the row.
+    (Written as SQL expressions: one driver round trip per column.)
     """
-    name = C.clean_name("name")
-    return (block
-            .withColumn("cname", name)
-            .withColumn("prev_name", F.last(name, ignorenulls=True).over(_before()))
-            .withColumn("prev_top", F.last(F.when(F.col("depth") <= 1, name), ignorenulls=True).over(_before()))
-            .withColumn("prev_sub", F.last(F.when(F.col("depth") >= 2, name), ignorenulls=True).over(_before())))
+    return block.selectExpr(
+        "*", f"{_CNAME} AS cname",
+        f"last({_CNAME}, true) {_BEFORE_SQL} AS prev_name",
+        f"last(CASE WHEN depth <= 1 THEN {_CNAME} END, true) {_BEFORE_SQL} AS prev_top",
+        f"last(CASE WHEN depth >= 2 THEN {_CNAME} END, true) {_BEFORE_SQL} AS prev_sub")
 
 
 def _dev(name: Column) -> Column:
@@ -129,43 +133,45 @@ def device_pass(block: DataFrame, crypt: DataFrame) -> DataFrame:
     by its hardware, so this list is a handful of rows.
     """
     s = with_scan_columns(block)
-    w4_cond = (F.col("mountpoint").isNull() & F.col("fstype").isNotNull()
-               & F.col("partlabel").startswith("rootfs")
-               & ~F.coalesce(F.col("cname").startswith("loop"), F.lit(False)))
-    per_dev = s.groupBy("device_id").agg(
-        (F.count_if(_root()) >= 2).alias("is_verity"),
-        _first_by_ord(active_plain_expr(), _root()).alias("a_plain"),
-        _first_by_ord(_dev(F.col("prev_top")), active_fde_cond()).alias("a_fde"),
-        _first_by_ord(_dev(F.col("prev_top")), active_verity_cond()).alias("a_verity"),
-        _first_by_ord(F.col("prev_top"), _root()).alias("root_top"),
-        _first_by_ord(F.col("prev_sub"), _root()).alias("root_sub"),
-        F.count_if(_root()).alias("roots"),
-        F.sort_array(F.collect_list(F.when(w4_cond, F.struct("ord", "cname")))).alias("w4_cands"),
-        _first_by_ord(_dev(F.col("prev_top")), F.col("cname") == "rootfs_a").alias("parent_a"),
-        _first_by_ord(_dev(F.col("prev_top")), F.col("cname") == "rootfs_b").alias("parent_b"),
-    )
-    fde_agg = (crypt.groupBy("device_id")
-                    .agg((F.bool_or(F.col("target").contains("rootfs_a"))
-                          & F.bool_or(F.col("target").contains("rootfs_b"))).alias("is_fde")))
-    mode = (F.when(F.coalesce(F.col("is_fde"), F.lit(False)), F.lit("fde"))
-             .when(F.col("is_verity"), F.lit("verity")).otherwise(F.lit("plain")))
-    active = (F.when(F.col("mode") == "fde", F.col("a_fde"))
-               .when(F.col("mode") == "verity", F.col("a_verity")).otherwise(F.col("a_plain")))
-    starts = lambda c, p: F.coalesce(F.col(c).startswith(p), F.lit(False))
-    is_a = starts("root_top", "rootfs_a") | starts("root_sub", "rootfs_a")
-    is_b = starts("root_top", "rootfs_b") | starts("root_sub", "rootfs_b")
-    has_root = F.col("roots") > 0
+    root = "mountpoint = '/'"
+    allowed = ", ".join(str(i) for i in K.ALLOWED_ROOT_INDEXES)
+    top_index = "CAST(nullif(regexp_extract(prev_top, '([0-9]+)$', 1), '') AS INT)"
+
+    def first(value: str, cond: str, name: str) -> str:
+        return f"min_by({value}, CASE WHEN {cond} THEN ord END) AS {name}"
+
+    per_dev = s.groupBy("device_id").agg(*[F.expr(e) for e in (
+        f"count_if({root}) >= 2 AS is_verity",
+        first("CASE WHEN contains(cname, 'verity') THEN concat('/dev/', prev_name) ELSE concat('/dev/', cname) END",
+              root, "a_plain"),
+        first("concat('/dev/', prev_top)", f"{root} AND startswith(prev_sub, 'rootfs')", "a_fde"),
+        first("concat('/dev/', prev_top)", f"{root} AND {top_index} IN ({allowed})", "a_verity"),
+        first("prev_top", root, "root_top"),
+        first("prev_sub", root, "root_sub"),
+        f"count_if({root}) AS roots",
+        "sort_array(collect_list(CASE WHEN mountpoint IS NULL AND fstype IS NOT NULL AND startswith(partlabel, 'rootfs')"
+        " AND NOT coalesce(startswith(cname, 'loop'), false) THEN named_struct('ord', ord, 'cname', cname) END))"
+        " AS w4_cands",
+        first("concat('/dev/', prev_top)", "cname = 'rootfs_a'", "parent_a"),
+        first("concat('/dev/', prev_top)", "cname = 'rootfs_b'", "parent_b"),
+    )])
+    fde_agg = crypt.groupBy("device_id").agg(
+        F.expr("bool_or(contains(target, 'rootfs_a')) AND bool_or(contains(target, 'rootfs_b')) AS is_fde"))
+    is_a = "(coalesce(startswith(root_top, 'rootfs_a'), false) OR coalesce(startswith(root_sub, 'rootfs_a'), false))"
+    is_b = "(coalesce(startswith(root_top, 'rootfs_b'), false) OR coalesce(startswith(root_sub, 'rootfs_b'), false))"
     return (per_dev.join(fde_agg, "device_id", "left")
-                   .withColumn("mode", mode)
-                   .withColumn("active", active)
-                   .select("device_id", "mode", "active",
-                           F.get(F.filter("w4_cands", lambda c: ~F.coalesce(_dev(c["cname"]) == F.col("active"),
-                                                                           F.lit(False))), 0)["cname"].alias("w4_name"),
-                           F.when(~has_root, F.lit(None))
-                            .when(is_a, F.lit(f"{K.CRYPTED_PART}/rootfs_b"))
-                            .otherwise(F.lit(f"{K.CRYPTED_PART}/rootfs_a")).alias("w5_target"),
-                           (has_root & ~is_a & ~is_b).alias("w5_guessed"),
-                           "parent_a", "parent_b"))
+                   .selectExpr("*", "CASE WHEN coalesce(is_fde, false) THEN 'fde' WHEN is_verity THEN 'verity'"
+                                    " ELSE 'plain' END AS mode")
+                   .selectExpr("*", "CASE mode WHEN 'fde' THEN a_fde WHEN 'verity' THEN a_verity"
+                                    " ELSE a_plain END AS active")
+                   .selectExpr(
+                       "device_id", "mode", "active",
+                       "get(filter(w4_cands, c -> NOT coalesce(concat('/dev/', c.cname) = active, false)), 0).cname"
+                       " AS w4_name",
+                       f"CASE WHEN roots = 0 THEN NULL WHEN {is_a} THEN '{K.CRYPTED_PART}/rootfs_b'"
+                       f" ELSE '{K.CRYPTED_PART}/rootfs_a' END AS w5_target",
+                       f"roots > 0 AND NOT {is_a} AND NOT {is_b} AS w5_guessed",
+                       "parent_a", "parent_b"))
 
 
 def active_partition(block: DataFrame, crypt: DataFrame) -> DataFrame:
@@ -244,16 +250,19 @@ def write_target(block: DataFrame, crypt: DataFrame) -> DataFrame:
     pass over the block table (:func:`device_pass`).
     """
     d = device_pass(block, crypt)
-    bad = F.col("w4_name").isNotNull() & ~C.is_allowed_root("w4_name")
-    fde = F.col("mode") == "fde"
-    target = F.when(fde, F.col("w5_target")).when(bad, F.lit(None)).otherwise(_dev(F.col("w4_name")))
-    error = F.when(~fde & bad, F.concat(
-        F.lit(f"Partition index must be either {K.INDEX_PART_A} or {K.INDEX_PART_B}. Found: "),
-        F.coalesce(C.trailing_number("w4_name").cast("string"), F.lit(""))))
-    vol = F.regexp_extract(F.col("w5_target"), r"([^/]+)$", 1)
-    block_of = F.when(vol == "rootfs_a", F.col("parent_a")).when(vol == "rootfs_b", F.col("parent_b"))
-    return d.select("device_id", "mode", "active", target.alias("target"), error.alias("error"),
-                    F.when(fde, block_of).otherwise(target).alias("target_block"))
+    allowed = ", ".join(str(i) for i in K.ALLOWED_ROOT_INDEXES)
+    idx = "nullif(regexp_extract(w4_name, '([0-9]+)$', 1), '')"
+    bad = f"(w4_name IS NOT NULL AND NOT coalesce(CAST({idx} AS INT) IN ({allowed}), false))"
+    target = (f"CASE WHEN mode = 'fde' THEN w5_target WHEN {bad} THEN NULL"
+              " ELSE concat('/dev/', w4_name) END")
+    return d.selectExpr(
+        "device_id", "mode", "active", f"{target} AS target",
+        f"CASE WHEN mode <> 'fde' AND {bad} THEN concat("
+        f"'Partition index must be either {K.INDEX_PART_A} or {K.INDEX_PART_B}. Found: ',"
+        f" coalesce(CAST(CAST({idx} AS INT) AS STRING), '')) END AS error",
+        "CASE WHEN mode = 'fde' THEN CASE regexp_extract(w5_target, '([^/]+)$', 1)"
+        " WHEN 'rootfs_a' THEN parent_a WHEN 'rootfs_b' THEN parent_b END"
+        f" ELSE {target} END AS target_block")
 
 
 def normalize_devices(block: DataFrame) -> DataFrame:

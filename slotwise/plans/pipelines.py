@@ -62,24 +62,19 @@ def write_readiness(assign: DataFrame, images: DataFrame, space: DataFrame, stag
                .join(gates, "image_id", "left")
                .join(conflict, "device_id", "left")
                .join(room, "device_id", "left"))
-    failed = {
-        "bad path": F.col("path_reason").isNotNull() | F.col("path").isNull(),
-        "malformed digest": F.col("has_sha") & ~F.col("sha_ok"),
-        "checksum": F.col("verdict").isin("missing input", "mismatch"),
-        "no target": F.col("target").isNull() | F.col("error").isNotNull(),
-        "file type": F.col("file_type") == "Invalid File Type",
-        "space": F.col("compressed") & ~F.coalesce(F.col("enough"), F.lit(False)),
-        "id conflict": F.col("id_verdict") == "duplicate",
+    failed = {   # SQL predicates, one per gate
+        "bad path": "path_reason IS NOT NULL OR path IS NULL",
+        "malformed digest": "has_sha AND NOT sha_ok",
+        "checksum": "verdict IN ('missing input', 'mismatch')",
+        "no target": "target IS NULL OR error IS NOT NULL",
+        "file type": "file_type = 'Invalid File Type'",
+        "space": "compressed AND NOT coalesce(enough, false)",
+        "id conflict": "id_verdict = 'duplicate'",
     }
-    gate = None
-    code = None
-    for name, rc in WRITE_GATES:
-        cond = F.coalesce(failed[name], F.lit(False))
-        gate = F.when(cond, F.lit(name)) if gate is None else gate.when(cond, F.lit(name))
-        code = F.when(cond, F.lit(rc)) if code is None else code.when(cond, F.lit(rc))
-    return j.select("device_id", "image_id",
-                    gate.otherwise(F.lit("ready")).alias("gate"),
-                    code.otherwise(F.lit(0)).alias("exit_code"))
+    arms = [(f"coalesce({failed[name]}, false)", name, rc) for name, rc in WRITE_GATES]
+    gate = "CASE " + " ".join(f"WHEN {c} THEN '{n}'" for c, n, _ in arms) + " ELSE 'ready' END"
+    code = "CASE " + " ".join(f"WHEN {c} THEN {rc}" for c, _, rc in arms) + " ELSE 0 END"
+    return j.selectExpr("device_id", "image_id", f"{gate} AS gate", f"{code} AS exit_code")
 
 
 def _active_and_uki(block, crypt, blkid, boot_lines):
