@@ -69,7 +69,8 @@ def active_uki(entries: DataFrame, active: DataFrame, blkid: DataFrame) -> DataF
     return j.groupBy(*active.columns).agg(F.min(F.when(_matched() == "yes", F.col("uki"))).alias("active_uki"))
 
 
-def first_file(files: DataFrame, path_col: str = "path") -> DataFrame:
-    """L1: first file of each directory, the order fixed by path."""
+def first_file(files: DataFrame, path_col: str = "path", group: tuple[str, ...] = ()) -> DataFrame:
+    """L1: first file of each directory (per ``group``), the order fixed by
+    path; a partial aggregation, never a global sort."""
     d = F.regexp_extract(F.col(path_col), r"^(.*)/[^/]*$", 1)
-    return files.groupBy(d.alias("dir")).agg(F.min(path_col).alias("first_path"))
+    return files.groupBy(*group, d.alias("dir")).agg(F.min(path_col).alias("first_path"))

@@ -105,6 +105,14 @@ def planned_steps(parsed: DataFrame) -> DataFrame:
     return parsed.select("run_id", "device_id", steps.alias("steps"))
 
 
+def planned_steps_long(parsed: DataFrame) -> DataFrame:
+    """C2, long form: one row per planned step, numbered in execution order."""
+    steps = planned_steps(parsed)
+    return (steps.where(F.col("steps") != "")
+                 .select("run_id", "device_id", F.posexplode(F.split("steps", ",")).alias("pos", "step"))
+                 .select("run_id", "device_id", (F.col("pos") + 1).alias("step_no"), "step"))
+
+
 def stage_of(msg: Column) -> Column:
     """Stage of an error message (fixed table, a constant map lookup)."""
     m = F.create_map(*[F.lit(x) for kv in K.ERROR_STAGE.items() for x in kv])

@@ -80,6 +80,13 @@ def l1_first_file(fx):
     return B.first_file(fx.image.select("path"))
 
 
+@query("l1_first_file_manifest", r"""
+SELECT slot, regexp_extract(path, '^(.*)/[^/]*$', 1) AS dir, min(path) AS first_path FROM fx_manifest GROUP BY 1, 2""")
+def l1_first_file_manifest(fx):
+    """First file of every directory of each slot."""
+    return B.first_file(fx.manifest, group=("slot",))
+
+
 @query("a5_adjacent_distinct", """
 SELECT device_id, seq, msg FROM (
   SELECT device_id, seq, regexp_replace(line, '^.*\\]: ', '') AS msg,

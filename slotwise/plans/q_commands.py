@@ -68,6 +68,17 @@ def c2_planned_steps(fx):
     return CM.planned_steps(parsed_runs(fx))
 
 
+@query("c2_planned_steps_long", C1_SQL + """,
+c2 AS (SELECT run_id, device_id, CASE WHEN error IS NOT NULL THEN '' WHEN v THEN 'status'
+  ELSE concat_ws(',', CASE WHEN w THEN 'write' END, CASE WHEN a THEN 'apply' END, CASE WHEN c THEN 'commit' END) END AS steps
+  FROM c1out)
+SELECT run_id, device_id, unnest(range(1, len(string_split(steps, ',')) + 1)) AS step_no,
+       unnest(string_split(steps, ',')) AS step
+FROM c2 WHERE steps <> ''""")
+def c2_planned_steps_long(fx):
+    return CM.planned_steps_long(parsed_runs(fx))
+
+
 LOG_SQL = r"""
 WITH p AS (SELECT device_id, seq, regexp_replace(line, '\x1b\[[0-9;]*m', '', 'g') AS p FROM fx_log),
 s6 AS (SELECT device_id, seq,
