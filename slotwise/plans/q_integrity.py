@@ -113,3 +113,19 @@ def s7_read_images(fx):
     content = F.expr("substring(content, 1, length(content) - 1)")
     return files.select(F.regexp_extract("path", r"image_id=([0-9]+)", 1).cast("long").alias("image_id"),
                         "length", F.sha2(content, 256).alias("sha"))
+
+
+@query("s7_read_gz_images", "SELECT image_id, sha256(body) AS sha FROM fx_image")
+def s7_read_gz_images(fx):
+    """Compressed images: every body stored gzip-compressed, read back as one
+    whole text per file (Spark's codec does the decompression), digested."""
+    import uuid
+
+    from pyspark.sql import functions as F
+
+    from slotwise.session import checkpoint_dir
+    root = f"{checkpoint_dir(fx.spark).rstrip('/')}/slotwise-gz-{uuid.uuid4().hex}"
+    fx.image.select("image_id", "body").write.partitionBy("image_id").option("compression", "gzip").text(root)
+    files = fx.spark.read.text(root, wholetext=True)
+    body = F.expr("substring(value, 1, length(value) - 1)")   # the writer's newline
+    return files.select(F.col("image_id").cast("long").alias("image_id"), F.sha2(body, 256).alias("sha"))
