@@ -53,7 +53,7 @@ CONFIG_DEFAULTS = {
     "SOURCEEFIMOUNT": "/EFI/Linux/",
     "EFILOCATION": "/boot/efi/EFI/Linux",
     "EFIROOTLOCATION": "/EFI/Linux",
-    "BOOTDATA": "/boot/efi/EFI/Linux/os-update-tool-data",
+    "BOOTDATA": "/boot/efi/EFI/Linux/update-data",   # staging folder name: a deployment choice
     "CRYPTEDPART": "/dev/mapper",
 }
 
