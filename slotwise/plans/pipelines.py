@@ -58,10 +58,12 @@ def write_readiness(assign: DataFrame, images: DataFrame, space: DataFrame, stag
     conflict = (I.id_conflict(targets, staged, blkid)
                  .select("device_id", "target", "error", F.col("verdict").alias("id_verdict")))
     room = I.space_check(space).select("device_id", "enough")
+    # device-keyed tables first: they are co-bucketed, so these joins need no
+    # shuffle; only the image-keyed join below moves data
     j = (assign.select("device_id", "image_id")
-               .join(gates, "image_id", "left")
                .join(conflict, "device_id", "left")
-               .join(room, "device_id", "left"))
+               .join(room, "device_id", "left")
+               .join(gates, "image_id", "left"))
     failed = {   # SQL predicates, one per gate
         "bad path": "path_reason IS NOT NULL OR path IS NULL",
         "malformed digest": "has_sha AND NOT sha_ok",
