@@ -88,7 +88,7 @@ def st3_stream_wait_for(fx):
     return ST.first_tick(out, LC.HOUR, 6 * LC.HOUR)
 
 
-@query("st4_stream_admit_runs", """
+W10_SQL = """
 WITH RECURSIVE r AS (SELECT run_id, device_id, start_ts, end_ts,
                             row_number() OVER (PARTITION BY device_id ORDER BY start_ts, run_id) AS rn FROM fx_run),
 walk AS (SELECT device_id, rn, end_ts AS lock_end, true AS admitted FROM r WHERE rn = 1
@@ -97,9 +97,20 @@ walk AS (SELECT device_id, rn, end_ts AS lock_end, true AS admitted FROM r WHERE
                 r.start_ts >= w.lock_end
          FROM walk w JOIN r ON r.device_id = w.device_id AND r.rn = w.rn + 1)
 SELECT r.run_id, r.device_id, w.admitted, CASE WHEN w.admitted THEN 0 ELSE 1 END AS exit_code
-FROM r JOIN walk w ON w.device_id = r.device_id AND w.rn = r.rn""")
+FROM r JOIN walk w ON w.device_id = r.device_id AND w.rn = r.rn"""
+
+
+@query("st4_stream_admit_runs", W10_SQL)
 def st4_stream_admit_runs(fx):
     """Lock admission over the run stream (batch twin: W10)."""
     base = _scratch(fx.spark)
     src = _source(fx.spark, fx.run.select("run_id", "device_id", "start_ts", "end_ts"), "start_ts", base, "run")
     return run_available(ST.admit_runs_stream(src), base, "st4")
+
+
+@query("st4_stream_admit_runs_tws", W10_SQL)
+def st4_stream_admit_runs_tws(fx):
+    """Lock admission with transformWithStateInPandas (batch twin: W10)."""
+    base = _scratch(fx.spark)
+    src = _source(fx.spark, fx.run.select("run_id", "device_id", "start_ts", "end_ts"), "start_ts", base, "run")
+    return run_available(ST.admit_runs_stream_tws(src), base, "st4tws")

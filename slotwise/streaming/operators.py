@@ -22,6 +22,16 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from slotwise.sources import readers as R
 
+# The state functions below are the only Python that runs on executors.
+# Pickle them by value, so executors need no copy of this package installed.
+try:
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except (ImportError, AttributeError, ValueError):   # older cloudpickle: ship the package instead
+    pass
+
 LIFECYCLE_OUT = ("device_id long, seq long, ts timestamp_ntz, action string, outcome string, "
                  "staged int, armed int, trial int")
 LIFECYCLE_STATE = "staged int, armed int, trial int"
@@ -171,30 +181,73 @@ def lifecycle_timeouts(actions: DataFrame, timeout_s: int, watermark: str = "1 h
 
 def _admit_step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     lock_end = state.get[0] if state.exists else None
-    runs = (pd.concat(list(batches), ignore_index=True)
-              .sort_values(["start_ts", "run_id"], kind="mergesort").reset_index(drop=True))
-    starts = runs["start_ts"].astype("int64").tolist()
-    ends = runs["end_ts"].astype("int64").tolist()
+    lock_end, out = _admit_fold(lock_end, pd.concat(list(batches), ignore_index=True))
+    if lock_end is not None:
+        state.update((int(lock_end),))
+    yield out
+
+
+def admit_runs_stream(runs: DataFrame) -> DataFrame:
+    """ST4: lock admission, state = end of the lock held per device (epoch µs)."""
+    r = runs.select("run_id", "device_id",
+                    F.unix_micros(F.col("start_ts").cast("timestamp")).alias("start_ts"),
+                    F.unix_micros(F.col("end_ts").cast("timestamp")).alias("end_ts"))
+    return r.groupBy("device_id").applyInPandasWithState(
+        _admit_step, ADMIT_OUT, ADMIT_STATE, "append", GroupStateTimeout.NoTimeout)
+
+
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _admit_fold(lock_end, runs: pd.DataFrame):
+    """Greedy admission of one device's runs (sorted here), from ``lock_end``."""
+    runs = runs.sort_values(["start_ts", "run_id"], kind="mergesort").reset_index(drop=True)
     admitted = []
-    for s, e in zip(starts, ends):
+    for s, e in zip(runs["start_ts"].astype("int64").tolist(), runs["end_ts"].astype("int64").tolist()):
         ok = lock_end is None or s >= lock_end
         if ok:
             lock_end = e
         admitted.append(ok)
-    if lock_end is not None:
-        state.update((int(lock_end),))
-    yield pd.DataFrame({"run_id": runs["run_id"].astype("int64"), "device_id": runs["device_id"].astype("int64"),
+    out = pd.DataFrame({"run_id": runs["run_id"].astype("int64"), "device_id": runs["device_id"].astype("int64"),
                         "admitted": admitted,
                         "exit_code": pd.Series([0 if a else 1 for a in admitted], dtype="int32")})
+    return lock_end, out
 
 
-def admit_runs_stream(runs: DataFrame) -> DataFrame:
-    """ST4: lock admission, state = end of the lock held per device (epoch µs)."""
+def _lock_processor():
+    from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+    class LockAdmission(StatefulProcessor):
+        """ST4 as a stateful processor: one ``ValueState`` (end of the lock
+        held) per device."""
+
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.lock = handle.getValueState("lock_end", ADMIT_STATE)
+
+        def handleInputRows(self, key, rows, timerValues):
+            lock_end = self.lock.get()[0] if self.lock.exists() else None
+            lock_end, out = _admit_fold(lock_end, pd.concat(list(rows), ignore_index=True))
+            if lock_end is not None:
+                self.lock.update((int(lock_end),))
+            yield out
+
+        def close(self) -> None:
+            pass
+
+    return LockAdmission()
+
+
+def admit_runs_stream_tws(runs: DataFrame) -> DataFrame:
+    """ST4 with ``transformWithStateInPandas`` (needs the RocksDB state store,
+    which is switched on for the session if another provider is set)."""
+    spark = runs.sparkSession
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) != ROCKSDB_PROVIDER:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     r = runs.select("run_id", "device_id",
                     F.unix_micros(F.col("start_ts").cast("timestamp")).alias("start_ts"),
                     F.unix_micros(F.col("end_ts").cast("timestamp")).alias("end_ts"))
-    return r.groupBy("device_id").applyInPandasWithState(
-        _admit_step, ADMIT_OUT, ADMIT_STATE, "append", GroupStateTimeout.NoTimeout)
+    return r.groupBy("device_id").transformWithStateInPandas(
+        statefulProcessor=_lock_processor(), outputStructType=ADMIT_OUT, outputMode="Append", timeMode="None")
 
 
 # --- ST3 --------------------------------------------------------------------

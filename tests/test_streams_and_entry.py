@@ -98,3 +98,25 @@ def test_st2_timeouts_equal_long_pending_episodes(spark):
     open_ = {(r["device_id"], r["s"]) for r in last.where("p").collect()}
     assert closed and closed <= got              # every long closed episode is reported
     assert got <= closed | open_                 # and nothing else (open ones when the watermark passed)
+
+
+def test_stateful_stream_runs_where_executors_lack_the_package(tmp_path):
+    """Python state functions are pickled by value: a session started from
+    another folder (executors cannot import the package) still runs ST4."""
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = tmp_path / "run.py"
+    script.write_text(
+        "import sys\n"
+        f"sys.path.insert(0, {repo!r})\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[4]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "from slotwise.plans import catalog\n"
+        "catalog.load_all()\n"
+        f"print('ROWS', catalog.QUERIES['st4_stream_admit_runs'](spark, {SF_SMALL!r}).count())\n")
+    env = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "SLOTWISE_CHECKPOINT_DIR")}
+    out = subprocess.run([sys.executable, str(script)], cwd=str(tmp_path), env=env,
+                         capture_output=True, text=True, timeout=600)
+    assert "ROWS" in out.stdout, out.stderr[-2000:]
