@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from slotwise.operators import scan
@@ -114,6 +114,53 @@ def next_free_run(runs: DataFrame, chunk_seconds: int = DAY, bucket: str | None
     return found.where(F.col("q").isNotNull()).select("device_id", F.col("q").alias("run_id"), "nxt")
 
 
+def _chain_inputs_chunked(runs: DataFrame, chunk_seconds: int, b: str):
+    """Island roots and next-free pointers for a hot device: chunked scans."""
+    jump = (next_free_run(runs, chunk_seconds, b).where(F.col("nxt").isNotNull())
+            .select("run_id", F.col("nxt").alias("to")).checkpoint(eager=True))
+    # Island roots: runs that start after every earlier run of the device has
+    # ended.  The lock is free for them whatever happened before, so they are
+    # admitted outright and chains only need walking inside a busy period.
+    r = runs.select("device_id", "run_id", _micros("start_ts").alias("s"), _micros("end_ts").alias("e"))
+    r = r.withColumn("chunk", F.floor(F.col("s") / F.lit(chunk_seconds * 1_000_000)).cast("long"))
+    r = scan.spread(r, ["device_id"], b)
+    r = scan.carry_max(r, ["device_id"], ["s", "run_id"], F.col("e"), "busy_until", bucket=b)
+    r = r.withColumn("root", F.col("busy_until").isNull() | (F.col("s") >= F.col("busy_until")))
+    r = scan.carry_last(r, ["device_id"], ["s", "run_id"], F.when(F.col("root"), F.col("run_id")), "island",
+                        bucket=b, inclusive=True)
+    return r.select("run_id", "device_id", "island", "root").checkpoint(eager=True), jump
+
+
+def _chain_inputs_one_pass(runs: DataFrame):
+    """Island roots and next-free pointers when every device fits one task:
+    one sort of the merged start/end stream, both windows on it, one
+    checkpoint."""
+    r = runs.select("device_id", "run_id", _micros("start_ts").alias("s"), _micros("end_ts").alias("e"))
+    zero = F.col("e") <= F.col("s")
+    starts = r.select("device_id", F.col("s").alias("t"), F.lit(1).alias("k"), F.col("run_id").alias("id"),
+                      F.lit(0).alias("sub"), F.col("run_id").alias("val"), F.col("e").alias("end"),
+                      F.lit(None).cast("long").alias("q"))
+    queries = r.select("device_id", F.greatest("e", "s").alias("t"), F.when(zero, 1).otherwise(0).alias("k"),
+                       F.when(zero, F.col("run_id")).otherwise(F.lit(0)).cast("long").alias("id"),
+                       F.when(zero, 1).otherwise(0).alias("sub"), F.lit(None).cast("long").alias("val"),
+                       F.lit(None).cast("long").alias("end"), F.col("run_id").alias("q"))
+    w = Window.partitionBy("device_id").orderBy("t", "k", "id", "sub")
+    m = (starts.unionByName(queries)
+         # first start at or after each end (as-of lookup forward)
+         .withColumn("nxt", F.first("val", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)))
+         # latest end of the runs that started before each start
+         .withColumn("busy_until", F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))))
+    m = m.withColumn("root", F.col("val").isNotNull()
+                     & (F.col("busy_until").isNull() | (F.col("t") >= F.col("busy_until"))))
+    m = m.withColumn("island", F.last(F.when(F.col("root"), F.col("val")), ignorenulls=True)
+                     .over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    m = m.select("device_id", "val", "q", "nxt", "root", "island").checkpoint(eager=True)
+    r_out = m.where(F.col("val").isNotNull()).select(F.col("val").alias("run_id"), "device_id", "island", "root")
+    jump = m.where(F.col("q").isNotNull() & F.col("nxt").isNotNull()).select(F.col("q").alias("run_id"),
+                                                                            F.col("nxt").alias("to"))
+    return r_out, jump
+
+
 def admit_runs(runs: DataFrame, chunk_seconds: int = DAY, checkpoint_every: int = 3) -> DataFrame:
     """Which runs get the non-blocking lock.
 
@@ -132,25 +179,15 @@ def admit_runs(runs: DataFrame, chunk_seconds: int = DAY, checkpoint_every: int
     spark = runs.sparkSession
     checkpoint_dir(spark)
     b = scan.choose_bucket(runs, ["device_id"], "chunk")
-    nxt = next_free_run(runs, chunk_seconds, b)
-    # Island roots: runs that start after every earlier run of the device has
-    # ended.  The lock is free for them whatever happened before, so they are
-    # admitted outright and chains only need walking inside a busy period.
-    r = runs.select("device_id", "run_id", _micros("start_ts").alias("s"), _micros("end_ts").alias("e"))
-    r = r.withColumn("chunk", F.floor(F.col("s") / F.lit(chunk_seconds * 1_000_000)).cast("long"))
-    r = scan.spread(r, ["device_id"], b)
-    r = scan.carry_max(r, ["device_id"], ["s", "run_id"], F.col("e"), "busy_until", bucket=b)
-    r = r.withColumn("root", F.col("busy_until").isNull() | (F.col("s") >= F.col("busy_until")))
-    r = scan.carry_last(r, ["device_id"], ["s", "run_id"], F.when(F.col("root"), F.col("run_id")), "island",
-                        bucket=b, inclusive=True)
-    r = r.select("run_id", "device_id", "island", "root").checkpoint(eager=True)
+    if b is None:
+        r, jump = _chain_inputs_one_pass(runs)
+    else:
+        r, jump = _chain_inputs_chunked(runs, chunk_seconds, b)
     longest = r.groupBy("device_id", "island").count().agg(F.max("count")).first()[0] or 0
     # a chain inside an island has at most as many links as the island has
     # runs: after k rounds the admitted set holds the first 2**k links of each
     rounds = max(0, math.ceil(math.log2(longest))) if longest > 1 else 0
-    stats = r.where(F.col("root")).select("run_id")
-    jump = nxt.where(F.col("nxt").isNotNull()).select("run_id", F.col("nxt").alias("to")).checkpoint(eager=True)
-    admitted = stats.select("run_id")
+    admitted = r.where(F.col("root")).select("run_id")
     for rnd in range(1, rounds + 1):
         reached = admitted.join(jump, "run_id").select(F.col("to").alias("run_id"))
         admitted = admitted.unionByName(reached).distinct()
