@@ -5,7 +5,13 @@ replay a table as a stream, :func:`stage_slices` writes it as consecutive
 time slices (one write job per slice, in time order).  Each slice is hash
 partitioned by device, so one device's rows of one slice sit in one file;
 the file source picks files up by modification time, so a device's events
-reach the stream in time order however the micro-batches are cut.
+reach the stream in time order however the micro-batches are cut (all that
+ST2/ST4 need).  The watermarked operators (ST1, ST3) additionally need a
+micro-batch not to end inside a slice, or rows of the slice's remaining
+files could fall behind the watermark: readers use ``maxFilesPerTrigger`` =
+``partitions``, which matches one slice exactly when every slice fills all
+its ``partitions`` files (true for the fixtures: every slice holds far more
+devices than files).
 """
 
 from __future__ import annotations
