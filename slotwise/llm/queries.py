@@ -7,6 +7,7 @@ import importlib
 MODULES = {
     "op3_line_dedup": "line_dedup",
     "op5_html_extract": "html_extract",
+    "op10_language_id": "language_id",
 }
 
 
