@@ -5,6 +5,7 @@ from __future__ import annotations
 import importlib
 
 MODULES = {
+    "op2_quality_rules": "quality_rules",
     "op3_line_dedup": "line_dedup",
     "op5_html_extract": "html_extract",
     "op10_language_id": "language_id",
