@@ -8,6 +8,7 @@ MODULES = {
     "op2_quality_rules": "quality_rules",
     "op3_line_dedup": "line_dedup",
     "op5_html_extract": "html_extract",
+    "op9_toxicity": "toxicity",
     "op10_language_id": "language_id",
 }
 
