@@ -7,6 +7,7 @@ import importlib
 MODULES = {
     "op2_quality_rules": "quality_rules",
     "op3_line_dedup": "line_dedup",
+    "op4_benchmark_edits": "decontaminate",
     "op5_html_extract": "html_extract",
     "op9_toxicity": "toxicity",
     "op10_language_id": "language_id",
