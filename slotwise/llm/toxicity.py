@@ -36,22 +36,24 @@ APART = frozenset(" .-_~|*'\t\n\r")
 HIDDEN = re.compile("[­​-‏⁠﻿]")
 SPACED = re.compile(r"(?<!\S)(?:[^\W_]|[@$!])(?:\s{1,2}(?:[^\W_]|[@$!])){2,}(?!\S)")
 WORD = re.compile(r"\w+")
-LEET = re.compile(r"[0-9@$!|+€£(¡а-яі*#](?=[^\W\d_])|(?<=[^\W\d_])[0-9@$](?!\S)")
+LEET = re.compile(r"[0-9@$!|+€£(¡*#](?=[^\W\d_])|(?<=[^\W\d_])[0-9@$](?!\S)")
 REPEATED = re.compile(r"([^\W\d_])\1\1")
 SET_APART = re.compile(r"(?:[^\W_]|[@$!])(?:[.\-_~|*'](?:[^\W_]|[@$!])){2,}")
+MARKS = ".,;:?!\"()"
+LOOK_ALIKE, LATIN = re.compile("[а-яі]"), re.compile("[a-z]")
 LETTERS = re.compile(r"[^\W\d_]")
 TAIL = re.compile(r"^[^\w@$!|+€£(*#]+|(?:[^\w@$]+|([^\w])\1+[^\w]*)$")
 
 ORDERS = (1, 2, 3, 4)
-BITS = 16
+BITS = 18
 BEAM = 32
 MEMO = 200_000          # words remembered per task
 
 SAMPLE = 20_000         # labelled rows the score is fitted on, at most
 FEATURES = 4096         # features it uses, at most
 MIN_ROWS, MIN_Z = 3, 3.0
-BEGINNINGS = (4, 5, 6)
-STEPS, RIDGE = 300, 1e-3
+BEGINNINGS = (3, 4, 5, 6, 7)
+STEPS, RIDGE = 500, 1e-4
 
 
 class CharModel:
@@ -145,10 +147,13 @@ def decode(token: str, model: CharModel) -> str:
 
 def restore_token(token: str, model: CharModel) -> str:
     """One lower-case token without blanks; a token that shows no disguise is returned as it is."""
-    core = TAIL.sub("", token)
-    if not LETTERS.search(core):
-        return token
-    if LEET.search(core) or REPEATED.search(core) or SET_APART.fullmatch(core):
+    core = token.strip(MARKS)
+    if core.isalpha():
+        if REPEATED.search(core) or not core.isascii() and LOOK_ALIKE.search(core) and LATIN.search(core):
+            return decode(core, model)
+        return core
+    core = TAIL.sub("", core)
+    if LETTERS.search(core) and (LEET.search(core) or REPEATED.search(core) or SET_APART.fullmatch(core)):
         return decode(core, model)
     return token
 
@@ -175,7 +180,12 @@ class Reader:
         self.memo: dict[str, tuple] = {}
 
     def of(self, token: str) -> tuple:
-        found = [f for w in WORD.findall(restore_token(token, self.model)) if len(w) > 2 for f in features(w)]
+        read = restore_token(token, self.model)
+        words = (read,) if read.isalpha() else WORD.findall(read)
+        found: list = []
+        for w in words:
+            if len(w) > 2:
+                found += features(w)
         if self.wanted is not None:
             found = [self.wanted[f] for f in found if f in self.wanted]
         if len(self.memo) >= MEMO:
@@ -208,31 +218,45 @@ class Model:
 
 
 def _logistic(rows: list[list[int]], y: np.ndarray, size: int) -> tuple[np.ndarray, float]:
-    """Ridge logistic regression over sparse 0/1 rows by accelerated gradient steps."""
+    """Ridge logistic regression over sparse 0/1 rows by accelerated gradient steps.
+
+    Columns are scaled to unit mean square, so that rare features learn as
+    fast as frequent ones.
+    """
+    n = max(1, len(rows))
     own = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     ids = np.array([i for r in rows for i in r], np.int64)
-    n = max(1, len(rows))
-    widest = max([len(r) for r in rows], default=0)
-    step = 1.0 / (0.25 * (math.sqrt(widest * max(1, np.bincount(ids, minlength=1).max(initial=1)) / n) + 1) + RIDGE)
+    scale = 1 / np.sqrt(np.maximum(1, np.bincount(ids, minlength=size)) / n)
+    value = scale[ids]
+    v, vb = np.ones(size), 1.0
+    top = 1.0
+    for _ in range(30):     # largest eigenvalue of the mean outer product, for the step size
+        z = np.bincount(own, value * v[ids], n) + vb
+        v, vb = np.bincount(ids, value * z[own], size) / n, z.mean()
+        top = math.sqrt(float(v @ v) + vb * vb)
+        v, vb = v / top, vb / top
+    step = 1.0 / (0.25 * top * 1.1 + RIDGE)
     w, u, t = np.zeros(size), np.zeros(size), 1.0
     share = (y.sum() + 0.5) / (n + 1)
     b = ub = math.log(share / (1 - share))
     for _ in range(STEPS):
-        z = np.bincount(own, u[ids], n) + ub if len(ids) else np.full(n, ub)
-        e = 1 / (1 + np.exp(-z)) - y
-        nw = u - step * (np.bincount(ids, e[own], size) / n + RIDGE * u) if len(ids) else u
+        z = np.bincount(own, value * u[ids], n) + ub
+        e = 1 / (1 + np.exp(-np.clip(z, -50, 50))) - y
+        nw = u - step * (np.bincount(ids, value * e[own], size) / n + RIDGE * u)
         nb = ub - step * e.mean()
         nt = (1 + math.sqrt(1 + 4 * t * t)) / 2
         u, ub = nw + (t - 1) / nt * (nw - w), nb + (t - 1) / nt * (nb - b)
         w, b, t = nw, nb, nt
-    return w, float(b)
+    return w * scale, float(b)
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Language model from every text of ``docs``; score from at most ``SAMPLE`` rows of ``labels`` (doc_id, label).
 
     The sample is the lowest hashes of doc_id at any input size; its ids and
-    labels are the only broadcast table.  Null labels teach nothing.
+    labels are the only broadcast table.  Null labels teach nothing.  Only
+    features that speak for label 1 are used, so that no amount of other
+    words makes up for one of them.
     """
     counts = char_counts(docs)
     model = Model(counts)
@@ -268,8 +292,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     odds = (F.log((F.col("n1") + 0.5) / (n1 - F.col("n1") + 0.5)) - F.log((F.col("n0") + 0.5) / (n0 - F.col("n0") + 0.5)))
     error = F.sqrt(1 / (F.col("n1") + 0.5) + 1 / (F.col("n0") + 0.5))
     best = (per_class.filter(F.col("n0") + F.col("n1") >= MIN_ROWS)
-                     .select("feature", (odds / error).alias("z")).filter(F.abs("z") >= MIN_Z)
-                     .orderBy(F.desc(F.abs("z")), "feature").limit(FEATURES).collect())
+                     .select("feature", (odds / error).alias("z")).filter(F.col("z") >= MIN_Z)
+                     .orderBy(F.desc("z"), "feature").limit(FEATURES).collect())
     model.names = [r["feature"] for r in best]
     wanted = sc.broadcast({f: i for i, f in enumerate(model.names)})
 
