@@ -5,6 +5,7 @@ from __future__ import annotations
 import importlib
 
 MODULES = {
+    "op1_imatch": "imatch",
     "op2_quality_rules": "quality_rules",
     "op3_line_dedup": "line_dedup",
     "op4_benchmark_edits": "decontaminate",
