@@ -10,6 +10,7 @@ MODULES = {
     "op3_line_dedup": "line_dedup",
     "op4_benchmark_edits": "decontaminate",
     "op5_html_extract": "html_extract",
+    "op6_best_fit": "packing",
     "op8_near_dedup": "near_dedup",
     "op9_toxicity": "toxicity",
     "op10_language_id": "language_id",
