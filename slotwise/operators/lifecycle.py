@@ -3,16 +3,16 @@ overlapping runs and waits.
 
 Histories are unbounded per device, and one device may hold a large share of
 all events.  Every ordered pass here therefore goes through
-:mod:`slotwise.operators.scan`, which splits a device's history into time
-chunks (``chunk_seconds``) and carries state across chunks through a tiny
-per-chunk summary, so no task ever holds a whole device.
+:mod:`slotwise.operators.scan`, which splits the histories into ranges of equal
+row share and carries state across them through a small per-range summary, so
+no task ever holds a hot device, whatever the size of the input.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slotwise.operators import scan
@@ -20,23 +20,22 @@ from slotwise.session import checkpoint_dir
 
 DAY = 86_400
 HOUR = 3_600
+RANGE_STEP = 4096       # positions expanded from one row
 
 
 def _micros(ts: str):
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
-def _level(df: DataFrame, bucket: str | None) -> DataFrame:
-    """Between stacked chunked scans, store the level in the checkpoint folder:
-    each scan's summary branch reads it instead of re-deriving every earlier
-    level, and a lost executor only costs the current level."""
-    if bucket is None:
-        return df
+def _level(df: DataFrame) -> DataFrame:
+    """Between stacked scans, store the level in the checkpoint folder: each
+    scan's summary branch reads it instead of re-deriving every earlier level,
+    and a lost executor only costs the current level."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def lifecycle(actions: DataFrame, chunk_seconds: int = DAY) -> DataFrame:
+def lifecycle(actions: DataFrame) -> DataFrame:
     """W8 + W9: outcome and state after every event.
 
     ``actions(device_id, seq, ts, action)`` with action in write / apply /
@@ -51,24 +50,22 @@ def lifecycle(actions: DataFrame, chunk_seconds: int = DAY) -> DataFrame:
     Each state bit is "last value set before the row", so the machine is three
     stacked carry-forward scans on one (device, chunk) partitioning.
     """
-    a = actions.withColumn("chunk", scan.time_bucket("ts", chunk_seconds))
     act = F.col("action")
     order = ["ts", "seq"]
     keys = ["device_id"]
-    b = scan.choose_bucket(actions, keys, "chunk")
-    a = scan.spread(a, keys, b)
+    a = scan.ranged(actions.withColumn("t", _micros("ts")), keys, "t")
 
-    a = scan.carry_last(a, keys, order, F.when(act == "write", 1).when(act == "commit", 0), "staged_before", b)
-    a = _level(a.withColumn("staged_before", F.coalesce("staged_before", F.lit(0))), b)
+    a = scan.carry_last(a, keys, order, F.when(act == "write", 1).when(act == "commit", 0), "staged_before")
+    a = _level(a.withColumn("staged_before", F.coalesce("staged_before", F.lit(0))))
     apply_ok = (act == "apply") & (F.col("staged_before") == 1)
     commit_ok = (act == "commit") & (F.col("staged_before") == 1)
 
-    a = scan.carry_last(a, keys, order, F.when(apply_ok, 1).when(act == "reboot", 0), "armed_before", b)
-    a = _level(a.withColumn("armed_before", F.coalesce("armed_before", F.lit(0))), b)
+    a = scan.carry_last(a, keys, order, F.when(apply_ok, 1).when(act == "reboot", 0), "armed_before")
+    a = _level(a.withColumn("armed_before", F.coalesce("armed_before", F.lit(0))))
     armed_reboot = (act == "reboot") & (F.col("armed_before") == 1)
 
     trial_v = F.when(armed_reboot, 1).when(act == "reboot", 0).when(apply_ok, 0).when(commit_ok, 0)
-    a = scan.carry_last(a, keys, order, trial_v, "trial_before", b)
+    a = scan.carry_last(a, keys, order, trial_v, "trial_before")
     a = a.withColumn("trial_before", F.coalesce("trial_before", F.lit(0)))
 
     outcome = (F.when(act == "write", F.lit("staged"))
@@ -84,14 +81,14 @@ def lifecycle(actions: DataFrame, chunk_seconds: int = DAY) -> DataFrame:
                     staged.alias("staged"), armed.alias("armed"), trial.alias("trial"))
 
 
-def step_gate(actions: DataFrame, chunk_seconds: int = DAY) -> DataFrame:
+def step_gate(actions: DataFrame) -> DataFrame:
     """Verdict of every apply and commit ("accepted" or the refusal)."""
-    return (lifecycle(actions, chunk_seconds)
+    return (lifecycle(actions)
             .where(F.col("action").isin("apply", "commit"))
             .select("device_id", "seq", "action", F.col("outcome").alias("verdict")))
 
 
-def next_free_run(runs: DataFrame, chunk_seconds: int = DAY, bucket: str | None = "chunk") -> DataFrame:
+def next_free_run(runs: DataFrame) -> DataFrame:
     """For each run, the first later run (order ``start, run_id``) that starts
     at or after its end: where the lock is free again if this run holds it.
 
@@ -107,61 +104,28 @@ def next_free_run(runs: DataFrame, chunk_seconds: int = DAY, bucket: str | None
                        F.when(zero, F.col("run_id")).otherwise(F.lit(0)).cast("long").alias("id"),
                        F.when(zero, 1).otherwise(0).alias("sub"),
                        F.lit(None).cast("long").alias("val"), F.col("run_id").alias("q"))
-    merged = starts.unionByName(queries).withColumn(
-        "chunk", F.floor(F.col("t") / F.lit(chunk_seconds * 1_000_000)).cast("long"))
-    merged = scan.spread(merged, ["device_id"], bucket)
-    found = scan.carry_next(merged, ["device_id"], ["t", "k", "id", "sub"], F.col("val"), "nxt", bucket=bucket)
+    merged = scan.ranged(starts.unionByName(queries), ["device_id"], "t")
+    found = scan.carry_next(merged, ["device_id"], ["t", "k", "id", "sub"], F.col("val"), "nxt")
     return found.where(F.col("q").isNotNull()).select("device_id", F.col("q").alias("run_id"), "nxt")
 
 
-def _chain_inputs_chunked(runs: DataFrame, chunk_seconds: int, b: str):
-    """Island roots and next-free pointers for a hot device: chunked scans."""
-    jump = (next_free_run(runs, chunk_seconds, b).where(F.col("nxt").isNotNull())
-            .select("run_id", F.col("nxt").alias("to")).checkpoint(eager=True))
-    # Island roots: runs that start after every earlier run of the device has
-    # ended.  The lock is free for them whatever happened before, so they are
-    # admitted outright and chains only need walking inside a busy period.
+def _islands(runs: DataFrame) -> DataFrame:
+    """run_id, device_id, root, island: the busy period each run lies in.
+
+    Island roots are runs that start after every earlier run of the device has
+    ended.  The lock is free for them whatever happened before, so they are
+    admitted outright and chains only need walking inside a busy period.
+    """
     r = runs.select("device_id", "run_id", _micros("start_ts").alias("s"), _micros("end_ts").alias("e"))
-    r = r.withColumn("chunk", F.floor(F.col("s") / F.lit(chunk_seconds * 1_000_000)).cast("long"))
-    r = scan.spread(r, ["device_id"], b)
-    r = scan.carry_max(r, ["device_id"], ["s", "run_id"], F.col("e"), "busy_until", bucket=b)
+    r = scan.ranged(r, ["device_id"], "s")
+    r = scan.carry_max(r, ["device_id"], ["s", "run_id"], F.col("e"), "busy_until")
     r = r.withColumn("root", F.col("busy_until").isNull() | (F.col("s") >= F.col("busy_until")))
     r = scan.carry_last(r, ["device_id"], ["s", "run_id"], F.when(F.col("root"), F.col("run_id")), "island",
-                        bucket=b, inclusive=True)
-    return r.select("run_id", "device_id", "island", "root").checkpoint(eager=True), jump
+                        inclusive=True)
+    return r.select("run_id", "device_id", "island", "root")
 
 
-def _chain_inputs_one_pass(runs: DataFrame):
-    """Island roots and next-free pointers when every device fits one task:
-    one sort of the merged start/end stream, both windows on it, one
-    checkpoint."""
-    r = runs.select("device_id", "run_id", _micros("start_ts").alias("s"), _micros("end_ts").alias("e"))
-    zero = F.col("e") <= F.col("s")
-    starts = r.select("device_id", F.col("s").alias("t"), F.lit(1).alias("k"), F.col("run_id").alias("id"),
-                      F.lit(0).alias("sub"), F.col("run_id").alias("val"), F.col("e").alias("end"),
-                      F.lit(None).cast("long").alias("q"))
-    queries = r.select("device_id", F.greatest("e", "s").alias("t"), F.when(zero, 1).otherwise(0).alias("k"),
-                       F.when(zero, F.col("run_id")).otherwise(F.lit(0)).cast("long").alias("id"),
-                       F.when(zero, 1).otherwise(0).alias("sub"), F.lit(None).cast("long").alias("val"),
-                       F.lit(None).cast("long").alias("end"), F.col("run_id").alias("q"))
-    w = Window.partitionBy("device_id").orderBy("t", "k", "id", "sub")
-    m = (starts.unionByName(queries)
-         # first start at or after each end (as-of lookup forward)
-         .withColumn("nxt", F.first("val", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)))
-         # latest end of the runs that started before each start
-         .withColumn("busy_until", F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))))
-    m = m.withColumn("root", F.col("val").isNotNull()
-                     & (F.col("busy_until").isNull() | (F.col("t") >= F.col("busy_until"))))
-    m = m.withColumn("island", F.last(F.when(F.col("root"), F.col("val")), ignorenulls=True)
-                     .over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    m = m.select("device_id", "val", "q", "nxt", "root", "island").checkpoint(eager=True)
-    r_out = m.where(F.col("val").isNotNull()).select(F.col("val").alias("run_id"), "device_id", "island", "root")
-    jump = m.where(F.col("q").isNotNull() & F.col("nxt").isNotNull()).select(F.col("q").alias("run_id"),
-                                                                            F.col("nxt").alias("to"))
-    return r_out, jump
-
-
-def admit_runs(runs: DataFrame, chunk_seconds: int = DAY, checkpoint_every: int = 3) -> DataFrame:
+def admit_runs(runs: DataFrame, checkpoint_every: int = 3) -> DataFrame:
     """Which runs get the non-blocking lock.
 
     A run is admitted iff no admitted run still holds the lock (greedy in
@@ -176,13 +140,8 @@ def admit_runs(runs: DataFrame, chunk_seconds: int = DAY, checkpoint_every: int
     with no group ever collected.  Lineage is cut by ``checkpoint()`` into
     ``spark.checkpoint.dir`` every ``checkpoint_every`` rounds.
     """
-    spark = runs.sparkSession
-    checkpoint_dir(spark)
-    b = scan.choose_bucket(runs, ["device_id"], "chunk")
-    if b is None:
-        r, jump = _chain_inputs_one_pass(runs)
-    else:
-        r, jump = _chain_inputs_chunked(runs, chunk_seconds, b)
+    r = _level(_islands(runs))
+    jump = _level(next_free_run(runs).where(F.col("nxt").isNotNull()).select("run_id", F.col("nxt").alias("to")))
     longest = r.groupBy("device_id", "island").count().agg(F.max("count")).first()[0] or 0
     # a chain inside an island has at most as many links as the island has
     # runs: after k rounds the admitted set holds the first 2**k links of each
@@ -204,7 +163,7 @@ def admit_runs(runs: DataFrame, chunk_seconds: int = DAY, checkpoint_every: int
                         F.when(F.col("admitted").isNull(), F.lit(1)).otherwise(F.lit(0)).alias("exit_code")))
 
 
-def overlapping_runs(runs: DataFrame, chunk_seconds: int = DAY) -> DataFrame:
+def overlapping_runs(runs: DataFrame) -> DataFrame:
     """Pairs of runs of one device whose intervals overlap (the lock
     conflict report), ``start_a < end_b and start_b < end_a``.
 
@@ -215,30 +174,29 @@ def overlapping_runs(runs: DataFrame, chunk_seconds: int = DAY) -> DataFrame:
     is paired within a bucket.
     """
     r = runs.select("device_id", "run_id", _micros("start_ts").alias("s"), _micros("end_ts").alias("e"))
-    r = r.withColumn("chunk", F.floor(F.col("s") / F.lit(chunk_seconds * 1_000_000)).cast("long"))
-    b = scan.choose_bucket(runs, ["device_id"], "chunk")
-    r = _level(scan.position(scan.spread(r, ["device_id"], b), ["device_id"], ["s", "run_id"], "pos", bucket=b), b)
+    r = _level(scan.position(scan.ranged(r, ["device_id"], "s"), ["device_id"], ["s", "run_id"], "pos"))
     # starts sort after ends at equal time (strict overlap) and by position
+    none = F.lit(None).cast("long")
     starts = r.select("device_id", F.col("s").alias("t"), F.lit(1).alias("k"), F.col("pos").alias("o"),
-                      F.col("pos").alias("val"), F.lit(None).cast("long").alias("q"), F.lit(None).cast("long").alias("qpos"))
+                      F.col("pos").alias("val"), none.alias("q"), none.alias("qpos"), none.alias("s_a"))
     ends = r.select("device_id", F.col("e").alias("t"), F.lit(0).alias("k"), F.lit(0).cast("long").alias("o"),
-                    F.lit(None).cast("long").alias("val"), F.col("run_id").alias("q"), F.col("pos").alias("qpos"))
-    merged = starts.unionByName(ends).withColumn(
-        "chunk", F.floor(F.col("t") / F.lit(chunk_seconds * 1_000_000)).cast("long"))
-    merged = scan.spread(merged, ["device_id"], b)
-    upto = (scan.carry_last(merged, ["device_id"], ["t", "k", "o"], F.col("val"), "upto", bucket=b)
+                    none.alias("val"), F.col("run_id").alias("q"), F.col("pos").alias("qpos"), F.col("s").alias("s_a"))
+    merged = scan.ranged(starts.unionByName(ends), ["device_id"], "t")
+    upto = (scan.carry_last(merged, ["device_id"], ["t", "k", "o"], F.col("val"), "upto")
                 .where(F.col("q").isNotNull() & (F.col("upto") > F.col("qpos"))))
-    cand = upto.select("device_id", F.col("q").alias("run_a"),
-                       F.explode(F.sequence(F.col("qpos") + 1, F.col("upto"))).alias("pos"))
+    # the range in steps, so that a run overlapping very many others is no single row
+    step = F.lit(RANGE_STEP)
+    steps = upto.select("device_id", F.col("q").alias("run_a"), "s_a", "upto",
+                        F.explode(F.sequence(F.col("qpos") + 1, F.col("upto"), step)).alias("from"))
+    cand = steps.select("device_id", "run_a", "s_a", F.explode(F.sequence(
+        F.col("from"), F.least(F.col("from") + step - 1, F.col("upto")))).alias("pos"))
     other = r.select("device_id", "pos", F.col("run_id").alias("run_b"), F.col("s").alias("s_b"), F.col("e").alias("e_b"))
-    mine = r.select(F.col("run_id").alias("run_a"), F.col("s").alias("s_a"))
-    pairs = cand.join(other, ["device_id", "pos"]).join(mine, "run_a")
+    pairs = cand.join(other, ["device_id", "pos"])
     return (pairs.where(F.col("s_a") < F.col("e_b"))
                  .select("device_id", F.least("run_a", "run_b").alias("run_a"), F.greatest("run_a", "run_b").alias("run_b")))
 
 
-def wait_for(starts: DataFrame, signals: DataFrame, interval_s: int = 1, timeout_s: int = 10,
-             chunk_seconds: int = DAY) -> DataFrame:
+def wait_for(starts: DataFrame, signals: DataFrame, interval_s: int = 1, timeout_s: int = 10) -> DataFrame:
     """Per start, the first poll tick (in intervals) at which a signal of
     the same device has arrived, or a timeout; the tick at ``timeout`` counts.
 
@@ -251,11 +209,8 @@ def wait_for(starts: DataFrame, signals: DataFrame, interval_s: int = 1, timeout
     sg = signals.select("device_id", F.lit(None).cast(starts.schema["seq"].dataType).alias("seq"),
                         _micros("ts").alias("t"), F.lit(1).alias("k"), _micros("ts").alias("val"),
                         F.lit(False).alias("is_start"))
-    merged = st.unionByName(sg).withColumn(
-        "chunk", F.floor(F.col("t") / F.lit(chunk_seconds * 1_000_000)).cast("long"))
-    b = scan.choose_bucket(merged, ["device_id"], "chunk")
-    merged = scan.spread(merged, ["device_id"], b)
-    found = scan.carry_next(merged, ["device_id"], ["t", "k"], F.col("val"), "sig", bucket=b)
+    merged = scan.ranged(st.unionByName(sg), ["device_id"], "t")
+    found = scan.carry_next(merged, ["device_id"], ["t", "k"], F.col("val"), "sig")
     iv = interval_s * 1_000_000
     dt = F.col("sig") - F.col("t")
     ok = F.col("sig").isNotNull() & (dt <= F.lit(timeout_s * 1_000_000))

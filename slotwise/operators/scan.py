@@ -1,63 +1,51 @@
 """Ordered scans over per-key histories that stay parallel when one key is hot.
 
 A plain ``Window.partitionBy(key).orderBy(t)`` puts every row of a key into
-one task.  Event histories (actions, runs) are unbounded per device, so the
-scans here split a key's history into contiguous *chunks* (a bucket column that
-grows with the order, e.g. the hour of the event) and run a two-level prefix
-scan:
+one task.  Event histories (actions, runs) are unbounded per device, so every
+scan here cuts the history into contiguous *chunks* and runs a two-level
+prefix scan:
 
 1. inside each (key, chunk): a local window, one task per chunk;
 2. one summary row per (key, chunk): what the chunk hands to later chunks;
-3. a window over the summaries only (tiny: one row per chunk) gives each
-   chunk its carry-in, which is joined back on (key, chunk).
+3. a window over the summaries only (at most one row per chunk and key) gives
+   each chunk its carry-in, which is joined back on (key, chunk).
 
-With ``bucket=None`` the scan is the plain window; use that only for tables
-whose size per key is bounded by nature (one device's block table).
+Chunks are quantiles of the order column over the whole input (:func:`ranged`),
+so they hold about equal shares of the rows: a hot key, or a hot day of it, is
+split like any other.  There is one path for every size.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Largest history one task may scan whole.  Above it, the key's history is
-# split into chunks.  SLOTWISE_MAX_KEY_ROWS=0 forces chunking (tests do).
-MAX_KEY_ROWS = 2_000_000
 
+def place_among(x: Column, edges: Column, size: int) -> Column:
+    """How many of the ascending ``edges`` (array of up to ``size``) are at or below ``x``, by halving; 0 for NULL."""
+    steps = [1 << i for i in reversed(range(max(1, size.bit_length())))]
+    return F.aggregate(
+        F.array(*(F.lit(i) for i in steps)), F.lit(0),
+        lambda at, step: F.when(F.get(edges, at + step - 1) <= x, at + step).otherwise(at))
 
-def max_key_rows() -> int:
-    return int(os.environ.get("SLOTWISE_MAX_KEY_ROWS", MAX_KEY_ROWS))
 
+def ranged(df: DataFrame, keys: Sequence[str], by: str, parts: int | None = None) -> DataFrame:
+    """``df`` with ``chunk`` (the quantile range of ``by``, a number) and partitioned by (keys, chunk).
 
-def needs_chunks(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> bool:
-    """Does any key hold more rows than one task should scan?
-
-    One partial-aggregated count per key (a small job); only the single
-    maximum comes back to the driver.
-    """
-    limit = max_key_rows() if limit is None else limit
-    if limit <= 0:
-        return True
-    top = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
-    return bool(top and top > limit)
-
-
-def choose_bucket(df: DataFrame, keys: Sequence[str], bucket: str) -> str | None:
-    """``bucket`` when some key is hot, else None (plain windows suffice)."""
-    return bucket if needs_chunks(df, keys) else None
-
-
-def spread(df: DataFrame, keys: Sequence[str], bucket: str | None) -> DataFrame:
-    """Hash-partition by (keys, chunk) before chunked scans.
-
-    Needed because a partitioning by ``keys`` alone (a bucketed table, an
-    earlier join) also satisfies the (keys, chunk) windows, and would keep a
-    hot key's whole history in one task.  Call once; stacked scans reuse it.
+    Like the sampling pass of a range partitioning, one partial-aggregated
+    sketch of ``by`` runs first; its ``parts - 1`` edges become literals, so
+    that every branch of a plan cuts at the same places.  The explicit
+    partitioning matters: one by ``keys`` alone (a bucketed table, an earlier
+    join) also satisfies the (keys, chunk) windows, and would keep a hot key's
+    whole history in one task.  Stacked scans reuse it.
     """
-    return df if bucket is None else df.repartition(*keys, bucket)
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shares = [i / parts for i in range(1, parts)]
+    edges = sorted(set(df.agg(F.percentile_approx(by, shares, 10_000)).first()[0] or [])) if shares else []
+    chunk = place_among(F.col(by), F.array(*map(F.lit, edges)), len(edges)) if edges else F.lit(0)
+    return df.withColumn("chunk", chunk).repartition(*keys, "chunk")
 
 
 def _cols(xs) -> list[Column]:
@@ -65,19 +53,15 @@ def _cols(xs) -> list[Column]:
 
 
 def carry_last(df: DataFrame, keys: Sequence[str], order: Sequence, value: Column, out: str,
-               bucket: str | None = None, inclusive: bool = False) -> DataFrame:
+               bucket: str = "chunk", inclusive: bool = False) -> DataFrame:
     """``out`` = last non-NULL ``value`` of the rows before each row (per ``keys``).
 
-    ``order`` must be ascending sort keys; ``bucket`` (optional) a column that
-    never decreases along ``order`` within a key.  ``inclusive`` also counts
-    the row itself.
+    ``order`` must be ascending sort keys; ``bucket`` a column that never
+    decreases along ``order`` within a key.  ``inclusive`` also counts the row
+    itself.
     """
     order_c = _cols(order)
     end = Window.currentRow if inclusive else -1
-    if bucket is None:
-        w = Window.partitionBy(*keys).orderBy(*order_c).rowsBetween(Window.unboundedPreceding, end)
-        return df.withColumn(out, F.last(value, ignorenulls=True).over(w))
-
     tmp_v, tmp_local, tmp_carry = f"__{out}_v", f"__{out}_local", f"__{out}_carry"
     wl = Window.partitionBy(*keys, bucket).orderBy(*order_c).rowsBetween(Window.unboundedPreceding, end)
     base = (df.withColumn(tmp_v, value)
@@ -94,12 +78,9 @@ def carry_last(df: DataFrame, keys: Sequence[str], order: Sequence, value: Colum
 
 
 def carry_max(df: DataFrame, keys: Sequence[str], order: Sequence, value: Column, out: str,
-              bucket: str | None = None) -> DataFrame:
+              bucket: str = "chunk") -> DataFrame:
     """``out`` = max of ``value`` over the rows before each row (per ``keys``)."""
     order_c = _cols(order)
-    if bucket is None:
-        w = Window.partitionBy(*keys).orderBy(*order_c).rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumn(out, F.max(value).over(w))
     tmp_v, tmp_local, tmp_carry = f"__{out}_v", f"__{out}_local", f"__{out}_carry"
     wl = Window.partitionBy(*keys, bucket).orderBy(*order_c).rowsBetween(Window.unboundedPreceding, -1)
     base = df.withColumn(tmp_v, value).withColumn(tmp_local, F.max(tmp_v).over(wl))
@@ -112,26 +93,22 @@ def carry_max(df: DataFrame, keys: Sequence[str], order: Sequence, value: Column
 
 
 def carry_next(df: DataFrame, keys: Sequence[str], order: Sequence, value: Column, out: str,
-               bucket: str | None = None, inclusive: bool = False) -> DataFrame:
+               bucket: str = "chunk", inclusive: bool = False) -> DataFrame:
     """``out`` = first non-NULL ``value`` of the rows after each row.
 
     Same as :func:`carry_last` run backwards: every order key and the bucket
     are negated, so they must be numeric.
     """
     neg_order = [-c for c in _cols(order)]
-    if bucket is None:
-        return carry_last(df, keys, neg_order, value, out, None, inclusive)
     nb = f"__{out}_nb"
     res = carry_last(df.withColumn(nb, -F.col(bucket)), keys, neg_order, value, out, nb, inclusive)
     return res.drop(nb)
 
 
 def position(df: DataFrame, keys: Sequence[str], order: Sequence, out: str,
-             bucket: str | None = None) -> DataFrame:
+             bucket: str = "chunk") -> DataFrame:
     """``out`` = 1-based position of each row within its key, by ``order``."""
     order_c = _cols(order)
-    if bucket is None:
-        return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order_c)))
     tmp_local, tmp_off, tmp_n = f"__{out}_local", f"__{out}_off", f"__{out}_n"
     base = df.withColumn(tmp_local, F.row_number().over(Window.partitionBy(*keys, bucket).orderBy(*order_c)))
     sizes = base.groupBy(*keys, bucket).agg(F.count(F.lit(1)).alias(tmp_n))
@@ -140,9 +117,3 @@ def position(df: DataFrame, keys: Sequence[str], order: Sequence, out: str,
     return (base.join(offsets, [*keys, bucket], "left")
                 .withColumn(out, (F.col(tmp_local) + F.col(tmp_off)).cast("long"))
                 .drop(tmp_local, tmp_off))
-
-
-def time_bucket(ts, seconds: int) -> Column:
-    """Chunk id of a timestamp: whole ``seconds``-long slices since the epoch."""
-    c = F.col(ts) if isinstance(ts, str) else ts
-    return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(seconds * 1_000_000)).cast("long")
