@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from slotwise.llm.common import counted, mix, table
 from slotwise.llm.near_dedup import word_hashes
+from slotwise.operators import scan
 
 BITS = 18                   # slots of the hashed lexicon: document frequencies of 2^18 slots
 BAND = (0.2, 0.9)           # idf of kept terms, as a share of the largest, log(documents)
@@ -131,20 +132,13 @@ def with_next(docs: DataFrame, parts: int | None = None) -> DataFrame:
     as empty, a null id comes first, equal ids follow the order of the text.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    spark = docs.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # several ranges a task, to even them out
+    parts = parts or 8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     share = [i / parts for i in range(1, parts)]
-    edges = (rows.agg(F.percentile_approx("doc_id", share, 10_000).alias("e")).first()["e"] or []) if parts > 1 else []
+    edges = (rows.agg(F.percentile_approx("doc_id", share, 10_000).alias("e")).first()["e"] or []) if share else []
     edges = sorted(set(edges))
-    # the number of edges at or below the id, by halving
-    at = F.lit(0)
-    span = 1 << max(0, len(edges)).bit_length()
-    table_ = F.array(*(F.lit(int(e)) for e in edges)) if edges else None
-    while edges and span:
-        probe = at + span
-        at = F.when((probe <= len(edges)) & (F.col("doc_id") >= F.get(table_, probe - 1)), probe).otherwise(at)
-        span >>= 1
-    ranged = rows.withColumn("range", at.cast("int"))
+    at = scan.place_among(F.col("doc_id"), F.array(*map(F.lit, edges)), len(edges)) if edges else F.lit(0)
+    ranged = rows.withColumn("range", at)
     w = Window.partitionBy("range").orderBy(F.col("doc_id").asc_nulls_first(), "text")
     led = ranged.withColumn("next_text", F.lead("text").over(w))
     first = ranged.groupBy("range").agg(F.min(F.struct("doc_id", "text")).alias("first"))

@@ -11,6 +11,7 @@ MODULES = {
     "op4_benchmark_edits": "decontaminate",
     "op5_html_extract": "html_extract",
     "op6_best_fit": "packing",
+    "op7_revisits": "warc",
     "op8_near_dedup": "near_dedup",
     "op9_toxicity": "toxicity",
     "op10_language_id": "language_id",
