@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -208,6 +209,17 @@ def _start(item: str, back: str, distance: int) -> int:
     return len(back)
 
 
+def blocks_of(benchmark: DataFrame, block_chars: int) -> Iterator[list[tuple]]:
+    """The benchmark's (item_id, text) rows in hashed blocks of about ``block_chars`` characters, one at a time."""
+    items = benchmark.select("item_id", "text").filter(F.length("text") > 0)
+    total = items.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
+    blocks = max(1, -(-total // block_chars))
+    items = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
+    for block in range(blocks):
+        rows = items.filter(F.col("block") == block).collect()
+        yield sorted(((r["item_id"], r["text"]) for r in rows), key=str)
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS, min_chars: int = MIN_CHARS,
             block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per document row and benchmark item found in it: doc_id, item_id, distance, start, end.
@@ -220,17 +232,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS, min_c
     repeated rows are reported each; a null item_id or doc_id stays null.
     Other columns are ignored.
     """
-    items = benchmark.select("item_id", "text").filter(F.length("text") > 0)
-    total = items.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
-    blocks = max(1, -(-total // block_chars))
-    items = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
     sc = docs.sparkSession.sparkContext
     schema = (StructType([docs.schema["doc_id"], benchmark.schema["item_id"]])
               .add("distance", IntegerType()).add("start", LongType()).add("end", LongType()))
 
-    def one(block: int) -> DataFrame:
-        mine = [(r["item_id"], r["text"]) for r in items.filter(F.col("block") == block).collect()]
-        shared = sc.broadcast(sorted(mine, key=str))
+    def one(items: list[tuple]) -> DataFrame:
+        shared = sc.broadcast(items)
 
         def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(shared.value, errors, min_chars)
@@ -245,10 +252,25 @@ def matches(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS, min_c
 
         return docs.select("doc_id", "text").mapInArrow(task, schema)
 
-    out = one(0)
-    for block in range(1, blocks):
-        out = out.unionByName(one(block))
-    return out
+    return reduce(DataFrame.unionByName, map(one, blocks_of(benchmark, block_chars)))
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS, min_chars: int = MIN_CHARS,
+          block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of ``docs`` in which no benchmark item is found (see :func:`matches`), with all their columns."""
+    sc = docs.sparkSession.sparkContext
+
+    def without(rest: DataFrame, items: list[tuple]) -> DataFrame:
+        shared = sc.broadcast(items)
+
+        def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            matcher = Matcher(shared.value, errors, min_chars)
+            for b in batches:
+                yield b.filter(pa.array([not matcher.find(t) for t in b.column("text").to_pylist()], pa.bool_()))
+
+        return rest.mapInArrow(task, rest.schema)
+
+    return reduce(without, blocks_of(benchmark, block_chars), docs)
 
 
 def op4_benchmark_edits(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -351,6 +351,16 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
         "class_size")
 
 
+def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The row of each class that gives it its id, with all columns; of equal rows (id and text) any one."""
+    keep = (near_duplicates(docs, similarity)
+            .filter(F.col("doc_id").eqNullSafe(F.col("class_id")) & F.col("text_hash").eqNullSafe(F.col("class_hash")))
+            .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct())
+    rows = docs.withColumn("__own", F.xxhash64("text"))
+    return (rows.join(keep, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__hash")), "left_semi")
+                .dropDuplicates(["doc_id", "__own"]).drop("__own"))
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -310,7 +310,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     return model
 
 
-def score(docs: DataFrame, model: Model, restored: str | None = None) -> DataFrame:
+def score(docs: DataFrame, model: Model, restored: str | None = None, keep_text: bool = True) -> DataFrame:
     """``docs`` with ``score`` and ``predicted``; ``restored`` names a column for the restored text.
 
     Row by row over whole texts: repeated rows stay; a null or empty text gets
@@ -319,7 +319,7 @@ def score(docs: DataFrame, model: Model, restored: str | None = None) -> DataFra
     """
     new = ["score", "predicted", *([restored] if restored else [])]
     keep = [c for c in docs.columns if c not in new]
-    out = [c for c in keep if restored or c != "text"]
+    out = [c for c in keep if keep_text or c != "text"]
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,5 +348,5 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document; learnt from the labelled rows outside fold 0 of 5."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = train(docs, learn_from(table(spark, sf_dir, "labels"), fold("doc_id", 5) == 0))
-    scored = score(docs.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "text"), model)
+    scored = score(docs.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "text"), model, keep_text=False)
     return scored.select("doc_id", "held_out", "score", "predicted")
