@@ -1,0 +1,6 @@
+import os
+import sys
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
