@@ -2,24 +2,27 @@
 
 The argv scan is a left-to-right fold over the token array of each run,
 written with ``aggregate`` (a higher-order function): it runs inside the scan
-stage, row by row, with no explode and no shuffle.  Only the existence check
-of ``-u`` paths needs data outside the row; it is a join of the (few) path
-tokens against the file catalogue.
+stage, row by row.  Only the existence check of ``-u`` paths needs data outside
+the row: one join with the file catalogue, and one aggregation back to runs.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from slotwise import constants as K
 
 _FLAGS = {"-v": "v", "-a": "a", "-c": "c", "-w": "w", "--dev": "dev", "--debug": "debug"}
 
 
-def tokens(argv: Column) -> Column:
-    """Blank-separated argv tokens (empty tokens dropped)."""
-    return F.filter(F.split(argv, " "), lambda x: x != "")
+def tokens(runs: DataFrame, argv: str = "argv") -> Column:
+    """argv as an array: as it is, so that empty tokens and tokens with blanks
+    count; from one string by splitting on blanks (empty tokens dropped)."""
+    if isinstance(runs.schema[argv].dataType, ArrayType):
+        return F.coalesce(F.col(argv), F.array().cast("array<string>"))
+    return F.filter(F.split(F.coalesce(F.col(argv), F.lit("")), " "), lambda x: x != "")
 
 
 def _init() -> Column:
@@ -71,17 +74,16 @@ def parse_runs(runs: DataFrame, existing_paths: DataFrame) -> DataFrame:
     ``missing value``, ``bad path``, ``path missing``, ``bad digest``,
     ``invalid option``, ``help``.
     """
-    st = runs.select("run_id", "device_id",
-                     F.aggregate(tokens(F.col("argv")), _init(), _step, _finish).alias("s"))
-    # -u paths that passed the character check but name no file: one row per
-    # path token, joined against the catalogue, first missing one per run.
-    cand = (st.select("run_id", F.col("s.err_pos").alias("err_pos"), F.explode("s.paths").alias("p"))
-              .where(F.col("err_pos").isNull() | (F.col("p.pos") < F.col("err_pos")))
-              .select("run_id", F.col("p.pos").alias("pos"), F.col("p.path").alias("path")))
+    st = runs.select("run_id", "device_id", F.aggregate(tokens(runs), _init(), _step, _finish).alias("s"))
+    # -u paths that passed the character check but may name no file: one row
+    # per path (one without, for runs that have none), joined with the
+    # catalogue; a run keeps its first missing path
     known = existing_paths.select("path").distinct().withColumn("exists", F.lit(True))
-    missing = (cand.join(known, "path", "left").where(F.col("exists").isNull())
-                   .groupBy("run_id").agg(F.min("pos").alias("missing_pos")))
-    j = st.join(missing, "run_id", "left")
+    rows = st.select("run_id", "device_id", "s", F.explode_outer("s.paths").alias("p")).withColumn("path", F.col("p.path"))
+    gone = (F.col("path").isNotNull() & F.col("exists").isNull()
+            & (F.col("s.err_pos").isNull() | (F.col("p.pos") < F.col("s.err_pos"))))
+    j = (rows.join(known, "path", "left").groupBy("run_id", "device_id")
+             .agg(F.min(F.when(gone, F.col("p.pos"))).alias("missing_pos"), F.any_value("s").alias("s")))
     path_first = F.col("missing_pos").isNotNull() & (
         F.col("s.err_pos").isNull() | (F.col("missing_pos") < F.col("s.err_pos")))
     err = F.when(path_first, F.lit("path missing")).otherwise(F.col("s.err"))

@@ -42,18 +42,23 @@ def valid_config(kv: DataFrame) -> DataFrame:
     return r.select("device_id", "seq", "raw_key", F.col("resolved").alias("value"), config_reason().alias("reason"))
 
 
-def effective_config(kv: DataFrame) -> DataFrame:
+def effective_config(kv: DataFrame, defaults: dict[str, str] | None = None) -> DataFrame:
     """K1: per device and key, the defaults overlaid by later valid updates
     (last wins); values are K2-resolved.
 
-    Defaults enter as updates with ``seq = 0`` (a constant fan-out per
-    device), so the overlay is one aggregation: no join.
+    ``defaults`` are the deployment's own keys and values in file order.  One
+    aggregation per device (a config file is bounded) gathers its valid
+    updates; the defaults fan out after it, so nothing is shuffled but the
+    input by device.
     """
-    devices = kv.select("device_id").distinct()
-    defaults = devices.select(
-        "device_id", F.lit(0).cast(kv.schema["seq"].dataType).alias("seq"),
-        F.explode(F.create_map(*[F.lit(x) for kv_ in K.CONFIG_DEFAULTS.items() for x in kv_])).alias("key", "value"))
-    defaults = defaults.select("device_id", "seq", F.col("key").alias("raw_key"), "key", "value")
-    allrows = resolve_refs(defaults.unionByName(kv.select("device_id", "seq", "raw_key", "key", "value")))
-    ok = allrows.where(config_reason().isNull())
-    return ok.groupBy("device_id", "key").agg(F.max_by("resolved", "seq").alias("value"))
+    defaults = K.CONFIG_DEFAULTS if defaults is None else defaults
+    is_var = F.col("key") == REF_VAR
+    valid = F.when(config_reason().isNull(), F.struct("seq", "key", F.col("resolved").alias("value")))
+    per = resolve_refs(kv).groupBy("device_id").agg(
+        F.sort_array(F.collect_list(valid)).alias("updates"),
+        F.max_by(F.when(is_var, F.col("value")), F.when(is_var, F.col("seq"))).alias("var"))
+    table = F.create_map(*[F.lit(x) for kv_ in defaults.items() for x in kv_])
+    rows = per.select("device_id", "updates", "var", F.explode(table).alias("key", "default"))
+    own = F.filter("updates", lambda u: u["key"] == F.col("key"))
+    ref = F.replace(F.col("default"), F.lit(f"${REF_VAR}"), F.coalesce("var", F.lit(defaults.get(REF_VAR, ""))))
+    return rows.select("device_id", "key", F.coalesce(F.get(own, F.size(own) - 1)["value"], ref).alias("value"))

@@ -32,11 +32,20 @@ def checksum_verdict(path="path", body="body", expected="expected_sha"):
              .otherwise(F.lit("ok")))
 
 
-def path_checks(images: DataFrame) -> DataFrame:
-    """F1 + F2 + F4 per image: path reason, digest shape, file type."""
+def path_checks(images: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """F1 + F2 + F4 per image: path reason, digest shape, file type.
+
+    ``existing(path)`` is the catalogue of the files that exist; without it a
+    well-formed path counts as one.
+    """
+    exists = None
+    if existing is not None:
+        known = existing.select("path").distinct().withColumn("exists", F.lit(True))
+        images = images.select("image_id", "path", "expected_sha").join(known, "path", "left")
+        exists = "exists"
     return images.select(
         "image_id", "path",
-        C.valid_path_reason("path").alias("path_reason"),
+        C.valid_path_reason("path", exists).alias("path_reason"),
         C.valid_sha("expected_sha").alias("sha_ok"),
         F.coalesce(C.image_type("path"), F.lit("Invalid File Type")).alias("file_type"),
         F.coalesce(C.is_compressed("path"), F.lit(False)).alias("compressed"))
@@ -105,6 +114,18 @@ def space_check(space: DataFrame, size_mb: int = K.EXPECTED_RAW_SIZE_MB) -> Data
                         (F.col("avail_kb") >= need).alias("enough"))
 
 
+def image_space(space: DataFrame, assign: DataFrame, images: DataFrame,
+                size_mb: int = K.EXPECTED_RAW_SIZE_MB) -> DataFrame:
+    """J6 per assigned image: a compressed image needs room to unpack, others
+    need none; ``enough`` is NULL for an unknown image."""
+    kinds = images.select("image_id", F.coalesce(C.is_compressed("path"), F.lit(False)).alias("compressed"))
+    need = F.when(F.col("compressed"), F.lit(size_mb * 1024)).when(~F.col("compressed"), F.lit(0)).cast("long")
+    return (assign.select("device_id", "image_id").join(space.select("device_id", "avail_kb"), "device_id", "left")
+                  .join(kinds, "image_id", "left")
+                  .select("device_id", "image_id", "avail_kb", need.alias("required_kb"),
+                          (F.coalesce("avail_kb", F.lit(0)) >= need).alias("enough")))
+
+
 def command_trust(cmds: DataFrame) -> DataFrame:
     """``not found`` / ``no birth date`` / ``no OS birth date`` /
     ``newer than OS`` (later calendar day, UTC) / ``ok``; birth 0 passes."""

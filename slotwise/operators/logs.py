@@ -25,8 +25,11 @@ def failure_report(parsed: DataFrame) -> DataFrame:
 
 
 def error_exit_codes(parsed: DataFrame) -> DataFrame:
-    """C3 over logs: each ERROR line's stage and the exit code it ends with."""
+    """C3 over logs: each ERROR line's stage and the exit code it ends with.
+
+    The override of the stage, else the line's own failing ``status`` if the
+    input has that column, else 1 (a line that tells no status)."""
     err = parsed.where(F.col("level") == "ERROR")
     stage = F.coalesce(stage_of(F.col("msg")), F.lit("unknown"))
-    return err.select("device_id", "seq", "msg", stage.alias("stage"),
-                      exit_code(stage, F.lit(1)).alias("exit_code"))
+    own = F.coalesce(F.col("status"), F.lit(1)) if "status" in parsed.columns else F.lit(1)
+    return err.select("device_id", "seq", "msg", stage.alias("stage"), exit_code(stage, own).alias("exit_code"))

@@ -6,12 +6,11 @@ for :func:`merkle_root` over rows).
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LEAF_GROUP_TARGET = 10_000   # rows per leaf group the depth is chosen for
+ROOT_DEPTH = 2      # prefix digits of a manifest root; part of what the root means, so stored beside it
+ROWS_DEPTH = 4      # the same for roots over any rows
 HIDDEN_TOP_LEVEL = r"^/\.[^/]*"
 
 
@@ -20,13 +19,6 @@ def _fold(children: Column) -> Column:
     return F.sha2(F.array_join(F.sort_array(F.collect_list(children)), ""), 256)
 
 
-def depth_for(rows: int, target: int = LEAF_GROUP_TARGET) -> int:
-    """Prefix depth (hex digits) that keeps a leaf group near ``target`` rows."""
-    if rows <= target:
-        return 1
-    return max(1, math.ceil(math.log(rows / target, 16)))
-
-
 def merkle_root(df: DataFrame, group: list[str], key: Column, leaf: Column, depth: int) -> DataFrame:
     """Integrity root per ``group`` over the rows of ``df``.
 
@@ -43,21 +35,24 @@ def merkle_root(df: DataFrame, group: list[str], key: Column, leaf: Column, dept
     return level.groupBy(*group).agg(_fold(F.col("h")).alias("root"))
 
 
-def manifest_root(manifest: DataFrame, depth: int = 2) -> DataFrame:
+def manifest_root(manifest: DataFrame, depth: int = ROOT_DEPTH) -> DataFrame:
     """A6 over file manifests: leaf ``sha256('0' || path || '=' || digest)``,
-    key ``path``, one root per slot."""
+    key ``path``, one root per slot, with the depth it was made at.
+
+    The depth never follows the number of rows: a root only changes with its
+    own slot.  Choose it for the largest manifest expected (a leaf group holds
+    about rows / 16^depth digests) and compare only roots of one depth.
+    """
     leaf = F.sha2(F.concat(F.lit("0"), F.col("path"), F.lit("="), F.col("digest")), 256)
-    return merkle_root(manifest, ["slot"], F.col("path"), leaf, depth)
+    return merkle_root(manifest, ["slot"], F.col("path"), leaf, depth).withColumn("depth", F.lit(depth))
 
 
-def rows_root(df: DataFrame, depth: int | None = None) -> str | None:
+def rows_root(df: DataFrame, depth: int = ROWS_DEPTH) -> str | None:
     """A6 over any DataFrame (the whole row is the leaf); returns the root.
 
     Only the single root value comes back to the driver.
     """
     row = F.to_json(F.struct(*[F.col(c) for c in sorted(df.columns)]))
-    if depth is None:
-        depth = depth_for(df.count())
     leaf = F.sha2(F.concat(F.lit("0"), row), 256)
     out = merkle_root(df.withColumn("__g", F.lit(0)), ["__g"], row, leaf, depth).collect()
     return out[0]["root"] if out else None
@@ -84,19 +79,36 @@ def slot_diff(src: DataFrame, dst: DataFrame, include_hidden: bool = False) -> D
 
 def mirror(src: DataFrame, dst: DataFrame, include_hidden: bool = False) -> DataFrame:
     """Replace ``dst`` by ``src``: ``delete`` what only ``dst`` has, ``copy``
-    what only ``src`` has (multiset difference on ``(path, digest)``)."""
-    s = _visible(src, include_hidden).select("path", "digest")
-    d = _visible(dst, include_hidden).select("path", "digest")
-    return (d.exceptAll(s).withColumn("action", F.lit("delete"))
-             .unionByName(s.exceptAll(d).withColumn("action", F.lit("copy")))
-             .select("action", "path", "digest"))
+    what only ``src`` has (multiset difference on ``(path, digest)``).
+
+    One scan of either side and one aggregation: rows of ``src`` count +1,
+    rows of ``dst`` -1, and what is left over is written out that often.
+    """
+    s = _visible(src, include_hidden).select("path", "digest", F.lit(1).alias("n"))
+    d = _visible(dst, include_hidden).select("path", "digest", F.lit(-1).alias("n"))
+    left = s.unionByName(d).groupBy("path", "digest").agg(F.sum("n").alias("n")).where(F.col("n") != 0)
+    return left.select(F.when(F.col("n") > 0, "copy").otherwise("delete").alias("action"), "path", "digest",
+                       F.explode(F.sequence(F.lit(1), F.abs("n"))).alias("k")).drop("k")
 
 
 def preserve_overlay(new: DataFrame, old: DataFrame, keep: list[str]) -> DataFrame:
     """The new tree, with the ``keep`` files taken from the running one.
 
-    ``keep`` is a short fixed list (e.g. the host name), so both sides are
-    plain filters; no join.
+    A kept file the running tree lacks stays as the new tree has it.  ``keep``
+    is a short fixed list (e.g. the host name): only those paths are compared.
     """
-    return (new.where(~F.col("path").isin(*keep)).select("path", "digest", F.lit("new").alias("source"))
-               .unionByName(old.where(F.col("path").isin(*keep)).select("path", "digest", F.lit("old").alias("source"))))
+    kept = F.col("path").isin(*keep)
+    rows = new.select("path", "digest", F.lit("new").alias("source"))
+    mine = old.where(kept).select("path", "digest", F.lit("old").alias("source"))
+    # "old" sorts after "new"
+    chosen = (rows.where(kept).unionByName(mine).groupBy("path")
+                  .agg(F.max(F.struct("source", "digest")).alias("c")).select("path", "c.digest", "c.source"))
+    return rows.where(~kept).unionByName(chosen)
+
+
+def publish_write(df: DataFrame, root: str, running: str | None) -> str:
+    """Full replace of the slot that is not running (``a`` if none is);
+    the running slot is never touched.  Returns the slot written."""
+    slot = "b" if running == "a" else "a"
+    df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/slot={slot}")
+    return slot

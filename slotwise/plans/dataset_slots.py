@@ -52,11 +52,11 @@ class DatasetSlots:
         d = self._state_dir()
         if not self._fs.exists(d):
             return dict(_EMPTY)
-        names = sorted(st.getPath().getName() for st in self._fs.listStatus(d)
-                       if st.getPath().getName().endswith(".json"))
-        if not names:
+        names = [st.getPath().getName() for st in self._fs.listStatus(d)]
+        versions = {int(n[1:-5]): n for n in names if n.startswith("v") and n.endswith(".json")}
+        if not versions:
             return dict(_EMPTY)
-        stream = self._fs.open(self._Path(f"{self.root}/_state/{names[-1]}"))
+        stream = self._fs.open(self._Path(f"{self.root}/_state/{versions[max(versions)]}"))
         try:
             reader = self.spark.sparkContext._jvm.java.io.BufferedReader(
                 self.spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
@@ -132,6 +132,8 @@ class DatasetSlots:
         if not st["staged"]:
             raise SlotStateError("Nothing to commit.")
         running = st["trial"] or st["default"]
+        if running is None:
+            raise SlotStateError("Nothing runs yet: open the armed slot before committing it.")
         self._save(dict(st, default=running, trial=None, staged=None, staged_root=None, oneshot=None))
         return running
 

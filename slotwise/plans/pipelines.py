@@ -28,6 +28,8 @@ WRITE_GATES = (
     ("id conflict", 3),
 )
 
+IMAGE_SALTS = 16
+
 
 def fleet_status(block: DataFrame, crypt: DataFrame, image_id_lines: DataFrame) -> DataFrame:
     """Q1: mode, active partition and image id per device (the ``-v`` answer)."""
@@ -53,12 +55,8 @@ def image_gates(images: DataFrame) -> DataFrame:
 def write_readiness(assign: DataFrame, images: DataFrame, space: DataFrame, staged: DataFrame,
                     block: DataFrame, blkid: DataFrame, crypt: DataFrame) -> DataFrame:
     """Q2: first failing gate of a write per device and its exit code."""
-    # only images some device is assigned need their body hashed: a fleet
-    # assigns a handful of release images out of a large catalogue, so this
-    # semi-join (its small side broadcast by AQE at runtime) skips hashing
-    # nearly all bodies; on tiny inputs it costs one extra small stage
-    wanted = assign.select("image_id").distinct()
-    gates = image_gates(images.join(wanted, "image_id", "left_semi"))
+    # the digest is taken in the scan; from here on an image is a few columns
+    gates = image_gates(images).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(IMAGE_SALTS - 1))))
     targets = T.write_target(block, crypt).select("device_id", "target", "error", "target_block")
     conflict = (I.id_conflict(targets, staged, blkid)
                  .select("device_id", "target", "error", F.col("verdict").alias("id_verdict")))
@@ -68,7 +66,9 @@ def write_readiness(assign: DataFrame, images: DataFrame, space: DataFrame, stag
     j = (assign.select("device_id", "image_id")
                .join(conflict, "device_id", "left")
                .join(room, "device_id", "left")
-               .join(gates, "image_id", "left"))
+               # one release image is assigned to most of the fleet: its devices are dealt to several tasks
+               .withColumn("salt", F.pmod(F.hash("device_id"), F.lit(IMAGE_SALTS)))
+               .join(gates, ["image_id", "salt"], "left"))
     failed = {   # SQL predicates, one per gate
         "bad path": "path_reason IS NOT NULL OR path IS NULL",
         "malformed digest": "has_sha AND NOT sha_ok",

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from slotwise import constants as K
+from pyspark.sql import functions as F
+
 from slotwise.operators import commands as CM
 from slotwise.operators import logs as L
 from slotwise.plans.catalog import query
@@ -123,3 +125,15 @@ FROM s6 WHERE level = 'ERROR'""")
 def c3_exit_code(fx):
     """Exit code each failure ends with (stage override, else its status)."""
     return L.error_exit_codes(parsed_log(fx))
+
+
+@query("c3_exit_code_status", """
+SELECT device_id, seq, stage, CASE stage WHEN 'write' THEN 3 WHEN 'commit' THEN 4 ELSE status END AS exit_code
+FROM (SELECT device_id, seq, CASE seq % 3 WHEN 0 THEN 'write' WHEN 1 THEN 'commit' END AS stage,
+             CAST(2 + seq % 5 AS INTEGER) AS status FROM fx_action WHERE action = 'fail') x""")
+def c3_exit_code_status(fx):
+    """Exit code of every failed action: by the stage it failed in, or its own status outside the stages."""
+    fails = fx.action.where(F.col("action") == "fail").select(
+        "device_id", "seq", F.expr("CASE seq % 3 WHEN 0 THEN 'write' WHEN 1 THEN 'commit' END").alias("stage"),
+        F.expr("CAST(2 + seq % 5 AS INT)").alias("status"))
+    return fails.select("device_id", "seq", "stage", CM.exit_code(F.col("stage"), F.col("status")).alias("exit_code"))

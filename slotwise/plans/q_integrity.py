@@ -39,10 +39,13 @@ j5 AS (SELECT t.device_id, t.target_block, s.staged_id,
 
 @query("f1_valid_path", """
 SELECT image_id, path, CASE WHEN path IS NULL OR path = '' THEN 'empty'
-  WHEN NOT regexp_matches(path, '^[a-zA-Z0-9._/-]+$') THEN 'invalid characters' END AS path_reason
+  WHEN NOT regexp_matches(path, '^[a-zA-Z0-9._/-]+$') THEN 'invalid characters'
+  WHEN image_id % 10 = 9 THEN 'does not exist' END AS path_reason
 FROM fx_image""")
 def f1_valid_path(fx):
-    return I.path_checks(fx.image).select("image_id", "path", "path_reason")
+    """Every image's path against a file catalogue that lacks one image in ten."""
+    existing = fx.image.selectExpr("CASE WHEN image_id % 10 = 9 THEN '/gone' ELSE path END AS path")
+    return I.path_checks(fx.image, existing).select("image_id", "path", "path_reason")
 
 
 @query("f2_valid_sha", f"SELECT image_id, {SHA_OK} AS sha_ok FROM fx_image")
@@ -84,6 +87,15 @@ def j6_space_check(fx):
     return I.space_check(fx.space)
 
 
+@query("j6_image_space", f"""
+SELECT a.device_id, a.image_id, s.avail_kb, CAST(CASE WHEN i.compressed THEN 2500 * 1024 WHEN NOT i.compressed THEN 0 END AS BIGINT) AS required_kb,
+       COALESCE(s.avail_kb, 0) >= CASE WHEN i.compressed THEN 2500 * 1024 WHEN NOT i.compressed THEN 0 END AS enough
+FROM fx_assign a LEFT JOIN fx_space s ON s.device_id = a.device_id
+LEFT JOIN (SELECT image_id, COALESCE({FILE_TYPE} IN ('xz', 'gz'), false) AS compressed FROM fx_image) i ON i.image_id = a.image_id""")
+def j6_image_space(fx):
+    return I.image_space(fx.space, fx.assign, fx.image)
+
+
 @query("j7_command_trust", """
 SELECT device_id, cmd, path,
   CASE WHEN path IS NULL THEN 'not found' WHEN birth_s < 0 THEN 'no birth date' WHEN os_birth_s < 0 THEN 'no OS birth date'
@@ -101,14 +113,12 @@ def s7_read_images(fx):
     """Image files: every body written as a file under the shared folder, read
     back with the ``binaryFile`` source; length and digest per file (the text
     writer ends each file with one newline, which the digest leaves out)."""
-    import uuid
-
     from pyspark.sql import functions as F
 
-    from slotwise.session import checkpoint_dir
+    from slotwise.session import scratch
     from slotwise.sources import readers as R
-    root = f"{checkpoint_dir(fx.spark).rstrip('/')}/slotwise-images-{uuid.uuid4().hex}"
-    fx.image.select("image_id", "body").write.partitionBy("image_id").text(root)
+    root = scratch(fx.spark, "images")
+    fx.image.select("image_id", "body").write.mode("append").partitionBy("image_id").text(root)
     files = R.read_images(fx.spark, root, name_glob="*.txt")
     content = F.expr("substring(content, 1, length(content) - 1)")
     return files.select(F.regexp_extract("path", r"image_id=([0-9]+)", 1).cast("long").alias("image_id"),
@@ -119,13 +129,11 @@ def s7_read_images(fx):
 def s7_read_gz_images(fx):
     """Compressed images: every body stored gzip-compressed, read back as one
     whole text per file (Spark's codec does the decompression), digested."""
-    import uuid
-
     from pyspark.sql import functions as F
 
-    from slotwise.session import checkpoint_dir
-    root = f"{checkpoint_dir(fx.spark).rstrip('/')}/slotwise-gz-{uuid.uuid4().hex}"
-    fx.image.select("image_id", "body").write.partitionBy("image_id").option("compression", "gzip").text(root)
+    from slotwise.session import scratch
+    root = scratch(fx.spark, "gz")
+    fx.image.select("image_id", "body").write.mode("append").partitionBy("image_id").option("compression", "gzip").text(root)
     files = fx.spark.read.text(root, wholetext=True)
     body = F.expr("substring(value, 1, length(value) - 1)")   # the writer's newline
     return files.select(F.col("image_id").cast("long").alias("image_id"), F.sha2(body, 256).alias("sha"))

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from slotwise.operators import slots as S
 from slotwise.plans.catalog import query
 from slotwise.plans.dataset_slots import DatasetSlots
-from slotwise.session import checkpoint_dir
+from slotwise.session import scratch
 
-KEEP_FILES = ["/etc/hostname"]   # fixed value: files carried over from the running system
+# files carried over from the running system; the second is only in the new tree at some scales
+KEEP_FILES = ["/etc/hostname", "/usr/share/fr/3"]
 
 
 def _slot(fx, s):
@@ -22,19 +21,19 @@ def _slot(fx, s):
 WITH lv AS (SELECT slot, sha256(path) AS k, sha256('0' || path || '=' || digest) AS h FROM fx_manifest),
 l2 AS (SELECT slot, substr(k, 1, 2) AS p, sha256(string_agg(h, '' ORDER BY h)) AS h FROM lv GROUP BY ALL),
 l1 AS (SELECT slot, substr(p, 1, 1) AS p, sha256(string_agg(h, '' ORDER BY h)) AS h FROM l2 GROUP BY ALL)
-SELECT slot, sha256(string_agg(h, '' ORDER BY h)) AS root FROM l1 GROUP BY ALL""")
+SELECT slot, sha256(string_agg(h, '' ORDER BY h)) AS root, 2 AS depth FROM l1 GROUP BY slot""")
 def a6_merkle_root(fx):
-    """Integrity root per slot; prefix depth 2, deeper when leaf groups would
-    exceed ~10,000 rows (the depth is part of the root's definition)."""
-    m = fx.manifest
-    depth = max(2, S.depth_for(m.count()))
-    return S.manifest_root(m, depth)
+    """Integrity root per slot and its prefix depth (part of the root's definition)."""
+    return S.manifest_root(fx.manifest)
 
 
 @query("j8_preserve_overlay", f"""
 SELECT path, digest, 'new' AS source FROM fx_manifest WHERE slot = 'b' AND path NOT IN ({", ".join(f"'{p}'" for p in KEEP_FILES)})
 UNION ALL
-SELECT path, digest, 'old' AS source FROM fx_manifest WHERE slot = 'a' AND path IN ({", ".join(f"'{p}'" for p in KEEP_FILES)})""")
+SELECT path, digest, 'old' AS source FROM fx_manifest WHERE slot = 'a' AND path IN ({", ".join(f"'{p}'" for p in KEEP_FILES)})
+UNION ALL
+SELECT path, digest, 'new' AS source FROM fx_manifest WHERE slot = 'b' AND path IN ({", ".join(f"'{p}'" for p in KEEP_FILES)})
+  AND path NOT IN (SELECT path FROM fx_manifest WHERE slot = 'a')""")
 def j8_preserve_overlay(fx):
     return S.preserve_overlay(_slot(fx, "b"), _slot(fx, "a"), KEEP_FILES)
 
@@ -58,25 +57,23 @@ def u1_mirror(fx):
     return S.mirror(_slot(fx, "b"), _slot(fx, "a"))
 
 
-def _fresh_root(spark) -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/slotwise-dataset-{uuid.uuid4().hex}"
-
-
 @query("s8_publish_write", """
-SELECT 'a' AS slot_written, path, digest FROM fx_manifest WHERE slot = 'b'""")
+SELECT 'b' AS slot_written, path, digest FROM fx_manifest WHERE slot = 'b'
+UNION ALL SELECT 'a' AS slot_written, path, digest FROM fx_manifest WHERE slot = 'a'""")
 def s8_publish_write(fx):
-    """Publish slot b's manifest into a fresh A/B dataset: it lands in the
-    inactive slot (``a`` on a fresh dataset); read back from there."""
-    ds = DatasetSlots(fx.spark, _fresh_root(fx.spark))
-    slot = ds.write(_slot(fx, "b").select("path", "digest"))
-    return fx.spark.read.parquet(ds.slot_path(slot)).select(F.lit(slot).alias("slot_written"), "path", "digest")
+    """Slot a's manifest published into a fresh dataset, then slot b's while a
+    runs: each lands in the slot that does not run, the other stays; both read back."""
+    root = scratch(fx.spark, "publish")
+    running = S.publish_write(_slot(fx, "a").select("path", "digest"), root, None)
+    S.publish_write(_slot(fx, "b").select("path", "digest"), root, running)
+    return fx.spark.read.parquet(root).select(F.col("slot").alias("slot_written"), "path", "digest")
 
 
 @query("p1_dataset_slots", "SELECT path, digest FROM fx_manifest WHERE slot = 'a'")
 def p1_dataset_slots(fx):
     """Full cycle: publish a, verify, apply, open, commit; publish b, apply,
     open (trial), roll back; the next open serves a again."""
-    ds = DatasetSlots(fx.spark, _fresh_root(fx.spark))
+    ds = DatasetSlots(fx.spark, scratch(fx.spark, "dataset"))
     ds.write(_slot(fx, "a").select("path", "digest"))
     if not ds.verify():
         raise RuntimeError("slot a failed verification")

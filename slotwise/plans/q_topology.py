@@ -187,6 +187,14 @@ def s1_read_block(fx):
     return R.read_block(R.render_block(fx.block))
 
 
+@query("s1_read_block_aligned", """
+SELECT device_id, ord, depth, nullif(regexp_replace(name, '^[^a-zA-Z0-9]*', ''), '') AS name, fstype, partlabel, mountpoint
+FROM fx_block""")
+def s1_read_block_aligned(fx):
+    """Padded lsblk text with header and tree glyphs, parsed back into columns."""
+    return R.read_block_aligned(R.render_block_aligned(fx.block))
+
+
 @query("s2_read_blkid", "SELECT device_id, dev, uuid, partuuid FROM fx_blkid")
 def s2_read_blkid(fx):
     """blkid text rendered from the id table, parsed back (attributes as a map)."""

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -64,6 +65,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def scratch(spark: SparkSession, prefix: str) -> str:
+    """A new folder name under the shared checkpoint folder; removed when the session's JVM ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/slotwise-{prefix}-{uuid.uuid4().hex}"
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(p)        # only what exists can be marked
+    fs.deleteOnExit(p)
+    return path
+
+
 def cluster_conf(input_bytes: int, executor_cores: int = 4, target_partition_bytes: int = 128 << 20) -> dict:
     """Settings to size a cluster session for ``input_bytes`` of input.
 
@@ -73,8 +84,8 @@ def cluster_conf(input_bytes: int, executor_cores: int = 4, target_partition_byt
     of the same order so their joins and windows stay shuffle-free.
     """
     parts = max(200, -(-input_bytes // target_partition_bytes))
-    # inventories are a small share of the input: ~parts/4 buckets, capped
-    buckets = min(16384, 1 << max(3, (parts - 1).bit_length() - 2))
+    # inventories are a small share of the input: ~parts/4 buckets
+    buckets = 1 << max(3, (parts - 1).bit_length() - 2)
     return {
         **SESSION_CONF,
         "spark.sql.shuffle.partitions": str(parts),

@@ -285,21 +285,32 @@ def oracle_with(sql: str) -> str:
     return head + ",\n".join(ctes) + "\n" + body
 
 
-_REGISTERED: dict[int, str] = {}
+_REGISTERED: dict[int, tuple[str, str]] = {}
 
 
-def _source_key(sf_dir: str) -> str:
-    """Identity of a scale directory: path, sizes and modification times."""
-    parts = [os.path.abspath(sf_dir)]
-    for t in BASE_TABLES:
-        p = f"{sf_dir}/{t}.parquet"
-        if os.path.exists(p):
-            st = os.stat(p)
-            parts.append(f"{t}:{st.st_size}:{int(st.st_mtime)}")
-    return hashlib.sha256("|".join(parts).encode()).hexdigest()[:16]
+def _source_files(spark, sf_dir: str) -> list[tuple[str, int, int]]:
+    """(path, bytes, modification time) of every file of the base tables, from the file system that holds them."""
+    out, todo = [], [f"{sf_dir}/{t}.parquet" for t in BASE_TABLES]
+    while todo:
+        p, fs = _fs(spark, todo.pop())
+        if not fs.exists(p):
+            continue
+        st = fs.getFileStatus(p)
+        if st.isDirectory():
+            todo.extend(x.getPath().toString() for x in fs.listStatus(p))
+        else:
+            out.append((st.getPath().toString(), st.getLen(), st.getModificationTime()))
+    return sorted(out)
+
+
+def _source_key(spark, sf_dir: str) -> str:
+    """Identity of a scale directory: path, size and modification time of each file."""
+    parts = "|".join(":".join(map(str, f)) for f in _source_files(spark, sf_dir))
+    return hashlib.sha256(f"{sf_dir}|{parts}".encode()).hexdigest()[:16]
 
 
-DEFAULT_BUCKETS = 8
+MIN_BUCKETS = 8
+BUCKET_BYTES = 64 << 20      # input bytes per bucket; fixtures are a share of the input
 # Event histories: unbounded per device, so never bucketed by device (a hot
 # device would become one bucket file and one scan task); stored in time order.
 HISTORY_TABLES = {"fx_run": "start_ts", "fx_action": "ts", "fx_log": "seq"}
@@ -322,19 +333,19 @@ def register(spark, sf_dir: str, materialize: bool = True, buckets: int | None =
     # epoch conversions and log offsets are all judged in UTC.
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    if _REGISTERED.get(key) == sf_dir and spark.catalog.tableExists("fx_space"):
+    src_key = _source_key(spark, sf_dir)
+    if _REGISTERED.get(key) == (sf_dir, src_key) and spark.catalog.tableExists("fx_space"):
         return
     for t in BASE_TABLES:
         spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
-    nb = _buckets(spark, buckets)
+    nb = _buckets(spark, sf_dir, buckets)
     base = fixture_dir(spark, sf_dir, nb) if materialize else None
-    src_key = _source_key(sf_dir)
     for n in ORACLE_SQL:
         df = spark.sql(_dialect(SPARK_SQL[n], "spark"))
         if base is not None:
             df = _stored(spark, df, n, f"{base}/{n}", nb, src_key)
         df.createOrReplaceTempView(n)
-    _REGISTERED[key] = sf_dir
+    _REGISTERED[key] = (sf_dir, src_key)
 
 
 def _stored(spark, df, name: str, path: str, nb: int, src_key: str):
@@ -390,15 +401,17 @@ def _delete(spark, path: str) -> None:
     fs.delete(p, True)
 
 
-def _buckets(spark, buckets: int | None = None) -> int:
-    return buckets or int(spark.conf.get("slotwise.buckets", None) or os.environ.get("SLOTWISE_BUCKETS", DEFAULT_BUCKETS))
+def _buckets(spark, sf_dir: str, buckets: int | None = None) -> int:
+    """Buckets of the stored fixtures: as set, else by the size of the input, without a cap."""
+    told = buckets or spark.conf.get("slotwise.buckets", None) or os.environ.get("SLOTWISE_BUCKETS")
+    return int(told) if told else max(MIN_BUCKETS, -(-sum(f[1] for f in _source_files(spark, sf_dir)) // BUCKET_BYTES))
 
 
 def fixture_dir(spark, sf_dir: str, buckets: int | None = None) -> str:
     """Folder of the stored fixture tables of ``sf_dir`` (one sub-folder each)."""
     from slotwise.session import checkpoint_dir
-    nb = _buckets(spark, buckets)
-    return f"{checkpoint_dir(spark).rstrip('/')}/slotwise-fixtures/{_source_key(sf_dir)}-b{nb}-v2"
+    nb = _buckets(spark, sf_dir, buckets)
+    return f"{checkpoint_dir(spark).rstrip('/')}/slotwise-fixtures/{_source_key(spark, sf_dir)}-b{nb}-v2"
 
 
 def _exists(spark, path: str) -> bool:

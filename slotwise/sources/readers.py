@@ -7,7 +7,7 @@ same code serves batch (``spark.read.text`` / Parquet) and streams
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from slotwise import constants as K
@@ -18,9 +18,9 @@ def read_block(lines: DataFrame) -> DataFrame:
     """Lsblk text ``NAME FSTYPE PARTLABEL MOUNTPOINT`` -> block rows.
 
     ``depth`` is the width of the leading tree glyphs (two characters per
-    level).  Cells are split on single blanks, so an empty middle cell stays
-    in its column; the blank-collapsing read of the updater would shift it
-    (H11).
+    level).  Cells are split on single blanks (the raw form), so an empty
+    middle cell stays in its column; the blank-collapsing read of the updater
+    would shift it (H11).  For padded columns see :func:`read_block_aligned`.
     """
     glyphs = F.regexp_extract("line", r"^([^a-zA-Z0-9]*)", 1)
     body = F.split(F.regexp_replace("line", r"^[^a-zA-Z0-9]*", ""), " ")
@@ -33,6 +33,45 @@ def read_block(lines: DataFrame) -> DataFrame:
         C.nullif_empty(F.get(body, 3)).alias("mountpoint"))
 
 
+BLOCK_COLUMNS = ("NAME", "FSTYPE", "PARTLABEL", "MOUNTPOINT")
+
+
+def read_block_aligned(lines: DataFrame) -> DataFrame:
+    """S1, aligned form: padded columns under a header line, tree glyphs
+    (``├─``, ``└─``, ``│ ``) before the names.
+
+    The header (the line that starts with ``NAME``, lowest ``ord`` of the
+    device) says where the columns begin; a device's listing is bounded, so it
+    reaches its lines by a window.  ``ord`` of the result starts at 0 after
+    the header.
+    """
+    is_header = F.col("line").startswith("NAME ")
+    w = Window.partitionBy("device_id")
+    starts = F.array(*(F.instr(F.col("__header"), n) for n in BLOCK_COLUMNS))
+    at = lines.withColumn("__header", F.min_by(F.when(is_header, F.col("line")), F.when(is_header, F.col("ord"))).over(w))
+    at = at.withColumn("__first", F.min(F.when(is_header, F.col("ord"))).over(w)).withColumn("__at", starts)
+    cells = [F.trim(F.substring(F.col("line"), F.get("__at", i), F.get("__at", i + 1) - F.get("__at", i)) if i < 3
+                    else F.substring(F.col("line"), F.get("__at", i), F.length("line"))) for i in range(4)]
+    glyphs = F.regexp_extract("line", r"^([^a-zA-Z0-9]*)", 1)
+    return at.where(F.col("ord") > F.col("__first")).select(
+        "device_id", (F.col("ord") - F.col("__first") - 1).cast("int").alias("ord"),
+        (F.length(glyphs) / 2).cast("int").alias("depth"), C.clean_name(cells[0]).alias("name"),
+        *[C.nullif_empty(c).alias(n.lower()) for c, n in zip(cells[1:], BLOCK_COLUMNS[1:])])
+
+
+def render_block_aligned(block: DataFrame) -> DataFrame:
+    """Aligned lsblk-style text of block rows with a header (the inverse of :func:`read_block_aligned`)."""
+    w = Window.partitionBy("device_id")
+    glyph = F.when(F.col("depth") > 0, F.concat(F.repeat(F.lit("│ "), F.col("depth") - 1), F.lit("├─"))).otherwise(F.lit(""))
+    cells = [F.concat(glyph, F.coalesce("name", F.lit(""))), *(F.coalesce(c.lower(), F.lit("")) for c in BLOCK_COLUMNS[1:])]
+    rows = block.select("device_id", (F.col("ord") + 1).alias("ord"), *(c.alias(n) for c, n in zip(cells, BLOCK_COLUMNS)))
+    header = block.select("device_id").distinct().select(
+        "device_id", F.lit(0).alias("ord"), *(F.lit(n).alias(n) for n in BLOCK_COLUMNS))
+    every = rows.unionByName(header)
+    line = F.concat_ws(" ", *(F.rpad(F.col(n), F.max(F.length(n)).over(w), " ") for n in BLOCK_COLUMNS))
+    return every.select("device_id", "ord", F.rtrim(line).alias("line"))
+
+
 def render_block(block: DataFrame) -> DataFrame:
     """lsblk-style text of block rows (the inverse of :func:`read_block`)."""
     glyph = F.when(F.col("depth") > 0, F.concat(F.repeat(F.lit("  "), F.col("depth") - 1), F.lit("└─"))).otherwise(F.lit(""))
@@ -103,13 +142,24 @@ def read_log(lines: DataFrame) -> DataFrame:
         F.when(level.isNotNull(), F.regexp_extract(plain, _LOG_RE, 3)).alias("msg"))
 
 
-def read_images(spark, path_glob: str, recursive: bool = True, name_glob: str | None = None) -> DataFrame:
+MAX_CONTENT = (1 << 31) - 1     # one value of Spark's binary type
+
+
+def read_images(spark, path_glob: str, recursive: bool = True, name_glob: str | None = None,
+                max_bytes: int = MAX_CONTENT) -> DataFrame:
     """Image files as ``path, length, content`` (regular files only);
-    ``name_glob`` keeps only matching file names (e.g. ``*.raw.gz``)."""
+    ``name_glob`` keeps only matching file names (e.g. ``*.raw.gz``).
+
+    A file above ``max_bytes`` is listed with ``content`` NULL, so that one
+    large image becomes a verdict and not a failed job; the length filter is
+    pushed into the source, which then does not read such a file.
+    """
     reader = spark.read.format("binaryFile")
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)
-    return reader.load(path_glob).select("path", "length", "content")
-
+    files = reader.load(path_glob)
+    small = files.where(F.col("length") <= max_bytes).select("path", "length", "content")
+    large = files.where(F.col("length") > max_bytes).select("path", "length", F.lit(None).cast("binary").alias("content"))
+    return small.unionByName(large)
