@@ -67,7 +67,7 @@ def j10_overlapping_runs(fx):
     return LC.overlapping_runs(fx.run)
 
 
-@query("j11_wait_for", """
+J11_SQL = """
 WITH a AS (SELECT device_id, seq, ts FROM fx_action WHERE action = 'apply'),
 r AS (SELECT device_id, ts FROM fx_action WHERE action = 'reboot'),
 nx AS (SELECT a.device_id, a.seq, a.ts, (SELECT min(r.ts) FROM r WHERE r.device_id = a.device_id AND r.ts >= a.ts) AS rts FROM a),
@@ -75,7 +75,10 @@ d AS (SELECT device_id, seq, epoch_us(rts) - epoch_us(ts) AS dt FROM nx)
 SELECT device_id, seq,
   CASE WHEN dt IS NOT NULL AND dt <= 21600000000 THEN CAST(floor((dt + 3599999999) / 3600000000) AS BIGINT) END AS tick,
   NOT COALESCE(dt <= 21600000000, false) AS timed_out
-FROM d""")
+FROM d"""
+
+
+@query("j11_wait_for", J11_SQL)
 def j11_wait_for(fx):
     """Apply -> reboot: first hourly poll that sees the reboot, timeout 6 h."""
     acts = fx.action

@@ -126,11 +126,12 @@ _ANSI = r"\x1b\[[0-9;]*m"
 _LOG_RE = r"^(\S*) \[(ERROR|WARN|INFO|DEBUG)\]: (.*)$"
 
 
-def read_log(lines: DataFrame) -> DataFrame:
+def read_log(lines: DataFrame, *keep: str) -> DataFrame:
     """``<ISO time> [LEVEL]: msg`` with ANSI colours stripped.
 
     The timestamp is optional; it is turned into UTC wall time
-    (``timestamp_ntz``).  Lines of another shape get ``level`` NULL.
+    (``timestamp_ntz``).  Lines of another shape get ``level`` NULL.  ``keep``
+    names further columns to pass through.
     """
     plain = F.regexp_replace("line", _ANSI, "")
     ts_txt = C.nullif_empty(F.regexp_extract(plain, _LOG_RE, 1))
@@ -139,7 +140,7 @@ def read_log(lines: DataFrame) -> DataFrame:
         "device_id", "seq",
         F.try_to_timestamp(ts_txt, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")).cast("timestamp_ntz").alias("ts"),
         level.alias("level"),
-        F.when(level.isNotNull(), F.regexp_extract(plain, _LOG_RE, 3)).alias("msg"))
+        F.when(level.isNotNull(), F.regexp_extract(plain, _LOG_RE, 3)).alias("msg"), *keep)
 
 
 MAX_CONTENT = (1 << 31) - 1     # one value of Spark's binary type

@@ -1,110 +1,148 @@
 """Streaming forms of the log, lifecycle, wait and lock operators.
 
-* ST1 ``log_counts_stream``: A7 per tumbling event-time window, watermarked.
-* ST2 ``lifecycle_stream``: W8 + W9 incrementally; state per device.
+* ST1 ``log_counts_stream``: A7 per tumbling event-time window, watermarked;
+  lines without a time are counted apart.
+* ST2 ``lifecycle_stream`` / ``lifecycle_timeouts``: W8 + W9 incrementally.
 * ST3 ``wait_for_stream``: J11 as a stream-stream left outer join with a
   time-range condition and watermarks on both sides.
-* ST4 ``admit_runs_stream``: W10 incrementally; state = lock end per device.
+* ST4 ``admit_runs_stream``: W10 incrementally.
 
-ST2 / ST4 use ``applyInPandasWithState``: a micro-batch hands each device's
-new events to one call (bounded by the batch size, not by the history), the
-events are sorted by time and folded into the device's small state.
+ST2 and ST4 are stateful processors that do not depend on the order in which
+events arrive: a device's events wait in its state until the watermark has
+passed them and are then folded in event-time order.  State is one small tuple
+and the events of the last ``watermark`` per device; a device without pending
+events and with its initial state keeps none.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor
 
 from slotwise.sources import readers as R
 
-# The state functions below are the only Python that runs on executors.
-# Pickle them by value, so executors need no copy of this package installed.
-try:
-    import sys as _sys
-
-    from pyspark import cloudpickle as _cloudpickle
-    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
-except (ImportError, AttributeError, ValueError):   # older cloudpickle: ship the package instead
-    pass
+# Executors need no copy of this package: what they run is pickled by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LIFECYCLE_OUT = ("device_id long, seq long, ts timestamp_ntz, action string, outcome string, "
                  "staged int, armed int, trial int")
-LIFECYCLE_STATE = "staged int, armed int, trial int"
 ADMIT_OUT = "run_id long, device_id long, admitted boolean, exit_code int"
-ADMIT_STATE = "lock_end long"
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 # --- ST1 --------------------------------------------------------------------
 
 def log_counts_stream(lines: DataFrame, window: str = "1 hour", watermark: str = "1 hour") -> DataFrame:
-    """ST1: lines per device, level and event-time window; lines later than
-    the watermark are dropped, lines without a timestamp cannot be placed."""
-    parsed = (R.read_log(lines).where(F.col("ts").isNotNull() & F.col("level").isNotNull())
-                .withColumn("ts", F.col("ts").cast("timestamp")))   # watermarks need TIMESTAMP
-    return (parsed.withWatermark("ts", watermark)
-                  .groupBy(F.window("ts", window).alias("w"), "device_id", "level")
+    """ST1: lines per device, level and event-time window.
+
+    ``lines``: device_id, seq, line, arrived.  Lines later than the watermark
+    are dropped.  A line without a time is placed by its arrival, so that its
+    window closes, and marked ``timed = false``: see :func:`log_totals`.
+    """
+    parsed = R.read_log(lines, "arrived").where(F.col("level").isNotNull())
+    at = F.coalesce(F.col("ts").cast("timestamp"), F.col("arrived"))   # watermarks need TIMESTAMP
+    return (parsed.select("device_id", "level", F.col("ts").isNotNull().alias("timed"), at.alias("at"))
+                  .withWatermark("at", watermark)
+                  .groupBy(F.window("at", window).alias("w"), "timed", "device_id", "level")
                   .agg(F.count(F.lit(1)).alias("lines"))
                   .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
                           F.col("w.end").cast("timestamp_ntz").alias("window_end"),
-                          "device_id", "level", "lines"))
+                          "timed", "device_id", "level", "lines"))
+
+
+def log_totals(counts: DataFrame) -> DataFrame:
+    """Batch step after ST1: the windows of timed lines, and one row without a window for the others."""
+    return (counts.groupBy(F.when(F.col("timed"), F.col("window_start")).alias("window_start"),
+                           F.when(F.col("timed"), F.col("window_end")).alias("window_end"), "device_id", "level")
+                  .agg(F.sum("lines").alias("lines")))
+
+
+# --- ordered state ----------------------------------------------------------
+
+Event = tuple[int, int, str, int]       # time (us), seq, what, until (us)
+EVENT = "us long, seq long, what string, until long"
+# fold(key, state, events in order, watermark in us) -> (state, output rows, next deadline in us or None)
+Fold = Callable[[int, tuple, list[Event], int], tuple[tuple, list[tuple], "int | None"]]
+
+
+class InOrder(StatefulProcessor):
+    """Folds a device's events in order of (time, seq), however they arrive.
+
+    Events wait in a list state until the watermark has passed them; an
+    event-time timer wakes the device for the next one, or for a deadline of
+    the fold.
+    """
+
+    def __init__(self, fold: Fold, state: str, initial: tuple, columns: dict[str, str]):
+        self.fold, self.schema, self.initial, self.columns = fold, state, initial, columns
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", EVENT)
+        self.value = handle.getValueState("value", self.schema)
+
+    def handleInputRows(self, key, rows, timerValues):
+        new = []
+        for df in rows:
+            new.extend(zip(df["us"].tolist(), df["seq"].tolist(), df["what"].tolist(), df["until"].tolist()))
+        yield self.advance(int(key[0]), new, timerValues.getCurrentWatermarkInMs() * 1000)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        yield self.advance(int(key[0]), [], timerValues.getCurrentWatermarkInMs() * 1000)
+
+    def advance(self, key: int, new: list[Event], watermark: int) -> pd.DataFrame:
+        waiting = [tuple(e) for e in self.waiting.get()] if self.waiting.exists() else []
+        events = sorted([*waiting, *new])
+        due = [e for e in events if e[0] < watermark]
+        rest = events[len(due):]
+        state = tuple(self.value.get()) if self.value.exists() else self.initial
+        state, out, deadline = self.fold(key, state, due, watermark)
+        if rest:
+            self.waiting.put(rest)
+        elif waiting:
+            self.waiting.clear()
+        if state != self.initial:
+            self.value.update(state)
+        elif self.value.exists():
+            self.value.clear()
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+        wake = [t for t in (rest[0][0] if rest else None, deadline) if t is not None]
+        if wake:
+            self.handle.registerTimer(max(min(wake), watermark) // 1000 + 1)
+        return pd.DataFrame(out, columns=list(self.columns)).astype(self.columns)
+
+    def close(self) -> None:
+        pass
+
+
+def _in_order(events: DataFrame, fold: Fold, state: str, initial: tuple, out: str, columns: dict[str, str],
+              watermark: str) -> DataFrame:
+    """``events``: device_id, at (timestamp), us, seq, what, until.  Needs the RocksDB state store, which is switched on."""
+    spark = events.sparkSession
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) != ROCKSDB_PROVIDER:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    return events.withWatermark("at", watermark).groupBy("device_id").transformWithStateInPandas(
+        statefulProcessor=InOrder(fold, state, initial, columns), outputStructType=out, outputMode="Append",
+        timeMode="EventTime")
 
 
-# --- ST2 --------------------------------------------------------------------
+def _action_events(actions: DataFrame) -> DataFrame:
+    at = F.col("ts").cast("timestamp")
+    return actions.select("device_id", at.alias("at"), F.unix_micros(at).alias("us"), "seq", F.col("action").alias("what"),
+                          F.lit(0).cast("long").alias("until"))
 
-def _lifecycle_step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    staged, armed, trial = state.get if state.exists else (0, 0, 0)
-    events = (pd.concat(list(batches), ignore_index=True)
-                .sort_values(["ts", "seq"], kind="mergesort").reset_index(drop=True))
-    outcome, s_col, a_col, t_col = [], [], [], []
-    for action in events["action"].tolist():
-        if action == "write":
-            staged, res = 1, "staged"
-        elif action == "apply":
-            if staged:
-                armed, trial, res = 1, 0, "accepted"
-            else:
-                res = "Nothing to apply."
-        elif action == "reboot":
-            if armed:
-                armed, trial, res = 0, 1, "trial"
-            elif trial:
-                trial, res = 0, "rollback"
-            else:
-                res = "plain"
-        elif action == "commit":
-            if staged:
-                staged, trial, res = 0, 0, "accepted"
-            else:
-                res = "Nothing to commit."
-        else:
-            res = "no change"
-        outcome.append(res)
-        s_col.append(staged)
-        a_col.append(armed)
-        t_col.append(trial)
-    state.update((staged, armed, trial))
-    yield pd.DataFrame({"device_id": events["device_id"].astype("int64"), "seq": events["seq"].astype("int64"),
-                        "ts": events["ts"], "action": events["action"], "outcome": outcome,
-                        "staged": pd.Series(s_col, dtype="int32"), "armed": pd.Series(a_col, dtype="int32"),
-                        "trial": pd.Series(t_col, dtype="int32")})
-
-
-def lifecycle_stream(actions: DataFrame) -> DataFrame:
-    """ST2: outcome and state after every event, state kept per device."""
-    return actions.groupBy("device_id").applyInPandasWithState(
-        _lifecycle_step, LIFECYCLE_OUT, LIFECYCLE_STATE, "append", GroupStateTimeout.NoTimeout)
-
-
-PENDING_STATE = "staged int, armed int, trial int, pending_since long"
-TIMEOUT_OUTCOME = "armed but never committed"
 
+# --- ST2 --------------------------------------------------------------------
 
-def _step_machine(action, staged, armed, trial):
+def step_machine(action: str, staged: int, armed: int, trial: int) -> tuple[int, int, int, str]:
+    """State after one action, and its outcome."""
     if action == "write":
         return 1, armed, trial, "staged"
     if action == "apply":
@@ -120,57 +158,59 @@ def _step_machine(action, staged, armed, trial):
     return staged, armed, trial, "no change"
 
 
-REPORTED = -1   # ``pending_since`` of an episode already reported
-
-
-def _timeout_step(timeout_us: int):
-    """State function of :func:`lifecycle_timeouts`: one row per episode in
-    which a device stayed armed or on trial, without a commit or rollback,
-    for ``timeout_us`` of event time (times kept in epoch microseconds)."""
-    def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        staged, armed, trial, since = state.get if state.exists else (0, 0, 0, None)
-        cols = ["device_id", "since", "fired", "staged", "armed", "trial"]
-        fired = []
-        if state.hasTimedOut:
-            # the deadline passed with no event: report once, stay pending
-            state.update((staged, armed, trial, REPORTED))
-            yield pd.DataFrame([[int(key[0]), since, since + timeout_us, staged, armed, trial]], columns=cols)
-            return
-        events = (pd.concat(list(batches), ignore_index=True)
-                    .sort_values(["ts", "seq"], kind="mergesort").reset_index(drop=True))
-        us = events["ts"].astype("datetime64[us]").astype("int64").tolist()
-        for action, t in zip(events["action"].tolist(), us):
-            if since is not None and since != REPORTED and t >= since + timeout_us:
-                fired.append([int(key[0]), since, since + timeout_us, staged, armed, trial])
+def lifecycle_fold(key: int, state: tuple, events: list[Event], watermark: int):
+    out = []
+    for us, seq, action, _ in events:
+        *bits, outcome = step_machine(action, *state)
+        state = tuple(bits)
+        out.append((key, seq, pd.Timestamp(us, unit="us"), action, outcome, *state))
+    return state, out, None
+
+
+def lifecycle_stream(actions: DataFrame, watermark: str = "1 hour") -> DataFrame:
+    """ST2: outcome and state after every event, in event-time order; events later than ``watermark`` are dropped."""
+    return _in_order(_action_events(actions), lifecycle_fold, "staged int, armed int, trial int", (0, 0, 0), LIFECYCLE_OUT,
+                     {"device_id": "int64", "seq": "int64", "ts": "datetime64[us]", "action": "object", "outcome": "object",
+                      "staged": "int32", "armed": "int32", "trial": "int32"}, watermark)
+
+
+TIMEOUT_OUTCOME = "armed but never committed"
+NONE, REPORTED = -1, -2     # no episode open; the open episode has been reported
+
+
+def timeout_fold(timeout_us: int) -> Fold:
+    """One row per episode in which a device stayed armed or on trial for ``timeout_us`` without commit or rollback."""
+    def fold(key: int, state: tuple, events: list[Event], watermark: int):
+        *bits, since = state
+        out = []
+
+        def report(now: int) -> None:
+            nonlocal since
+            if since >= 0 and now >= since + timeout_us:
+                out.append((key, since, since + timeout_us, *bits))
                 since = REPORTED
-            staged, armed, trial, _ = _step_machine(action, staged, armed, trial)
-            if armed or trial:
-                if since is None:
-                    since = int(t)
-            else:
-                since = None
-        if since is not None and since != REPORTED:
-            due_ms = -(-(since + timeout_us) // 1000)
-            if due_ms > state.getCurrentWatermarkMs():
-                state.setTimeoutTimestamp(due_ms)
-        state.update((staged, armed, trial, since))
-        yield pd.DataFrame(fired, columns=cols).astype(
-            {"device_id": "int64", "since": "int64", "fired": "int64",
-             "staged": "int32", "armed": "int32", "trial": "int32"})
-    return step
+
+        for us, _, action, _ in events:
+            report(us)
+            *bits, _outcome = step_machine(action, *bits)
+            if not (bits[1] or bits[2]):
+                since = NONE
+            elif since == NONE:
+                since = us
+        # no event before the watermark can still come
+        report(watermark)
+        return (*bits, since), out, since + timeout_us if since >= 0 else None
+    return fold
 
 
 def lifecycle_timeouts(actions: DataFrame, timeout_s: int, watermark: str = "1 hour") -> DataFrame:
     """ST2 timeout: episodes in which a device stayed armed (or on trial)
-    without a commit or rollback for ``timeout_s`` of event time.  Reported
-    when a later event of the device shows the deadline passed, or, with no
-    event, once the watermark passes the deadline (event-time timeout of the
-    device's state).  Each episode is reported once."""
-    ev = actions.withColumn("event_time", F.col("ts").cast("timestamp")).withWatermark("event_time", watermark)
-    out = ev.groupBy("device_id").applyInPandasWithState(
-        _timeout_step(timeout_s * 1_000_000),
-        "device_id long, since long, fired long, staged int, armed int, trial int",
-        PENDING_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    without a commit or rollback for ``timeout_s`` of event time, reported once
+    each, when the watermark passes the deadline."""
+    kinds = {"device_id": "int64", "since": "int64", "fired": "int64", "staged": "int32", "armed": "int32", "trial": "int32"}
+    out = _in_order(_action_events(actions), timeout_fold(timeout_s * 1_000_000),
+                    "staged int, armed int, trial int, since long", (0, 0, 0, NONE),
+                    "device_id long, since long, fired long, staged int, armed int, trial int", kinds, watermark)
     return out.select("device_id",
                       F.timestamp_micros("since").cast("timestamp_ntz").alias("pending_since"),
                       F.timestamp_micros("fired").cast("timestamp_ntz").alias("deadline"),
@@ -179,75 +219,25 @@ def lifecycle_timeouts(actions: DataFrame, timeout_s: int, watermark: str = "1 h
 
 # --- ST4 --------------------------------------------------------------------
 
-def _admit_step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    lock_end = state.get[0] if state.exists else None
-    lock_end, out = _admit_fold(lock_end, pd.concat(list(batches), ignore_index=True))
-    if lock_end is not None:
-        state.update((int(lock_end),))
-    yield out
-
-
-def admit_runs_stream(runs: DataFrame) -> DataFrame:
-    """ST4: lock admission, state = end of the lock held per device (epoch µs)."""
-    r = runs.select("run_id", "device_id",
-                    F.unix_micros(F.col("start_ts").cast("timestamp")).alias("start_ts"),
-                    F.unix_micros(F.col("end_ts").cast("timestamp")).alias("end_ts"))
-    return r.groupBy("device_id").applyInPandasWithState(
-        _admit_step, ADMIT_OUT, ADMIT_STATE, "append", GroupStateTimeout.NoTimeout)
-
-
-ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def _admit_fold(lock_end, runs: pd.DataFrame):
-    """Greedy admission of one device's runs (sorted here), from ``lock_end``."""
-    runs = runs.sort_values(["start_ts", "run_id"], kind="mergesort").reset_index(drop=True)
-    admitted = []
-    for s, e in zip(runs["start_ts"].astype("int64").tolist(), runs["end_ts"].astype("int64").tolist()):
-        ok = lock_end is None or s >= lock_end
+def admit_fold(key: int, state: tuple, events: list[Event], watermark: int):
+    """Greedy lock admission; the state is the end of the lock held, forgotten once it is past."""
+    (held,) = state
+    out = []
+    for us, run, _, until in events:
+        ok = held == NONE or us >= held
         if ok:
-            lock_end = e
-        admitted.append(ok)
-    out = pd.DataFrame({"run_id": runs["run_id"].astype("int64"), "device_id": runs["device_id"].astype("int64"),
-                        "admitted": admitted,
-                        "exit_code": pd.Series([0 if a else 1 for a in admitted], dtype="int32")})
-    return lock_end, out
-
-
-def _lock_processor():
-    from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-
-    class LockAdmission(StatefulProcessor):
-        """ST4 as a stateful processor: one ``ValueState`` (end of the lock
-        held) per device."""
-
-        def init(self, handle: StatefulProcessorHandle) -> None:
-            self.lock = handle.getValueState("lock_end", ADMIT_STATE)
-
-        def handleInputRows(self, key, rows, timerValues):
-            lock_end = self.lock.get()[0] if self.lock.exists() else None
-            lock_end, out = _admit_fold(lock_end, pd.concat(list(rows), ignore_index=True))
-            if lock_end is not None:
-                self.lock.update((int(lock_end),))
-            yield out
-
-        def close(self) -> None:
-            pass
-
-    return LockAdmission()
-
-
-def admit_runs_stream_tws(runs: DataFrame) -> DataFrame:
-    """ST4 with ``transformWithStateInPandas`` (needs the RocksDB state store,
-    which is switched on for the session if another provider is set)."""
-    spark = runs.sparkSession
-    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) != ROCKSDB_PROVIDER:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-    r = runs.select("run_id", "device_id",
-                    F.unix_micros(F.col("start_ts").cast("timestamp")).alias("start_ts"),
-                    F.unix_micros(F.col("end_ts").cast("timestamp")).alias("end_ts"))
-    return r.groupBy("device_id").transformWithStateInPandas(
-        statefulProcessor=_lock_processor(), outputStructType=ADMIT_OUT, outputMode="Append", timeMode="None")
+            held = until
+        out.append((run, key, ok, 0 if ok else 1))
+    return (NONE if held <= watermark else held,), out, held if held > watermark else None
+
+
+def admit_runs_stream(runs: DataFrame, watermark: str = "1 hour") -> DataFrame:
+    """ST4: lock admission in order of (start, run_id); runs that start before the watermark are dropped."""
+    at, end = F.col("start_ts").cast("timestamp"), F.col("end_ts").cast("timestamp")
+    events = runs.select("device_id", at.alias("at"), F.unix_micros(at).alias("us"), F.col("run_id").alias("seq"),
+                         F.lit("run").alias("what"), F.unix_micros(end).alias("until"))
+    return _in_order(events, admit_fold, "held long", (NONE,), ADMIT_OUT,
+                     {"run_id": "int64", "device_id": "int64", "admitted": "bool", "exit_code": "int32"}, watermark)
 
 
 # --- ST3 --------------------------------------------------------------------

@@ -1,43 +1,39 @@
 """File stream sources for tests and demos.
 
 A real deployment points ``readStream`` at the folder devices upload to.  To
-replay a table as a stream, :func:`stage_slices` writes it as consecutive
-time slices (one write job per slice, in time order).  Each slice is hash
-partitioned by device, so one device's rows of one slice sit in one file;
-the file source picks files up by modification time, so a device's events
-reach the stream in time order however the micro-batches are cut (all that
-ST2/ST4 need).  The watermarked operators (ST1, ST3) additionally need a
-micro-batch not to end inside a slice, or rows of the slice's remaining
-files could fall behind the watermark: readers use ``maxFilesPerTrigger`` =
-``partitions``, which matches one slice exactly when every slice fills all
-its ``partitions`` files (true for the fixtures: every slice holds far more
-devices than files).
+replay a table as a stream, :func:`stage_slices` writes it in one job, one
+file per slice of arrival time, and sets the files' times in slice order; the
+file source reads files by time, so one file per trigger gives one slice per
+micro-batch.
 """
 
 from __future__ import annotations
 
-import time
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def stage_slices(df: DataFrame, path: str, ts_col: str, slices: int = 6, partitions: int = 4,
-                 key: str = "device_id") -> int:
-    """Write ``df`` under ``path`` as ``slices`` time slices; returns the count written."""
-    t = F.unix_micros(F.col(ts_col).cast("timestamp"))
-    bounds = df.agg(F.min(t).alias("lo"), F.max(t).alias("hi")).first()
-    if bounds["lo"] is None:
+def stage_slices(df: DataFrame, path: str, arrived: Column, closing: DataFrame | None = None, slices: int = 6) -> int:
+    """Write ``df`` under ``path`` as ``slices`` slices of equal spans of ``arrived`` (microseconds).
+
+    ``closing`` (same columns) comes last, in a slice of its own: events late
+    enough to carry the watermark past everything else.  Returns the slices
+    written (empty ones are not).
+    """
+    spark = df.sparkSession
+    lo, hi = df.agg(F.min(arrived), F.max(arrived)).first()
+    if lo is None:
         return 0
-    lo, hi = bounds["lo"], bounds["hi"] + 1
-    step = max(1, -(-(hi - lo) // slices))
-    written = 0
-    for i in range(slices):
-        a, b = lo + i * step, min(hi, lo + (i + 1) * step)
-        if a >= hi:
-            break
-        part = df.where((t >= F.lit(a)) & (t < F.lit(b)))
-        part.repartition(partitions, key).write.mode("append").parquet(path)
-        written += 1
-        time.sleep(1.05)   # distinct modification times between slices
-    return written
+    step = max(1, -(-(hi + 1 - lo) // slices))
+    rows = df.withColumn("slice", F.floor((arrived - F.lit(lo)) / F.lit(step)).cast("int"))
+    if closing is not None:
+        rows = rows.unionByName(closing.withColumn("slice", F.lit(slices)))
+    rows.repartition(slices + 1, "slice").write.partitionBy("slice").parquet(path)
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folders = sorted((int(st.getPath().getName().split("=")[1]), st.getPath())
+                     for st in fs.listStatus(root) if st.getPath().getName().startswith("slice="))
+    for k, folder in folders:
+        for st in fs.listStatus(folder):
+            fs.setTimes(st.getPath(), 1_700_000_000_000 + k * 60_000, -1)
+    return len(folders)
