@@ -82,4 +82,14 @@ ERROR_STAGE = {
     "Failed to get active UKI.": "commit",
     "Failed to change boot.": "commit",
     "Failed to commit update OS.": "commit",
+    "Path is empty.": "validation",
+    "Path does not exist": "validation",
+    "Path contains invalid characters.": "validation",
+    "Duplicate PARTUUID detected please check image source.": "write",
+    "Duplicate luksUUID detected please check image source.": "write",
+}
+# fixed values: messages that go on with a value
+ERROR_PREFIX_STAGE = {
+    "Invalid option given: ": "validation",
+    "Timeout waiting for ": "write",
 }

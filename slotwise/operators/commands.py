@@ -43,11 +43,12 @@ def _step(acc: Column, x: Column) -> Column:
         return acc.withField("err", F.lit(msg)).withField("err_pos", pos).withField("pos", pos).withField(
             "expect", F.lit(None).cast("string"))
 
-    sha_val = F.regexp_replace(x, " $", "")
-    as_value_u = F.when(~x.rlike(K.VALID_PATH_RE), err("bad path")).otherwise(
-        acc.withField("src", x).withField("expect", F.lit(None).cast("string")).withField("pos", pos)
-           .withField("paths", F.concat(acc["paths"], F.array(F.struct(pos.alias("pos"), x.alias("path"))))))
-    as_value_s = F.when(~sha_val.rlike(K.VALID_SHA256_RE), err("bad digest")).otherwise(
+    # an empty value is a missing one; one trailing blank is dropped
+    val = sha_val = F.regexp_replace(x, " $", "")
+    as_value_u = F.when(x == "", err("missing value")).when(~val.rlike(K.VALID_PATH_RE), err("bad path")).otherwise(
+        acc.withField("src", val).withField("expect", F.lit(None).cast("string")).withField("pos", pos)
+           .withField("paths", F.concat(acc["paths"], F.array(F.struct(pos.alias("pos"), val.alias("path"))))))
+    as_value_s = F.when(x == "", err("missing value")).when(~sha_val.rlike(K.VALID_SHA256_RE), err("bad digest")).otherwise(
         acc.withField("sha", sha_val).withField("expect", F.lit(None).cast("string")).withField("pos", pos))
     as_option = F.when(x.isin("-u", "-s"), acc.withField("expect", x).withField("pos", pos))
     for tok, flag in _FLAGS.items():
@@ -116,9 +117,10 @@ def planned_steps_long(parsed: DataFrame) -> DataFrame:
 
 
 def stage_of(msg: Column) -> Column:
-    """Stage of an error message (fixed table, a constant map lookup)."""
+    """Stage of an error message (fixed table, a constant map lookup; some messages go on with a value)."""
     m = F.create_map(*[F.lit(x) for kv in K.ERROR_STAGE.items() for x in kv])
-    return F.element_at(m, msg)
+    return F.coalesce(F.element_at(m, msg),
+                      *[F.when(msg.startswith(p), F.lit(stage)) for p, stage in K.ERROR_PREFIX_STAGE.items()])
 
 
 def exit_code(stage: Column, status: Column | None = None) -> Column:

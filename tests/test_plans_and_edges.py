@@ -50,11 +50,17 @@ def test_one_image_for_most_devices(spark):
 def test_argv_as_an_array(spark):
     runs = spark.createDataFrame(
         [(1, 1, ["-w", "-u", ""]), (2, 1, ["-w", "-u", "/img/with blank"]), (3, 1, ["-w", "-u", "/img/os.raw"]), (4, 1, []),
-         (5, 1, None), (6, 1, ["-w", "-u", "/img/none", "-r"]), (7, 1, ["-w", "-u", "/img/os.raw", "-u", "/img/none"])],
+         (5, 1, None), (8, 1, ["-w", "-u", "/img/os.raw "]), (9, 1, ["-s", ""]), (6, 1, ["-w", "-u", "/img/none", "-r"]), (7, 1, ["-w", "-u", "/img/os.raw", "-u", "/img/none"])],
         "run_id long, device_id long, argv array<string>")
     paths = spark.createDataFrame([("/img/os.raw",)], "path string")
     got = {r["run_id"]: r["error"] for r in CM.parse_runs(runs, paths).collect()}
-    assert got == {1: "bad path", 2: "bad path", 3: None, 4: "no parameters", 5: "no parameters", 6: "path missing", 7: "path missing"}
+    assert got == {1: "missing value", 8: None, 9: "missing value", 2: "bad path", 3: None, 4: "no parameters", 5: "no parameters", 6: "path missing", 7: "path missing"}
+
+
+def test_messages_with_a_value_have_a_stage(spark):
+    rows = spark.createDataFrame([("Invalid option given: -x",), ("Timeout waiting for x: 10 seconds",), ("Path is empty.",), ("what",)],
+                                 "msg string")
+    assert [r[0] for r in rows.select(CM.stage_of(F.col("msg"))).collect()] == ["validation", "write", "validation", None]
 
 
 def test_kept_file_the_old_tree_lacks_stays(spark):
