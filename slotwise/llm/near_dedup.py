@@ -7,9 +7,10 @@ arrival can win any register.  Two texts agree on a register with the
 probability Jaccard similarity of their weights.  Bands of registers give
 candidates; candidates are verified on their whole shingle sets.
 
-No pair list of a whole group is ever made: equal texts are collapsed first,
-each bucket is linked to one centre, and only buckets that still hold several
-components compare their outliers, in blocks.
+No pair list of a whole group is ever made: equal texts are collapsed first
+and each bucket is linked to one centre; buckets that still hold several
+components then compare their outliers in blocks, where only links that join
+components are written down.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 25, 5             # at 0.8 a pair shares a band with probability 0.99995
 REGISTERS = BANDS * ROWS
-ESTIMATE = 0.6                  # five standard errors below 0.8 with 125 registers
-BLOCK = 512                     # members of a bucket compared at once
+BLOCK = 4096                    # members of a bucket compared at once
+BLOCK_SHINGLES = 1 << 20        # and their shingles, about
 SALTS = 4
 
 R1, R2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)
@@ -137,16 +138,15 @@ def signatures(sets: list[np.ndarray], counts: list[np.ndarray]) -> np.ndarray:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, key (16 bytes), n (shingles), sig (a byte per register), bands (25 hashes)."""
+    """doc_id, text_hash, key (16 bytes), n (shingles), bands (25 hashes of five registers each)."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys, n, sig, bands = [], [], [], []
+            keys, n, bands = [], [], []
             sets, counts, held = [], [], 0
 
             def flush() -> None:
                 nonlocal held
                 r = signatures(sets, counts)
-                byte = (mix(r) >> np.uint64(56)).astype(np.uint8)
                 with np.errstate(over="ignore"):
                     g = r.reshape(len(sets), BANDS, ROWS)
                     x = g[:, :, 0].copy()
@@ -154,7 +154,6 @@ def sketches(docs: DataFrame) -> DataFrame:
                         x = x * R1 + g[:, :, j]
                     x = mix(x).view(np.int64)
                 for k, one in enumerate(sets):
-                    sig.append(byte[k].tobytes())
                     bands.append(x[k].tolist() if len(one) else [])
                 sets.clear(), counts.clear()
                 held = 0
@@ -170,28 +169,31 @@ def sketches(docs: DataFrame) -> DataFrame:
             flush()
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("text_hash"), pa.array(keys, pa.binary()), pa.array(n, pa.int32()),
-                 pa.array(sig, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                names=["doc_id", "text_hash", "key", "n", "sig", "bands"])
+                 pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "text_hash", "key", "n", "bands"])
 
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_hash long, key binary, n int, sig binary, bands array<long>"
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_hash long, key binary, n int, bands array<long>"
     return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(task, schema)
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """key and the whole set of distinct shingles of each text."""
+    """key and the whole set of distinct shingles of each text, as 32-bit hashes.
+
+    Two sets of a thousand shingles share a false one with a chance of 1 in
+    4,000; a similarity then moves by a thousandth.
+    """
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys, sets = [], []
             for _, key, x, _c in shingles(b.column("text").to_pylist()):
                 keys.append(key[0].to_bytes(8) + key[1].to_bytes(8))
-                sets.append(x.view(np.int64))
-            flat = pa.array(np.concatenate(sets) if sets else np.empty(0, np.int64))
+                sets.append(np.unique((x >> np.uint64(32)).astype(np.uint32)).view(np.int32))
+            flat = pa.array(np.concatenate(sets) if sets else np.empty(0, np.int32))
             ends = np.cumsum([0, *map(len, sets)])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys, pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)],
                 names=["key", "shingles"])
 
-    return docs.select("text").mapInArrow(task, "key binary, shingles array<long>")
+    return docs.select("text").mapInArrow(task, "key binary, shingles array<int>")
 
 
 def each(n: Column) -> Column:
@@ -215,19 +217,18 @@ def components(edges: DataFrame) -> DataFrame:
     so no neighbourhood is collected.
     """
     def star(e: DataFrame, large: bool) -> DataFrame:
-        both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        if not large:
-            both = both.filter(F.col("b") < F.col("a"))
+        """large: neighbours above a node are moved to the least of all its neighbours; else those below it are."""
+        both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else e
         least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
         # salted: a hub's rows spread over several tasks
         salted = both.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)))
         hub = least.withColumn("salt", each(F.lit(SALTS)))
         j = salted.join(hub, ["a", "salt"])
         if large:
-            moved = j.filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-        else:
-            moved = j.filter(F.col("b") > F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b")).union(
-                least.select("a", F.col("m").alias("b")))
+            return (j.filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+                     .filter(F.col("a") != F.col("b")))
+        # the node itself comes along with each of its rows
+        moved = j.select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
         return moved.filter(F.col("a") != F.col("b")).distinct()
 
     def mark(e: DataFrame) -> tuple:
@@ -245,49 +246,99 @@ def components(edges: DataFrame) -> DataFrame:
         now.select(F.col("b").alias("key"), F.col("b").alias("comp")).distinct())
 
 
-def outlier_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs across components that agree on enough registers.
+def open_blocks(shared: DataFrame, comps: DataFrame, reps: DataFrame) -> DataFrame:
+    """Blocks of the buckets that hold several components: each outlier meets each other member once.
 
-    ``rows``: band, h, block, part, outlier, key, comp, sig; a (band, h, block,
-    part) holds about ``BLOCK`` members and ``BLOCK`` outliers at most.
+    ``shared``: band, h, key, centre, size.  Outliers are the members outside
+    the centre's component.  Members are dealt to blocks and outliers to parts
+    by hash, both by number and by total shingles, so that a (band, h, block,
+    part) is of bounded size; its rows are band, h, block, part, outlier, key,
+    comp.
     """
-    at = ["band", "h", "block", "part"]
+    labelled = (shared.filter(F.col("size") > 2).join(comps, "key", "left")
+                      .withColumn("comp", F.coalesce("comp", "key")))
+    open_ = (labelled.groupBy("band", "h")
+                     .agg(F.min_by("comp", "key").alias("main"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+                     .filter(F.col("lo") != F.col("hi")).select("band", "h", "main"))
+    mixed = cut(labelled.join(open_, ["band", "h"]).join(reps.select("key", "n"), "key")
+                        .withColumn("outlier", F.col("comp") != F.col("main"))
+                        .select("band", "h", "key", "comp", "size", "n", "outlier"))
+    own = F.when(F.col("outlier"), F.col("n").cast("long"))
+    counts = mixed.groupBy("band", "h").agg(F.sum(F.col("outlier").cast("int")).alias("outliers"),
+                                            F.sum(own).alias("own"), F.sum(F.col("n").cast("long")).alias("all"))
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("all") / BLOCK_SHINGLES)).cast("int")
+    parts = F.ceil(F.greatest(F.col("outliers") / BLOCK, F.col("own") / BLOCK_SHINGLES)).cast("int")
+    rows = mixed.join(counts, ["band", "h"])
+    as_member = (rows.withColumn("block", F.pmod(F.xxhash64("key"), blocks)).withColumn("part", each(parts))
+                     .withColumn("outlier", F.lit(False)))
+    # with one block an outlier is there already, as a member
+    as_outlier = (rows.filter("outlier").withColumn("part", F.pmod(F.xxhash64("key"), parts))
+                      .withColumn("block", each(blocks)))
+    at = ["band", "h", "block", "part", "outlier", "key", "comp"]
+    return as_member.select(*at).union(as_outlier.select(*at))
 
-    def pairs(group: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
-        out = [r for r in group if r[0]]
-        mem = [r for r in group if not r[0]]
-        if not out or not mem:
-            return
-        so = np.frombuffer(b"".join(r[3] for r in out), np.uint8).reshape(len(out), REGISTERS)
-        sm = np.frombuffer(b"".join(r[3] for r in mem), np.uint8).reshape(len(mem), REGISTERS)
-        for i, r in enumerate(out):
-            for j in np.flatnonzero((sm == so[i]).sum(axis=1) >= ESTIMATE * REGISTERS).tolist():
-                if mem[j][2] != r[2]:
-                    yield (r[1], mem[j][1]) if r[1] < mem[j][1] else (mem[j][1], r[1])
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, here = [], None
-        found: set[tuple[bytes, bytes]] = set()
+def block_links(out: list[tuple], rest: list[tuple], similarity: float) -> Iterator[tuple[bytes, bytes]]:
+    """Links that join components: (key, key) of an outlier and a member.
 
-        def packed() -> pa.RecordBatch:
-            a, b = zip(*found) if found else ((), ())
-            found.clear()
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+    ``out``, ``rest``: (key, comp, shingles).  The members' shingles are sorted
+    together once; an outlier's intersections with all of them are then counts
+    over the places where its own shingles stand.
+    """
+    root: dict[bytes, bytes] = {}
+
+    def top(c: bytes) -> bytes:
+        while root.get(c, c) != c:
+            c = root[c]
+        return c
+
+    sizes = np.array([len(r[2]) for r in rest])
+    flat = np.concatenate([r[2] for r in rest])
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], np.repeat(np.arange(len(rest)), sizes)[order]
+    for key, comp, mine in out:
+        first, last = np.searchsorted(flat, mine, "left"), np.searchsorted(flat, mine, "right")
+        n = last - first
+        at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+        both = np.bincount(owner[at], minlength=len(rest))
+        for j in np.flatnonzero(both >= similarity * (len(mine) + sizes - both)).tolist():
+            x, y = top(comp), top(rest[j][1])
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                yield key, rest[j][0]
+
+
+def last_links(rows: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) between components that are left in the blocks of :func:`open_blocks`.
+
+    Every pair of a block is compared on whole sets, but only pairs that join
+    two components are written down: fewer than the block has rows.
+    """
+    at = ["band", "h", "block", "part"]
 
-        for b in batches:
-            c = [x.to_pylist() for x in b.columns]
-            for where, row in zip(zip(*c[:4]), zip(*c[4:])):
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, rest, here = [], [], None
+
+        def links() -> pa.RecordBatch:
+            found = list(block_links(out, rest, similarity)) if out and rest else []
+            out.clear(), rest.clear()
+            return pa.RecordBatch.from_arrays([pa.array([min(x) for x in found], pa.binary()),
+                                               pa.array([max(x) for x in found], pa.binary())], names=["a", "b"])
+
+        for batch in batches:
+            places = zip(*(batch.column(c).to_pylist() for c in at))
+            cells = zip(*(batch.column(c).to_pylist() for c in ("outlier", "key", "comp")))
+            sets_ = batch.column("shingles")
+            ends, flat = sets_.offsets.to_numpy(), sets_.values.to_numpy()
+            for i, (where, (outlier, key, comp)) in enumerate(zip(places, cells)):
                 if where != here:
-                    found.update(pairs(held))
-                    held, here = [], where
-                    if len(found) > 100_000:
-                        yield packed()
-                held.append(row)
-        found.update(pairs(held))
-        yield packed()
+                    yield links()
+                    here = where
+                (out if outlier else rest).append((key, comp, flat[ends[i]:ends[i + 1]].copy()))
+        yield links()
 
-    return (rows.select(*at, "outlier", "key", "comp", "sig").repartition(*at).sortWithinPartitions(*at)
-                .mapInArrow(task, "a binary, b binary"))
+    return (rows.join(sets, "key").repartition(*at).sortWithinPartitions(*at)
+                .mapInArrow(task, "a binary, b binary").distinct())
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -301,8 +352,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     """
     base = cut(sketches(docs))
     reps = cut(base.groupBy("key").agg(F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.count(F.lit(1)).alias("copies"),
-                                       F.first("n").alias("n"), F.first("sig").alias("sig"),
-                                       F.first("bands").alias("bands")))
+                                       F.first("n").alias("n"), F.first("bands").alias("bands")))
     members = reps.filter(F.col("n") > 0).select("key", F.posexplode("bands").alias("band", "h"))
     centres = (members.groupBy("band", "h").agg(F.min("key").alias("centre"), F.count(F.lit(1)).alias("size"))
                       .filter(F.col("size") > 1))
@@ -321,26 +371,10 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     edges = cut(verified(pairs, sets, similarity))
     comps = cut(components(edges))
 
-    # buckets that hold more than one component: outliers (not with the centre) against the rest
-    labelled = (shared.filter(F.col("size") > 2).join(comps, "key", "left")
-                      .withColumn("comp", F.coalesce("comp", "key")))
-    open_ = (labelled.groupBy("band", "h")
-                     .agg(F.min_by("comp", "key").alias("main"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                     .filter(F.col("lo") != F.col("hi")).select("band", "h", "main"))
-    mixed = cut(labelled.join(open_, ["band", "h"]).withColumn("outlier", F.col("comp") != F.col("main")))
-    counts = mixed.groupBy("band", "h").agg(F.sum(F.col("outlier").cast("int")).alias("outliers"))
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    parts = F.ceil(F.col("outliers") / BLOCK).cast("int")
-    rows = mixed.join(counts, ["band", "h"]).join(reps.select("key", "sig"), "key")
-    as_member = (rows.withColumn("block", F.pmod(F.xxhash64("key"), blocks))
-                     .withColumn("part", each(parts))
-                     .withColumn("outlier", F.lit(False)))
-    as_outlier = (rows.filter("outlier").withColumn("part", F.pmod(F.xxhash64("key"), parts))
-                      .withColumn("block", each(blocks)))
-    at = ["band", "h", "block", "part", "outlier", "key", "comp", "sig"]
-    more = outlier_pairs(as_member.select(*at).union(as_outlier.select(*at))).distinct()
-    more = more.join(pairs, ["a", "b"], "left_anti")
-    comps = cut(components(edges.union(verified(more, sets, similarity))))
+    # buckets that still hold several components: their outliers against all other members
+    more = cut(last_links(open_blocks(shared, comps, reps), sets, similarity))
+    if not more.isEmpty():
+        comps = cut(components(edges.union(more)))
 
     labelled = cut(reps.select("key", "rep", "copies").join(comps, "key", "left")
                        .withColumn("comp", F.coalesce("comp", "key")))
