@@ -22,7 +22,7 @@ from slotwise.llm.grams import codes, pieces, slots
 
 ORDERS = (1, 2, 3)
 BITS = 15                   # slots per order: 2^15
-MAX_LANGUAGES = 1000        # columns of the broadcast matrix: 3 * 2^15 rows of 4 bytes each
+MAX_LANGUAGES = 200         # columns of the broadcast matrix: 3 * 2^15 rows of 4 bytes each, 79 MB at most
 SMOOTHING = 0.5
 UNKNOWN = "und"
 # Separator between joined texts; n-grams over it are left out.
