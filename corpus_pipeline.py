@@ -7,14 +7,12 @@ effect; stages but the last return the columns of ``documents`` with
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotwise.llm import decontaminate, line_dedup, near_dedup, packing, toxicity
 from slotwise.llm.common import fold, table
-from slotwise.session import checkpoint_dir
+from slotwise.session import scratch
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -56,7 +54,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages; every result but the last is written as Parquet to the shared folder and read again."""
     docs = table(spark, sf_dir, "documents")
-    base = f"{checkpoint_dir(spark).rstrip('/')}/corpus-{uuid.uuid4().hex}"
+    base = scratch(spark, "corpus")
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
