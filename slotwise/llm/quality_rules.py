@@ -208,7 +208,7 @@ def train(stats: DataFrame, labels: DataFrame) -> Ensemble:
     The sample is the lowest hashes of doc_id, whatever the size of the input.
     Null labels are ignored; several labels of a document all count.
     """
-    rows = (stats.join(labels.filter(F.col("label").isNotNull()), "doc_id")
+    rows = (stats.select("doc_id", *STATISTICS).join(labels.select("doc_id", "label").filter(F.col("label").isNotNull()), "doc_id")
                  .select(*STATISTICS, F.col("label").cast("int").alias("label"), F.xxhash64("doc_id").alias("h"))
                  .orderBy("h", *STATISTICS, "label").limit(SAMPLE).toArrow())
     x = np.stack([rows[s].to_numpy() for s in STATISTICS], axis=1) if len(rows) else np.zeros((0, len(STATISTICS)))

@@ -71,6 +71,8 @@ def test_quality_of_odd_rows(spark, odd):
         rows = Q.quality(odd, labels, F.lit(True)).collect()
         assert len(rows) == len(ODD) and all(0 <= r["score"] <= 1 for r in rows)
     assert Q.quality(odd.limit(0), one, F.lit(True)).count() == 0
+    clash = odd.withColumn("label", F.lit("x")).withColumn("words", F.lit("x"))
+    assert Q.quality(clash, one, F.lit(True)).filter("label = 'x'").count() == len(ODD)
     assert Q.statistics(None) == Q.statistics(" \n") == [0.0] * len(Q.STATISTICS)
 
 
