@@ -11,10 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm.common import table
+from slotwise.llm.common import cut, table
 
 # space, tab, line feed, vertical tab, form feed, carriage return
 BLANKS = " \t\n\x0b\f\r"
+SALTS = 16      # the rows of a hot line are dealt to so many tasks
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -47,16 +48,20 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Dat
                  # two seeds: 128 bits
                  .select(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"),
                          "doc_id", "text_hash", "n_lines", "pos"))
+    # split and hashed once, read by both branches below
+    found = cut(found)
     # a hot hash spreads over several ranges, since the document is part of the range key
     ordered = (found.repartitionByRange("h1", "h2", "doc_id")
                     .sortWithinPartitions("h1", "h2", "doc_id", "pos"))
     first = ordered.groupBy("h1", "h2", "doc_id").agg(F.min("pos").alias("pos"))
     shared = (first.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("holder"))
-                   .filter(F.col("n_docs") >= min_docs).drop("n_docs"))
-    lost = (ordered.join(shared, ["h1", "h2"])
-                   .filter(~F.col("doc_id").eqNullSafe(F.col("holder")))
-                   .groupBy("doc_id", "text_hash")
-                   .agg(F.first("n_lines").alias("n_lines"), F.sort_array(F.collect_set("pos")).alias("lost")))
+                   .filter(F.col("n_docs") >= min_docs).drop("n_docs")
+                   .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
+    lost = (found.withColumn("salt", F.pmod(F.hash("doc_id"), F.lit(SALTS)))
+                 .join(shared, ["h1", "h2", "salt"])
+                 .filter(~F.col("doc_id").eqNullSafe(F.col("holder")))
+                 .groupBy("doc_id", "text_hash")
+                 .agg(F.first("n_lines").alias("n_lines"), F.sort_array(F.collect_set("pos")).alias("lost")))
     # kept runs lie between neighbouring lost positions
     edges = F.concat(F.array(F.lit(-1)), F.col("lost"), F.array(F.col("n_lines")))
     runs = F.filter(
