@@ -13,7 +13,7 @@ import argparse
 import re
 import sys
 
-SIDE_EFFECTS = {"s7_read_images", "s7_read_gz_images", "s8_publish_write", "p1_dataset_slots", "w10_admit_runs"}
+SIDE_EFFECTS = {"w9_lifecycle", "w8_step_gate", "j10_overlapping_runs", "s7_read_images", "s7_read_gz_images", "s8_publish_write", "p1_dataset_slots", "w10_admit_runs"}
 
 
 def summarize(plan: str) -> dict:

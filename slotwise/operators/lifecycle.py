@@ -53,7 +53,7 @@ def lifecycle(actions: DataFrame) -> DataFrame:
     act = F.col("action")
     order = ["ts", "seq"]
     keys = ["device_id"]
-    a = scan.ranged(actions.withColumn("t", _micros("ts")), keys, "t")
+    a = scan.ranged(actions.withColumn("t", _micros("ts")), "t")
 
     a = scan.carry_last(a, keys, order, F.when(act == "write", 1).when(act == "commit", 0), "staged_before")
     a = _level(a.withColumn("staged_before", F.coalesce("staged_before", F.lit(0))))
@@ -104,7 +104,7 @@ def next_free_run(runs: DataFrame) -> DataFrame:
                        F.when(zero, F.col("run_id")).otherwise(F.lit(0)).cast("long").alias("id"),
                        F.when(zero, 1).otherwise(0).alias("sub"),
                        F.lit(None).cast("long").alias("val"), F.col("run_id").alias("q"))
-    merged = scan.ranged(starts.unionByName(queries), ["device_id"], "t")
+    merged = scan.ranged(starts.unionByName(queries), "t")
     found = scan.carry_next(merged, ["device_id"], ["t", "k", "id", "sub"], F.col("val"), "nxt")
     return found.where(F.col("q").isNotNull()).select("device_id", F.col("q").alias("run_id"), "nxt")
 
@@ -117,7 +117,7 @@ def _islands(runs: DataFrame) -> DataFrame:
     admitted outright and chains only need walking inside a busy period.
     """
     r = runs.select("device_id", "run_id", _micros("start_ts").alias("s"), _micros("end_ts").alias("e"))
-    r = scan.ranged(r, ["device_id"], "s")
+    r = scan.ranged(r, "s")
     r = scan.carry_max(r, ["device_id"], ["s", "run_id"], F.col("e"), "busy_until")
     r = r.withColumn("root", F.col("busy_until").isNull() | (F.col("s") >= F.col("busy_until")))
     r = scan.carry_last(r, ["device_id"], ["s", "run_id"], F.when(F.col("root"), F.col("run_id")), "island",
@@ -174,14 +174,14 @@ def overlapping_runs(runs: DataFrame) -> DataFrame:
     is paired within a bucket.
     """
     r = runs.select("device_id", "run_id", _micros("start_ts").alias("s"), _micros("end_ts").alias("e"))
-    r = _level(scan.position(scan.ranged(r, ["device_id"], "s"), ["device_id"], ["s", "run_id"], "pos"))
+    r = _level(scan.position(scan.ranged(r, "s"), ["device_id"], ["s", "run_id"], "pos"))
     # starts sort after ends at equal time (strict overlap) and by position
     none = F.lit(None).cast("long")
     starts = r.select("device_id", F.col("s").alias("t"), F.lit(1).alias("k"), F.col("pos").alias("o"),
                       F.col("pos").alias("val"), none.alias("q"), none.alias("qpos"), none.alias("s_a"))
     ends = r.select("device_id", F.col("e").alias("t"), F.lit(0).alias("k"), F.lit(0).cast("long").alias("o"),
                     none.alias("val"), F.col("run_id").alias("q"), F.col("pos").alias("qpos"), F.col("s").alias("s_a"))
-    merged = scan.ranged(starts.unionByName(ends), ["device_id"], "t")
+    merged = scan.ranged(starts.unionByName(ends), "t")
     upto = (scan.carry_last(merged, ["device_id"], ["t", "k", "o"], F.col("val"), "upto")
                 .where(F.col("q").isNotNull() & (F.col("upto") > F.col("qpos"))))
     # the range in steps, so that a run overlapping very many others is no single row
@@ -209,7 +209,7 @@ def wait_for(starts: DataFrame, signals: DataFrame, interval_s: int = 1, timeout
     sg = signals.select("device_id", F.lit(None).cast(starts.schema["seq"].dataType).alias("seq"),
                         _micros("ts").alias("t"), F.lit(1).alias("k"), _micros("ts").alias("val"),
                         F.lit(False).alias("is_start"))
-    merged = scan.ranged(st.unionByName(sg), ["device_id"], "t")
+    merged = scan.ranged(st.unionByName(sg), "t")
     found = scan.carry_next(merged, ["device_id"], ["t", "k"], F.col("val"), "sig")
     iv = interval_s * 1_000_000
     dt = F.col("sig") - F.col("t")

@@ -31,21 +31,28 @@ def place_among(x: Column, edges: Column, size: int) -> Column:
         lambda at, step: F.when(F.get(edges, at + step - 1) <= x, at + step).otherwise(at))
 
 
-def ranged(df: DataFrame, keys: Sequence[str], by: str, parts: int | None = None) -> DataFrame:
-    """``df`` with ``chunk`` (the quantile range of ``by``, a number) and partitioned by (keys, chunk).
+def ranged(df: DataFrame, by: str, parts: int | None = None) -> DataFrame:
+    """``df`` with ``chunk``: the quantile range of ``by``, a number.
 
     Like the sampling pass of a range partitioning, one partial-aggregated
     sketch of ``by`` runs first; its ``parts - 1`` edges become literals, so
-    that every branch of a plan cuts at the same places.  The explicit
-    partitioning matters: one by ``keys`` alone (a bucketed table, an earlier
-    join) also satisfies the (keys, chunk) windows, and would keep a hot key's
-    whole history in one task.  Stacked scans reuse it.
+    that every branch of a plan cuts at the same places.
     """
     parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shares = [i / parts for i in range(1, parts)]
     edges = sorted(set(df.agg(F.percentile_approx(by, shares, 10_000)).first()[0] or [])) if shares else []
     chunk = place_among(F.col(by), F.array(*map(F.lit, edges)), len(edges)) if edges else F.lit(0)
-    return df.withColumn("chunk", chunk).repartition(*keys, "chunk")
+    return df.withColumn("chunk", chunk)
+
+
+def _dealt(df: DataFrame, keys: Sequence[str], bucket: str) -> DataFrame:
+    """``df`` partitioned by (keys, chunk) for the local windows.
+
+    A partitioning by ``keys`` alone (a bucketed table, an earlier join) also
+    satisfies them, and would keep a hot key's whole history in one task.  The
+    summaries do without: they are aggregated before their shuffle.
+    """
+    return df.repartition(*keys, bucket)
 
 
 def _cols(xs) -> list[Column]:
@@ -64,10 +71,10 @@ def carry_last(df: DataFrame, keys: Sequence[str], order: Sequence, value: Colum
     end = Window.currentRow if inclusive else -1
     tmp_v, tmp_local, tmp_carry = f"__{out}_v", f"__{out}_local", f"__{out}_carry"
     wl = Window.partitionBy(*keys, bucket).orderBy(*order_c).rowsBetween(Window.unboundedPreceding, end)
-    base = (df.withColumn(tmp_v, value)
-              .withColumn(tmp_local, F.last(tmp_v, ignorenulls=True).over(wl)))
+    df = df.withColumn(tmp_v, value)
+    base = _dealt(df, keys, bucket).withColumn(tmp_local, F.last(tmp_v, ignorenulls=True).over(wl))
     # One row per chunk: its last non-NULL value (NULL when the chunk has none).
-    summary = (base.groupBy(*keys, bucket)
+    summary = (df.groupBy(*keys, bucket)
                    .agg(F.max_by(F.col(tmp_v), F.when(F.col(tmp_v).isNotNull(), F.struct(*order_c)))
                         .alias(tmp_v)))
     wc = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
@@ -83,8 +90,9 @@ def carry_max(df: DataFrame, keys: Sequence[str], order: Sequence, value: Column
     order_c = _cols(order)
     tmp_v, tmp_local, tmp_carry = f"__{out}_v", f"__{out}_local", f"__{out}_carry"
     wl = Window.partitionBy(*keys, bucket).orderBy(*order_c).rowsBetween(Window.unboundedPreceding, -1)
-    base = df.withColumn(tmp_v, value).withColumn(tmp_local, F.max(tmp_v).over(wl))
-    summary = base.groupBy(*keys, bucket).agg(F.max(tmp_v).alias(tmp_v))
+    df = df.withColumn(tmp_v, value)
+    base = _dealt(df, keys, bucket).withColumn(tmp_local, F.max(tmp_v).over(wl))
+    summary = df.groupBy(*keys, bucket).agg(F.max(tmp_v).alias(tmp_v))
     wc = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     carry = summary.select(*keys, bucket, F.max(tmp_v).over(wc).alias(tmp_carry))
     return (base.join(carry, [*keys, bucket], "left")
@@ -110,8 +118,9 @@ def position(df: DataFrame, keys: Sequence[str], order: Sequence, out: str,
     """``out`` = 1-based position of each row within its key, by ``order``."""
     order_c = _cols(order)
     tmp_local, tmp_off, tmp_n = f"__{out}_local", f"__{out}_off", f"__{out}_n"
-    base = df.withColumn(tmp_local, F.row_number().over(Window.partitionBy(*keys, bucket).orderBy(*order_c)))
-    sizes = base.groupBy(*keys, bucket).agg(F.count(F.lit(1)).alias(tmp_n))
+    base = _dealt(df, keys, bucket).withColumn(
+        tmp_local, F.row_number().over(Window.partitionBy(*keys, bucket).orderBy(*order_c)))
+    sizes = df.groupBy(*keys, bucket).agg(F.count(F.lit(1)).alias(tmp_n))
     wc = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*keys, bucket, F.coalesce(F.sum(tmp_n).over(wc), F.lit(0)).alias(tmp_off))
     return (base.join(offsets, [*keys, bucket], "left")

@@ -96,5 +96,5 @@ def a5_adjacent_distinct(fx):
     """Drop log lines repeating the previous message of the same device."""
     from slotwise.operators import scan
     log = fx.log.select("device_id", "seq", F.regexp_replace("line", r"^.*\]: ", "").alias("msg"))
-    out = scan.carry_last(scan.ranged(log, ["device_id"], "seq"), ["device_id"], ["seq"], F.col("msg"), "prev")
+    out = scan.carry_last(scan.ranged(log, "seq"), ["device_id"], ["seq"], F.col("msg"), "prev")
     return out.where(~F.col("prev").eqNullSafe(F.col("msg"))).select("device_id", "seq", "msg")

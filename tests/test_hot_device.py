@@ -53,7 +53,7 @@ def test_hot_device_stays_exact(spark, skewed):
 
 def test_hot_device_chunks_are_small(spark, skewed):
     actions, _, _ = skewed
-    per_chunk = (scan.ranged(actions.withColumn("t", F.unix_micros(F.col("ts").cast("timestamp"))), ["device_id"], "t", 40)
+    per_chunk = (scan.ranged(actions.withColumn("t", F.unix_micros(F.col("ts").cast("timestamp"))), "t", 40)
                      .groupBy("device_id", "chunk").count().agg(F.max("count")).first()[0])
     per_device = actions.groupBy("device_id").count().agg(F.max("count")).first()[0]
     assert per_chunk * 20 < per_device   # the hot device's work is spread over many tasks
@@ -63,7 +63,7 @@ def test_hot_day_is_split(spark):
     # all rows of one device within one day, most of them within one hour
     t = F.when(F.col("id") % 10 == 0, F.col("id") * 80).otherwise(3_600_000 + F.col("id") * 3)
     one = spark.range(100_000).select(F.lit(1).alias("k"), "id", t.alias("t"))
-    sizes = scan.ranged(one, ["k"], "t", 50).groupBy("k", "chunk").count()
+    sizes = scan.ranged(one, "t", 50).groupBy("k", "chunk").count()
     top, n = sizes.agg(F.max("count"), F.count("*")).first()
     assert n >= 45 and top < 4 * 100_000 / 50
 
