@@ -77,7 +77,7 @@ def resolve(responses: DataFrame, revisits: DataFrame) -> DataFrame:
     r = event(responses, 1, F.col("digest")).filter(F.col("url").isNotNull() & F.col("t").isNotNull())
     v = event(revisits, 0, none.cast("string"))
     known = v.filter(F.col("url").isNotNull() & F.col("t").isNotNull())
-    merged = scan.ranged(r.unionByName(known), ["url"], "t")
+    merged = scan.ranged(r.unionByName(known), "t")
     stored = F.when(F.col("kind") == 1, F.struct("record_id", "block", "digest"))
     found = (scan.carry_last(merged, ["url"], ["t", "kind", "record_id"], stored, "target").filter(F.col("kind") == 0)
                  .select("record_id", "url", "block", "target"))
