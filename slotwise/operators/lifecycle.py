@@ -88,41 +88,31 @@ def step_gate(actions: DataFrame) -> DataFrame:
             .select("device_id", "seq", "action", F.col("outcome").alias("verdict")))
 
 
-def next_free_run(runs: DataFrame) -> DataFrame:
-    """For each run, the first later run (order ``start, run_id``) that starts
-    at or after its end: where the lock is free again if this run holds it.
-
-    An as-of lookup done as one backward carry over the merged stream of
-    starts and ends (no join, no pairs).
+def busy_periods(runs: DataFrame) -> DataFrame:
+    """device_id, val, q, nxt, root, island over the merged starts and ends of the runs.
+
+    A start row (``val`` is its run) tells the island, the busy period it lies
+    in: island roots start after every earlier run of the device has ended.
+    The lock is free for them whatever happened before, so they are admitted
+    outright and chains only need walking inside a busy period.  An end row
+    (``q`` is its run) tells in ``nxt`` the first later run (order ``start,
+    run_id``) that starts at or after that end: where the lock is free again.
+    Both come from one pass of carries (no join of runs, no pairs).
     """
     r = runs.select("device_id", "run_id", _micros("start_ts").alias("s"), _micros("end_ts").alias("e"))
+    none, zero = F.lit(None).cast("long"), F.col("e") <= F.col("s")
     starts = r.select("device_id", F.col("s").alias("t"), F.lit(1).alias("k"), F.col("run_id").alias("id"),
-                      F.lit(0).alias("sub"), F.col("run_id").alias("val"), F.lit(None).cast("long").alias("q"))
-    zero = F.col("e") <= F.col("s")
-    queries = r.select("device_id", F.greatest("e", "s").alias("t"),
-                       F.when(zero, 1).otherwise(0).alias("k"),
-                       F.when(zero, F.col("run_id")).otherwise(F.lit(0)).cast("long").alias("id"),
-                       F.when(zero, 1).otherwise(0).alias("sub"),
-                       F.lit(None).cast("long").alias("val"), F.col("run_id").alias("q"))
-    merged = scan.ranged(starts.unionByName(queries), "t")
-    found = scan.carry_next(merged, ["device_id"], ["t", "k", "id", "sub"], F.col("val"), "nxt")
-    return found.where(F.col("q").isNotNull()).select("device_id", F.col("q").alias("run_id"), "nxt")
-
-
-def _islands(runs: DataFrame) -> DataFrame:
-    """run_id, device_id, root, island: the busy period each run lies in.
-
-    Island roots are runs that start after every earlier run of the device has
-    ended.  The lock is free for them whatever happened before, so they are
-    admitted outright and chains only need walking inside a busy period.
-    """
-    r = runs.select("device_id", "run_id", _micros("start_ts").alias("s"), _micros("end_ts").alias("e"))
-    r = scan.ranged(r, "s")
-    r = scan.carry_max(r, ["device_id"], ["s", "run_id"], F.col("e"), "busy_until")
-    r = r.withColumn("root", F.col("busy_until").isNull() | (F.col("s") >= F.col("busy_until")))
-    r = scan.carry_last(r, ["device_id"], ["s", "run_id"], F.when(F.col("root"), F.col("run_id")), "island",
-                        inclusive=True)
-    return r.select("run_id", "device_id", "island", "root")
+                      F.lit(0).alias("sub"), F.col("run_id").alias("val"), F.col("e").alias("end"), none.alias("q"))
+    ends = r.select("device_id", F.greatest("e", "s").alias("t"), F.when(zero, 1).otherwise(0).alias("k"),
+                    F.when(zero, F.col("run_id")).otherwise(F.lit(0)).cast("long").alias("id"),
+                    F.when(zero, 1).otherwise(0).alias("sub"), none.alias("val"), none.alias("end"), F.col("run_id").alias("q"))
+    order = ["t", "k", "id", "sub"]
+    m = scan.carry(scan.ranged(starts.unionByName(ends), "t"), ["device_id"], order,
+                   {"nxt": ("next", F.col("val")), "busy_until": ("max", F.col("end"))})
+    m = _level(m.withColumn("root", F.col("val").isNotNull()
+                            & (F.col("busy_until").isNull() | (F.col("t") >= F.col("busy_until")))))
+    m = scan.carry_last(m, ["device_id"], order, F.when(F.col("root"), F.col("val")), "island", inclusive=True)
+    return m.select("device_id", "val", "q", "nxt", "root", "island")
 
 
 def admit_runs(runs: DataFrame, checkpoint_every: int = 3) -> DataFrame:
@@ -130,7 +120,7 @@ def admit_runs(runs: DataFrame, checkpoint_every: int = 3) -> DataFrame:
 
     A run is admitted iff no admitted run still holds the lock (greedy in
     ``start, run_id`` order).  The admitted runs of a device are the chain
-    ``r0, next(r0), next(next(r0)), ...`` of :func:`next_free_run`.  A run
+    ``r0, next(r0), next(next(r0)), ...`` of :func:`busy_periods`.  A run
     that starts after every earlier run has ended (an island root) is always
     admitted, so every island root starts a chain; the chains are
     walked by pointer doubling: round k adds ``jump_k(A)`` to the admitted
@@ -140,8 +130,9 @@ def admit_runs(runs: DataFrame, checkpoint_every: int = 3) -> DataFrame:
     with no group ever collected.  Lineage is cut by ``checkpoint()`` into
     ``spark.checkpoint.dir`` every ``checkpoint_every`` rounds.
     """
-    r = _level(_islands(runs))
-    jump = _level(next_free_run(runs).where(F.col("nxt").isNotNull()).select("run_id", F.col("nxt").alias("to")))
+    m = _level(busy_periods(runs))
+    r = m.where(F.col("val").isNotNull()).select(F.col("val").alias("run_id"), "device_id", "island", "root")
+    jump = m.where(F.col("q").isNotNull() & F.col("nxt").isNotNull()).select(F.col("q").alias("run_id"), F.col("nxt").alias("to"))
     longest = r.groupBy("device_id", "island").count().agg(F.max("count")).first()[0] or 0
     # a chain inside an island has at most as many links as the island has
     # runs: after k rounds the admitted set holds the first 2**k links of each

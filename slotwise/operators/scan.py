@@ -59,58 +59,63 @@ def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
-def carry_last(df: DataFrame, keys: Sequence[str], order: Sequence, value: Column, out: str,
-               bucket: str = "chunk", inclusive: bool = False) -> DataFrame:
-    """``out`` = last non-NULL ``value`` of the rows before each row (per ``keys``).
-
-    ``order`` must be ascending sort keys; ``bucket`` a column that never
+def carry(df: DataFrame, keys: Sequence[str], order: Sequence, specs: dict[str, tuple[str, Column]],
+          bucket: str = "chunk", inclusive: bool = False) -> DataFrame:
+    """Several carries of one order in one pass: ``{out: (kind, value)}``.
+
+    ``last``: the last non-NULL value of the rows before each row (per
+    ``keys``); ``next``: the first non-NULL value of the rows after it;
+    ``max``: the greatest value of the rows before it.  ``order`` must be
+    ascending sort keys (numbers, for ``next``); ``bucket`` a column that never
     decreases along ``order`` within a key.  ``inclusive`` also counts the row
     itself.
     """
     order_c = _cols(order)
     end = Window.currentRow if inclusive else -1
-    tmp_v, tmp_local, tmp_carry = f"__{out}_v", f"__{out}_local", f"__{out}_carry"
-    wl = Window.partitionBy(*keys, bucket).orderBy(*order_c).rowsBetween(Window.unboundedPreceding, end)
-    df = df.withColumn(tmp_v, value)
-    base = _dealt(df, keys, bucket).withColumn(tmp_local, F.last(tmp_v, ignorenulls=True).over(wl))
-    # One row per chunk: its last non-NULL value (NULL when the chunk has none).
-    summary = (df.groupBy(*keys, bucket)
-                   .agg(F.max_by(F.col(tmp_v), F.when(F.col(tmp_v).isNotNull(), F.struct(*order_c)))
-                        .alias(tmp_v)))
-    wc = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(*keys, bucket, F.last(tmp_v, ignorenulls=True).over(wc).alias(tmp_carry))
-    return (base.join(carry, [*keys, bucket], "left")
-                .withColumn(out, F.coalesce(F.col(tmp_local), F.col(tmp_carry)))
-                .drop(tmp_v, tmp_local, tmp_carry))
+    tmp = {out: f"__{out}_v" for out in specs}
+    df = df.withColumns({tmp[out]: value for out, (_, value) in specs.items()})
+    forward = Window.partitionBy(*keys, bucket).orderBy(*order_c).rowsBetween(Window.unboundedPreceding, end)
+    backward = Window.partitionBy(*keys, bucket).orderBy(*[-c for c in order_c]).rowsBetween(Window.unboundedPreceding, end)
+
+    def found(kind: str, v: str, ahead, behind) -> Column:
+        if kind == "max":
+            return F.max(v).over(ahead)
+        return F.last(v, ignorenulls=True).over(behind if kind == "next" else ahead)
+
+    base = _dealt(df, keys, bucket).withColumns(
+        {f"__{out}_local": found(kind, tmp[out], forward, backward) for out, (kind, _) in specs.items()})
+    # one row per chunk: what it hands on (NULL when it has no value)
+    at = F.struct(*order_c)
+    hand = {"last": lambda v: F.max_by(v, F.when(F.col(v).isNotNull(), at)),
+            "next": lambda v: F.min_by(v, F.when(F.col(v).isNotNull(), at)), "max": F.max}
+    summary = df.groupBy(*keys, bucket).agg(*(hand[kind](tmp[out]).alias(tmp[out]) for out, (kind, _) in specs.items()))
+    ahead = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    behind = Window.partitionBy(*keys).orderBy(F.col(bucket).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    handed = summary.select(*keys, bucket, *(found(kind, tmp[out], ahead, behind).alias(f"__{out}_carry")
+                                             for out, (kind, _) in specs.items()))
+    join = {"max": F.greatest, "last": F.coalesce, "next": F.coalesce}
+    return (base.join(handed, [*keys, bucket], "left")
+                .withColumns({out: join[kind](F.col(f"__{out}_local"), F.col(f"__{out}_carry"))
+                              for out, (kind, _) in specs.items()})
+                .drop(*(f"__{out}_{x}" for out in specs for x in ("v", "local", "carry"))))
+
+
+def carry_last(df: DataFrame, keys: Sequence[str], order: Sequence, value: Column, out: str,
+               bucket: str = "chunk", inclusive: bool = False) -> DataFrame:
+    """``out`` = last non-NULL ``value`` of the rows before each row (see :func:`carry`)."""
+    return carry(df, keys, order, {out: ("last", value)}, bucket, inclusive)
 
 
 def carry_max(df: DataFrame, keys: Sequence[str], order: Sequence, value: Column, out: str,
               bucket: str = "chunk") -> DataFrame:
-    """``out`` = max of ``value`` over the rows before each row (per ``keys``)."""
-    order_c = _cols(order)
-    tmp_v, tmp_local, tmp_carry = f"__{out}_v", f"__{out}_local", f"__{out}_carry"
-    wl = Window.partitionBy(*keys, bucket).orderBy(*order_c).rowsBetween(Window.unboundedPreceding, -1)
-    df = df.withColumn(tmp_v, value)
-    base = _dealt(df, keys, bucket).withColumn(tmp_local, F.max(tmp_v).over(wl))
-    summary = df.groupBy(*keys, bucket).agg(F.max(tmp_v).alias(tmp_v))
-    wc = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(*keys, bucket, F.max(tmp_v).over(wc).alias(tmp_carry))
-    return (base.join(carry, [*keys, bucket], "left")
-                .withColumn(out, F.greatest(F.col(tmp_local), F.col(tmp_carry)))
-                .drop(tmp_v, tmp_local, tmp_carry))
+    """``out`` = max of ``value`` over the rows before each row."""
+    return carry(df, keys, order, {out: ("max", value)}, bucket)
 
 
 def carry_next(df: DataFrame, keys: Sequence[str], order: Sequence, value: Column, out: str,
                bucket: str = "chunk", inclusive: bool = False) -> DataFrame:
-    """``out`` = first non-NULL ``value`` of the rows after each row.
-
-    Same as :func:`carry_last` run backwards: every order key and the bucket
-    are negated, so they must be numeric.
-    """
-    neg_order = [-c for c in _cols(order)]
-    nb = f"__{out}_nb"
-    res = carry_last(df.withColumn(nb, -F.col(bucket)), keys, neg_order, value, out, nb, inclusive)
-    return res.drop(nb)
+    """``out`` = first non-NULL ``value`` of the rows after each row."""
+    return carry(df, keys, order, {out: ("next", value)}, bucket, inclusive)
 
 
 def position(df: DataFrame, keys: Sequence[str], order: Sequence, out: str,
