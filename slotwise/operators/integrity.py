@@ -10,7 +10,10 @@ from slotwise.functions import columns as C
 
 
 def verify_checksum(images: DataFrame, expected: DataFrame | None = None) -> DataFrame:
-    """``missing input`` / ``malformed`` / ``mismatch`` / ``ok`` per image.
+    """``missing input`` / ``malformed`` / ``not read`` / ``mismatch`` / ``ok`` per image.
+
+    ``not read`` is an image without a body (too large for one value, see
+    ``read_images``): it never passes for verified.
 
     ``images(image_id, path, body[, expected_sha])``; when ``expected`` is
     given it supplies ``(image_id, expected_sha)`` by a left join.  The digest
@@ -28,6 +31,7 @@ def checksum_verdict(path="path", body="body", expected="expected_sha"):
     exp = F.col(expected)
     return (F.when(F.col(path).isNull() | exp.isNull() | (exp == ""), F.lit("missing input"))
              .when(~C.valid_sha(exp), F.lit("malformed"))
+             .when(F.col(body).isNull(), F.lit("not read"))
              .when(F.sha2(F.col(body), 256) != C.strip_one_trailing_blank(exp), F.lit("mismatch"))
              .otherwise(F.lit("ok")))
 

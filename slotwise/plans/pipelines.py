@@ -72,7 +72,7 @@ def write_readiness(assign: DataFrame, images: DataFrame, space: DataFrame, stag
     failed = {   # SQL predicates, one per gate
         "bad path": "path_reason IS NOT NULL OR path IS NULL",
         "malformed digest": "has_sha AND NOT sha_ok",
-        "checksum": "verdict IN ('missing input', 'mismatch')",
+        "checksum": "verdict IN ('missing input', 'not read', 'mismatch')",
         "no target": "target IS NULL OR error IS NOT NULL",
         "file type": "file_type = 'Invalid File Type'",
         "space": "compressed AND NOT coalesce(enough, false)",

@@ -12,6 +12,7 @@ FILE_TYPE = ("CASE WHEN ends_with(path, '.xz') THEN 'xz' WHEN ends_with(path, '.
              "WHEN ends_with(path, '.raw') THEN 'raw' END")
 VERDICT = f"""CASE WHEN path IS NULL OR expected_sha IS NULL OR expected_sha = '' THEN 'missing input'
      WHEN NOT {SHA_OK} THEN 'malformed'
+     WHEN body IS NULL THEN 'not read'
      WHEN sha256(body) <> regexp_replace(expected_sha, ' $', '') THEN 'mismatch' ELSE 'ok' END"""
 
 STAGED_SQL = """

@@ -30,7 +30,7 @@ ig AS (SELECT image_id, path,
 q2 AS (SELECT a.device_id, a.image_id,
          CASE WHEN g.path_reason IS NOT NULL OR g.path IS NULL THEN 'bad path'
               WHEN COALESCE(g.has_sha AND NOT g.sha_ok, false) THEN 'malformed digest'
-              WHEN COALESCE(g.verdict IN ('missing input', 'mismatch'), false) THEN 'checksum'
+              WHEN COALESCE(g.verdict IN ('missing input', 'not read', 'mismatch'), false) THEN 'checksum'
               WHEN t.target IS NULL OR t.error IS NOT NULL THEN 'no target'
               WHEN COALESCE(g.file_type = 'Invalid File Type', false) THEN 'file type'
               WHEN COALESCE(g.compressed AND NOT COALESCE(s.avail_kb >= 2500 * 1024, false), false) THEN 'space'

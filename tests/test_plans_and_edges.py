@@ -124,6 +124,13 @@ def test_large_image_is_listed_without_content(spark, tmp_path):
     assert got == {"small.raw": (10, b"x" * 10), "large.raw": (1000, None)}
 
 
+def test_an_image_without_body_is_never_ok(spark):
+    from slotwise.operators import integrity as I
+    rows = spark.createDataFrame([(1, "/a.raw", None, "0" * 64), (2, "/b.raw", "x", "0" * 64)],
+                                 "image_id long, path string, body string, expected_sha string")
+    assert {r["image_id"]: r["verdict"] for r in I.verify_checksum(rows).collect()} == {1: "not read", 2: "mismatch"}
+
+
 def test_aligned_listing(spark):
     text = ["NAME    FSTYPE PARTLABEL MOUNTPOINT", "sda", "├─sda1  vfat   esp       /boot/efi", "└─sda2         rootfs_a"]
     lines = spark.createDataFrame([(1, i, x) for i, x in enumerate(text)], "device_id long, ord int, line string")
