@@ -10,6 +10,7 @@ from slotwise.llm.common import PIECE
 
 # odd 32-bit multipliers, one per place in the n-gram
 FACTORS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1], np.uint32)
+PLAIN = FACTORS.tolist()
 
 
 def codes(text: str) -> np.ndarray:
@@ -35,6 +36,16 @@ def slots(points: np.ndarray, orders: tuple[int, ...], bits: int) -> list[np.nda
     return out
 
 
+def slot(points: tuple[int, ...], bits: int) -> int:
+    """The slot of one n-gram, as :func:`slots` gives it."""
+    n, m = len(points), 0xFFFFFFFF
+    f = PLAIN
+    h = points[0] * f[0] + n * 0x3C6EF372 & m
+    for k in range(1, n):
+        h = (h ^ h >> 15) * f[k] + points[k] & m
+    return ((h ^ h >> 16) * f[4] & m) >> 32 - bits
+
+
 def pieces(texts: list[str | None], longest: int) -> Iterator[tuple[list[int], str]]:
     """Texts in runs of about ``PIECE`` characters: (row numbers, one joined text each).
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructType
 
 from slotwise.llm.common import counted, fold, table
-from slotwise.llm.grams import codes, pieces, slots
+from slotwise.llm.grams import codes, pieces, slot, slots
 
 # What a disguised character may stand for.
 READINGS = {
@@ -69,15 +69,15 @@ class CharModel:
         key = past[-3:] + c
         got = self.memo.get(key)
         if got is None:
-            points = codes(key)
+            points = tuple(map(ord, key))
             p = 1e-6
             seen = self.total
             for n in ORDERS[:len(key)]:
-                own = int(self.counts[n - 1][slots(points[len(points) - n:], (n,), BITS)[0][0]])
+                own = int(self.counts[n - 1][slot(points[-n:], BITS)])
                 p = (own + 4.0 * p) / (seen + 4.0)
                 # the count of the history that the next order continues
                 if n < len(key):
-                    seen = int(self.counts[n - 1][slots(points[len(points) - n - 1:-1], (n,), BITS)[0][0]])
+                    seen = int(self.counts[n - 1][slot(points[-n - 1:-1], BITS)])
             got = self.memo[key] = math.log(min(p, 1.0))
             if len(self.memo) > MEMO:
                 self.memo.clear()
@@ -178,13 +178,15 @@ class Reader:
     def __init__(self, counts: np.ndarray, wanted: dict[str, int] | None = None):
         self.model, self.wanted = CharModel(counts), wanted
         self.memo: dict[str, tuple] = {}
+        # every feature of a word begins as the word does
+        self.heads = None if wanted is None else {f[:3] for f in wanted}
 
     def of(self, token: str) -> tuple:
         read = restore_token(token, self.model)
         words = (read,) if read.isalpha() else WORD.findall(read)
         found: list = []
         for w in words:
-            if len(w) > 2:
+            if len(w) > 2 and (self.heads is None or w[:3] in self.heads):
                 found += features(w)
         if self.wanted is not None:
             found = [self.wanted[f] for f in found if f in self.wanted]
