@@ -290,14 +290,13 @@ _REGISTERED: dict[int, tuple[str, str]] = {}
 
 def _source_files(spark, sf_dir: str) -> list[tuple[str, int, int]]:
     """(path, bytes, modification time) of every file of the base tables, from the file system that holds them."""
-    out, todo = [], [f"{sf_dir}/{t}.parquet" for t in BASE_TABLES]
+    root, fs = _fs(spark, sf_dir)
+    names = {f"{t}.parquet" for t in BASE_TABLES}
+    out, todo = [], [st for st in fs.listStatus(root) if st.getPath().getName() in names]   # one listing, most often
     while todo:
-        p, fs = _fs(spark, todo.pop())
-        if not fs.exists(p):
-            continue
-        st = fs.getFileStatus(p)
+        st = todo.pop()
         if st.isDirectory():
-            todo.extend(x.getPath().toString() for x in fs.listStatus(p))
+            todo.extend(fs.listStatus(st.getPath()))
         else:
             out.append((st.getPath().toString(), st.getLen(), st.getModificationTime()))
     return sorted(out)
