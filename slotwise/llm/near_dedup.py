@@ -201,6 +201,12 @@ def each(n: Column) -> Column:
     return F.explode(F.sequence(F.lit(0).cast("long"), n.cast("long") - 1))
 
 
+def salted_join(rows: DataFrame, one: DataFrame, on: list[str], salt_by: str = "key") -> DataFrame:
+    """``rows`` with the columns of ``one`` (a row per value of ``on``); the rows of a hot value go to ``SALTS`` tasks."""
+    return (rows.withColumn("salt", F.pmod(F.xxhash64(salt_by), F.lit(SALTS)))
+                .join(one.withColumn("salt", each(F.lit(SALTS))), [*on, "salt"]).drop("salt"))
+
+
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) whose shingle sets have at least the given Jaccard similarity."""
     x, y = sets.toDF("a", "sa"), sets.toDF("b", "sb")
@@ -220,10 +226,7 @@ def components(edges: DataFrame) -> DataFrame:
         """large: neighbours above a node are moved to the least of all its neighbours; else those below it are."""
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else e
         least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-        # salted: a hub's rows spread over several tasks
-        salted = both.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)))
-        hub = least.withColumn("salt", each(F.lit(SALTS)))
-        j = salted.join(hub, ["a", "salt"])
+        j = salted_join(both, least, ["a"], "b")
         if large:
             return (j.filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
                      .filter(F.col("a") != F.col("b")))
@@ -260,7 +263,7 @@ def open_blocks(shared: DataFrame, comps: DataFrame, reps: DataFrame) -> DataFra
     open_ = (labelled.groupBy("band", "h")
                      .agg(F.min_by("comp", "key").alias("main"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                      .filter(F.col("lo") != F.col("hi")).select("band", "h", "main"))
-    mixed = cut(labelled.join(open_, ["band", "h"]).join(reps.select("key", "n"), "key")
+    mixed = cut(salted_join(labelled, open_, ["band", "h"]).join(reps.select("key", "n"), "key")
                         .withColumn("outlier", F.col("comp") != F.col("main"))
                         .select("band", "h", "key", "comp", "size", "n", "outlier"))
     own = F.when(F.col("outlier"), F.col("n").cast("long"))
@@ -268,7 +271,7 @@ def open_blocks(shared: DataFrame, comps: DataFrame, reps: DataFrame) -> DataFra
                                             F.sum(own).alias("own"), F.sum(F.col("n").cast("long")).alias("all"))
     blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("all") / BLOCK_SHINGLES)).cast("int")
     parts = F.ceil(F.greatest(F.col("outliers") / BLOCK, F.col("own") / BLOCK_SHINGLES)).cast("int")
-    rows = mixed.join(counts, ["band", "h"])
+    rows = salted_join(mixed, counts, ["band", "h"])
     as_member = (rows.withColumn("block", F.pmod(F.xxhash64("key"), blocks)).withColumn("part", each(parts))
                      .withColumn("outlier", F.lit(False)))
     # with one block an outlier is there already, as a member
@@ -356,10 +359,8 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     members = reps.filter(F.col("n") > 0).select("key", F.posexplode("bands").alias("band", "h"))
     centres = (members.groupBy("band", "h").agg(F.min("key").alias("centre"), F.count(F.lit(1)).alias("size"))
                       .filter(F.col("size") > 1))
-    salted = members.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)))
-    spread = centres.withColumn("salt", each(F.lit(SALTS)))
     # members of buckets with company; from here on small
-    shared = cut(salted.join(spread, ["band", "h", "salt"]).select("band", "h", "key", "centre", "size"))
+    shared = cut(salted_join(members, centres, ["band", "h"]).select("band", "h", "key", "centre", "size"))
     pairs = cut(shared.filter(F.col("key") != F.col("centre"))
                       .select(F.col("centre").alias("a"), F.col("key").alias("b")).distinct())
     # whole shingle sets, only of texts in some pair
