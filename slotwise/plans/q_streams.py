@@ -95,7 +95,8 @@ x AS (SELECT s.device_id, s.n, s.pending_since, (SELECT min(e.n) FROM e WHERE e.
 y AS (SELECT x.*, e.ts AS closed_ts FROM x LEFT JOIN e ON e.device_id = x.device_id AND e.n = x.closed),
 z AS (SELECT y.*, (SELECT max(p.n) FROM p WHERE p.device_id = y.device_id AND p.ts < y.pending_since + INTERVAL 1 DAY) AS last
       FROM y WHERE closed_ts IS NULL OR closed_ts >= pending_since + INTERVAL 1 DAY)
-SELECT z.device_id, z.pending_since, z.pending_since + INTERVAL 1 DAY AS deadline, 'armed but never committed' AS outcome,
+SELECT z.device_id, z.pending_since, z.pending_since + INTERVAL 1 DAY AS deadline,
+       CASE WHEN p.armed = 1 THEN 'armed but never tried' ELSE 'on trial but never committed' END AS outcome,
        p.staged, p.armed, p.trial
 FROM z JOIN p ON p.device_id = z.device_id AND p.n = z.last""")
 def st2_stream_armed_timeout(fx):

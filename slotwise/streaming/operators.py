@@ -174,7 +174,8 @@ def lifecycle_stream(actions: DataFrame, watermark: str = "1 hour") -> DataFrame
                       "staged": "int32", "armed": "int32", "trial": "int32"}, watermark)
 
 
-TIMEOUT_OUTCOME = "armed but never committed"
+# an episode's outcome, by the state it was in at its deadline
+ARMED_OUTCOME, TRIAL_OUTCOME = "armed but never tried", "on trial but never committed"
 NONE, REPORTED = -1, -2     # no episode open; the open episode has been reported
 
 
@@ -214,7 +215,7 @@ def lifecycle_timeouts(actions: DataFrame, timeout_s: int, watermark: str = "1 h
     return out.select("device_id",
                       F.timestamp_micros("since").cast("timestamp_ntz").alias("pending_since"),
                       F.timestamp_micros("fired").cast("timestamp_ntz").alias("deadline"),
-                      F.lit(TIMEOUT_OUTCOME).alias("outcome"), "staged", "armed", "trial")
+                      F.when(F.col("armed") == 1, ARMED_OUTCOME).otherwise(TRIAL_OUTCOME).alias("outcome"), "staged", "armed", "trial")
 
 
 # --- ST4 --------------------------------------------------------------------
