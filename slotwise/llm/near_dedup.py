@@ -23,9 +23,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm.common import PIECE, cut, mix, table
+from slotwise.llm.common import cut, mix, table
 from slotwise.llm.grams import codes
 
+PIECE = 1 << 17                 # characters (or words) handled by one numpy pass
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 25, 5             # at 0.8 a pair shares a band with probability 0.99995
@@ -74,14 +75,15 @@ def word_hashes(text: str) -> np.ndarray:
         return mix((total[end] - total[start]) * q[start] + (end - start).astype(np.uint64))
 
 
-def shingles(texts: list[str | None]) -> Iterator[tuple[int, tuple[int, int], np.ndarray, np.ndarray]]:
+def shingles(texts: list[str | None] | pa.Array) -> Iterator[tuple[int, tuple[int, int], np.ndarray, np.ndarray]]:
     """(row, 128-bit key of the word sequence, sorted distinct shingle hashes, their counts) per text.
 
     Fewer than five words make one shingle; a text without a word has none
     and its key is taken from the raw characters.
     """
     p, _, s, _ = _powers()
-    for i, t in enumerate(texts):
+    for i, t in enumerate(texts):       # one Python string at a time
+        t = t.as_py() if isinstance(t, pa.Scalar) else t
         h = word_hashes(t.lower()) if t else np.empty(0, np.uint64)
         seed = h if len(h) else mix(codes(t).astype(np.uint64) + R2) if t else h
         with np.errstate(over="ignore"):
@@ -158,13 +160,13 @@ def sketches(docs: DataFrame) -> DataFrame:
                 sets.clear(), counts.clear()
                 held = 0
 
-            for _, key, x, c in shingles(b.column("text").to_pylist()):
+            for _, key, x, c in shingles(b.column("text")):
                 keys.append(key[0].to_bytes(8) + key[1].to_bytes(8))
                 n.append(len(x))
                 sets.append(x)
                 counts.append(c)
                 held += len(x)
-                if held > PIECE >> 1 or len(sets) >= 2000:
+                if held > 4 * PIECE or len(sets) >= 2000:
                     flush()
             flush()
             yield pa.RecordBatch.from_arrays(
@@ -184,7 +186,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys, sets = [], []
-            for _, key, x, _c in shingles(b.column("text").to_pylist()):
+            for _, key, x, _c in shingles(b.column("text")):
                 keys.append(key[0].to_bytes(8) + key[1].to_bytes(8))
                 sets.append(np.unique((x >> np.uint64(32)).astype(np.uint32)).view(np.int32))
             flat = pa.array(np.concatenate(sets) if sets else np.empty(0, np.int32))
