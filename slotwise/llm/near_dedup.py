@@ -4,8 +4,10 @@ Each text becomes a weighted set of five-word shingles.  ProbMinHash lets every
 shingle arrive by a Poisson process whose rate is its weight; a register keeps
 the shingle that arrives first, and a text's processes stop once no later
 arrival can win any register.  Two texts agree on a register with the
-probability Jaccard similarity of their weights.  Bands of registers give
-candidates; candidates are verified on their whole shingle sets.
+probability Jaccard similarity of their weights.  A text that repeats shingles
+has a second row of registers with all weights 1, which agree with the
+similarity of the sets (without repeats both rows are the same).  Bands of
+registers give candidates; candidates are verified on their whole shingle sets.
 
 No pair list of a whole group is ever made: equal texts are collapsed first
 and each bucket is linked to one centre; buckets that still hold several
@@ -29,7 +31,7 @@ from slotwise.llm.grams import codes
 PIECE = 1 << 17                 # characters (or words) handled by one numpy pass
 WORDS = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 25, 5             # at 0.8 a pair shares a band with probability 0.99995
+BANDS, ROWS = 25, 5             # at set Jaccard 0.8 a pair shares a band with probability 0.99995
 REGISTERS = BANDS * ROWS
 BLOCK = 4096                    # members of a bucket compared at once
 BLOCK_SHINGLES = 1 << 20        # and their shingles, about
@@ -140,7 +142,19 @@ def signatures(sets: list[np.ndarray], counts: list[np.ndarray]) -> np.ndarray:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, key (16 bytes), n (shingles), bands (25 hashes of five registers each)."""
+    """doc_id, text_hash, key (16 bytes), n (shingles), bands (25 hashes of five registers each).
+
+    A text with repeated shingles has 25 more bands, of its registers with unit
+    weights; those that equal the band before them are null.
+    """
+    def bands_of(sets: list[np.ndarray], counts: list[np.ndarray]) -> list[list[int]]:
+        g = signatures(sets, counts).reshape(len(sets), BANDS, ROWS)
+        with np.errstate(over="ignore"):
+            x = g[:, :, 0].copy()
+            for j in range(1, ROWS):
+                x = x * R1 + g[:, :, j]
+            return mix(x).view(np.int64).tolist()
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys, n, bands = [], [], []
@@ -148,15 +162,12 @@ def sketches(docs: DataFrame) -> DataFrame:
 
             def flush() -> None:
                 nonlocal held
-                r = signatures(sets, counts)
-                with np.errstate(over="ignore"):
-                    g = r.reshape(len(sets), BANDS, ROWS)
-                    x = g[:, :, 0].copy()
-                    for j in range(1, ROWS):
-                        x = x * R1 + g[:, :, j]
-                    x = mix(x).view(np.int64)
+                weighted = bands_of(sets, counts)
+                repeats = [k for k, c in enumerate(counts) if len(c) and c.max() > 1]
+                unit = dict(zip(repeats, bands_of([sets[k] for k in repeats], [np.ones_like(counts[k]) for k in repeats])))
                 for k, one in enumerate(sets):
-                    bands.append(x[k].tolist() if len(one) else [])
+                    more = [None if u == w else u for u, w in zip(unit.get(k, ()), weighted[k])]
+                    bands.append(weighted[k] + more if len(one) else [])
                 sets.clear(), counts.clear()
                 held = 0
 
@@ -358,7 +369,8 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     base = cut(sketches(docs))
     reps = cut(base.groupBy("key").agg(F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.count(F.lit(1)).alias("copies"),
                                        F.first("n").alias("n"), F.first("bands").alias("bands")))
-    members = reps.filter(F.col("n") > 0).select("key", F.posexplode("bands").alias("band", "h"))
+    members = (reps.filter(F.col("n") > 0).select("key", F.posexplode("bands").alias("band", "h"))
+                   .filter(F.col("h").isNotNull()).withColumn("band", F.col("band") % BANDS))
     centres = (members.groupBy("band", "h").agg(F.min("key").alias("centre"), F.count(F.lit(1)).alias("size"))
                       .filter(F.col("size") > 1))
     # members of buckets with company; from here on small

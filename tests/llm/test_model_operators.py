@@ -222,6 +222,17 @@ def test_near_duplicates_against_all_pairs(spark, monkeypatch, block):
     assert got == classes(docs)
 
 
+def test_near_duplicates_that_repeat_a_passage_unlike_often(spark):
+    docs = []
+    for pair in range(60):
+        own = [f"p{pair}w{i}" for i in range(200)]
+        passage = [f"p{pair}r{i}" for i in range(54)]
+        docs.append((len(docs), " ".join(own + passage * 50)))
+        docs.append((len(docs), " ".join(own + passage + [f"p{pair}x{i}" for i in range(50)])))
+    got = {r["doc_id"]: r["class_id"] for r in N.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == classes(docs) == {i: i - i % 2 for i in range(120)}
+
+
 def test_registers_estimate_probability_jaccard():
     rng = random.Random(2)
     words = [f"w{i}" for i in range(600)]
