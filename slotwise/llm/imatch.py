@@ -17,11 +17,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from slotwise.llm.common import counted, mix, table
+from slotwise.llm.common import mix, table
 from slotwise.llm.near_dedup import word_hashes
 from slotwise.operators import scan
 
-BITS = 18                   # slots of the hashed lexicon: document frequencies of 2^18 slots
+BITS = 18                   # a lexicon may also be given as a bitmap over this many leading bits of a term's hash
+HELD = 1 << 21              # terms that a counting task holds before it hands on their counts
 BAND = (0.2, 0.9)           # idf of kept terms, as a share of the largest, log(documents)
 SUBSETS = 32                # subsets hashed per level
 LEVELS = 3
@@ -33,33 +34,46 @@ def terms(text: str | None) -> np.ndarray:
     return np.unique(word_hashes(text.lower())) if text else np.empty(0, np.uint64)
 
 
-def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """Documents per slot of the hashed lexicon, and the number of documents, over all rows."""
-    size = 1 << BITS
+def document_frequencies(docs: DataFrame) -> tuple[DataFrame, int]:
+    """``term`` (64-bit hash) and ``n``, the documents that hold it, and the number of documents, over all rows.
+
+    A task hands on counts of the terms it holds; Spark adds them up by term.
+    """
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def counts() -> pa.RecordBatch:
+            term, n = np.unique(np.concatenate(held), return_counts=True) if held else (np.empty(0, np.uint64), np.empty(0, np.int64))
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(n, pa.int64())], names=["term", "n"])
+
+        for b in batches:
+            for t in b.column("text").to_pylist():
+                held.append(terms(t))
+                size += len(held[-1])
+                if size >= HELD:
+                    yield counts()
+                    size = 0
+        yield counts()
+
+    counted = docs.select("text").mapInArrow(task, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    return counted, docs.count()
 
-    def count(columns: list) -> dict[int, np.ndarray]:
-        n = np.zeros(size + 1, np.int64)
-        held: list[np.ndarray] = []
-        for t in columns[0]:
-            # terms of one text that share a slot count once
-            held.append(np.unique(terms(t) >> np.uint64(64 - BITS)))
-            if len(held) >= 1000:
-                n[:size] += np.bincount(np.concatenate(held).astype(np.int64), minlength=size)
-                held.clear()
-        if held:
-            n[:size] += np.bincount(np.concatenate(held).astype(np.int64), minlength=size)
-        n[size] = len(columns[0])
-        return {0: n}
 
-    got = counted(docs.select("text"), count, size + 1)[0]
-    return got[:size], int(got[size])
+def kept_slots(df: DataFrame, documents: int) -> np.ndarray:
+    """Sorted hashes of the terms within the idf band; the terms outside it stay on the executors."""
+    idf = F.log(F.lit(float(max(1, documents))) / F.col("n")) / math.log(max(2, documents))
+    rows = df.filter(idf.between(*BAND)).select("term").toArrow()
+    return np.sort(rows["term"].to_numpy().view(np.uint64))
 
 
-def kept_slots(df: np.ndarray, documents: int) -> np.ndarray:
-    """Which slots of the lexicon lie within the idf band."""
-    whole = math.log(max(2, documents))
-    idf = np.log(np.maximum(1, documents) / np.maximum(1, df)) / whole
-    return (df > 0) & (idf >= BAND[0]) & (idf <= BAND[1])
+def in_band(h: np.ndarray, kept: np.ndarray) -> np.ndarray:
+    """Those of the term hashes that are in the lexicon: sorted hashes, or a bitmap of leading bits."""
+    if kept.dtype == bool:
+        return h[kept[(h >> np.uint64(64 - BITS)).astype(np.int64)]]
+    if not len(kept):
+        return kept
+    return h[kept[np.minimum(np.searchsorted(kept, h), len(kept) - 1)] == h]
 
 
 def fingerprint(text: str | None, kept: np.ndarray) -> str:
@@ -69,7 +83,7 @@ def fingerprint(text: str | None, kept: np.ndarray) -> str:
     hash of all its terms, or of its characters if it has no term.
     """
     every = terms(text)
-    h = every[kept[(every >> np.uint64(64 - BITS)).astype(np.int64)]] if len(every) else every
+    h = in_band(every, kept)
     if not len(h):
         raw = every.tobytes() if len(every) else (text or "").encode("utf-8", "surrogatepass")
         return "0:" + hashlib.blake2b(raw, digest_size=8).hexdigest()

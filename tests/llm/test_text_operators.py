@@ -107,6 +107,26 @@ def test_fingerprint_of_odd_texts(spark, odd, empty):
     assert I.document_frequencies(empty)[1] == 0 and I.with_next(empty).count() == 0
 
 
+def test_band_holds_exactly_the_terms_of_its_document_frequencies(spark, monkeypatch):
+    from collections import Counter
+
+    import numpy as np
+    monkeypatch.setattr(I, "HELD", 5000)
+    rng = random.Random(7)
+    # a rare vocabulary larger than 2^18, beside common and middling terms
+    texts = [" ".join([f"r{d}x{i}" for i in range(1500)] + [f"m{rng.randrange(300)}" for _ in range(20)] + ["the", "The", "of"])
+             for d in range(200)]
+    df, n = I.document_frequencies(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5))
+    kept = I.kept_slots(df, n)
+    count = Counter(w for t in texts for w in set(t.lower().split()))
+    idf = {w: np.log(200 / c) / np.log(200) for w, c in count.items()}
+    expected = [w for w, x in idf.items() if I.BAND[0] <= x <= I.BAND[1]]
+    assert n == 200 and 200 < len(expected) <= 300
+    assert kept.tolist() == I.terms(" ".join(expected)).tolist()
+    # terms outside the band leave no trace in a fingerprint
+    assert I.fingerprint(texts[0], kept) == I.fingerprint(" ".join(w for w in texts[0].split() if w in set(expected)), kept)
+
+
 def test_next_text_wraps_over_many_ranges(spark):
     docs = spark.range(100).selectExpr("id * 7 AS doc_id", "concat('t', id) AS text").repartition(5)
     got = {r["doc_id"]: r["next_text"] for r in I.with_next(docs, 13).collect()}
