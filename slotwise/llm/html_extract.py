@@ -83,26 +83,26 @@ def marked(attrs: str, marks: frozenset) -> bool:
     return False
 
 
-def blocks_of(page: str) -> list[tuple[str, int, bool, bool, bool]]:
-    """(text, code points in links, furniture, inside article or main, heading) of each block in order."""
-    out: list[tuple[str, int, bool, bool, bool]] = []
-    # open elements: (name, furniture, main, link, heading)
-    stack: list[tuple[str, bool, bool, bool, bool]] = []
+def blocks_of(page: str) -> list[tuple[str, int, bool, bool, bool, bool]]:
+    """(text, code points in links, furniture, inside article or main, heading, list item) of each block in order."""
+    out: list[tuple[str, int, bool, bool, bool, bool]] = []
+    # open elements: (name, furniture, main, link, heading, list item)
+    stack: list[tuple[str, bool, bool, bool, bool, bool]] = []
     parts: list[str] = []
     link_parts: list[str] = []
-    bad = main = link = head = False
+    bad = main = link = head = item = False
 
     def flush() -> None:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
                 linked = len(" ".join(html.unescape("".join(link_parts)).split())) if link_parts else 0
-                out.append((text, linked, bad, main, head))
+                out.append((text, linked, bad, main, head, item))
             parts.clear()
             link_parts.clear()
 
-    def state() -> tuple[bool, bool, bool, bool]:
-        return stack[-1][1:] if stack else (False, False, False, False)
+    def state() -> tuple[bool, bool, bool, bool, bool]:
+        return stack[-1][1:] if stack else (False, False, False, False, False)
 
     at, end = 0, len(page)
     while at < end:
@@ -125,7 +125,7 @@ def blocks_of(page: str) -> list[tuple[str, int, bool, bool, bool]]:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
                     del stack[i:]
-                    bad, main, link, head = state()
+                    bad, main, link, head, item = state()
                     break
             continue
         if name == "br":
@@ -144,7 +144,7 @@ def blocks_of(page: str) -> list[tuple[str, int, bool, bool, bool]]:
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] in SIBLINGS[name]:
                         del stack[i:]
-                        bad, main, link, head = state()
+                        bad, main, link, head, item = state()
                         break
                     if stack[i][0] in ("ul", "ol", "table", "div", "article", "section", "blockquote", "td"):
                         break
@@ -157,7 +157,8 @@ def blocks_of(page: str) -> list[tuple[str, int, bool, bool, bool]]:
         main = main or name in MAIN
         link = link or name == "a"
         head = head or name in HEADING
-        stack.append((name, bad, main, link, head))
+        item = item or name == "li"
+        stack.append((name, bad, main, link, head, item))
     flush()
     return out
 
@@ -165,16 +166,17 @@ def blocks_of(page: str) -> list[tuple[str, int, bool, bool, bool]]:
 GOOD, BAD, OPEN = 1, 0, -1
 
 
-def first_pass(block: tuple[str, int, bool, bool, bool]) -> int:
-    text, linked, bad, main, _head = block
+def first_pass(block: tuple[str, int, bool, bool, bool, bool]) -> int:
+    text, linked, bad, main, head, item = block
     if bad:
         return BAD
+    if main:
+        # within the article links are text; list items that are nothing but a link may be a menu
+        return OPEN if item and not head and linked >= len(text) else GOOD
     if linked > LINKS * len(text):
+        return OPEN if head else BAD
+    if "©" in text:
         return BAD
-    if "©" in text and not main:
-        return BAD
-    if main:
-        return GOOD
     if len(text) < SHORT:
         return OPEN
     words = WORD.findall(text.lower())
@@ -228,8 +230,9 @@ def main_text(page: str | None) -> str:
     blocks = blocks_of(page)
     labels = [first_pass(b) for b in blocks]
     if any(b[3] and x == GOOD for b, x in zip(blocks, labels)):
-        # the page says where its article is: nothing outside belongs to it
-        labels = [x if b[3] else BAD for b, x in zip(blocks, labels)]
+        # the page says where its article is: nothing outside belongs to it or decides what does
+        labels = [x for b, x in zip(blocks, labels) if b[3]]
+        blocks = [b for b in blocks if b[3]]
     labels = second_pass(blocks, labels)
     return "\n".join(b[0] for b, x in zip(blocks, labels) if x == GOOD)
 

@@ -227,6 +227,25 @@ def test_main_text_without_furniture(open_, close):
     assert H.main_text(PAGE % (open_ + STORY + close)) == TEXT
 
 
+@pytest.mark.parametrize("block, text", [
+    ('<h1><a href="/x">A linked title of the story</a></h1>', "A linked title of the story"),
+    ('<p>See <a href="/x">the whole report</a>.</p>', "See the whole report."),
+    ('<p><a href="/x">The whole report</a></p>', "The whole report"),
+    ('<h2>Sources</h2><ul><li><a href="/1">One paper</a></li><li><a href="/2">Another paper</a>, 2020</li></ul>',
+     "Sources\nOne paper\nAnother paper, 2020")])
+@pytest.mark.parametrize("name", ["article", "main"])
+def test_links_inside_the_article_are_kept(block, text, name):
+    inside = lambda x: H.main_text(PAGE % f"<{name}>{x}</{name}>")
+    assert inside(block + STORY) == text + "\n" + TEXT
+    assert inside(STORY + block) == TEXT + "\n" + text
+    assert inside(block) == text
+
+
+def test_linked_heading_outside_of_an_article():
+    linked = STORY.replace("A title", '<a href="/x">A title</a>')
+    assert H.main_text(PAGE % linked) == H.main_text(PAGE % f"<div class=post>{linked}</div>") == TEXT
+
+
 def test_truncated_and_broken_pages():
     assert H.main_text(None) == H.main_text("") == H.main_text("<p></p><!-- only") == ""
     whole = PAGE % ("<article>" + STORY + "</article>")
