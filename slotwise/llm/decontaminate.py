@@ -23,12 +23,14 @@ from slotwise.llm.common import PIECE, table
 from slotwise.llm.grams import codes
 
 ERRORS = 0.08           # edits per character of an item's normal form
-MIN_CHARS = 25          # shorter items count only as a document's whole text
+MIN_CHARS = 25          # shorter items are searched word for word, without edits
 BLOCK_CHARS = 2_000_000   # benchmark text in one broadcast block, about
 
 FILTER_BITS = 20
 FACTOR = np.uint32(0x9E3779B1)
 
+# letters of scripts without blanks between words
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 BREAK = re.compile(r"[\W_]+")
 WORDS = re.compile(r"[^\W_]+")
 
@@ -68,6 +70,17 @@ def cut_pieces(item: str, errors: int) -> list[tuple[int, str]]:
     return [(a, item[a:b]) for a, b in zip(edges, edges[1:])]
 
 
+def as_passage(item: str) -> str | None:
+    """A short normal form with the blanks that bound it; None for a single word, which is no passage.
+
+    A script without blanks has no bounds, and four of its letters are taken
+    for more than a word.
+    """
+    if " " not in item and len(UNSPACED.findall(item)) < 4:
+        return None
+    return (" " * (not UNSPACED.match(item[0]))) + item + (" " * (not UNSPACED.match(item[-1])))
+
+
 def masks_of(item: str) -> dict[str, int]:
     masks: dict[str, int] = {}
     for i, c in enumerate(item):
@@ -107,24 +120,10 @@ def myers(masks: dict[str, int], m: int, text: str, errors: int) -> tuple[int, i
     return best
 
 
-class Matcher:
-    """One block of benchmark items: (item id, text) pairs."""
+class Pieces:
+    """Exact hits of pieces in texts: a filter over the hashes of their first ``width`` characters, then the pieces themselves."""
 
-    def __init__(self, items: list[tuple[int, str | None]], errors: float, min_chars: int):
-        self.items, self.whole = [], {}
-        where: dict[str, list[tuple[int, int]]] = {}
-        for item_id, text in items:
-            t = normal(text)
-            if not t:
-                continue
-            if len(t) < min_chars:
-                self.whole.setdefault(t, []).append(item_id)
-                continue
-            k = int(errors * len(t))
-            for at, piece in cut_pieces(t, k):
-                where.setdefault(piece, []).append((len(self.items), at))
-            self.items.append((item_id, t, k, masks_of(t)))
-        # pieces by their first ``width`` characters, and a bitmap of the hashes of those
+    def __init__(self, where: dict[str, list]):
         self.width = min(map(len, where), default=0)
         self.starts: dict[str, list] = {}
         for piece, uses in where.items():
@@ -143,8 +142,8 @@ class Matcher:
                 h *= FACTOR
         return h >> np.uint32(32 - FILTER_BITS)
 
-    def hits(self, text: str) -> Iterator[tuple[int, int]]:
-        """(item number, place where the item would begin) for every piece found in a normal form."""
+    def hits(self, text: str) -> Iterator[tuple]:
+        """(use, place) for every use of a piece found in a normal form, in order of place."""
         if not self.width:
             return
         for base in range(0, len(text) - self.width + 1, PIECE):
@@ -152,8 +151,38 @@ class Matcher:
             for at in np.flatnonzero(self.filter[self.hashes(part)]).tolist():
                 for piece, uses in self.starts.get(part[at:at + self.width], ()):
                     if text.startswith(piece, base + at):
-                        for n, offset in uses:
-                            yield n, base + at - offset
+                        for use in uses:
+                            yield use, base + at
+
+
+class Matcher:
+    """One block of benchmark items: (item id, text) pairs."""
+
+    def __init__(self, items: list[tuple[int, str | None]], errors: float, min_chars: int):
+        self.items, self.whole = [], {}
+        where: dict[str, list[tuple[int, int]]] = {}
+        short: dict[str, list[tuple[int, str]]] = {}
+        for item_id, text in items:
+            t = normal(text)
+            if not t:
+                continue
+            if len(t) < min_chars:
+                self.whole.setdefault(t, []).append(item_id)
+                passage = as_passage(t)
+                if passage:
+                    short.setdefault(passage, []).append((item_id, t))
+                continue
+            k = int(errors * len(t))
+            for at, piece in cut_pieces(t, k):
+                where.setdefault(piece, []).append((len(self.items), at))
+            self.items.append((item_id, t, k, masks_of(t)))
+        # short items have a filter of their own: their width would let too much through the other
+        self.pieces, self.short = Pieces(where), Pieces({p: [(p, uses)] for p, uses in short.items()})
+
+    def hits(self, text: str) -> Iterator[tuple[int, int]]:
+        """(item number, place where the item would begin) for every piece found in a normal form."""
+        for (n, offset), at in self.pieces.hits(text):
+            yield n, at - offset
 
     def find(self, text: str | None) -> list[tuple[int, int, int, int]]:
         """(item id, distance, start, end) of the best passage for each item found; places in ``text``."""
@@ -161,10 +190,20 @@ class Matcher:
         if not t:
             return []
         out = [(i, 0, 0, len(text)) for i in self.whole.get(t, ())]
+        where = None
+        # short items: the first place of each, bounded by blanks
+        first: dict[str, tuple[int, list]] = {}
+        for (passage, uses), at in self.short.hits(f" {t} "):
+            first.setdefault(passage, (at, uses))
+        for passage, (at, uses) in first.items():
+            start = at - 1 + passage.startswith(" ")
+            for item_id, item in uses:
+                if item != t:       # else it is the whole text
+                    where = where or places(text)
+                    out.append((item_id, 0, where[start], where[start + len(item) - 1] + 1))
         diagonals: dict[int, set[int]] = {}
         for n, start in self.hits(t):
             diagonals.setdefault(n, set()).add(start)
-        where = None
         for n, starts in diagonals.items():
             item_id, item, k, masks = self.items[n]
             best = None
@@ -227,8 +266,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS, min_c
     An item matches a passage whose normal form (lower case, one blank between
     words) is within ``floor(errors * length)`` edits; the best passage is
     reported with its place in the whole text (code points; of equal ones the
-    first).  Items under ``min_chars`` match only a document whose whole normal
-    form equals theirs.  Null, empty or wordless texts and items match nothing;
+    first).  Items under ``min_chars`` match without edits, between words; a
+    single short word matches only a document whose whole normal form equals it
+    (see :func:`as_passage`).  Null, empty or wordless texts and items match nothing;
     repeated rows are reported each; a null item_id or doc_id stays null.
     Other columns are ignored.
     """

@@ -195,6 +195,21 @@ def test_matched_span_is_in_the_original_text(spark):
     assert text[r["start"]:r["end"]] == item.upper()[:-1]
 
 
+def test_short_items_inside_longer_documents(spark):
+    items = [(1, "Who wrote Faust?"), (2, "tie"), (3, "\u6c34\u306e\u5316\u5b66\u5f0f\u306f\u4f55\u3067\u3059\u304b"),
+             (4, "Is it so?"), (5, "sit amet elit " * 9)]
+    docs = [(1, "Quiz: who wrote  FAUST? Goethe did."), (2, "whoever; who wrote Fausts, xwho wrote faust"), (3, "a tie two"),
+            (4, "\u554f\u984c\u6c34\u306e\u5316\u5b66\u5f0f\u306f\u4f55\u3067\u3059\u304b\u3068\u805e\u304f"),
+            (5, "who wrote Faust"), (6, "Is it so? Is it so?"), (7, "this it so"), (8, "Tie!")]
+    docs, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["distance"], r["start"], r["end"]) for r in D.matches(docs, bench).collect()}
+    assert got == {(1, 1): (0, 6, 22), (4, 3): (0, 2, 12), (5, 1): (0, 0, 15), (6, 4): (0, 0, 8), (8, 2): (0, 0, 4)}
+    assert {r["doc_id"] for r in D.clean(docs, bench).collect()} == {2, 3, 7}
+    # with short items alone, or across the pieces of a long text
+    many = spark.createDataFrame([(1, "x " * (D.PIECE // 2 - 3) + "who wrote Faust?")], "doc_id long, text string")
+    assert D.matches(many, bench.filter("item_id = 1")).count() == 1
+
+
 def test_decontamination_of_odd_rows(spark, odd, empty):
     bench = spark.createDataFrame([(1, None), (2, ""), (3, "tie"), (None, "one two three four five six seven")],
                                   "item_id long, text string")
