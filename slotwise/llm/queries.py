@@ -15,6 +15,7 @@ MODULES = {
     "op8_near_dedup": "near_dedup",
     "op9_toxicity": "toxicity",
     "op10_language_id": "language_id",
+    "op11_divergence": "divergence",
 }
 
 
