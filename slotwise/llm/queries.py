@@ -16,6 +16,7 @@ MODULES = {
     "op9_toxicity": "toxicity",
     "op10_language_id": "language_id",
     "op11_divergence": "divergence",
+    "op12_mixing": "mixing",
     "op13_filter_audit": "filter_audit",
 }
 
