@@ -214,19 +214,34 @@ def each(n: Column) -> Column:
     return F.explode(F.sequence(F.lit(0).cast("long"), n.cast("long") - 1))
 
 
+def merged(rows: DataFrame, other: DataFrame, on: list[str] | Column, how: str = "inner") -> DataFrame:
+    """A join by sorting both sides.
+
+    Dozens of small joins would else each leave a broadcast relation, of a
+    memory page at least, in the driver; a sorted side that is skewed is split
+    by Spark at run time, which a broadcast never needs and a hash join can't do.
+    """
+    return rows.join(other.hint("merge"), on, how)
+
+
 def salted_join(rows: DataFrame, one: DataFrame, on: list[str], salt_by: str = "key") -> DataFrame:
     """``rows`` with the columns of ``one`` (a row per value of ``on``); the rows of a hot value go to ``SALTS`` tasks."""
-    return (rows.withColumn("salt", F.pmod(F.xxhash64(salt_by), F.lit(SALTS)))
-                .join(one.withColumn("salt", each(F.lit(SALTS))), [*on, "salt"]).drop("salt"))
+    return merged(rows.withColumn("salt", F.pmod(F.xxhash64(salt_by), F.lit(SALTS))),
+                  one.withColumn("salt", each(F.lit(SALTS))), [*on, "salt"]).drop("salt")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose shingle sets have at least the given Jaccard similarity."""
+    """The pairs (a, b) whose shingle sets have at least the given Jaccard similarity.
+
+    ``pairs``: a (the centre), b, part.  The partners of a centre are dealt to
+    as many parts as their number asks for; the centre's set goes once to each.
+    """
     x, y = sets.toDF("a", "sa"), sets.toDF("b", "sb")
     both = F.size(F.array_intersect("sa", "sb"))
-    return (pairs.join(y, "b").join(x, "a").withColumn("both", both)
-                 .filter(F.col("both") >= similarity * (F.size("sa") + F.size("sb") - F.col("both")))
-                 .select("a", "b"))
+    centres = merged(pairs.select("a", "part").distinct(), x, ["a"])
+    return (merged(merged(pairs, y, ["b"]), centres, ["a", "part"]).withColumn("both", both)
+            .filter(F.col("both") >= similarity * (F.size("sa") + F.size("sb") - F.col("both")))
+            .select("a", "b"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -271,14 +286,14 @@ def open_blocks(shared: DataFrame, comps: DataFrame, reps: DataFrame) -> DataFra
     part) is of bounded size; its rows are band, h, block, part, outlier, key,
     comp.
     """
-    labelled = (shared.filter(F.col("size") > 2).join(comps, "key", "left")
-                      .withColumn("comp", F.coalesce("comp", "key")))
+    labelled = (merged(shared.filter(F.col("size") > 2), comps, ["key"], "left")
+                .withColumn("comp", F.coalesce("comp", "key")))
     open_ = (labelled.groupBy("band", "h")
                      .agg(F.min_by("comp", "key").alias("main"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                      .filter(F.col("lo") != F.col("hi")).select("band", "h", "main"))
-    mixed = cut(salted_join(labelled, open_, ["band", "h"]).join(reps.select("key", "n"), "key")
-                        .withColumn("outlier", F.col("comp") != F.col("main"))
-                        .select("band", "h", "key", "comp", "size", "n", "outlier"))
+    mixed = cut(merged(salted_join(labelled, open_, ["band", "h"]), reps.select("key", "n"), ["key"])
+                .withColumn("outlier", F.col("comp") != F.col("main"))
+                .select("band", "h", "key", "comp", "size", "n", "outlier"))
     own = F.when(F.col("outlier"), F.col("n").cast("long"))
     counts = mixed.groupBy("band", "h").agg(F.sum(F.col("outlier").cast("int")).alias("outliers"),
                                             F.sum(own).alias("own"), F.sum(F.col("n").cast("long")).alias("all"))
@@ -353,7 +368,7 @@ def last_links(rows: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
                 (out if outlier else rest).append((key, comp, flat[ends[i]:ends[i + 1]].copy()))
         yield links()
 
-    return (rows.join(sets, "key").repartition(*at).sortWithinPartitions(*at)
+    return (merged(rows, sets, ["key"]).repartition(*at).sortWithinPartitions(*at)
                 .mapInArrow(task, "a binary, b binary").distinct())
 
 
@@ -375,13 +390,16 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
                       .filter(F.col("size") > 1))
     # members of buckets with company; from here on small
     shared = cut(salted_join(members, centres, ["band", "h"]).select("band", "h", "key", "centre", "size"))
+    parts = F.ceil(F.max("size") / BLOCK)
     pairs = cut(shared.filter(F.col("key") != F.col("centre"))
-                      .select(F.col("centre").alias("a"), F.col("key").alias("b")).distinct())
+                      .groupBy(F.col("centre").alias("a"), F.col("key").alias("b"))
+                      .agg(parts.alias("parts"))
+                      .select("a", "b", F.pmod(F.xxhash64("b"), "parts").alias("part")))
     # whole shingle sets, only of texts in some pair
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    ids = reps.join(wanted, "key", "left_semi").select(F.col("rep.doc_id").alias("__id"), F.col("rep.text_hash").alias("__hash"))
-    texts = docs.select("doc_id", "text").join(
-        ids, F.col("doc_id").eqNullSafe(F.col("__id")) & F.xxhash64("text").eqNullSafe(F.col("__hash")), "left_semi")
+    ids = merged(reps, wanted, ["key"], "left_semi").select(F.col("rep.doc_id").alias("__id"), F.col("rep.text_hash").alias("__hash"))
+    texts = merged(docs.select("doc_id", "text"), ids,
+                   F.col("doc_id").eqNullSafe(F.col("__id")) & F.xxhash64("text").eqNullSafe(F.col("__hash")), "left_semi")
     sets = cut(shingle_sets(texts).dropDuplicates(["key"]))
     edges = cut(verified(pairs, sets, similarity))
     comps = cut(components(edges))
@@ -391,11 +409,11 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     if not more.isEmpty():
         comps = cut(components(edges.union(more)))
 
-    labelled = cut(reps.select("key", "rep", "copies").join(comps, "key", "left")
-                       .withColumn("comp", F.coalesce("comp", "key")))
-    classes = cut(labelled.groupBy("comp").agg(F.min("rep").alias("class"), F.sum("copies").alias("class_size")))
-    named = cut(labelled.select("key", "comp").join(classes, "comp").select("key", "class", "class_size"))
-    return base.select("doc_id", "text_hash", "key").join(named, "key").select(
+    labelled = cut(merged(reps.select("key", "rep", "copies"), comps, ["key"], "left")
+                   .withColumn("comp", F.coalesce("comp", "key")))
+    classes = labelled.groupBy("comp").agg(F.min("rep").alias("class"), F.sum("copies").alias("class_size"))
+    named = cut(salted_join(labelled.select("key", "comp"), classes, ["comp"]).select("key", "class", "class_size"))
+    return salted_join(base.select("doc_id", "text_hash", "key"), named, ["key"], "doc_id").select(
         "doc_id", "text_hash", F.col("class.doc_id").alias("class_id"), F.col("class.text_hash").alias("class_hash"),
         "class_size")
 
@@ -406,7 +424,7 @@ def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
             .filter(F.col("doc_id").eqNullSafe(F.col("class_id")) & F.col("text_hash").eqNullSafe(F.col("class_hash")))
             .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct())
     rows = docs.withColumn("__own", F.xxhash64("text"))
-    return (rows.join(keep, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__hash")), "left_semi")
+    return (merged(rows, keep, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__hash")), "left_semi")
                 .dropDuplicates(["doc_id", "__own"]).drop("__own"))
 
 
