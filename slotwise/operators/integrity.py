@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from slotwise import constants as K
 from slotwise.functions import columns as C
 
+IMAGE_SALTS = 16
+
 
 def verify_checksum(images: DataFrame, expected: DataFrame | None = None) -> DataFrame:
     """``missing input`` / ``malformed`` / ``not read`` / ``mismatch`` / ``ok`` per image.
 
     ``not read`` is an image without a body (too large for one value, see
-    ``read_images``): it never passes for verified.
+    ``read_images``): it never passes for verified.  Images of any size are
+    verified from their files by :func:`verify_files`.
 
     ``images(image_id, path, body[, expected_sha])``; when ``expected`` is
     given it supplies ``(image_id, expected_sha)`` by a left join.  The digest
@@ -26,13 +29,25 @@ def verify_checksum(images: DataFrame, expected: DataFrame | None = None) -> Dat
     return images.select("image_id", "path", checksum_verdict().alias("verdict"))
 
 
-def checksum_verdict(path="path", body="body", expected="expected_sha"):
-    """The J1 verdict as one column expression over ``path, body, expected_sha``."""
+def verify_files(images: DataFrame, files: DataFrame) -> DataFrame:
+    """J1 over image files of any size: the verdict of :func:`verify_checksum` per image.
+
+    ``images(image_id, path, expected_sha)`` joins ``files(path, sha256)``, the
+    digests of the files that exist (``sources.digests.image_digests``); an
+    image without a file, or whose file could not be read whole, is ``not read``.
+    """
+    found = images.select("image_id", "path", "expected_sha").join(files.select("path", "sha256"), "path", "left")
+    return found.select("image_id", "path", checksum_verdict(digest="sha256").alias("verdict"))
+
+
+def checksum_verdict(path="path", body="body", expected="expected_sha", digest=None):
+    """The J1 verdict as one column expression over ``path, expected_sha`` and ``body``, or a ``digest`` taken before."""
     exp = F.col(expected)
+    found = F.col(digest) if digest else F.sha2(F.col(body), 256)
     return (F.when(F.col(path).isNull() | exp.isNull() | (exp == ""), F.lit("missing input"))
              .when(~C.valid_sha(exp), F.lit("malformed"))
-             .when(F.col(body).isNull(), F.lit("not read"))
-             .when(F.sha2(F.col(body), 256) != C.strip_one_trailing_blank(exp), F.lit("mismatch"))
+             .when(found.isNull(), F.lit("not read"))
+             .when(found != C.strip_one_trailing_blank(exp), F.lit("mismatch"))
              .otherwise(F.lit("ok")))
 
 
@@ -111,6 +126,17 @@ def id_conflict(targets: DataFrame, staged: DataFrame, blkid: DataFrame) -> Data
         " ELSE 'duplicate' END AS verdict")
 
 
+def per_image(devices: DataFrame, images: DataFrame) -> DataFrame:
+    """``devices`` (device_id, image_id, ...) with the columns of their image, if known.
+
+    One release image is assigned to most of a fleet: the devices of an image
+    are dealt to ``IMAGE_SALTS`` tasks, each with a copy of the image's row.
+    """
+    salted = images.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(IMAGE_SALTS - 1))))
+    return (devices.withColumn("salt", F.pmod(F.hash("device_id"), F.lit(IMAGE_SALTS)))
+                   .join(salted, ["image_id", "salt"], "left").drop("salt"))
+
+
 def space_check(space: DataFrame, size_mb: int = K.EXPECTED_RAW_SIZE_MB) -> DataFrame:
     """Free KB >= size MB x 1024 (only compressed images need it)."""
     need = F.lit(size_mb * 1024).cast("long")
@@ -124,8 +150,8 @@ def image_space(space: DataFrame, assign: DataFrame, images: DataFrame,
     need none; ``enough`` is NULL for an unknown image."""
     kinds = images.select("image_id", F.coalesce(C.is_compressed("path"), F.lit(False)).alias("compressed"))
     need = F.when(F.col("compressed"), F.lit(size_mb * 1024)).when(~F.col("compressed"), F.lit(0)).cast("long")
-    return (assign.select("device_id", "image_id").join(space.select("device_id", "avail_kb"), "device_id", "left")
-                  .join(kinds, "image_id", "left")
+    rows = assign.select("device_id", "image_id").join(space.select("device_id", "avail_kb"), "device_id", "left")
+    return (per_image(rows, kinds)
                   .select("device_id", "image_id", "avail_kb", need.alias("required_kb"),
                           (F.coalesce("avail_kb", F.lit(0)) >= need).alias("enough")))
 

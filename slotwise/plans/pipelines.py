@@ -28,8 +28,6 @@ WRITE_GATES = (
     ("id conflict", 3),
 )
 
-IMAGE_SALTS = 16
-
 
 def fleet_status(block: DataFrame, crypt: DataFrame, image_id_lines: DataFrame) -> DataFrame:
     """Q1: mode, active partition and image id per device (the ``-v`` answer)."""
@@ -38,37 +36,43 @@ def fleet_status(block: DataFrame, crypt: DataFrame, image_id_lines: DataFrame)
              .select("device_id", "mode", "active", "image_uuid"))
 
 
-def image_gates(images: DataFrame) -> DataFrame:
-    """Per image, in one projection of one scan: path reason (F1), digest
-    shape (F2), checksum verdict (J1) and file type (F4)."""
+def image_gates(images: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """Per image: path reason (F1), digest shape (F2), checksum verdict (J1) and file type.
+
+    With ``files(path, sha256)``, the files that exist and their digests, a
+    well-formed path that names none of them is no path, and verdicts come from
+    these digests; without, from the bodies in ``images``, in the scan, and a
+    well-formed path counts as a file.
+    """
     exp = F.col("expected_sha")
+    exists = digest = None
+    if files is not None:
+        exists, digest = "exists", "sha256"
+        known = files.select("path", "sha256", F.lit(True).alias("exists"))
+        images = images.select("image_id", "path", "expected_sha").join(known, "path", "left")
     return images.select(
         "image_id", "path",
-        C.valid_path_reason("path").alias("path_reason"),
+        C.valid_path_reason("path", exists).alias("path_reason"),
         C.valid_sha(exp).alias("sha_ok"),
         (exp.isNotNull() & (exp != "")).alias("has_sha"),
-        I.checksum_verdict().alias("verdict"),
+        I.checksum_verdict(digest=digest).alias("verdict"),
         F.coalesce(C.image_type("path"), F.lit("Invalid File Type")).alias("file_type"),
         F.coalesce(C.is_compressed("path"), F.lit(False)).alias("compressed"))
 
 
 def write_readiness(assign: DataFrame, images: DataFrame, space: DataFrame, staged: DataFrame,
-                    block: DataFrame, blkid: DataFrame, crypt: DataFrame) -> DataFrame:
-    """Q2: first failing gate of a write per device and its exit code."""
+                    block: DataFrame, blkid: DataFrame, crypt: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """Q2: first failing gate of a write per device and its exit code (``files``: see :func:`image_gates`)."""
     # the digest is taken in the scan; from here on an image is a few columns
-    gates = image_gates(images).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(IMAGE_SALTS - 1))))
+    gates = image_gates(images, files)
     targets = T.write_target(block, crypt).select("device_id", "target", "error", "target_block")
     conflict = (I.id_conflict(targets, staged, blkid)
                  .select("device_id", "target", "error", F.col("verdict").alias("id_verdict")))
     room = I.space_check(space).select("device_id", "enough")
     # device-keyed tables first: they are co-bucketed, so these joins need no
     # shuffle; only the image-keyed join below moves data
-    j = (assign.select("device_id", "image_id")
-               .join(conflict, "device_id", "left")
-               .join(room, "device_id", "left")
-               # one release image is assigned to most of the fleet: its devices are dealt to several tasks
-               .withColumn("salt", F.pmod(F.hash("device_id"), F.lit(IMAGE_SALTS)))
-               .join(gates, ["image_id", "salt"], "left"))
+    j = I.per_image(assign.select("device_id", "image_id").join(conflict, "device_id", "left").join(room, "device_id", "left"),
+                    gates)
     failed = {   # SQL predicates, one per gate
         "bad path": "path_reason IS NOT NULL OR path IS NULL",
         "malformed digest": "has_sha AND NOT sha_ok",

@@ -138,3 +138,43 @@ def s7_read_gz_images(fx):
     files = fx.spark.read.text(root, wholetext=True)
     body = F.expr("substring(value, 1, length(value) - 1)")   # the writer's newline
     return files.select(F.col("image_id").cast("long").alias("image_id"), F.sha2(body, 256).alias("sha"))
+
+
+# A file is the body and the line feed of the text writer; one image in 23 has no file.
+FILE_SHA = "CASE WHEN expected_sha = sha256(body) THEN sha256(body || chr(10)) ELSE expected_sha END"
+HAS_FILE = "image_id % 23 <> 11"
+FILE_VERDICT = f"""CASE WHEN path IS NULL OR expected_sha IS NULL OR expected_sha = '' THEN 'missing input'
+     WHEN NOT {SHA_OK} THEN 'malformed' WHEN NOT {HAS_FILE} THEN 'not read'
+     WHEN sha256(body || chr(10)) <> regexp_replace({FILE_SHA}, ' $', '') THEN 'mismatch' ELSE 'ok' END"""
+STREAMED_ABOVE = 2_000      # bytes: most of the files are read block by block
+
+
+def published(fx):
+    """(images, files): the images with the digest of their file, and path and digest of every file found.
+
+    The bodies are written as files under the shared folder and digested there.
+    """
+    from pyspark.sql import functions as F
+
+    from slotwise.session import scratch
+    from slotwise.sources import digests as D
+    root = scratch(fx.spark, "published")
+    fx.image.where(HAS_FILE).select("image_id", "body").write.mode("append").partitionBy("image_id").text(root)
+    found = D.image_digests(fx.spark, root, name_glob="*.txt", one_value=STREAMED_ABOVE, block_bytes=512)
+    found = found.withColumn("image_id", F.regexp_extract("path", r"image_id=([0-9]+)", 1).cast("long"))
+    images = fx.image.withColumn("expected_sha", F.expr(FILE_SHA.replace("sha256(body)", "sha2(body, 256)").replace(
+        "sha256(body || chr(10))", "sha2(body || chr(10), 256)"))).select("image_id", "path", "expected_sha")
+    files = found.select("image_id", "length", "sha256").join(images.select("image_id", "path"), "image_id")
+    return images, files
+
+
+@query("s7_image_digests", f"SELECT image_id, strlen(body) + 1 AS length, sha256(body || chr(10)) AS sha256 FROM fx_image WHERE {HAS_FILE}")
+def s7_image_digests(fx):
+    """Digests of image files of any size, most of them read block by block."""
+    return published(fx)[1].select("image_id", "length", "sha256")
+
+
+@query("j1_verify_files", f"SELECT image_id, path, {FILE_VERDICT} AS verdict FROM fx_image")
+def j1_verify_files(fx):
+    """Checksum verdicts of image files of any size."""
+    return I.verify_files(*published(fx))

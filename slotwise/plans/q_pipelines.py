@@ -5,7 +5,7 @@ from __future__ import annotations
 from slotwise.plans import pipelines as P
 from slotwise.plans.catalog import query
 from slotwise.plans.q_boot import BOOT_TAIL
-from slotwise.plans.q_integrity import FILE_TYPE, SHA_OK, STAGED_SQL, VERDICT
+from slotwise.plans.q_integrity import FILE_TYPE, FILE_VERDICT, HAS_FILE, SHA_OK, STAGED_SQL, VERDICT, published
 from slotwise.plans.q_topology import INACTIVE_SQL, SCAN_SQL
 
 FULL_SQL = INACTIVE_SQL + BOOT_TAIL + "," + STAGED_SQL
@@ -51,6 +51,17 @@ def q2_write_readiness(fx):
     return P.write_readiness(fx.assign, fx.image, fx.space, fx.staged, fx.block, fx.blkid, fx.crypt)
 
 
+FILES_SQL = Q2_SQL.replace("'invalid characters' END AS path_reason",
+                           f"'invalid characters' WHEN NOT {HAS_FILE} THEN 'does not exist' END AS path_reason").replace(VERDICT, FILE_VERDICT)
+
+
+@query("q2_write_readiness_files", FILES_SQL)
+def q2_write_readiness_files(fx):
+    """Q2 over the image files themselves: a path must name a file, digests are streamed from the files."""
+    images, files = published(fx)
+    return P.write_readiness(fx.assign, images, fx.space, fx.staged, fx.block, fx.blkid, fx.crypt, files)
+
+
 @query("q3_apply_plan", FULL_SQL + r"""
 SELECT a.device_id, s.target, a.active, u.active_uki,
   CASE WHEN s.target IS NOT NULL AND u.active_uki IS NOT NULL THEN

@@ -146,21 +146,27 @@ def read_log(lines: DataFrame, *keep: str) -> DataFrame:
 MAX_CONTENT = (1 << 31) - 1     # one value of Spark's binary type
 
 
+def image_files(spark, path_glob: str, recursive: bool = True, name_glob: str | None = None) -> DataFrame:
+    """Regular files under ``path_glob`` by the ``binaryFile`` source (path, length, content, ...); ``name_glob``
+    keeps only matching file names (e.g. ``*.raw.gz``).  A column that is not asked for is not read; the source lists no empty files."""
+    reader = spark.read.format("binaryFile")
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
+    if name_glob:
+        reader = reader.option("pathGlobFilter", name_glob)
+    return reader.load(path_glob)
+
+
 def read_images(spark, path_glob: str, recursive: bool = True, name_glob: str | None = None,
                 max_bytes: int = MAX_CONTENT) -> DataFrame:
-    """Image files as ``path, length, content`` (regular files only);
-    ``name_glob`` keeps only matching file names (e.g. ``*.raw.gz``).
+    """Image files as ``path, length, content`` (see :func:`image_files`).
 
     A file above ``max_bytes`` is listed with ``content`` NULL, so that one
     large image becomes a verdict and not a failed job; the length filter is
-    pushed into the source, which then does not read such a file.
+    pushed into the source, which then does not read such a file.  For digests
+    of files of any size see :mod:`slotwise.sources.digests`.
     """
-    reader = spark.read.format("binaryFile")
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
-    if name_glob:
-        reader = reader.option("pathGlobFilter", name_glob)
-    files = reader.load(path_glob)
+    files = image_files(spark, path_glob, recursive, name_glob)
     small = files.where(F.col("length") <= max_bytes).select("path", "length", "content")
     large = files.where(F.col("length") > max_bytes).select("path", "length", F.lit(None).cast("binary").alias("content"))
     return small.unionByName(large)

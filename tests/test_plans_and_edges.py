@@ -1,8 +1,8 @@
 """Plan shapes and edge cases: no bodies in shuffles, array argv, kept files,
 stored roots, fixture keys, large images."""
 
-import re
 import os
+import re
 import shutil
 
 import pytest
@@ -157,3 +157,70 @@ def test_bucket_count_follows_the_input(spark, monkeypatch):
     assert fixtures._buckets(spark, SF_SMALL) > 50
     monkeypatch.setattr(fixtures, "BUCKET_BYTES", 1 << 40)
     assert fixtures._buckets(spark, SF_SMALL) == fixtures.MIN_BUCKETS
+
+
+def test_digest_of_a_file_above_the_limit_of_one_value(spark, tmp_path):
+    import hashlib
+
+    from slotwise.operators import integrity as I
+    from slotwise.sources import digests as D
+    size = (1 << 31) + 12_345
+    with open(tmp_path / "big.raw", "wb") as f:     # sparse: takes no room on the disk
+        f.truncate(size)
+    (tmp_path / "small.raw").write_bytes(b"x" * 1000)
+    (tmp_path / "empty.raw").write_bytes(b"")
+    right = hashlib.sha256()
+    for _ in range(size >> 20):
+        right.update(bytes(1 << 20))
+    right.update(bytes(size & ((1 << 20) - 1)))
+    files = D.image_digests(spark, str(tmp_path)).withColumn("path", F.regexp_extract("path", "[^/]+$", 0))
+    got = {r["path"]: (r["length"], r["sha256"]) for r in files.collect()}
+    assert got == {"big.raw": (size, right.hexdigest()), "small.raw": (1000, hashlib.sha256(b"x" * 1000).hexdigest())}   # an empty file is no image
+    known = spark.createDataFrame([(p, s) for p, (_, s) in got.items()], "path string, sha256 string")
+    images = spark.createDataFrame([(1, "big.raw", right.hexdigest()), (2, "big.raw", "0" * 64), (3, "gone.raw", "0" * 64),
+                                    (4, "small.raw", None)], "image_id long, path string, expected_sha string")
+    verdicts = {r["image_id"]: r["verdict"] for r in I.verify_files(images, known).collect()}
+    assert verdicts == {1: "ok", 2: "mismatch", 3: "not read", 4: "missing input"}
+
+
+@pytest.mark.parametrize("one_value,block", [(0, 7), (100, 1 << 20), (1 << 20, 1)])
+def test_digests_do_not_depend_on_blocks(spark, tmp_path, one_value, block):
+    import hashlib
+
+    from slotwise.sources import digests as D
+    bodies = {f"{i}.raw": bytes(range(i)) * i for i in range(0, 40, 7)}
+    for name, body in bodies.items():
+        (tmp_path / name).write_bytes(body)
+    got = D.image_digests(spark, str(tmp_path), one_value=one_value, block_bytes=block).collect()
+    assert {r["path"].rsplit("/", 1)[1]: r["sha256"] for r in got} == {n: hashlib.sha256(b).hexdigest() for n, b in bodies.items()}
+
+
+def test_a_file_that_changed_or_went_has_no_digest(spark, tmp_path):
+    from slotwise.sources import digests as D
+    (tmp_path / "a.raw").write_bytes(b"abc")
+    rows = spark.createDataFrame([(f"file:{tmp_path}/a.raw", 4), (f"file:{tmp_path}/gone.raw", 3)], "path string, length long")
+    assert [r["sha256"] for r in D.streamed_digests(rows).collect()] == [None, None]
+
+
+def test_write_needs_a_file_of_that_name(spark):
+    df = _c.QUERIES["q2_write_readiness_files"](spark, SF_SMALL)
+    before = {r["device_id"]: r for r in _c.QUERIES["q2_write_readiness"](spark, SF_SMALL).collect()}
+    gone = [r for r in df.collect() if r["image_id"] % 23 == 11]
+    assert gone and all(r["gate"] == "bad path" and r["exit_code"] == 1 for r in gone)
+    assert any(before[r["device_id"]]["gate"] != "bad path" for r in gone)
+
+
+def test_a_hot_image_is_dealt_to_several_tasks(spark):
+    from slotwise.operators import integrity as I
+    devices = spark.range(4000).selectExpr("id AS device_id", "IF(id % 10 < 9, 1, id) AS image_id", "id * 1000 AS avail_kb")
+    images = spark.createDataFrame([(1, "/a.raw.xz"), (3, "/b.raw")], "image_id long, path string")
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = I.per_image(devices.select("device_id", "image_id"), images)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"hashpartitioning\(image_id#\d+L?, salt#", plan)
+        rows = I.image_space(devices, devices, images).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert len(rows) == 4000 and sum(r["enough"] is True for r in rows) == sum(1 for i in range(4000) if i % 10 < 9 and i * 1000 >= 2_560_000)
