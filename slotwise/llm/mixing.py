@@ -29,7 +29,6 @@ REPEATS = 2             # no source is taken more often
 SALTS = 64
 KEY_DIGITS = 15         # hexadecimal digits of a permutation key
 TRIES = 64              # draws of the rejection sampler; each is accepted with probability 1/2 at least
-LEVELS = 6              # levels of the tree between two shuffles
 WORD = r"[^\x20\x09-\x0D]+"
 
 # ln n! for n below 16, above by Stirling's series
@@ -126,8 +125,14 @@ def drawn(rows: DataFrame, number: int) -> DataFrame:
 
 def log_factorial(n: Column) -> Column:
     x = F.greatest(n, F.lit(len(_LOG_FACTORIALS))).cast("double")
-    series = (x + 0.5) * F.log(x) - x + 0.5 * math.log(2 * math.pi) + 1 / (12 * x) - 1 / (360 * x * x * x) + 1 / (1260 * x * x * x * x * x)
-    return F.when(n < len(_LOG_FACTORIALS), F.get(F.array(*map(F.lit, _LOG_FACTORIALS)), F.greatest(n, F.lit(0)).cast("int"))).otherwise(series)
+    series = (x + 0.5) * F.log(x) - x + 0.5 * math.log(2 * math.pi) + (1 - (1 / 30 - 1 / (105 * x * x)) / (x * x)) / (12 * x)
+    table_ = F.from_json(F.lit(str(_LOG_FACTORIALS)), "array<double>")      # folded to one constant
+    return F.when(n < len(_LOG_FACTORIALS), F.get(table_, F.greatest(n, F.lit(0)).cast("int"))).otherwise(series)
+
+
+def bound(value: Column, f) -> Column:
+    """``f(value)`` with ``value`` worked out once, however often ``f`` names it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
 def uniform(*names: Column) -> Column:
@@ -145,7 +150,6 @@ def hypergeometric(good: Column, total: Column, draws: Column, *names: Column) -
     """
     least, most = F.greatest(F.lit(0).cast("long"), draws - (total - good)), F.least(good, draws)
     n = F.greatest(total, F.lit(1)).cast("double")
-    mode = F.least(most, F.greatest(least, F.floor((draws + 1).cast("double") * (good + 1) / (n + 2))))
 
     def log_weight(k: Column) -> Column:
         return -(log_factorial(k) + log_factorial(good - k) + log_factorial(draws - k) + log_factorial(total - good - draws + k))
@@ -154,20 +158,23 @@ def hypergeometric(good: Column, total: Column, draws: Column, *names: Column) -
     spread = F.sqrt(mean * (1 - good / n) * (1 - (draws - 1) / F.greatest(n - 1, F.lit(1.0))) + 0.5)
     # Stadlober's constants: width of the hat 2 sqrt(2 / e) standard deviations, and 3 - 2 sqrt(3 / e)
     width = 2 * math.sqrt(2 / math.e) * spread + (3 - 2 * math.sqrt(3 / math.e))
+    mode = F.floor((draws + 1).cast("double") * (good + 1) / (n + 2))
+    # what all attempts share, and the outcome: a NULL k has not been found yet
+    shared = F.struct(least.alias("least"), most.alias("most"), mean.cast("double").alias("mean"), width.alias("width"),
+                      F.least(most, F.greatest(least, mode)).alias("mode"))
+
+    def search(x: Column) -> Column:
+        def attempt(found: Column, i: Column) -> Column:
+            u = uniform(*names, i, F.lit(0))
+            k = F.floor(x["mean"] + 0.5 + x["width"] * (uniform(*names, i, F.lit(1)) - 0.5) / u)
+            hit = bound(k, lambda k: F.when((k >= x["least"]) & (k <= x["most"]) & (
+                2 * F.log(u) <= log_weight(k) - log_weight(x["mode"])), k))
+            return F.when(found.isNotNull(), found).otherwise(hit)
 
-    def attempt(state: Column, i: Column) -> Column:
-        u, v = uniform(*names, i, F.lit(0)), uniform(*names, i, F.lit(1))
-        k = F.floor(state["mean"] + 0.5 + state["width"] * (v - 0.5) / u)
-        inside = (k >= state["least"]) & (k <= state["most"])
-        safe = F.when(inside, k).otherwise(state["k"])
-        hit = inside & (2 * F.log(u) <= log_weight(safe) - state["top"])
-        return F.when(state["done"], state).otherwise(F.struct(
-            hit.alias("done"), F.when(hit, k).otherwise(state["k"]).alias("k"), state["mean"].alias("mean"), state["width"].alias("width"),
-            state["least"].alias("least"), state["most"].alias("most"), state["top"].alias("top")))
+        start = F.when(x["least"] == x["most"], x["least"])
+        return F.coalesce(F.aggregate(F.sequence(F.lit(1), F.lit(TRIES)), start, attempt), x["mode"])
 
-    start = F.struct((least == most).alias("done"), mode.alias("k"), mean.cast("double").alias("mean"), width.alias("width"),
-                     least.alias("least"), most.alias("most"), log_weight(mode).alias("top"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(TRIES)), start, attempt, lambda s: s["k"])
+    return bound(shared, search)
 
 
 def halved(counts: Column, node: Column) -> Column:
@@ -176,8 +183,8 @@ def halved(counts: Column, node: Column) -> Column:
 
     def step(state: Column, c: Column) -> Column:
         k = hypergeometric(c, state["total"], state["room"], node, F.size(state["left"]))
-        return F.struct((state["total"] - c).alias("total"), (state["room"] - k).alias("room"),
-                        F.concat(state["left"], F.array(k)).alias("left"))
+        return bound(k, lambda k: F.struct((state["total"] - c).alias("total"), (state["room"] - k).alias("room"),
+                                           F.concat(state["left"], F.array(k)).alias("left")))
 
     start = F.struct(total.alias("total"), F.ceil(total / 2).alias("room"), F.array().cast("array<bigint>").alias("left"))
     return F.aggregate(counts, start, step, lambda s: s["left"])
@@ -191,8 +198,7 @@ def split_tree(quotas: DataFrame, levels: int) -> DataFrame:
         right = F.zip_with("counts", "left", lambda c, l: c - l)
         nodes = nodes.select(F.explode(F.array(F.struct((F.col("node") * 2).alias("node"), F.col("left").alias("counts")),
                                                F.struct((F.col("node") * 2 + 1).alias("node"), right.alias("counts")))).alias("n")).select("n.*")
-        if level % LEVELS == LEVELS - 1 or level == levels - 1:
-            nodes = cut(nodes.repartition("node"))
+        nodes = cut(nodes.repartition("node"))      # else each level would hold the expressions of all before it
     return nodes.withColumn("node", F.col("node") - (1 << levels))
 
 
