@@ -2,10 +2,11 @@
 
 The files of a table are read as available-now micro-batches.  A document's own
 filters give a mask of bits at once; whether its text is a copy of a smaller
-id's depends on documents that may come later.  A state per text holds the
-least id so far: a larger id counts as a copy, and when a smaller id arrives,
-the mask that the former least id was counted with is retracted and counted
-again as a copy's.  Counters per part and mask are all that leaves the stream;
+id's depends on documents that may come later.  State keyed by text (SHA-256;
+the texts of a hash bucket share one value of the state store) holds the least
+id so far: a larger id counts as a copy, and when a smaller id arrives, the
+mask that the former least id was counted with is retracted and counted again
+as a copy's.  Counters per part and mask are all that leaves the stream;
 every order and step of the report follows from them.
 """
 
@@ -33,6 +34,7 @@ SPECIAL = b"#$%&*|"
 COPY = 1 << FILTERS.index("E")
 BATCHES = 4             # micro-batches of a run, about
 HELD = 1 << 18          # texts a task looks after before it hands them on
+TEXTS = 1024            # of one state, about
 BLANKS = b" \t\n\x0b\f\r"
 UPPER = bytes(range(65, 91))
 # state of texts lives on the executors' disks, not in their heaps
@@ -135,40 +137,54 @@ def settled(rows: DataFrame) -> DataFrame:
 
 
 def follow(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Counter changes by the new rows of one text; the state is its least id and the cells of that id's rows."""
+    """Counter changes by the new rows of the texts of one bucket.
+
+    The state has, for each text, its least id and the cells that the rows of
+    that id were counted in.
+    """
     change: Counter = Counter()
-    least, cells = state.get if state.exists else (None, "")
-    kept = Counter({tuple(c[:4]): c[4] for c in _read(cells)})
+    kept = _read(*state.get) if state.exists else {}
     moved = False
     for b in batches:
-        for settled_, new, *cell, n in zip(*(b[c].tolist() for c in ("settled", "least", *CELL, "n"))):
+        for digest, settled_, new, *cell, n in zip(*(b[c].tolist() for c in ("digest", "settled", "least", *CELL, "n"))):
+            cell = tuple(cell)
             part, mask, good, toxic = cell
+            least, cells = kept.get(digest, (None, None))
             if settled_:
-                change[tuple(cell)] += n
+                change[cell] += n
             elif least is not None and new > least:
                 change[part, mask | COPY, good, toxic] += n
             else:
                 if least is None or new < least:
-                    for (p, m, g, x), was in kept.items():
+                    for (p, m, g, x), was in (cells or {}).items():
                         change[p, m, g, x] -= was       # the retraction
                         change[p, m | COPY, g, x] += was
-                    kept, least = Counter(), new
-                change[tuple(cell)] += n
-                kept[tuple(cell)] += n
+                    cells = Counter()
+                    kept[digest] = new, cells
+                change[cell] += n
+                cells[cell] += n
                 moved = True
     if moved:
-        state.update((least, _write(kept)))
+        state.update((_write(kept),))
     yield pd.DataFrame([(*cell, n) for cell, n in change.items() if n], columns=[*CELL, "n"])
 
 
-def _write(kept: Counter) -> str:
-    return "\x1e".join("\x1f".join(map(str, (*cell, n))) for cell, n in kept.items())
+def _write(kept: dict[bytes, tuple[int, Counter]]) -> bytes:
+    """The texts of a bucket as one value (an Arrow stream)."""
+    rows = [(digest, least, *cell, n) for digest, (least, cells) in kept.items() for cell, n in cells.items()]
+    types = (pa.binary(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["digest", "least", *CELL, "n"])
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, batch.schema) as stream:
+        stream.write_batch(batch)
+    return out.getvalue().to_pybytes()
 
 
-def _read(cells: str) -> Iterator[tuple]:
-    for c in cells.split("\x1e") if cells else ():
-        part, *numbers = c.rsplit("\x1f", 4)
-        yield (part, *map(int, numbers))
+def _read(texts: bytes) -> dict[bytes, tuple[int, Counter]]:
+    kept: dict[bytes, tuple[int, Counter]] = {}
+    for digest, least, *cell, n in zip(*(c.to_pylist() for c in pa.ipc.open_stream(texts).read_all().columns)):
+        kept.setdefault(digest, (least, Counter()))[1][tuple(cell)] += n
+    return kept
 
 
 def added_up(rows: DataFrame) -> DataFrame:
@@ -200,8 +216,10 @@ def mask_counts(spark: SparkSession, path: str, labels: DataFrame, batches: int
     pattern = re.sub(r"(.)/*$", r"[\1]", path)
     stream = spark.readStream.schema(whole.schema).option("maxFilesPerTrigger", files).parquet(pattern)
     rows = (masked(stream).join(marks, "doc_id", "left").fillna(0, ["good", "toxic"]))
-    changes = added_up(settled(rows).groupBy("digest").applyInPandasWithState(
-        follow, COUNTS, "least long, cells string", "append", GroupStateTimeout.NoTimeout))
+    # a state of its own for each text costs a call each; its size grows with the texts of a bucket, their number with the rows
+    bucket = F.pmod(F.xxhash64("digest"), F.lit(max(1, whole.count() // TEXTS)))
+    changes = added_up(settled(rows).withColumn("bucket", bucket).groupBy("bucket").applyInPandasWithState(
+        follow, COUNTS, "texts binary", "append", GroupStateTimeout.NoTimeout))
     base = scratch(spark, "audit")
     former = {k: spark.conf.get(k, None) for k in PROVIDER}
     try:
