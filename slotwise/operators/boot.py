@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from slotwise.functions import columns as C
+from slotwise.operators import scan
 
 CONTEXT_LINES = 5
 _EFI_NAME = r"([A-Za-z0-9._-]+\.efi)"
@@ -69,6 +70,24 @@ def active_uki(entries: DataFrame, active: DataFrame, blkid: DataFrame) -> DataF
     return j.groupBy(*active.columns).agg(F.min(F.when(_matched() == "yes", F.col("uki"))).alias("active_uki"))
 
 
+def adjacent_distinct(rows: DataFrame, value: str, keys: tuple[str, ...] = ("device_id",), order: tuple[str, ...] = ("ord",)) -> DataFrame:
+    """A5: ``rows`` without those whose ``value`` equals that of the row before (per ``keys``, in ``order``); the first stays.
+
+    NULL equals NULL.  ``order`` are numbers; the rows of a key may be a long
+    history, so they are cut into ranges.  What stands before a row is carried
+    as a struct, since the value before may itself be NULL.
+    """
+    laid = scan.carry_last(scan.ranged(rows, [*keys, *order]), list(keys), list(order), F.struct(value), "__before")
+    same = F.col("__before").isNotNull() & F.col("__before")[value].eqNullSafe(F.col(value))
+    return laid.where(~same).select(*rows.columns)
+
+
+def entry_lines(lines: DataFrame) -> DataFrame:
+    """The lines that name a boot image, once for each stretch that names the same one: device_id, ord, uki."""
+    named = lines.select("device_id", "ord", C.nullif_empty(F.regexp_extract("line", _EFI_NAME, 1)).alias("uki"))
+    return adjacent_distinct(named.where(F.col("uki").isNotNull()), "uki")
+
+
 def first_file(files: DataFrame, path_col: str = "path", group: tuple[str, ...] = ()) -> DataFrame:
     """L1: first file of each directory (per ``group``), the order fixed by
     path; a partial aggregation, never a global sort."""

@@ -4,23 +4,24 @@ overlapping runs and waits.
 Histories are unbounded per device, and one device may hold a large share of
 all events.  Every ordered pass here therefore goes through
 :mod:`slotwise.operators.scan`, which splits the histories into ranges of equal
-row share and carries state across them through a small per-range summary, so
-no task ever holds a hot device, whatever the size of the input.
+row share; what reaches from one range into the next is a small summary, so no
+task holds more of a hot device than a range.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from slotwise.operators import runs as R
 from slotwise.operators import scan
 from slotwise.session import checkpoint_dir
 
 DAY = 86_400
 HOUR = 3_600
-RANGE_STEP = 4096       # positions expanded from one row
+NEVER = (1 << 63) - 1   # a lock held throughout
 
 
 def _micros(ts: str):
@@ -28,13 +29,16 @@ def _micros(ts: str):
 
 
 def _level(df: DataFrame) -> DataFrame:
-    """Between stacked scans, store the level in the checkpoint folder: each
-    scan's summary branch reads it instead of re-deriving every earlier level,
-    and a lost executor only costs the current level."""
+    """Store small intermediate rows in the checkpoint folder, so that rounds over them do not pile up."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def _before_row(value: Column, order: list[str]) -> Column:
+    w = Window.partitionBy("device_id", "chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return F.last(value, ignorenulls=True).over(w)
+
+
 def lifecycle(actions: DataFrame) -> DataFrame:
     """W8 + W9: outcome and state after every event.
 
@@ -47,27 +51,56 @@ def lifecycle(actions: DataFrame) -> DataFrame:
       (trial := 0); else plain
     * commit: if staged then staged := 0, trial := 0 else "Nothing to commit."
 
-    Each state bit is "last value set before the row", so the machine is three
-    stacked carry-forward scans on one (device, chunk) partitioning.
+    Each state bit is "last value set before the row", or the bit at the
+    range's beginning where nothing has set it.  What sets ``armed`` depends on
+    ``staged``, what sets ``trial`` on both, so a range keeps armed for either
+    staged it may begin with, and trial for all four beginnings: seven columns
+    of one window pass.  A range's last values of them are its map from the
+    eight states it may begin with to those it ends with; chaining these maps,
+    one row a range, gives every range its true beginning.
     """
     act = F.col("action")
     order = ["ts", "seq"]
-    keys = ["device_id"]
-    a = scan.ranged(actions.withColumn("t", _micros("ts")), "t")
+    rows = scan.dealt(scan.ranged(actions.select("device_id", "seq", "ts", "action"), ["device_id", *order]), ["device_id"])
+    both = (0, 1)
+
+    def accepted(kind: str, h: int) -> Column:
+        return (act == kind) & (F.coalesce("staged_", F.lit(h)) == 1)
+
+    sets = {"staged_": F.when(act == "write", 1).when(act == "commit", 0)}
+    sets |= {f"armed_{h}": F.when(accepted("apply", h), 1).when(act == "reboot", 0) for h in both}
+    sets |= {f"trial_{h}{g}": F.when(act == "reboot", F.coalesce(f"armed_{h}", F.lit(g)))
+             .when(accepted("apply", h) | accepted("commit", h), 0) for h in both for g in both}
+    for stage in ("staged", "armed", "trial"):
+        rows = rows.withColumns({c: _before_row(v, order) for c, v in sets.items() if c.startswith(stage)})
+
+    # the map of a range: the last value of each column, NULL where it ends as it began
+    after = F.struct(*(F.coalesce(v, F.col(c)).alias(c) for c, v in sets.items()))
+    maps = rows.groupBy("device_id", "chunk").agg(F.max_by(after, F.struct(*order)).alias("m")).select("device_id", "chunk", "m.*")
+    earlier = Window.partitionBy("device_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+
+    def picked(stage: str) -> Column:
+        """The column that holds under the bits ``staged_in`` and ``armed_in``."""
+        if stage == "armed":
+            return F.when(F.col("staged_in") == 1, F.col("armed_1")).otherwise(F.col("armed_0"))
+        arm = F.when(F.col("armed_in") == 1, F.col("trial_11")).otherwise(F.col("trial_10"))
+        return F.when(F.col("staged_in") == 1, arm).otherwise(
+            F.when(F.col("armed_in") == 1, F.col("trial_01")).otherwise(F.col("trial_00")))
+
+    def at_start(value: Column) -> Column:
+        return F.coalesce(F.last(value, ignorenulls=True).over(earlier), F.lit(0))
+
+    begins = maps.withColumn("staged_in", at_start(F.col("staged_")))
+    begins = begins.withColumn("armed_in", at_start(picked("armed")))
+    begins = begins.withColumn("trial_in", at_start(picked("trial")))
+    begins = begins.select("device_id", "chunk", "staged_in", "armed_in", "trial_in").where("staged_in + armed_in + trial_in > 0")
+    a = rows.join(begins, ["device_id", "chunk"], "left").fillna(0, ["staged_in", "armed_in", "trial_in"])
+    a = a.withColumns({"staged_before": F.coalesce("staged_", "staged_in"), "armed_before": F.coalesce(picked("armed"), "armed_in"),
+                       "trial_before": F.coalesce(picked("trial"), "trial_in")})
 
-    a = scan.carry_last(a, keys, order, F.when(act == "write", 1).when(act == "commit", 0), "staged_before")
-    a = _level(a.withColumn("staged_before", F.coalesce("staged_before", F.lit(0))))
     apply_ok = (act == "apply") & (F.col("staged_before") == 1)
     commit_ok = (act == "commit") & (F.col("staged_before") == 1)
-
-    a = scan.carry_last(a, keys, order, F.when(apply_ok, 1).when(act == "reboot", 0), "armed_before")
-    a = _level(a.withColumn("armed_before", F.coalesce("armed_before", F.lit(0))))
     armed_reboot = (act == "reboot") & (F.col("armed_before") == 1)
-
-    trial_v = F.when(armed_reboot, 1).when(act == "reboot", 0).when(apply_ok, 0).when(commit_ok, 0)
-    a = scan.carry_last(a, keys, order, trial_v, "trial_before")
-    a = a.withColumn("trial_before", F.coalesce("trial_before", F.lit(0)))
-
     outcome = (F.when(act == "write", F.lit("staged"))
                 .when(act == "apply", F.when(apply_ok, F.lit("accepted")).otherwise(F.lit("Nothing to apply.")))
                 .when(act == "commit", F.when(commit_ok, F.lit("accepted")).otherwise(F.lit("Nothing to commit.")))
@@ -76,115 +109,128 @@ def lifecycle(actions: DataFrame) -> DataFrame:
                 .otherwise(F.lit("no change")))
     staged = F.when(act == "write", 1).when(act == "commit", 0).otherwise(F.col("staged_before"))
     armed = F.when(apply_ok, 1).when(act == "reboot", 0).otherwise(F.col("armed_before"))
-    trial = F.coalesce(trial_v, F.col("trial_before"))
+    trial = (F.when(armed_reboot, 1).when((act == "reboot") | apply_ok | commit_ok, 0).otherwise(F.col("trial_before")))
     return a.select("device_id", "seq", "ts", "action", outcome.alias("outcome"),
                     staged.alias("staged"), armed.alias("armed"), trial.alias("trial"))
 
 
 def step_gate(actions: DataFrame) -> DataFrame:
-    """Verdict of every apply and commit ("accepted" or the refusal)."""
-    return (lifecycle(actions)
-            .where(F.col("action").isin("apply", "commit"))
-            .select("device_id", "seq", "action", F.col("outcome").alias("verdict")))
-
-
-def busy_periods(runs: DataFrame) -> DataFrame:
-    """device_id, val, q, nxt, root, island over the merged starts and ends of the runs.
-
-    A start row (``val`` is its run) tells the island, the busy period it lies
-    in: island roots start after every earlier run of the device has ended.
-    The lock is free for them whatever happened before, so they are admitted
-    outright and chains only need walking inside a busy period.  An end row
-    (``q`` is its run) tells in ``nxt`` the first later run (order ``start,
-    run_id``) that starts at or after that end: where the lock is free again.
-    Both come from one pass of carries (no join of runs, no pairs).
+    """Verdict of every apply and commit ("accepted" or the refusal).
+
+    It only asks what was staged, so one carry over the events that bear on it is enough.
+    """
+    act = F.col("action")
+    order = ["ts", "seq"]
+    a = scan.ranged(actions.where(act.isin("write", "apply", "commit")).select("device_id", "seq", "ts", "action"), ["device_id", *order])
+    a = scan.carry_last(a, ["device_id"], order, F.when(act == "write", 1).when(act == "commit", 0), "staged")
+    verdict = (F.when(F.col("staged") == 1, F.lit("accepted"))
+                .otherwise(F.when(act == "apply", F.lit("Nothing to apply.")).otherwise(F.lit("Nothing to commit."))))
+    return a.where(act != "write").select("device_id", "seq", "action", verdict.alias("verdict"))
+
+
+def _laid_runs(runs: DataFrame) -> DataFrame:
+    """device_id, run_id, s, e, chunk: the runs in ranges of (device, start, run_id)."""
+    rows = runs.select("device_id", "run_id", _micros("start_ts").alias("s"), _micros("end_ts").alias("e"))
+    return scan.ranged(rows, ["device_id", "s", "run_id"])
+
+
+def _ordered(laid: DataFrame) -> DataFrame:
+    """The rows of each range in order; the partitions are the ranges as stored."""
+    return laid.sortWithinPartitions("device_id", "s", "run_id")
+
+
+def _lock_entries(pieces: DataFrame) -> DataFrame:
+    """device_id, chunk, entry: until when the lock is held as a range begins (``NEVER`` freed: the range is passed over).
+
+    ``pieces``: what :func:`runs.pieces_of_range` says of the ranges.  The
+    holder that leaves a range meets the next piece of its device that reaches
+    its end; these links of exits, a few rows a range, are walked from each
+    device's first range by doubling: a round adds to the exits reached those
+    2^k links on, and squares the links.
     """
-    r = runs.select("device_id", "run_id", _micros("start_ts").alias("s"), _micros("end_ts").alias("e"))
-    none, zero = F.lit(None).cast("long"), F.col("e") <= F.col("s")
-    starts = r.select("device_id", F.col("s").alias("t"), F.lit(1).alias("k"), F.col("run_id").alias("id"),
-                      F.lit(0).alias("sub"), F.col("run_id").alias("val"), F.col("e").alias("end"), none.alias("q"))
-    ends = r.select("device_id", F.greatest("e", "s").alias("t"), F.when(zero, 1).otherwise(0).alias("k"),
-                    F.when(zero, F.col("run_id")).otherwise(F.lit(0)).cast("long").alias("id"),
-                    F.when(zero, 1).otherwise(0).alias("sub"), none.alias("val"), none.alias("end"), F.col("run_id").alias("q"))
-    order = ["t", "k", "id", "sub"]
-    m = scan.carry(scan.ranged(starts.unionByName(ends), "t"), ["device_id"], order,
-                   {"nxt": ("next", F.col("val")), "busy_until": ("max", F.col("end"))})
-    m = _level(m.withColumn("root", F.col("val").isNotNull()
-                            & (F.col("busy_until").isNull() | (F.col("t") >= F.col("busy_until")))))
-    m = scan.carry_last(m, ["device_id"], order, F.when(F.col("root"), F.col("val")), "island", inclusive=True)
-    return m.select("device_id", "val", "q", "nxt", "root", "island")
-
-
-def admit_runs(runs: DataFrame, checkpoint_every: int = 3) -> DataFrame:
+    of = Window.partitionBy("device_id")
+    pieces = _level(pieces.withColumns({"first": F.min("chunk").over(of), "more": F.max("chunk").over(of)})
+                          .where(F.col("first") < F.col("more")).drop("more"))
+    # a run without length may leave its range with an end that is no later than the range's last start
+    late = F.col("exit_end") > F.col("last_start")
+    ends = pieces.select("device_id", "exit", "exit_end", "last_start", "chunk").distinct().select(
+        "device_id", F.when(late, F.col("exit_end")).otherwise(F.col("last_start")).alias("t"),
+        F.when(late, -1).otherwise(F.col("chunk")).alias("k1"), F.when(late, 0).otherwise(2).alias("k2"),
+        F.lit(None).cast("int").alias("chunk"), F.lit(None).cast(pieces.schema["exit"].dataType).alias("to"), F.col("exit").alias("of"))
+    marks = pieces.select("device_id", F.col("upto").alias("t"), F.col("chunk").alias("k1"), F.lit(1).alias("k2"), "chunk",
+                          F.col("exit").alias("to"), F.lit(None).cast(pieces.schema["exit"].dataType).alias("of"))
+    later = (Window.partitionBy("device_id").orderBy(F.desc("t"), F.desc("k1"), F.desc("k2"))
+                   .rowsBetween(Window.unboundedPreceding, -1))
+    met = F.last(F.when(F.col("to").isNotNull(), F.struct("chunk", "to")), ignorenulls=True).over(later)
+    link = _level(marks.unionByName(ends).withColumn("met", met).where(F.col("of").isNotNull() & F.col("met").isNotNull())
+                       .select("device_id", "of", F.col("t").alias("entry"), "met.chunk", "met.to"))
+    reached = (pieces.where(F.col("chunk") == F.col("first")).groupBy("device_id").agg(F.min_by("exit", "upto").alias("of")))
+    longest = pieces.groupBy("device_id").agg(F.count_distinct("chunk").alias("n")).agg(F.max("n")).first()[0] or 0
+    jump = link.select("device_id", "of", "to")
+    for k in range(math.ceil(math.log2(longest)) if longest > 1 else 0):
+        reached = _level(reached.union(reached.join(jump, ["device_id", "of"]).select("device_id", F.col("to").alias("of"))).distinct())
+        jump = _level(jump.join(jump.select("device_id", F.col("of").alias("to"), F.col("to").alias("on")), ["device_id", "to"])
+                          .select("device_id", "of", F.col("on").alias("to")))
+    entered = link.join(reached, ["device_id", "of"]).select("device_id", "chunk", "entry")
+    return (pieces.where(F.col("chunk") > F.col("first")).select("device_id", "chunk").distinct()
+                  .join(entered, ["device_id", "chunk"], "left")
+                  .select("device_id", "chunk", F.coalesce("entry", F.lit(NEVER)).alias("entry")))
+
+
+def admit_runs(runs: DataFrame) -> DataFrame:
     """Which runs get the non-blocking lock.
 
-    A run is admitted iff no admitted run still holds the lock (greedy in
-    ``start, run_id`` order).  The admitted runs of a device are the chain
-    ``r0, next(r0), next(next(r0)), ...`` of :func:`busy_periods`.  A run
-    that starts after every earlier run has ended (an island root) is always
-    admitted, so every island root starts a chain; the chains are
-    walked by pointer doubling: round k adds ``jump_k(A)`` to the admitted
-    set A and squares the jump table, so a chain of length L takes
-    ceil(log2(L)) rounds of joins over ``run_id`` keys (L is bounded by the
-    largest island, known up front, so no per-round counting),
-    with no group ever collected.  Lineage is cut by ``checkpoint()`` into
-    ``spark.checkpoint.dir`` every ``checkpoint_every`` rounds.
+    A run is admitted iff no admitted run still holds it (greedy in
+    ``start, run_id`` order): a chain from a device's first run, each followed
+    by the first that starts at or after its end.  Runs are stored in ranges of
+    (device, start); a range folds its chains to pieces, from who comes in to
+    who leaves; the pieces of devices that reach over several ranges tell how
+    the lock is held as each range begins; one pass over the ranges then marks
+    the chains.  The history moves once.  Only a range's first device can have
+    begun before it, so the entries are at most one row a range, which bounds
+    what is broadcast.
     """
-    m = _level(busy_periods(runs))
-    r = m.where(F.col("val").isNotNull()).select(F.col("val").alias("run_id"), "device_id", "island", "root")
-    jump = m.where(F.col("q").isNotNull() & F.col("nxt").isNotNull()).select(F.col("q").alias("run_id"), F.col("nxt").alias("to"))
-    longest = r.groupBy("device_id", "island").count().agg(F.max("count")).first()[0] or 0
-    # a chain inside an island has at most as many links as the island has
-    # runs: after k rounds the admitted set holds the first 2**k links of each
-    rounds = max(0, math.ceil(math.log2(longest))) if longest > 1 else 0
-    admitted = r.where(F.col("root")).select("run_id")
-    for rnd in range(1, rounds + 1):
-        reached = admitted.join(jump, "run_id").select(F.col("to").alias("run_id"))
-        admitted = admitted.unionByName(reached).distinct()
-        if rnd < rounds:
-            jump = (jump.alias("a").join(jump.alias("b"), F.col("a.to") == F.col("b.run_id"))
-                        .select(F.col("a.run_id").alias("run_id"), F.col("b.to").alias("to")))
-        if rnd % checkpoint_every == 0 or rnd == rounds:
-            admitted = admitted.checkpoint(eager=True)
-            if rnd < rounds:
-                jump = jump.checkpoint(eager=True)
-    flag = admitted.withColumn("admitted", F.lit(True))
-    return (runs.select("run_id", "device_id").join(flag, "run_id", "left")
-                .select("run_id", "device_id", F.coalesce("admitted", F.lit(False)).alias("admitted"),
-                        F.when(F.col("admitted").isNull(), F.lit(1)).otherwise(F.lit(0)).alias("exit_code")))
+    laid = _laid_runs(runs)
+    ids = {c: laid.schema[c].dataType.simpleString() for c in ("device_id", "run_id")}
+    pieces = _ordered(laid).mapInArrow(R.pieces_of_range, f"device_id {ids['device_id']}, chunk int, upto long, exit {ids['run_id']}, "
+                                                          "exit_end long, last_start long")
+    entries = _lock_entries(pieces)
+    rows = _ordered(laid.join(F.broadcast(entries), ["device_id", "chunk"], "left"))
+    done = rows.select("device_id", "run_id", "s", "e", "entry").mapInArrow(
+        R.admissions_of_range, f"run_id {ids['run_id']}, device_id {ids['device_id']}, admitted boolean")
+    return done.withColumn("exit_code", F.when(F.col("admitted"), F.lit(0)).otherwise(F.lit(1)))
 
 
 def overlapping_runs(runs: DataFrame) -> DataFrame:
     """Pairs of runs of one device whose intervals overlap (the lock
     conflict report), ``start_a < end_b and start_b < end_a``.
 
-    Output-sensitive: runs get their position in start order; for each run
-    the runs starting before its end form the position range after it, found
-    by one carry over starts and ends; the range is expanded and joined back
-    on ``(device_id, position)``.  Only true overlaps are generated; nothing
-    is paired within a bucket.
+    Runs are stored in ranges of (device, start).  A range pairs the runs that
+    start in it; a run still open at its end is a guest of every later range
+    that begins before the run ends, and is paired there with the runs that
+    start before its end.  A guest meets at least one run in each such range,
+    so there are no more guests than pairs; nothing is paired and then dropped
+    but runs without length.
     """
-    r = runs.select("device_id", "run_id", _micros("start_ts").alias("s"), _micros("end_ts").alias("e"))
-    r = _level(scan.position(scan.ranged(r, "s"), ["device_id"], ["s", "run_id"], "pos"))
-    # starts sort after ends at equal time (strict overlap) and by position
-    none = F.lit(None).cast("long")
-    starts = r.select("device_id", F.col("s").alias("t"), F.lit(1).alias("k"), F.col("pos").alias("o"),
-                      F.col("pos").alias("val"), none.alias("q"), none.alias("qpos"), none.alias("s_a"))
-    ends = r.select("device_id", F.col("e").alias("t"), F.lit(0).alias("k"), F.lit(0).cast("long").alias("o"),
-                    none.alias("val"), F.col("run_id").alias("q"), F.col("pos").alias("qpos"), F.col("s").alias("s_a"))
-    merged = scan.ranged(starts.unionByName(ends), "t")
-    upto = (scan.carry_last(merged, ["device_id"], ["t", "k", "o"], F.col("val"), "upto")
-                .where(F.col("q").isNotNull() & (F.col("upto") > F.col("qpos"))))
-    # the range in steps, so that a run overlapping very many others is no single row
-    step = F.lit(RANGE_STEP)
-    steps = upto.select("device_id", F.col("q").alias("run_a"), "s_a", "upto",
-                        F.explode(F.sequence(F.col("qpos") + 1, F.col("upto"), step)).alias("from"))
-    cand = steps.select("device_id", "run_a", "s_a", F.explode(F.sequence(
-        F.col("from"), F.least(F.col("from") + step - 1, F.col("upto")))).alias("pos"))
-    other = r.select("device_id", "pos", F.col("run_id").alias("run_b"), F.col("s").alias("s_b"), F.col("e").alias("e_b"))
-    pairs = cand.join(other, ["device_id", "pos"])
-    return (pairs.where(F.col("s_a") < F.col("e_b"))
-                 .select("device_id", F.least("run_a", "run_b").alias("run_a"), F.greatest("run_a", "run_b").alias("run_b")))
+    laid = _laid_runs(runs)
+    ids = {c: laid.schema[c].dataType.simpleString() for c in ("device_id", "run_id")}
+    pair = f"device_id {ids['device_id']}, run_a {ids['run_id']}, run_b {ids['run_id']}"
+    own = _ordered(laid).mapInArrow(R.overlaps_of_range, pair)
+    edges = _level(_ordered(laid).mapInArrow(
+        R.open_at_end, f"device_id {ids['device_id']}, chunk int, t long, run_id {ids['run_id']}, s long, e long"))
+    # the last range of the device that begins before the end of an open run
+    head = F.col("run_id").isNull()
+    upto = (Window.partitionBy("device_id").orderBy("t", F.when(head, 1).otherwise(0), "chunk").rowsBetween(Window.unboundedPreceding, -1))
+    guests = (edges.withColumn("upto", F.max(F.when(head, F.col("chunk"))).over(upto))
+                   .where(~head & (F.col("upto") > F.col("chunk")))
+                   .select("device_id", F.explode(F.sequence(F.col("chunk") + 1, F.col("upto"))).alias("chunk"), "run_id", "s", "e",
+                           F.lit(True).alias("guest")))
+    # a range has at most one first device
+    visited = F.broadcast(guests.select("device_id", "chunk").distinct())
+    hosts = laid.join(visited, ["device_id", "chunk"], "left_semi").select("device_id", "chunk", "run_id", "s", "e", F.lit(False).alias("guest"))
+    met = (guests.unionByName(hosts).repartition("device_id", "chunk")
+                 .sortWithinPartitions("device_id", "chunk", F.desc("guest"), "s", "run_id"))
+    return own.unionByName(met.mapInArrow(R.overlaps_with_guests, pair))
 
 
 def wait_for(starts: DataFrame, signals: DataFrame, interval_s: int = 1, timeout_s: int = 10) -> DataFrame:
@@ -200,7 +246,7 @@ def wait_for(starts: DataFrame, signals: DataFrame, interval_s: int = 1, timeout
     sg = signals.select("device_id", F.lit(None).cast(starts.schema["seq"].dataType).alias("seq"),
                         _micros("ts").alias("t"), F.lit(1).alias("k"), _micros("ts").alias("val"),
                         F.lit(False).alias("is_start"))
-    merged = scan.ranged(st.unionByName(sg), "t")
+    merged = scan.ranged(st.unionByName(sg), ["device_id", "t", "k"])
     found = scan.carry_next(merged, ["device_id"], ["t", "k"], F.col("val"), "sig")
     iv = interval_s * 1_000_000
     dt = F.col("sig") - F.col("t")

@@ -7,12 +7,14 @@ prefix scan:
 
 1. inside each (key, chunk): a local window, one task per chunk;
 2. one summary row per (key, chunk): what the chunk hands to later chunks;
-3. a window over the summaries only (at most one row per chunk and key) gives
-   each chunk its carry-in, which is joined back on (key, chunk).
-
-Chunks are quantiles of the order column over the whole input (:func:`ranged`),
-so they hold about equal shares of the rows: a hot key, or a hot day of it, is
-split like any other.  There is one path for every size.
+3. a window over the summaries only gives each chunk its carry-in, which is
+   joined back on (key, chunk), for the few keys that reach beyond a chunk.
+
+Chunks are the partitions of a range partitioning by key and order
+(:func:`ranged`), stored once, so they hold about equal shares of the rows: a
+hot key, or a hot day of it, is split like any other, and all others lie in one
+chunk.  There is one path for every size, and no edge of a range ever appears
+in a plan.
 """
 
 from __future__ import annotations
@@ -22,30 +24,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def place_among(x: Column, edges: Column, size: int) -> Column:
-    """How many of the ascending ``edges`` (array of up to ``size``) are at or below ``x``, by halving; 0 for NULL."""
-    steps = [1 << i for i in reversed(range(max(1, size.bit_length())))]
-    return F.aggregate(
-        F.array(*(F.lit(i) for i in steps)), F.lit(0),
-        lambda at, step: F.when(F.get(edges, at + step - 1) <= x, at + step).otherwise(at))
+from slotwise.session import checkpoint_dir
 
 
-def ranged(df: DataFrame, by: str, parts: int | None = None) -> DataFrame:
-    """``df`` with ``chunk``: the quantile range of ``by``, a number.
+def ranged(df: DataFrame, by: str | Sequence[str], parts: int | None = None) -> DataFrame:
+    """``df`` with ``chunk``, the number of its range of ``by`` (ascending), stored in the checkpoint folder.
 
-    Like the sampling pass of a range partitioning, one partial-aggregated
-    sketch of ``by`` runs first; its ``parts - 1`` edges become literals, so
-    that every branch of a plan cuts at the same places.
+    Spark samples the edges of the ranges and the rows move once.  They are
+    stored then and there: whatever branches of a plan read the result, and
+    whichever executor is lost, a row keeps its chunk.  Without ``parts`` the
+    number of ranges follows the bytes (adaptive coalescing of the partitions).
     """
-    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shares = [i / parts for i in range(1, parts)]
-    edges = sorted(set(df.agg(F.percentile_approx(by, shares, 10_000)).first()[0] or [])) if shares else []
-    chunk = place_among(F.col(by), F.array(*map(F.lit, edges)), len(edges)) if edges else F.lit(0)
-    return df.withColumn("chunk", chunk)
+    by = [by] if isinstance(by, str) else list(by)
+    dealt = df.repartitionByRange(parts, *by) if parts else df.repartitionByRange(*by)
+    checkpoint_dir(df.sparkSession)
+    return dealt.withColumn("chunk", F.spark_partition_id()).checkpoint(eager=True)
 
 
-def _dealt(df: DataFrame, keys: Sequence[str], bucket: str) -> DataFrame:
+def dealt(df: DataFrame, keys: Sequence[str], bucket: str = "chunk") -> DataFrame:
     """``df`` partitioned by (keys, chunk) for the local windows.
 
     A partitioning by ``keys`` alone (a bucketed table, an earlier join) also
@@ -82,17 +78,19 @@ def carry(df: DataFrame, keys: Sequence[str], order: Sequence, specs: dict[str,
             return F.max(v).over(ahead)
         return F.last(v, ignorenulls=True).over(behind if kind == "next" else ahead)
 
-    base = _dealt(df, keys, bucket).withColumns(
+    base = dealt(df, keys, bucket).withColumns(
         {f"__{out}_local": found(kind, tmp[out], forward, backward) for out, (kind, _) in specs.items()})
-    # one row per chunk: what it hands on (NULL when it has no value)
+    # one row per (key, chunk): what it hands on (NULL when it has no value)
     at = F.struct(*order_c)
     hand = {"last": lambda v: F.max_by(v, F.when(F.col(v).isNotNull(), at)),
             "next": lambda v: F.min_by(v, F.when(F.col(v).isNotNull(), at)), "max": F.max}
     summary = df.groupBy(*keys, bucket).agg(*(hand[kind](tmp[out]).alias(tmp[out]) for out, (kind, _) in specs.items()))
     ahead = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     behind = Window.partitionBy(*keys).orderBy(F.col(bucket).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    handed = summary.select(*keys, bucket, *(found(kind, tmp[out], ahead, behind).alias(f"__{out}_carry")
-                                             for out, (kind, _) in specs.items()))
+    carried = [f"__{out}_carry" for out in specs]
+    handed = (summary.select(*keys, bucket, *(found(kind, tmp[out], ahead, behind).alias(name)
+                                              for name, (out, (kind, _)) in zip(carried, specs.items())))
+                     .dropna("all", subset=carried))
     join = {"max": F.greatest, "last": F.coalesce, "next": F.coalesce}
     return (base.join(handed, [*keys, bucket], "left")
                 .withColumns({out: join[kind](F.col(f"__{out}_local"), F.col(f"__{out}_carry"))
@@ -114,7 +112,7 @@ def carry_max(df: DataFrame, keys: Sequence[str], order: Sequence, value: Column
 
 def carry_next(df: DataFrame, keys: Sequence[str], order: Sequence, value: Column, out: str,
                bucket: str = "chunk", inclusive: bool = False) -> DataFrame:
-    """``out`` = first non-NULL ``value`` of the rows after each row."""
+    """``out`` = first non-NULL ``value`` of the rows after each row (see :func:`carry`)."""
     return carry(df, keys, order, {out: ("next", value)}, bucket, inclusive)
 
 
@@ -123,11 +121,11 @@ def position(df: DataFrame, keys: Sequence[str], order: Sequence, out: str,
     """``out`` = 1-based position of each row within its key, by ``order``."""
     order_c = _cols(order)
     tmp_local, tmp_off, tmp_n = f"__{out}_local", f"__{out}_off", f"__{out}_n"
-    base = _dealt(df, keys, bucket).withColumn(
+    base = dealt(df, keys, bucket).withColumn(
         tmp_local, F.row_number().over(Window.partitionBy(*keys, bucket).orderBy(*order_c)))
     sizes = df.groupBy(*keys, bucket).agg(F.count(F.lit(1)).alias(tmp_n))
     wc = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, bucket, F.coalesce(F.sum(tmp_n).over(wc), F.lit(0)).alias(tmp_off))
+    offsets = (sizes.select(*keys, bucket, F.sum(tmp_n).over(wc).alias(tmp_off)).where(F.col(tmp_off).isNotNull()))
     return (base.join(offsets, [*keys, bucket], "left")
-                .withColumn(out, (F.col(tmp_local) + F.col(tmp_off)).cast("long"))
+                .withColumn(out, (F.col(tmp_local) + F.coalesce(tmp_off, F.lit(0))).cast("long"))
                 .drop(tmp_local, tmp_off))

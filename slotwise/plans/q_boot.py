@@ -94,7 +94,15 @@ SELECT device_id, seq, msg FROM (
   FROM fx_log) x WHERE prev IS DISTINCT FROM msg""")
 def a5_adjacent_distinct(fx):
     """Drop log lines repeating the previous message of the same device."""
-    from slotwise.operators import scan
     log = fx.log.select("device_id", "seq", F.regexp_replace("line", r"^.*\]: ", "").alias("msg"))
-    out = scan.carry_last(scan.ranged(log, "seq"), ["device_id"], ["seq"], F.col("msg"), "prev")
-    return out.where(~F.col("prev").eqNullSafe(F.col("msg"))).select("device_id", "seq", "msg")
+    return B.adjacent_distinct(log, "msg", order=("seq",))
+
+
+@query("a5_entry_lines", r"""
+SELECT device_id, ord, uki FROM (
+  SELECT device_id, ord, uki, lag(uki) OVER (PARTITION BY device_id ORDER BY ord) AS prev
+  FROM (SELECT device_id, ord, nullif(regexp_extract(line, '([A-Za-z0-9._-]+\.efi)', 1), '') AS uki FROM fx_boot_line) n
+  WHERE uki IS NOT NULL) x WHERE prev IS DISTINCT FROM uki""")
+def a5_entry_lines(fx):
+    """Where each boot entry begins: runs of lines that name one image, folded to their first."""
+    return B.entry_lines(fx.boot_line)

@@ -19,12 +19,15 @@ def con():
 @pytest.mark.parametrize("name", HISTORY)
 @pytest.mark.parametrize("chunks", ["1", "61"])
 def test_any_chunks_match_oracle(spark, con, name, chunks):
-    was = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", chunks)
+    setting = {"spark.sql.shuffle.partitions": chunks, "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    was = {k: spark.conf.get(k) for k in setting}
     try:
+        for k, v in setting.items():
+            spark.conf.set(k, v)
         df = _c.QUERIES[name](spark, SF_CHECK)
         got = rows_of(df.columns, [tuple(r) for r in df.collect()])
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", was)
+        for k, v in was.items():
+            spark.conf.set(k, v)
     rel = con.sql(_c.oracles()[name])
     assert got == rows_of(rel.columns, rel.fetchall())
