@@ -138,6 +138,14 @@ def fingerprints(docs: DataFrame, kept: np.ndarray) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(task, f"doc_id {kind}, fingerprint string")
 
 
+def place_among(x: Column, edges: Column, size: int) -> Column:
+    """How many of the ascending ``edges`` (array of up to ``size``) are at or below ``x``, by halving; 0 for NULL."""
+    steps = [1 << i for i in reversed(range(max(1, size.bit_length())))]
+    return F.aggregate(
+        F.array(*(F.lit(i) for i in steps)), F.lit(0),
+        lambda at, step: F.when(F.get(edges, at + step - 1) <= x, at + step).otherwise(at))
+
+
 def with_next(docs: DataFrame, parts: int | None = None) -> DataFrame:
     """``doc_id, text, next_text``: the text of the next row by (doc_id, text), after the last the first.
 
@@ -151,7 +159,7 @@ def with_next(docs: DataFrame, parts: int | None = None) -> DataFrame:
     share = [i / parts for i in range(1, parts)]
     edges = (rows.agg(F.percentile_approx("doc_id", share, 10_000).alias("e")).first()["e"] or []) if share else []
     edges = sorted(set(edges))
-    at = scan.place_among(F.col("doc_id"), F.array(*map(F.lit, edges)), len(edges)) if edges else F.lit(0)
+    at = place_among(F.col("doc_id"), F.array(*map(F.lit, edges)), len(edges)) if edges else F.lit(0)
     ranged = rows.withColumn("range", at)
     w = Window.partitionBy("range").orderBy(F.col("doc_id").asc_nulls_first(), "text")
     led = ranged.withColumn("next_text", F.lead("text").over(w))
