@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from slotwise.operators import runs as R
@@ -34,11 +34,6 @@ def _level(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _before_row(value: Column, order: list[str]) -> Column:
-    w = Window.partitionBy("device_id", "chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return F.last(value, ignorenulls=True).over(w)
-
-
 def lifecycle(actions: DataFrame) -> DataFrame:
     """W8 + W9: outcome and state after every event.
 
@@ -59,59 +54,50 @@ def lifecycle(actions: DataFrame) -> DataFrame:
     eight states it may begin with to those it ends with; chaining these maps,
     one row a range, gives every range its true beginning.
     """
-    act = F.col("action")
-    order = ["ts", "seq"]
-    rows = scan.dealt(scan.ranged(actions.select("device_id", "seq", "ts", "action"), ["device_id", *order]), ["device_id"])
-    both = (0, 1)
-
-    def accepted(kind: str, h: int) -> Column:
-        return (act == kind) & (F.coalesce("staged_", F.lit(h)) == 1)
-
-    sets = {"staged_": F.when(act == "write", 1).when(act == "commit", 0)}
-    sets |= {f"armed_{h}": F.when(accepted("apply", h), 1).when(act == "reboot", 0) for h in both}
-    sets |= {f"trial_{h}{g}": F.when(act == "reboot", F.coalesce(f"armed_{h}", F.lit(g)))
-             .when(accepted("apply", h) | accepted("commit", h), 0) for h in both for g in both}
+    laid = scan.ranged(actions.select("device_id", "seq", "ts", "action"), ["device_id", "ts", "seq"])
+    # a device within one range begins it with nothing staged, armed or on trial
+    beyond = laid.join(F.broadcast(scan.crossing(laid, "device_id")), "device_id", "left_semi")
+    after = ", ".join(f"coalesce({v}, {c}) AS {c}" for c, v in _SETS.items())
+    maps = (_hypotheses(beyond).selectExpr("device_id", "chunk", "ts", "seq", f"struct({after}) AS m")
+                               .groupBy("device_id", "chunk").agg(F.max_by("m", F.struct("ts", "seq")).alias("m"))
+                               .select("device_id", "chunk", "m.*"))
+    earlier = "OVER (PARTITION BY device_id ORDER BY chunk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    begins = (maps.selectExpr("*", f"coalesce(last(staged_, true) {earlier}, 0) AS staged_in")
+                  .selectExpr("*", f"coalesce(last({_ARMED}, true) {earlier}, 0) AS armed_in")
+                  .selectExpr("*", f"coalesce(last({_TRIAL}, true) {earlier}, 0) AS trial_in")
+                  .selectExpr("device_id", "chunk", "staged_in", "armed_in", "trial_in").where("staged_in + armed_in + trial_in > 0"))
+    rows = (_hypotheses(laid).join(begins, ["device_id", "chunk"], "left").fillna(0, ["staged_in", "armed_in", "trial_in"])
+            .selectExpr("device_id", "seq", "ts", "action", "coalesce(staged_, staged_in) AS staged_before",
+                        f"coalesce({_ARMED}, armed_in) AS armed_before", f"coalesce({_TRIAL}, trial_in) AS trial_before"))
+    done = "action IN ('apply', 'commit') AND staged_before = 1"
+    return rows.selectExpr(
+        "device_id", "seq", "ts", "action",
+        f"""CASE WHEN action = 'write' THEN 'staged' WHEN {done} THEN 'accepted' WHEN action = 'apply' THEN 'Nothing to apply.'
+             WHEN action = 'commit' THEN 'Nothing to commit.' WHEN action <> 'reboot' THEN 'no change'
+             WHEN armed_before = 1 THEN 'trial' WHEN trial_before = 1 THEN 'rollback' ELSE 'plain' END AS outcome""",
+        "CASE action WHEN 'write' THEN 1 WHEN 'commit' THEN 0 ELSE staged_before END AS staged",
+        f"CASE WHEN action = 'apply' AND {done} THEN 1 WHEN action = 'reboot' THEN 0 ELSE armed_before END AS armed",
+        f"CASE WHEN action = 'reboot' THEN armed_before WHEN {done} THEN 0 ELSE trial_before END AS trial")
+
+
+# What an event sets each bit to (NULL: nothing), by the bits its range may begin with: armed_<staged>, trial_<staged><armed>.
+_SETS = {"staged_": "CASE action WHEN 'write' THEN 1 WHEN 'commit' THEN 0 END"}
+_SETS |= {f"armed_{h}": f"CASE WHEN action = 'apply' AND coalesce(staged_, {h}) = 1 THEN 1 WHEN action = 'reboot' THEN 0 END"
+          for h in (0, 1)}
+_SETS |= {f"trial_{h}{g}": f"CASE WHEN action = 'reboot' THEN coalesce(armed_{h}, {g}) "
+                           f"WHEN action IN ('apply', 'commit') AND coalesce(staged_, {h}) = 1 THEN 0 END" for h in (0, 1) for g in (0, 1)}
+# the columns that hold under the bits a range does begin with
+_ARMED = "CASE staged_in WHEN 1 THEN armed_1 ELSE armed_0 END"
+_TRIAL = "CASE 2 * staged_in + armed_in WHEN 0 THEN trial_00 WHEN 1 THEN trial_01 WHEN 2 THEN trial_10 ELSE trial_11 END"
+
+
+def _hypotheses(laid: DataFrame) -> DataFrame:
+    """``laid`` with the columns of ``_SETS`` as last set before each row inside its range, NULL where as the range began."""
+    before = "OVER (PARTITION BY device_id, chunk ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    rows = scan.dealt(laid, ["device_id"])
     for stage in ("staged", "armed", "trial"):
-        rows = rows.withColumns({c: _before_row(v, order) for c, v in sets.items() if c.startswith(stage)})
-
-    # the map of a range: the last value of each column, NULL where it ends as it began
-    after = F.struct(*(F.coalesce(v, F.col(c)).alias(c) for c, v in sets.items()))
-    maps = rows.groupBy("device_id", "chunk").agg(F.max_by(after, F.struct(*order)).alias("m")).select("device_id", "chunk", "m.*")
-    earlier = Window.partitionBy("device_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-
-    def picked(stage: str) -> Column:
-        """The column that holds under the bits ``staged_in`` and ``armed_in``."""
-        if stage == "armed":
-            return F.when(F.col("staged_in") == 1, F.col("armed_1")).otherwise(F.col("armed_0"))
-        arm = F.when(F.col("armed_in") == 1, F.col("trial_11")).otherwise(F.col("trial_10"))
-        return F.when(F.col("staged_in") == 1, arm).otherwise(
-            F.when(F.col("armed_in") == 1, F.col("trial_01")).otherwise(F.col("trial_00")))
-
-    def at_start(value: Column) -> Column:
-        return F.coalesce(F.last(value, ignorenulls=True).over(earlier), F.lit(0))
-
-    begins = maps.withColumn("staged_in", at_start(F.col("staged_")))
-    begins = begins.withColumn("armed_in", at_start(picked("armed")))
-    begins = begins.withColumn("trial_in", at_start(picked("trial")))
-    begins = begins.select("device_id", "chunk", "staged_in", "armed_in", "trial_in").where("staged_in + armed_in + trial_in > 0")
-    a = rows.join(begins, ["device_id", "chunk"], "left").fillna(0, ["staged_in", "armed_in", "trial_in"])
-    a = a.withColumns({"staged_before": F.coalesce("staged_", "staged_in"), "armed_before": F.coalesce(picked("armed"), "armed_in"),
-                       "trial_before": F.coalesce(picked("trial"), "trial_in")})
-
-    apply_ok = (act == "apply") & (F.col("staged_before") == 1)
-    commit_ok = (act == "commit") & (F.col("staged_before") == 1)
-    armed_reboot = (act == "reboot") & (F.col("armed_before") == 1)
-    outcome = (F.when(act == "write", F.lit("staged"))
-                .when(act == "apply", F.when(apply_ok, F.lit("accepted")).otherwise(F.lit("Nothing to apply.")))
-                .when(act == "commit", F.when(commit_ok, F.lit("accepted")).otherwise(F.lit("Nothing to commit.")))
-                .when(act == "reboot", F.when(armed_reboot, F.lit("trial"))
-                      .when(F.col("trial_before") == 1, F.lit("rollback")).otherwise(F.lit("plain")))
-                .otherwise(F.lit("no change")))
-    staged = F.when(act == "write", 1).when(act == "commit", 0).otherwise(F.col("staged_before"))
-    armed = F.when(apply_ok, 1).when(act == "reboot", 0).otherwise(F.col("armed_before"))
-    trial = (F.when(armed_reboot, 1).when((act == "reboot") | apply_ok | commit_ok, 0).otherwise(F.col("trial_before")))
-    return a.select("device_id", "seq", "ts", "action", outcome.alias("outcome"),
-                    staged.alias("staged"), armed.alias("armed"), trial.alias("trial"))
+        rows = rows.selectExpr("*", *(f"last({v}, true) {before} AS {c}" for c, v in _SETS.items() if c.startswith(stage)))
+    return rows
 
 
 def step_gate(actions: DataFrame) -> DataFrame:

@@ -41,6 +41,17 @@ def ranged(df: DataFrame, by: str | Sequence[str], parts: int | None = None) ->
     return dealt.withColumn("chunk", F.spark_partition_id()).checkpoint(eager=True)
 
 
+def crossing(laid: DataFrame, key: str) -> DataFrame:
+    """The values of ``key`` with rows in several chunks of ``laid`` (ranges of ``key`` and order).
+
+    Such a key is the first or the last of each of its chunks, so there are
+    fewer of them than chunks: small enough to broadcast whatever the history.
+    """
+    ends = laid.groupBy("chunk").agg(F.array(F.min(key), F.max(key)).alias("ends"))
+    return (ends.select(F.explode(F.array_distinct("ends")).alias(key)).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+                .where("n > 1").select(key))
+
+
 def dealt(df: DataFrame, keys: Sequence[str], bucket: str = "chunk") -> DataFrame:
     """``df`` partitioned by (keys, chunk) for the local windows.
 
