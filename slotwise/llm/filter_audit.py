@@ -37,10 +37,6 @@ HELD = 1 << 18          # texts a task looks after before it hands them on
 TEXTS = 1024            # of one state, about
 BLANKS = b" \t\n\x0b\f\r"
 UPPER = bytes(range(65, 91))
-# state of texts lives on the executors' disks, not in their heaps
-PROVIDER = {"spark.sql.streaming.stateStore.providerClass":
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
-
 COUNTS = "part string, mask int, good int, toxic int, n long"
 CELL = ["part", "mask", "good", "toxic"]
 
@@ -205,7 +201,10 @@ def mask_counts(spark: SparkSession, path: str, labels: DataFrame, batches: int
     """part, mask, good, toxic, n: how many rows of the table at ``path`` (Parquet) fail which filters.
 
     ``labels``: doc_id, quality, toxic.  The table's files come in about
-    ``batches`` micro-batches, in any order.
+    ``batches`` micro-batches, in any order.  The state (some 100 bytes a text)
+    is kept by the session's state store provider: Spark's default holds it in
+    the executors' heaps, the RocksDB provider (``session.cluster_conf`` names
+    it) on their disks.
     """
     marks = (labels.groupBy(F.col("doc_id").cast("long").alias("doc_id"))
                    .agg(F.max(F.col("quality") == 1).cast("int").alias("good"),
@@ -221,15 +220,8 @@ def mask_counts(spark: SparkSession, path: str, labels: DataFrame, batches: int
     changes = added_up(settled(rows).withColumn("bucket", bucket).groupBy("bucket").applyInPandasWithState(
         follow, COUNTS, "texts binary", "append", GroupStateTimeout.NoTimeout))
     base = scratch(spark, "audit")
-    former = {k: spark.conf.get(k, None) for k in PROVIDER}
-    try:
-        for k, v in PROVIDER.items():
-            spark.conf.set(k, v)
-        query = (changes.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
-                        .option("checkpointLocation", f"{base}/checkpoint").start(f"{base}/changes"))
-    finally:
-        for k, v in former.items():
-            spark.conf.set(k, v) if v else spark.conf.unset(k)
+    query = (changes.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
+                    .option("checkpointLocation", f"{base}/checkpoint").start(f"{base}/changes"))
     query.awaitTermination()
     return (spark.read.schema(COUNTS).parquet(f"{base}/changes").groupBy(*CELL).agg(F.sum("n").alias("n")).filter("n <> 0"))
 
