@@ -94,4 +94,7 @@ def cluster_conf(input_bytes: int, executor_cores: int = 4, target_partition_byt
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
         "spark.executor.cores": str(executor_cores),
         "slotwise.buckets": str(buckets),
+        # state of streams on the executors' disks, not in their heaps
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
