@@ -34,7 +34,7 @@ SPECIAL = b"#$%&*|"
 COPY = 1 << FILTERS.index("E")
 BATCHES = 4             # micro-batches of a run, about
 HELD = 1 << 18          # texts a task looks after before it hands them on
-TEXTS = 1024            # of one state, about
+TEXTS = 4096            # of one state, about
 BLANKS = b" \t\n\x0b\f\r"
 UPPER = bytes(range(65, 91))
 COUNTS = "part string, mask int, good int, toxic int, n long"
@@ -183,20 +183,6 @@ def _read(texts: bytes) -> dict[bytes, tuple[int, Counter]]:
     return kept
 
 
-def added_up(rows: DataFrame) -> DataFrame:
-    """One row for each cell and task."""
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: Counter = Counter()
-        for b in batches:
-            for *cell, n in zip(*(b.column(c).to_pylist() for c in (*CELL, "n"))):
-                total[tuple(cell)] += n
-        cols = list(zip(*((*cell, n) for cell, n in total.items() if n))) or [()] * 5
-        types = (pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=[*CELL, "n"])
-
-    return rows.mapInArrow(task, COUNTS)
-
-
 def mask_counts(spark: SparkSession, path: str, labels: DataFrame, batches: int = BATCHES) -> DataFrame:
     """part, mask, good, toxic, n: how many rows of the table at ``path`` (Parquet) fail which filters.
 
@@ -217,8 +203,8 @@ def mask_counts(spark: SparkSession, path: str, labels: DataFrame, batches: int
     rows = (masked(stream).join(marks, "doc_id", "left").fillna(0, ["good", "toxic"]))
     # a state of its own for each text costs a call each; its size grows with the texts of a bucket, their number with the rows
     bucket = F.pmod(F.xxhash64("digest"), F.lit(max(1, whole.count() // TEXTS)))
-    changes = added_up(settled(rows).withColumn("bucket", bucket).groupBy("bucket").applyInPandasWithState(
-        follow, COUNTS, "texts binary", "append", GroupStateTimeout.NoTimeout))
+    changes = settled(rows).withColumn("bucket", bucket).groupBy("bucket").applyInPandasWithState(
+        follow, COUNTS, "texts binary", "append", GroupStateTimeout.NoTimeout)
     base = scratch(spark, "audit")
     query = (changes.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
                     .option("checkpointLocation", f"{base}/checkpoint").start(f"{base}/changes"))
