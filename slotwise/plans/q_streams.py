@@ -107,12 +107,11 @@ def st2_stream_armed_timeout(fx):
 
 @query("st3_stream_wait_for", J11_SQL)
 def st3_stream_wait_for(fx):
-    """Apply -> reboot waits from a stream-stream left outer join (J11 twin)."""
+    """Apply -> reboot waits from an unordered action stream (batch twin: J11); the sink holds the answer."""
     base = scratch(fx.spark, "stream")
-    acts = _actions(fx, f"{base}/action")
-    pairs = ST.wait_for_stream(acts.where(F.col("action") == "apply"), acts.where(F.col("action") == "reboot"),
-                               watermark=WATERMARK)
-    return ST.first_tick(run_available(pairs, base, "st3"), LC.HOUR, 6 * LC.HOUR)
+    kind = F.when(F.col("action") == "apply", "start").when(F.col("action") == "reboot", "signal")
+    events = _actions(fx, f"{base}/action").withColumn("kind", kind)
+    return run_available(ST.wait_for_stream(events, LC.HOUR, 6 * LC.HOUR, WATERMARK), base, "st3")
 
 
 W10_SQL = """

@@ -3,11 +3,10 @@
 * ST1 ``log_counts_stream``: A7 per tumbling event-time window, watermarked;
   lines without a time are counted apart.
 * ST2 ``lifecycle_stream`` / ``lifecycle_timeouts``: W8 + W9 incrementally.
-* ST3 ``wait_for_stream``: J11 as a stream-stream left outer join with a
-  time-range condition and watermarks on both sides.
+* ST3 ``wait_for_stream``: J11 incrementally, starts and signals in one stream.
 * ST4 ``admit_runs_stream``: W10 incrementally.
 
-ST2 and ST4 are stateful processors that do not depend on the order in which
+ST2, ST3 and ST4 are stateful processors that do not depend on the order in which
 events arrive: a device's events wait in its state until the watermark has
 passed them and are then folded in event-time order.  State is one small tuple
 and the events of the last ``watermark`` per device; a device without pending
@@ -243,27 +242,50 @@ def admit_runs_stream(runs: DataFrame, watermark: str = "1 hour") -> DataFrame:
 
 # --- ST3 --------------------------------------------------------------------
 
-def wait_for_stream(starts: DataFrame, signals: DataFrame, timeout: str = "6 hours",
-                    watermark: str = "1 hour") -> DataFrame:
-    """ST3: every start with each signal of its device inside ``[ts, ts +
-    timeout]``; starts without one come out NULL-padded once the watermark
-    has passed ``ts + timeout``.  The first tick per start is a plain
-    aggregation of this output (see :func:`first_tick`)."""
-    a = starts.select(F.col("device_id").alias("a_device"), F.col("seq").alias("a_seq"),
-                      F.col("ts").cast("timestamp").alias("a_ts")).withWatermark("a_ts", watermark)
-    r = signals.select(F.col("device_id").alias("r_device"),
-                       F.col("ts").cast("timestamp").alias("r_ts")).withWatermark("r_ts", watermark)
-    cond = ((F.col("a_device") == F.col("r_device")) & (F.col("r_ts") >= F.col("a_ts"))
-            & (F.col("r_ts") <= F.col("a_ts") + F.expr(f"INTERVAL {timeout}")))
-    return a.join(r, cond, "leftOuter").select("a_device", "a_seq", "a_ts", "r_ts")
-
-
-def first_tick(pairs: DataFrame, interval_s: int, timeout_s: int) -> DataFrame:
-    """Batch step after ST3: first signal per start, as ticks (J11 form)."""
-    g = pairs.groupBy(F.col("a_device").alias("device_id"), F.col("a_seq").alias("seq"), "a_ts").agg(
-        F.min("r_ts").alias("r_ts"))
-    dt = F.unix_micros("r_ts") - F.unix_micros("a_ts")
-    iv = interval_s * 1_000_000
-    ok = F.col("r_ts").isNotNull() & (dt <= F.lit(timeout_s * 1_000_000))
-    return g.select("device_id", "seq", F.when(ok, F.floor((dt + F.lit(iv - 1)) / F.lit(iv)).cast("long")).alias("tick"),
-                    (~ok).alias("timed_out"))
+def wait_fold(interval_us: int, timeout_us: int) -> Fold:
+    """One row per start: the first poll tick at which a signal has come, or the timeout.
+
+    The state is the starts still open, in order of time; the first signal
+    answers all of them, so a device without open starts keeps none.
+    """
+    def fold(key: int, state: tuple, events: list[Event], watermark: int):
+        open_ = list(zip(*state))
+        out = []
+
+        def expire(now: int) -> None:
+            late = 0
+            while late < len(open_) and open_[late][0] + timeout_us < now:
+                out.append((key, open_[late][1], None, True))
+                late += 1
+            del open_[:late]
+
+        for us, _, what, seq in events:
+            expire(us)
+            if what == "start":
+                open_.append((us, seq))
+            else:
+                out.extend((key, own, -((t - us) // interval_us), False) for t, own in open_)
+                open_.clear()
+        # no event before the watermark can still come
+        expire(watermark)
+        state = tuple(map(list, zip(*open_))) if open_ else ([], [])
+        return state, out, open_[0][0] + timeout_us if open_ else None
+    return fold
+
+
+def wait_for_stream(events: DataFrame, interval_s: int = 3600, timeout_s: int = 21_600, watermark: str = "1 hour") -> DataFrame:
+    """ST3 (= J11): device_id, seq, tick, timed_out, one row per start.
+
+    ``events(device_id, seq, ts, kind)`` with kind ``start`` or ``signal``, in
+    any order of arrival; events later than ``watermark`` are dropped.  A
+    signal at the time of a start counts for it, and so does one at the
+    timeout.  A row comes out once the watermark has passed what decides it.
+    """
+    at = F.col("ts").cast("timestamp")
+    rows = events.where(F.col("kind").isin("start", "signal")).select(
+        "device_id", at.alias("at"), F.unix_micros(at).alias("us"),
+        F.when(F.col("kind") == "start", 0).otherwise(1).cast("long").alias("seq"),       # signals after starts of one time
+        F.col("kind").alias("what"), F.coalesce(F.col("seq").cast("long"), F.lit(0)).alias("until"))
+    return _in_order(rows, wait_fold(interval_s * 1_000_000, timeout_s * 1_000_000), "t array<long>, seq array<long>", ([], []),
+                     "device_id long, seq long, tick long, timed_out boolean",
+                     {"device_id": "int64", "seq": "int64", "tick": "Int64", "timed_out": "bool"}, watermark)

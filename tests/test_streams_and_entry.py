@@ -115,3 +115,28 @@ def test_stateful_stream_runs_where_executors_lack_the_package(tmp_path):
     out = subprocess.run([sys.executable, str(script)], cwd=str(tmp_path), env=env,
                          capture_output=True, text=True, timeout=600)
     assert "ROWS" in out.stdout, out.stderr[-2000:]
+
+
+def test_wait_fold_by_definition():
+    """However the events are cut into calls, each start comes out once, with the first signal or the timeout."""
+    import random
+
+    from slotwise.streaming import operators as ST
+    rnd = random.Random(4)
+    for _ in range(200):
+        interval, timeout = rnd.choice([(1, 10), (3, 10), (4, 12)])
+        events = sorted((rnd.randrange(60), k, ("start", "signal")[k], n) for n, k in enumerate(rnd.choices([0, 1], k=rnd.randrange(1, 25))))
+        fold, state, got, at = ST.wait_fold(interval, timeout), ([], []), [], 0
+        while at < 200:
+            upto = at + rnd.randrange(1, 40)
+            due = [e for e in events if at <= e[0] < upto]
+            state, out, deadline = fold(7, state, due, upto)
+            assert (deadline is None) == (state == ([], [])) and (deadline is None or deadline >= upto)
+            got += out
+            at = upto
+        want = []
+        for t, k, _, n in events:
+            if k == 0:
+                signals = [s for s, kind, *_ in events if kind == 1 and t <= s <= t + timeout]
+                want.append((7, n, -(-(min(signals) - t) // interval) if signals else None, not signals))
+        assert sorted(got, key=str) == sorted(want, key=str)
