@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructType
 
-from slotwise.llm.common import counted, fold, table
+from slotwise.llm.common import counted, cut, fold, table
 from slotwise.llm.grams import codes, pieces, slot, slots
 
 # What a disguised character may stand for.
@@ -219,15 +219,15 @@ class Model:
     bias: float = 0.0
 
 
-def _logistic(rows: list[list[int]], y: np.ndarray, size: int) -> tuple[np.ndarray, float]:
+def _logistic(ids: np.ndarray, per_row: np.ndarray, y: np.ndarray, size: int) -> tuple[np.ndarray, float]:
     """Ridge logistic regression over sparse 0/1 rows by accelerated gradient steps.
 
-    Columns are scaled to unit mean square, so that rare features learn as
-    fast as frequent ones.
+    ``ids``: the features of all rows, one row after the other; ``per_row``:
+    how many each has.  Columns are scaled to unit mean square, so that rare
+    features learn as fast as frequent ones.
     """
-    n = max(1, len(rows))
-    own = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    ids = np.array([i for r in rows for i in r], np.int64)
+    n = max(1, len(per_row))
+    own = np.repeat(np.arange(len(per_row)), per_row)
     scale = 1 / np.sqrt(np.maximum(1, np.bincount(ids, minlength=size)) / n)
     value = scale[ids]
     v, vb = np.ones(size), 1.0
@@ -265,7 +265,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     sample = (labels.filter(F.col("label").isNotNull() & F.col("doc_id").isNotNull())
                     .select("doc_id", (F.col("label") > 0).cast("int").alias("label"))
                     .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(SAMPLE))
-    picked = docs.sparkSession.createDataFrame(sample.toArrow().to_pandas(), "doc_id long, label int")
+    picked = cut(sample)
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", "label")
     sc = docs.sparkSession.sparkContext
     shared = sc.broadcast(counts)
@@ -307,8 +307,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
                                              names=["ids", "label"])
 
     got = rows.mapInArrow(ids, "ids array<int>, label int").toArrow()
-    model.weights, model.bias = _logistic(got["ids"].to_pylist(), got["label"].to_numpy().astype(float),
-                                          len(model.names))
+    found = got["ids"].combine_chunks()
+    model.weights, model.bias = _logistic(found.flatten().to_numpy().astype(np.int64), np.diff(found.offsets.to_numpy()),
+                                          got["label"].to_numpy().astype(float), len(model.names))
     return model
 
 
