@@ -34,8 +34,8 @@ def _late(ts: Column, seq: Column) -> Column:
 
 
 def _replay(spark, df: DataFrame, arrived: Column, closing: DataFrame, path: str) -> DataFrame:
-    stage_slices(df, path, arrived, closing)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    files = stage_slices(df, path, arrived, closing)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def _actions(fx, path: str) -> DataFrame:

@@ -7,10 +7,10 @@
 * ST4 ``admit_runs_stream``: W10 incrementally.
 
 ST2, ST3 and ST4 are stateful processors that do not depend on the order in which
-events arrive: a device's events wait in its state until the watermark has
-passed them and are then folded in event-time order.  State is one small tuple
-and the events of the last ``watermark`` per device; a device without pending
-events and with its initial state keeps none.
+events arrive: a device's events wait in its state, by slots of time, until the
+watermark has passed them and are then folded in event-time order.  State is
+one small tuple and the events of the last ``watermark`` per device; a device
+without pending events and with its initial state keeps none.
 """
 
 from __future__ import annotations
@@ -65,7 +65,8 @@ def log_totals(counts: DataFrame) -> DataFrame:
 # --- ordered state ----------------------------------------------------------
 
 Event = tuple[int, int, str, int]       # time (us), seq, what, until (us)
-EVENT = "us long, seq long, what string, until long"
+EVENTS = "us array<long>, seq array<long>, what array<string>, until array<long>"
+SLOT = 3_600_000_000    # width of a slot of waiting events in us
 # fold(key, state, events in order, watermark in us) -> (state, output rows, next deadline in us or None)
 Fold = Callable[[int, tuple, list[Event], int], tuple[tuple, list[tuple], "int | None"]]
 
@@ -73,9 +74,11 @@ Fold = Callable[[int, tuple, list[Event], int], tuple[tuple, list[tuple], "int |
 class InOrder(StatefulProcessor):
     """Folds a device's events in order of (time, seq), however they arrive.
 
-    Events wait in a list state until the watermark has passed them; an
-    event-time timer wakes the device for the next one, or for a deadline of
-    the fold.
+    Events wait until the watermark has passed them, in a map state keyed by
+    the slot of time they lie in; a small index tells which slots there are and
+    the first event of each.  A call touches the slots of its new events and
+    those that have come due, whatever else waits.  An event-time timer wakes
+    the device for the next event, or for a deadline of the fold.
     """
 
     def __init__(self, fold: Fold, state: str, initial: tuple, columns: dict[str, str]):
@@ -83,7 +86,8 @@ class InOrder(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", EVENT)
+        self.waiting = handle.getMapState("waiting", "slot long", EVENTS)
+        self.index = handle.getValueState("index", "slot array<long>, first array<long>")
         self.value = handle.getValueState("value", self.schema)
 
     def handleInputRows(self, key, rows, timerValues):
@@ -95,24 +99,50 @@ class InOrder(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         yield self.advance(int(key[0]), [], timerValues.getCurrentWatermarkInMs() * 1000)
 
+    def stored(self, slot: int) -> list[Event]:
+        return list(zip(*self.waiting.getValue((slot,))))
+
+    def due(self, new: list[Event], watermark: int) -> tuple[list[Event], "int | None"]:
+        """The events before the watermark, out of those waiting and the new ones, and the time of the first that waits on."""
+        index = dict(zip(*self.index.get())) if self.index.exists() else {}
+        before = dict(index)
+        ready = [e for e in new if e[0] < watermark]
+        later: dict[int, list[Event]] = {}
+        for e in new:
+            if e[0] >= watermark:
+                later.setdefault(e[0] // SLOT, []).append(e)
+        for slot in [s for s, first in index.items() if first < watermark]:
+            events = self.stored(slot)
+            ready += [e for e in events if e[0] < watermark]
+            rest = [e for e in events if e[0] >= watermark]
+            del index[slot]
+            if rest:        # the slot that the watermark stands in
+                later.setdefault(slot, []).extend(rest)
+            else:
+                self.waiting.removeKey((slot,))
+        for slot, events in later.items():
+            if slot in index:
+                events = [*self.stored(slot), *events]
+            self.waiting.updateValue((slot,), tuple(map(list, zip(*events))))
+            index[slot] = min(e[0] for e in events)
+        if index != before:
+            if index:
+                self.index.update((list(index), list(index.values())))
+            else:
+                self.index.clear()
+        return sorted(ready), min(index.values(), default=None)
+
     def advance(self, key: int, new: list[Event], watermark: int) -> pd.DataFrame:
-        waiting = [tuple(e) for e in self.waiting.get()] if self.waiting.exists() else []
-        events = sorted([*waiting, *new])
-        due = [e for e in events if e[0] < watermark]
-        rest = events[len(due):]
+        due, waits = self.due(new, watermark)
         state = tuple(self.value.get()) if self.value.exists() else self.initial
         state, out, deadline = self.fold(key, state, due, watermark)
-        if rest:
-            self.waiting.put(rest)
-        elif waiting:
-            self.waiting.clear()
         if state != self.initial:
             self.value.update(state)
         elif self.value.exists():
             self.value.clear()
         for t in list(self.handle.listTimers()):
             self.handle.deleteTimer(t)
-        wake = [t for t in (rest[0][0] if rest else None, deadline) if t is not None]
+        wake = [t for t in (waits, deadline) if t is not None]
         if wake:
             self.handle.registerTimer(max(min(wake), watermark) // 1000 + 1)
         return pd.DataFrame(out, columns=list(self.columns)).astype(self.columns)

@@ -140,3 +140,93 @@ def test_wait_fold_by_definition():
                 signals = [s for s, kind, *_ in events if kind == 1 and t <= s <= t + timeout]
                 want.append((7, n, -(-(min(signals) - t) // interval) if signals else None, not signals))
         assert sorted(got, key=str) == sorted(want, key=str)
+
+
+class Kept:
+    """Value and map states of one device in memory, counting what is read and written."""
+
+    def __init__(self):
+        self.values, self.rows, self.timers = {}, 0, []
+
+    def _state(self, name):
+        outer = self
+
+        class State:
+            def exists(self):
+                return (name, None) in outer.values
+
+            def get(self):
+                return outer.values[name, None]
+
+            def update(self, value):
+                outer.values[name, None] = value
+
+            def clear(self):
+                outer.values.pop((name, None), None)
+
+            def getValue(self, key):
+                outer.rows += len(outer.values[name, key][0])
+                return outer.values[name, key]
+
+            def updateValue(self, key, value):
+                outer.rows += len(value[0])
+                outer.values[name, key] = value
+
+            def removeKey(self, key):
+                del outer.values[name, key]
+        return State()
+
+    def getMapState(self, name, *_):
+        return self._state(name)
+
+    def getValueState(self, name, *_):
+        return self._state(name)
+
+    def listTimers(self):
+        return list(self.timers)
+
+    def deleteTimer(self, t):
+        self.timers.remove(t)
+
+    def registerTimer(self, t):
+        self.timers.append(t)
+
+
+def test_waiting_events_are_read_when_due():
+    """A device with 100,000 waiting events: a call touches its new events' slots and those that have come due."""
+    import random
+
+    from slotwise.streaming import operators as ST
+    rnd = random.Random(6)
+    folded = []
+
+    def fold(key, state, events, watermark):
+        folded.extend(events)
+        return state, [], None
+
+    kept = Kept()
+    device = ST.InOrder(fold, "n int", (0,), {"x": "int64"})
+    device.init(kept)
+    hour = ST.SLOT
+    events = [(rnd.randrange(100 * hour), i, "write", 0) for i in range(100_000)]
+    device.advance(1, events, 0)
+    kept.rows = 0
+    late = [(99 * hour + 5, -1, "write", 0), (3 * hour, -2, "write", 0)]
+    device.advance(1, late, 2 * hour + hour // 2)
+    assert len(folded) == sum(e[0] < 2 * hour + hour // 2 for e in events)
+    assert kept.rows < 10 * 1000       # a few slots of about 1,000, not 100,000 events
+    for watermark in (2 * hour + hour // 2, 50 * hour, 50 * hour + 1, 200 * hour):
+        device.advance(1, [], watermark)
+    assert folded == sorted([*events, *late]) and not kept.values and not kept.timers
+
+
+def test_files_of_a_slice_follow_its_rows(spark, tmp_path):
+    from slotwise.streaming.sources import stage_slices
+    df = spark.range(6000).selectExpr("id", "id * 1000 AS at")
+    files = stage_slices(df, str(tmp_path / "s"), F.col("at"), slices=3, file_rows=500)
+    assert files == 4
+    found = {}
+    for f in spark.read.parquet(str(tmp_path / "s")).inputFiles():
+        found.setdefault(f.rsplit("/", 2)[1], []).append(f)
+    assert {k: len(v) for k, v in found.items()} == {f"slice={k}": 4 for k in range(3)}
+    assert spark.read.parquet(str(tmp_path / "s")).count() == 6000
