@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from slotwise.llm.asof import latest_before
 from slotwise.llm.common import table
-from slotwise.operators import scan
 
 # Headers that a not-modified response may update.
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "vary")
@@ -77,9 +77,8 @@ def resolve(responses: DataFrame, revisits: DataFrame) -> DataFrame:
     r = event(responses, 1, F.col("digest")).filter(F.col("url").isNotNull() & F.col("t").isNotNull())
     v = event(revisits, 0, none.cast("string"))
     known = v.filter(F.col("url").isNotNull() & F.col("t").isNotNull())
-    merged = scan.ranged(r.unionByName(known), "t")
     stored = F.when(F.col("kind") == 1, F.struct("record_id", "block", "digest"))
-    found = (scan.carry_last(merged, ["url"], ["t", "kind", "record_id"], stored, "target").filter(F.col("kind") == 0)
+    found = (latest_before(r.unionByName(known), "url", ["t", "kind", "record_id"], stored, "target").filter(F.col("kind") == 0)
                  .select("record_id", "url", "block", "target"))
     lost = v.filter(F.col("url").isNull() | F.col("t").isNull()).select(
         "record_id", "url", "block", none.cast(found.schema["target"].dataType).alias("target"))

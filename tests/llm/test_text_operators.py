@@ -316,3 +316,27 @@ def test_revisit_rules(spark):
     headers = W.resolve(responses, revisits.filter("record_id = 10")).first()["headers"]
     assert headers == 'content-type: t\ndate: now\netag: W/"1"\nexpires: never\nlast-modified: d'
     assert W.resolve(responses.limit(0), revisits).count() == len(cases) and W.resolve(responses, revisits.limit(0)).count() == 0
+
+
+def test_latest_before_over_many_ranges(spark):
+    """Equal to a plain window, with a hot key over several ranges and ties of time."""
+    import random
+
+    from pyspark.sql import Window
+
+    from slotwise.llm.asof import latest_before
+    rnd = random.Random(9)
+    rows = [(rnd.choice(["hot", "hot", "a", "b"]), rnd.randrange(300), i, rnd.choice([None, None, i])) for i in range(2000)]
+    df = spark.createDataFrame(rows, "url string, t long, id long, v long")
+    setting = {"spark.sql.shuffle.partitions": "13", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    was = {k: spark.conf.get(k) for k in setting}
+    for k, v in setting.items():
+        spark.conf.set(k, v)
+    try:
+        got = latest_before(df, "url", ["t", "id"], F.col("v"), "out").select("id", "out").collect()
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    w = Window.partitionBy("url").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, -1)
+    want = df.withColumn("out", F.last("v", ignorenulls=True).over(w)).select("id", "out").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
