@@ -335,3 +335,22 @@ def test_pipeline_stages(spark):
             packed = {r["doc_id"] for r in out.collect()}
     assert 1000 > kept[0] and kept[1] == kept[0] and kept[1] > kept[2] > kept[3] > 800
     assert packed == {r["doc_id"] for r in docs.select("doc_id").collect()}
+
+
+def test_pipeline_stages_of_odd_rows(spark):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    small = "/root/testdata/sf0.001"
+    rows = [(i, t, "en", s, len(t or "")) for i, t, s in ODD]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    for docs in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):
+        docs = docs.withColumn("score", F.lit("clash")).withColumn("keep", F.lit(1)).withColumn("key", F.lit(2))
+        n = docs.count()
+        for k, (name, stage) in enumerate(pipeline.STAGES):
+            out = stage(spark, docs, small)
+            if k == 4:
+                assert {r["doc_id"] for r in out.collect()} == ({r[0] for r in rows} if n else set())
+                continue
+            assert tuple(out.columns) == pipeline.COLUMNS, name
+            got = out.collect()
+            assert len(got) == (n if name != "near dedup" else n and n - 2), name      # the second 3, and one of null and empty
+            assert name != "line dedup" or all(r["text"] is not None for r in got)
