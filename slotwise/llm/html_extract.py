@@ -57,8 +57,11 @@ SITE_MARKS = MARKS | {"header", "top"}      # outside article and main
 MAIN_MARKS = frozenset("ad advert comment comments promo related replies reply sponsored teaser".split())
 HOLDS = frozenset("has have is no not with without".split())
 
+# A tag's attributes are read once, without going back: quoted values whole, a quote that never closes as it stands.
+# Where that does not end like a tag, it ends at the next angle bracket.
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)
-    |<(/?)([a-zA-Z][^\s/>]*)((?:[^<>"']|"[^"]*"|'[^']*'|["'])*?)(?:>|(?=<[a-zA-Z/!])|\Z)""", re.S | re.X)
+    |<(/?)([a-zA-Z][^\s/>]*)((?:[^<>"']|"[^"]*"|'[^']*'|["'])*+)(?:>|(?=<[a-zA-Z/!])|\Z)
+    |<(/?)([a-zA-Z][^\s/<>]*)([^<>]*+)(?:>|(?=<[a-zA-Z/!])|\Z)""", re.S | re.X)
 ATTR = re.compile(r"""\b(class|id|role|aria-label|hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
 WORD = re.compile(r"\w+")
 PIECES = re.compile(r"[a-z]+")
@@ -115,11 +118,11 @@ def blocks_of(page: str) -> list[tuple[str, int, bool, bool, bool, bool]]:
         if not m:
             break
         at = max(m.end(), stop + 1)
-        name = m[2]
+        closing, name, attrs = m.group(1, 2, 3) if m[2] else m.group(4, 5, 6)
         if name is None:
             continue
         name = name.lower()
-        if m[1]:
+        if closing:
             if name in BLOCK:
                 flush()
             for i in range(len(stack) - 1, -1, -1):
@@ -132,10 +135,10 @@ def blocks_of(page: str) -> list[tuple[str, int, bool, bool, bool, bool]]:
             parts.append(" ")
             continue
         if name in RAW:
-            close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at) if not m[3].endswith("/") else None
+            close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at) if not attrs.endswith("/") else None
             if name == "head" and not close:
                 close = re.compile(r"(?=<body)", re.I).search(page, at)
-            at = close.end() if close else (at if m[3].endswith("/") else end)
+            at = close.end() if close else (at if attrs.endswith("/") else end)
             parts.append(" ")
             continue
         if name in BLOCK:
@@ -153,7 +156,7 @@ def blocks_of(page: str) -> list[tuple[str, int, bool, bool, bool, bool]]:
         if not bad:
             marks = MAIN_MARKS if name in MAIN else MARKS if main else SITE_MARKS
             bad = (name in FURNITURE or (name == "header" and not main)
-                   or (name not in ("html", "body") and bool(m[3]) and marked(m[3], marks)))
+                   or (name not in ("html", "body") and bool(attrs) and marked(attrs, marks)))
         main = main or name in MAIN
         link = link or name == "a"
         head = head or name in HEADING

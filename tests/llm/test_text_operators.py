@@ -341,3 +341,15 @@ def test_latest_before_over_many_ranges(spark):
     w = Window.partitionBy("url").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, -1)
     want = df.withColumn("out", F.last("v", ignorenulls=True).over(w)).select("id", "out").collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
+def test_tags_with_very_many_quotes_take_linear_time():
+    import time
+
+    from slotwise.llm import html_extract as X
+    story = "<article><p>A story of some length that stays here.</p>"
+    t = time.time()
+    for tail in ('<a ' + 'x="1" ' * 10_000 + "< 3 </article>", "<a " + "x='1\" " * 10_000 + "< 3", '<p title="' + "a'b " * 10_000 + "<"):
+        assert X.main_text(story + tail).startswith("A story of some length that stays here.")
+    assert time.time() - t < 1
+    assert X.main_text('<article><p title="x>y">One <b class=\'a>b\'>two</b>.</p></article>') == "One two."
