@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from slotwise.operators import topology as T
 from slotwise.plans.catalog import query
+from slotwise.session import scratch
 from slotwise.sources import readers as R
 
 # Shared oracle text: the block rows with the carry-forward names.
@@ -195,6 +197,19 @@ def s1_read_block_aligned(fx):
     return R.read_block_aligned(R.render_block_aligned(fx.block))
 
 
+@query("s1_read_block_files", """
+SELECT device_id, CAST(row_number() OVER (PARTITION BY device_id ORDER BY ord) - 1 AS INT) AS ord, depth,
+       nullif(regexp_replace(name, '^[^a-zA-Z0-9]*', ''), '') AS name, fstype, partlabel, mountpoint
+FROM fx_block""")
+def s1_read_block_files(fx):
+    """lsblk output as devices upload it: one text file each, lines numbered as they stand in the file."""
+    root = scratch(fx.spark, "lsblk")
+    text = R.render_block(fx.block).repartition("device_id").sortWithinPartitions("device_id", "ord")
+    text.select("device_id", "line").write.mode("append").partitionBy("device_id").text(root)
+    lines = R.read_lines(fx.spark, root)
+    return R.read_block(lines.withColumn("device_id", F.col("device_id").cast("long")))
+
+
 @query("s2_read_blkid", "SELECT device_id, dev, uuid, partuuid FROM fx_blkid")
 def s2_read_blkid(fx):
     """blkid text rendered from the id table, parsed back (attributes as a map)."""

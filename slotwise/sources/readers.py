@@ -143,6 +143,27 @@ def read_log(lines: DataFrame, *keep: str) -> DataFrame:
         F.when(level.isNotNull(), F.regexp_extract(plain, _LOG_RE, 3)).alias("msg"), *keep)
 
 
+def read_lines(spark, path: str, device: str = r"device_id=([^/]+)", order: str = "ord", stream: bool = False,
+               max_files: int | None = None) -> DataFrame:
+    """Lines of real text files as the readers above take them: ``device_id, <order>, line``.
+
+    One file is one output of a device (a listing, a configuration, a boot
+    list; a log piece as it was uploaded): the first group of ``device`` in its
+    path names the device, ``<order>`` is the line's number in the file, from 0.
+    A file is read as one text, so its lines keep their numbers however files
+    are packed into tasks; both line endings are known, and the end of the last
+    line begins no further one.  With ``stream`` the files come as a file
+    stream, ``max_files`` a micro-batch.
+    """
+    reader = spark.readStream if stream else spark.read
+    reader = reader.option("recursiveFileLookup", "true")
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    files = reader.text(path, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_path"), device, 1).alias("device_id"),
+                                     F.regexp_replace("value", r"\r?\n\z", "").alias("value"))
+    return files.select("device_id", F.posexplode(F.split("value", r"\r?\n")).alias(order, "line"))
+
+
 MAX_CONTENT = (1 << 31) - 1     # one value of Spark's binary type
 
 

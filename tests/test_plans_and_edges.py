@@ -224,3 +224,18 @@ def test_a_hot_image_is_dealt_to_several_tasks(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
     assert len(rows) == 4000 and sum(r["enough"] is True for r in rows) == sum(1 for i in range(4000) if i % 10 < 9 and i * 1000 >= 2_560_000)
+
+
+def test_lines_of_files_are_numbered_in_batch_and_stream(spark, tmp_path):
+    for device, text in (("7", "a\nb\n\nc\n"), ("x y", "one\r\ntwo"), ("9", "")):
+        (tmp_path / "in" / f"device_id={device}").mkdir(parents=True)
+        (tmp_path / "in" / f"device_id={device}" / "out.txt").write_bytes(text.encode())
+    want = {("7", 0, "a"), ("7", 1, "b"), ("7", 2, ""), ("7", 3, "c"), ("x%20y", 0, "one"), ("x%20y", 1, "two")}
+    got = {tuple(r) for r in R.read_lines(spark, str(tmp_path / "in")).collect()}
+    assert {r for r in got if r[0] != "9"} == want
+    lines = R.read_lines(spark, str(tmp_path / "in"), order="seq", stream=True, max_files=1)
+    q = (lines.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True)
+              .start(str(tmp_path / "out")))
+    q.awaitTermination()
+    got = {tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).select("device_id", "seq", "line").collect()}
+    assert {r for r in got if r[0] != "9"} == want
