@@ -285,7 +285,8 @@ def oracle_with(sql: str) -> str:
     return head + ",\n".join(ctes) + "\n" + body
 
 
-_REGISTERED: dict[int, tuple[str, str]] = {}
+# per session: the scale directory, its identity, and the fixtures whose views stand
+_REGISTERED: dict[int, tuple[str, str, set[str]]] = {}
 
 
 def _source_files(spark, sf_dir: str) -> list[tuple[str, int, int]]:
@@ -309,23 +310,24 @@ def _source_key(spark, sf_dir: str) -> str:
 
 
 MIN_BUCKETS = 8
-BUCKET_BYTES = 64 << 20      # input bytes per bucket; fixtures are a share of the input
+BUCKET_BYTES = 8 << 20       # input bytes per bucket, compressed: a bucket's rows, in memory, are many times that
 # Event histories: unbounded per device, so never bucketed by device (a hot
 # device would become one bucket file and one scan task); stored in time order.
 HISTORY_TABLES = {"fx_run": "start_ts", "fx_action": "ts", "fx_log": "seq"}
 
 
-def register(spark, sf_dir: str, materialize: bool = True, buckets: int | None = None) -> None:
-    """Register the base tables of ``sf_dir`` and every fixture as temp views.
+def register(spark, sf_dir: str, materialize: bool = True, buckets: int | None = None, names=None) -> None:
+    """Register the base tables of ``sf_dir`` and fixtures (``names`` and what they read; all of them if None) as temp views.
 
     Fixtures are device inventories in production, i.e. stored tables.  With
     ``materialize`` each fixture is derived once by Spark from the base
     tables and stored as Parquet in the shared folder of
-    ``spark.checkpoint.dir`` (keyed by the source files).  Tables keyed by
-    device are stored *bucketed by device_id* (``buckets`` buckets, one
-    sorted file each), the layout a fleet inventory should have: windows,
-    aggregations and joins on ``device_id`` then read co-partitioned data and
-    need no shuffle.
+    ``spark.checkpoint.dir`` (keyed by the source files), when it is first
+    asked for: a query pays for the inventories it reads and for no others.
+    Tables keyed by device are stored *bucketed by device_id* (``buckets``
+    buckets, one sorted file each), the layout a fleet inventory should have:
+    windows, aggregations and joins on ``device_id`` then read co-partitioned
+    data and need no shuffle.
     """
     key = id(spark)
     # Times in the inputs are UTC wall times (timestamp_ntz); day boundaries,
@@ -333,18 +335,24 @@ def register(spark, sf_dir: str, materialize: bool = True, buckets: int | None =
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     src_key = _source_key(spark, sf_dir)
-    if _REGISTERED.get(key) == (sf_dir, src_key) and spark.catalog.tableExists("fx_space"):
+    if _REGISTERED.get(key, ())[:2] != (sf_dir, src_key) or not spark.catalog.tableExists(BASE_TABLES[-1]):
+        for n in ORACLE_SQL:    # views of another directory
+            spark.catalog.dropTempView(n)
+        for t in BASE_TABLES:
+            spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
+        _REGISTERED[key] = (sf_dir, src_key, set())
+    done = _REGISTERED[key][2]
+    todo = [n for n in closure(ORACLE_SQL if names is None else names) if n not in done]
+    if not todo:
         return
-    for t in BASE_TABLES:
-        spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
     nb = _buckets(spark, sf_dir, buckets)
     base = fixture_dir(spark, sf_dir, nb) if materialize else None
-    for n in ORACLE_SQL:
+    for n in todo:
         df = spark.sql(_dialect(SPARK_SQL[n], "spark"))
         if base is not None:
             df = _stored(spark, df, n, f"{base}/{n}", nb, src_key)
         df.createOrReplaceTempView(n)
-    _REGISTERED[key] = (sf_dir, src_key)
+        done.add(n)
 
 
 def _stored(spark, df, name: str, path: str, nb: int, src_key: str):
@@ -420,15 +428,16 @@ def _exists(spark, path: str) -> bool:
 
 
 class Fleet:
-    """Fixture DataFrames of one scale directory (registered as temp views)."""
+    """Fixture DataFrames of one scale directory (temp views, registered when asked for)."""
 
     def __init__(self, spark, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        register(spark, sf_dir)
+        register(spark, sf_dir, names=())
 
     def __getattr__(self, name: str):
         key = name if name.startswith("fx_") else f"fx_{name}"
         if key in ORACLE_SQL or name in BASE_TABLES:
+            register(self.spark, self.sf_dir, names=[key] if key in ORACLE_SQL else ())
             return self.spark.table(key if key in ORACLE_SQL else name)
         raise AttributeError(name)
