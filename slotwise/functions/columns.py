@@ -1,13 +1,19 @@
-"""Column expressions (no UDFs): everything here stays inside whole-stage codegen."""
+"""Column expressions (no UDFs): everything here stays inside whole-stage codegen; and the hint of device joins."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotwise import constants as K
 
 
+def by_merge(side: DataFrame) -> DataFrame:
+    """One side of a join on devices, never broadcast: a table that grows with the fleet is small on disk, where its
+    columns are dictionaries, and many times that in the driver."""
+    return side.hint("merge")
+
+
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 

@@ -35,8 +35,8 @@ def read_boot_entries(lines: DataFrame, context: int = CONTEXT_LINES) -> DataFra
 
 def _entry_vs_partition(entries: DataFrame, active: DataFrame, blkid: DataFrame) -> DataFrame:
     ids = blkid.select("device_id", F.col("dev").alias("active"), "uuid", "partuuid")
-    a = active.join(ids, ["device_id", "active"], "left")
-    return a.join(entries, "device_id", "left")
+    a = active.join(C.by_merge(ids), ["device_id", "active"], "left")
+    return a.join(C.by_merge(entries), "device_id", "left")
 
 
 def _matched() -> "F.Column":

@@ -87,7 +87,7 @@ def staged_matches(staged: DataFrame, blkid: DataFrame) -> DataFrame:
     """Non-loop partitions carrying each device's staged id (equi-join on
     ``(device_id, id)``): ``device_id, staged_id, dev``."""
     ids = staged_ids(staged).where(F.col("staged_id").isNotNull())
-    return ids.join(_id_rows(blkid).withColumnRenamed("id", "staged_id"), ["device_id", "staged_id"])
+    return ids.join(C.by_merge(_id_rows(blkid).withColumnRenamed("id", "staged_id")), ["device_id", "staged_id"])
 
 
 def staged_target(staged: DataFrame, blkid: DataFrame, block: DataFrame) -> DataFrame:
@@ -96,8 +96,8 @@ def staged_target(staged: DataFrame, blkid: DataFrame, block: DataFrame) -> Data
     parts = (block.where(F.col("type") == "part")
                   .select("device_id", F.concat(F.lit("/dev/"), C.clean_name("name")).alias("dev"), "ord"))
     m = (staged_ids(staged)
-         .join(_id_rows(blkid).withColumnRenamed("id", "staged_id"), ["device_id", "staged_id"], "left")
-         .join(parts, ["device_id", "dev"], "left"))
+         .join(C.by_merge(_id_rows(blkid).withColumnRenamed("id", "staged_id")), ["device_id", "staged_id"], "left")
+         .join(C.by_merge(parts), ["device_id", "dev"], "left"))
     return m.groupBy("device_id").agg(
         F.max("staged_id").alias("staged_id"),
         F.min_by("dev", F.col("ord")).alias("target"),
@@ -114,10 +114,10 @@ def id_conflict(targets: DataFrame, staged: DataFrame, blkid: DataFrame) -> Data
     its partition table), collected per device.
     """
     ids = staged_ids(staged)
-    per = (ids.join(_id_rows(blkid).withColumnRenamed("id", "staged_id"), ["device_id", "staged_id"], "left")
+    per = (ids.join(C.by_merge(_id_rows(blkid).withColumnRenamed("id", "staged_id")), ["device_id", "staged_id"], "left")
               .groupBy("device_id")
               .agg(F.max("staged_id").alias("staged_id"), F.collect_set("dev").alias("devs")))
-    j = targets.join(per, "device_id", "left")
+    j = targets.join(C.by_merge(per), "device_id", "left")
     devs = "coalesce(devs, CAST(array() AS array<string>))"
     return j.selectExpr(
         *[f"`{c}`" for c in targets.columns], "staged_id",
@@ -150,7 +150,7 @@ def image_space(space: DataFrame, assign: DataFrame, images: DataFrame,
     need none; ``enough`` is NULL for an unknown image."""
     kinds = images.select("image_id", F.coalesce(C.is_compressed("path"), F.lit(False)).alias("compressed"))
     need = F.when(F.col("compressed"), F.lit(size_mb * 1024)).when(~F.col("compressed"), F.lit(0)).cast("long")
-    rows = assign.select("device_id", "image_id").join(space.select("device_id", "avail_kb"), "device_id", "left")
+    rows = assign.select("device_id", "image_id").join(C.by_merge(space.select("device_id", "avail_kb")), "device_id", "left")
     return (per_image(rows, kinds)
                   .select("device_id", "image_id", "avail_kb", need.alias("required_kb"),
                           (F.coalesce("avail_kb", F.lit(0)) >= need).alias("enough")))

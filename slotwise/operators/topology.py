@@ -58,7 +58,7 @@ def is_fde(crypt: DataFrame, devices: DataFrame) -> DataFrame:
     agg = (crypt.groupBy("device_id")
                 .agg((F.bool_or(F.col("target").contains("rootfs_a"))
                       & F.bool_or(F.col("target").contains("rootfs_b"))).alias("is_fde")))
-    return (devices.select("device_id").join(agg, "device_id", "left")
+    return (devices.select("device_id").join(C.by_merge(agg), "device_id", "left")
                    .select("device_id", F.coalesce("is_fde", F.lit(False)).alias("is_fde")))
 
 
@@ -72,7 +72,7 @@ def device_mode(block: DataFrame, crypt: DataFrame) -> DataFrame:
     """A3: ``fde`` first, then ``verity``, else ``plain``."""
     verity = is_verity(block)
     fde = is_fde(crypt, verity)
-    return (verity.join(fde, "device_id")
+    return (verity.join(C.by_merge(fde), "device_id")
                   .select("device_id",
                           F.when(F.col("is_fde"), F.lit("fde"))
                            .when(F.col("is_verity"), F.lit("verity"))
@@ -159,7 +159,7 @@ def device_pass(block: DataFrame, crypt: DataFrame) -> DataFrame:
         F.expr("bool_or(contains(target, 'rootfs_a')) AND bool_or(contains(target, 'rootfs_b')) AS is_fde"))
     is_a = "(coalesce(startswith(root_top, 'rootfs_a'), false) OR coalesce(startswith(root_sub, 'rootfs_a'), false))"
     is_b = "(coalesce(startswith(root_top, 'rootfs_b'), false) OR coalesce(startswith(root_sub, 'rootfs_b'), false))"
-    return (per_dev.join(fde_agg, "device_id", "left")
+    return (per_dev.join(C.by_merge(fde_agg), "device_id", "left")
                    .selectExpr("*", "CASE WHEN coalesce(is_fde, false) THEN 'fde' WHEN is_verity THEN 'verity'"
                                     " ELSE 'plain' END AS mode")
                    .selectExpr("*", "CASE mode WHEN 'fde' THEN a_fde WHEN 'verity' THEN a_verity"
@@ -191,7 +191,7 @@ def inactive_plain(block: DataFrame, active: DataFrame) -> DataFrame:
 
     ``active(device_id, active)``.  Returns ``device_id, target, error``.
     """
-    cand = (block.join(active.select("device_id", "active"), "device_id")
+    cand = (block.join(C.by_merge(active.select("device_id", "active")), "device_id")
                  .withColumn("cname", C.clean_name("name")))
     cond = (F.col("mountpoint").isNull() & F.col("fstype").isNotNull()
             & F.col("partlabel").startswith("rootfs")
@@ -300,7 +300,7 @@ def device_present(block: DataFrame, targets: DataFrame) -> DataFrame:
     t = targets.select("device_id", "target",
                        F.regexp_extract(F.coalesce("target", F.lit("")), r"([^/]*)$", 1).alias("base"))
     rows = block.select("device_id", C.clean_name("name").alias("cname"), "mountpoint")
-    j = t.join(rows, "device_id", "left")
+    j = t.join(C.by_merge(rows), "device_id", "left")
     return (j.groupBy("device_id", "target", "base")
              .agg(F.bool_or(F.col("cname").contains(F.col("base"))).alias("hit"),
                   F.count_if(F.col("mountpoint").isNotNull()

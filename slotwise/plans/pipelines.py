@@ -32,7 +32,7 @@ WRITE_GATES = (
 def fleet_status(block: DataFrame, crypt: DataFrame, image_id_lines: DataFrame) -> DataFrame:
     """Q1: mode, active partition and image id per device (the ``-v`` answer)."""
     return (T.active_partition(block, crypt)
-             .join(R.image_id(image_id_lines), "device_id", "left")
+             .join(C.by_merge(R.image_id(image_id_lines)), "device_id", "left")
              .select("device_id", "mode", "active", "image_uuid"))
 
 
@@ -71,7 +71,8 @@ def write_readiness(assign: DataFrame, images: DataFrame, space: DataFrame, stag
     room = I.space_check(space).select("device_id", "enough")
     # device-keyed tables first: they are co-bucketed, so these joins need no
     # shuffle; only the image-keyed join below moves data
-    j = I.per_image(assign.select("device_id", "image_id").join(conflict, "device_id", "left").join(room, "device_id", "left"),
+    j = I.per_image(assign.select("device_id", "image_id").join(C.by_merge(conflict), "device_id", "left")
+                          .join(C.by_merge(room), "device_id", "left"),
                     gates)
     failed = {   # SQL predicates, one per gate
         "bad path": "path_reason IS NOT NULL OR path IS NULL",
@@ -99,7 +100,7 @@ def apply_plan(staged: DataFrame, blkid: DataFrame, block: DataFrame, crypt: Dat
     one-shot image, or the reason apply stops."""
     base = _active_and_uki(block, crypt, blkid, boot_lines)
     tgt = I.staged_target(staged, blkid, block).select("device_id", "target")
-    j = base.join(tgt, "device_id", "left")
+    j = base.join(C.by_merge(tgt), "device_id", "left")
     reason = (F.when(F.col("target").isNull(), F.lit("Nothing to apply."))
                .when(F.col("active_uki").isNull(), F.lit("Failed to get active UKI.")))
     ok = reason.isNull()
@@ -117,7 +118,7 @@ def commit_plan(staged: DataFrame, blkid: DataFrame, block: DataFrame, crypt: Da
     """Q4: new default boot image, or why commit stops (exit 1 / 4)."""
     base = _active_and_uki(block, crypt, blkid, boot_lines)
     has = staged.select("device_id", F.lit(True).alias("staged")).dropDuplicates(["device_id"])
-    j = base.join(has, "device_id", "left")
+    j = base.join(C.by_merge(has), "device_id", "left")
     staged_c = F.coalesce(F.col("staged"), F.lit(False))
     reason = (F.when(~staged_c, F.lit("Nothing to commit."))
                .when(F.col("active_uki").isNull(), F.lit("Failed to get active UKI.")))
