@@ -117,13 +117,17 @@ def s7_read_images(fx):
     from pyspark.sql import functions as F
 
     from slotwise.session import scratch
+    from slotwise.sources import files as W
     from slotwise.sources import readers as R
     root = scratch(fx.spark, "images")
-    fx.image.select("image_id", "body").write.mode("append").partitionBy("image_id").text(root)
-    files = R.read_images(fx.spark, root, name_glob="*.txt")
-    content = F.expr("substring(content, 1, length(content) - 1)")
-    return files.select(F.regexp_extract("path", r"image_id=([0-9]+)", 1).cast("long").alias("image_id"),
-                        "length", F.sha2(content, 256).alias("sha"))
+    folders = W.write_files(fx.image.sortWithinPartitions("image_id"), "image_id", "body", root)
+
+    def read(paths):
+        files = R.read_images(fx.spark, paths, name_glob="*.txt")
+        content = F.expr("substring(content, 1, length(content) - 1)")
+        return files.select(W.key_of(F.col("path"), "image_id").cast("long").alias("image_id"),
+                            "length", F.sha2(content, 256).alias("sha"))
+    return W.read_folders(fx.spark, root, folders, read)
 
 
 @query("s7_read_gz_images", "SELECT image_id, sha256(body) AS sha FROM fx_image")
@@ -133,11 +137,15 @@ def s7_read_gz_images(fx):
     from pyspark.sql import functions as F
 
     from slotwise.session import scratch
+    from slotwise.sources import files as W
     root = scratch(fx.spark, "gz")
-    fx.image.select("image_id", "body").write.mode("append").partitionBy("image_id").option("compression", "gzip").text(root)
-    files = fx.spark.read.text(root, wholetext=True)
-    body = F.expr("substring(value, 1, length(value) - 1)")   # the writer's newline
-    return files.select(F.col("image_id").cast("long").alias("image_id"), F.sha2(body, 256).alias("sha"))
+    folders = W.write_files(fx.image.sortWithinPartitions("image_id"), "image_id", "body", root, gz=True)
+
+    def read(paths):
+        files = fx.spark.read.option("recursiveFileLookup", "true").text(paths, wholetext=True)
+        body = F.expr("substring(value, 1, length(value) - 1)")   # the writer's newline
+        return files.select(W.key_of(F.col("_metadata.file_path"), "image_id").cast("long").alias("image_id"), F.sha2(body, 256).alias("sha"))
+    return W.read_folders(fx.spark, root, folders, read)
 
 
 # A file is the body and the line feed of the text writer; one image in 23 has no file.
@@ -158,10 +166,14 @@ def published(fx):
 
     from slotwise.session import scratch
     from slotwise.sources import digests as D
+    from slotwise.sources import files as W
     root = scratch(fx.spark, "published")
-    fx.image.where(HAS_FILE).select("image_id", "body").write.mode("append").partitionBy("image_id").text(root)
-    found = D.image_digests(fx.spark, root, name_glob="*.txt", one_value=STREAMED_ABOVE, block_bytes=512)
-    found = found.withColumn("image_id", F.regexp_extract("path", r"image_id=([0-9]+)", 1).cast("long"))
+    folders = W.write_files(fx.image.where(HAS_FILE).sortWithinPartitions("image_id"), "image_id", "body", root)
+
+    def read(paths):
+        found = D.image_digests(fx.spark, paths, name_glob="*.txt", one_value=STREAMED_ABOVE, block_bytes=512)
+        return found.withColumn("image_id", W.key_of(F.col("path"), "image_id").cast("long"))
+    found = W.read_folders(fx.spark, root, folders, read)
     images = fx.image.withColumn("expected_sha", F.expr(FILE_SHA.replace("sha256(body)", "sha2(body, 256)").replace(
         "sha256(body || chr(10))", "sha2(body || chr(10), 256)"))).select("image_id", "path", "expected_sha")
     files = found.select("image_id", "length", "sha256").join(images.select("image_id", "path"), "image_id")

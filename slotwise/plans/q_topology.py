@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from slotwise.operators import topology as T
 from slotwise.plans.catalog import query
 from slotwise.session import scratch
+from slotwise.sources import files as W
 from slotwise.sources import readers as R
 
 # Shared oracle text: the block rows with the carry-forward names.
@@ -205,9 +206,12 @@ def s1_read_block_files(fx):
     """lsblk output as devices upload it: one text file each, lines numbered as they stand in the file."""
     root = scratch(fx.spark, "lsblk")
     text = R.render_block(fx.block).repartition("device_id").sortWithinPartitions("device_id", "ord")
-    text.select("device_id", "line").write.mode("append").partitionBy("device_id").text(root)
-    lines = R.read_lines(fx.spark, root)
-    return R.read_block(lines.withColumn("device_id", F.col("device_id").cast("long")))
+    folders = W.write_files(text, "device_id", "line", root)
+
+    def read(paths):
+        lines = R.read_lines(fx.spark, paths, device=r"device_id=([^/.]+)")
+        return R.read_block(lines.withColumn("device_id", F.col("device_id").cast("long")))
+    return W.read_folders(fx.spark, root, folders, read)
 
 
 @query("s2_read_blkid", "SELECT device_id, dev, uuid, partuuid FROM fx_blkid")

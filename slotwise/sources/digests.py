@@ -11,26 +11,24 @@ import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.fs as afs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from slotwise.sources.files import file_system
 from slotwise.sources.readers import image_files
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_BYTES = 4 << 20       # of a file read at once
 ONE_VALUE = 64 << 20        # files up to this size are digested inside the scan
+TASK_BYTES = 256 << 20      # of files streamed by one task, about
+TASK_FILES = 1_000          # files streamed by one task, about
 
 
 def blocks(path: str, size: int) -> Iterator[bytes]:
     """The bytes of a file, ``size`` at a time, by its scheme's file system (local, HDFS, object stores)."""
-    scheme, found, rest = path.partition(":")
-    if found and scheme != "file":
-        system, name = afs.FileSystem.from_uri(path)
-    else:
-        system, name = afs.LocalFileSystem(), "/" + (rest if found else path).lstrip("/")
+    system, name = file_system(path)
     with system.open_input_stream(name) as stream:
         while block := stream.read(size):
             yield block
@@ -40,7 +38,8 @@ def streamed_digests(files: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFr
     """``path, length, sha256`` of ``files`` (path, length), each read block by block.
 
     A digest runs from the first byte to the last, so a file is one task's
-    work; there are as many tasks as files.  A file that is gone, or that no
+    work; files are dealt to as many tasks as their bytes and their number ask
+    for, up to one a file.  A file that is gone, or that no
     longer has its listed length, has no digest (NULL); other read errors fail
     the task, which Spark tries again.
     """
@@ -61,10 +60,16 @@ def streamed_digests(files: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFr
 
     rows = files.select("path", F.col("length").cast("long").alias("length"))
     # a number given outright is not coalesced at run time: paths are tiny, the files behind them are not
-    return rows.repartition(max(1, rows.count())).mapInArrow(task, "path string, length long, sha256 string")
+    return rows.repartition(stream_tasks(rows)).mapInArrow(task, "path string, length long, sha256 string")
 
 
-def image_digests(spark, path_glob: str, recursive: bool = True, name_glob: str | None = None,
+def stream_tasks(rows: DataFrame) -> int:
+    """Tasks for the files in ``rows`` (path, length)."""
+    n, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
+    return max(1, min(n, -(-size // TASK_BYTES) + -(-n // TASK_FILES)))
+
+
+def image_digests(spark, path_glob: str | list[str], recursive: bool = True, name_glob: str | None = None,
                   one_value: int = ONE_VALUE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``path, length, sha256`` of image files of any size.
 

@@ -143,7 +143,7 @@ def read_log(lines: DataFrame, *keep: str) -> DataFrame:
         F.when(level.isNotNull(), F.regexp_extract(plain, _LOG_RE, 3)).alias("msg"), *keep)
 
 
-def read_lines(spark, path: str, device: str = r"device_id=([^/]+)", order: str = "ord", stream: bool = False,
+def read_lines(spark, path: str | list[str], device: str = r"device_id=([^/]+)", order: str = "ord", stream: bool = False,
                max_files: int | None = None) -> DataFrame:
     """Lines of real text files as the readers above take them: ``device_id, <order>, line``.
 
@@ -167,7 +167,7 @@ def read_lines(spark, path: str, device: str = r"device_id=([^/]+)", order: str
 MAX_CONTENT = (1 << 31) - 1     # one value of Spark's binary type
 
 
-def image_files(spark, path_glob: str, recursive: bool = True, name_glob: str | None = None) -> DataFrame:
+def image_files(spark, path_glob: str | list[str], recursive: bool = True, name_glob: str | None = None) -> DataFrame:
     """Regular files under ``path_glob`` by the ``binaryFile`` source (path, length, content, ...); ``name_glob``
     keeps only matching file names (e.g. ``*.raw.gz``).  A column that is not asked for is not read; the source lists no empty files."""
     reader = spark.read.format("binaryFile")
@@ -178,7 +178,7 @@ def image_files(spark, path_glob: str, recursive: bool = True, name_glob: str |
     return reader.load(path_glob)
 
 
-def read_images(spark, path_glob: str, recursive: bool = True, name_glob: str | None = None,
+def read_images(spark, path_glob: str | list[str], recursive: bool = True, name_glob: str | None = None,
                 max_bytes: int = MAX_CONTENT) -> DataFrame:
     """Image files as ``path, length, content`` (see :func:`image_files`).
 

@@ -54,3 +54,34 @@ def test_device_joins_are_never_broadcast(spark):
 def test_a_bucket_is_a_small_share_of_a_task_s_memory(spark, monkeypatch):
     monkeypatch.setattr(fixtures, "_source_files", lambda s, d: [("f", 6 << 30, 0)])
     assert fixtures._buckets(spark, SF_SMALL) >= 6 * 64     # 16 MB of input at most
+
+
+def test_very_many_files_lie_in_few_folders(spark, tmp_path):
+    """A folder per file made the end of the job and the listing as long as the table."""
+    from pyspark.sql import functions as F
+
+    from slotwise.sources import files as W
+    from slotwise.sources import readers as R
+    rows = spark.createDataFrame([(k, None if k == 3 else f"body {k}") for k in range(100)] + [(None, "no key"), (7, "again")],
+                                 "image_id long, body string").coalesce(1).sortWithinPartitions("image_id")
+    for gz in (False, True):
+        root = str(tmp_path / f"files-{gz}")
+        folders = W.write_files(rows, "image_id", "body", root, gz=gz, folder_files=30)
+        assert len(folders) == 4 and [len(list((tmp_path / f"files-{gz}" / f.rsplit("/", 1)[1]).iterdir())) for f in folders] == [30, 30, 30, 11]
+
+        def read(paths):
+            files = spark.read.option("recursiveFileLookup", "true").text(paths, wholetext=True)
+            return files.select(W.key_of(F.col("_metadata.file_path"), "image_id").alias("k"), "value")
+        got = {r["k"]: r["value"] for r in W.read_folders(spark, root, folders, read, at_once=3).collect()}
+        assert got == {**{str(k): f"body {k}\n" for k in range(100)}, "3": "\n", None: "no key\n", "7": "body 7\nagain\n"}
+    empty = tmp_path / "empty"
+    empty.mkdir()
+    assert W.write_files(rows.where("false"), "image_id", "body", str(empty)) == []
+    assert W.read_folders(spark, str(empty), [], lambda p: R.read_images(spark, p).select("path")).count() == 0
+
+
+def test_small_files_share_a_task(spark):
+    from slotwise.sources import digests as D
+    rows = spark.createDataFrame([(f"/f{k}", 10) for k in range(3000)], "path string, length long")
+    assert D.stream_tasks(rows) <= 10
+    assert D.stream_tasks(rows.selectExpr("path", f"{1 << 30} AS length")) == 3000      # a task a file where files are large
