@@ -38,6 +38,11 @@ def _replay(spark, df: DataFrame, arrived: Column, closing: DataFrame, path: str
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
+def _buckets(history: DataFrame) -> int:
+    """Buckets of devices for a replay of a stored history."""
+    return ST.buckets_for(history.count())
+
+
 def _actions(fx, path: str) -> DataFrame:
     """The action stream; closing events of two devices that do not exist, one per kind of wait."""
     df = fx.action.select("device_id", "seq", "ts", "action")
@@ -82,7 +87,7 @@ def st1_stream_log_counts(fx):
 def st2_stream_lifecycle(fx):
     """Lifecycle state machine over an unordered action stream (batch twin: W9)."""
     base = scratch(fx.spark, "stream")
-    return run_available(ST.lifecycle_stream(_actions(fx, f"{base}/action"), WATERMARK), base, "st2")
+    return run_available(ST.lifecycle_stream(_actions(fx, f"{base}/action"), WATERMARK, _buckets(fx.action)), base, "st2")
 
 
 @query("st2_stream_armed_timeout", LIFE_SQL + """,
@@ -102,7 +107,8 @@ FROM z JOIN p ON p.device_id = z.device_id AND p.n = z.last""")
 def st2_stream_armed_timeout(fx):
     """Episodes armed or on trial for a day of event time without a commit."""
     base = scratch(fx.spark, "stream")
-    return run_available(ST.lifecycle_timeouts(_actions(fx, f"{base}/action"), LC.DAY, WATERMARK), base, "st2t")
+    stream = ST.lifecycle_timeouts(_actions(fx, f"{base}/action"), LC.DAY, WATERMARK, _buckets(fx.action))
+    return run_available(stream, base, "st2t")
 
 
 @query("st3_stream_wait_for", J11_SQL)
@@ -111,7 +117,7 @@ def st3_stream_wait_for(fx):
     base = scratch(fx.spark, "stream")
     kind = F.when(F.col("action") == "apply", "start").when(F.col("action") == "reboot", "signal")
     events = _actions(fx, f"{base}/action").withColumn("kind", kind)
-    return run_available(ST.wait_for_stream(events, LC.HOUR, 6 * LC.HOUR, WATERMARK), base, "st3")
+    return run_available(ST.wait_for_stream(events, LC.HOUR, 6 * LC.HOUR, WATERMARK, _buckets(fx.action)), base, "st3")
 
 
 W10_SQL = """
@@ -134,7 +140,7 @@ def _admitted(fx) -> DataFrame:
                                        F.lit(-1).cast(df.schema["device_id"].dataType).alias("device_id"),
                                        far.alias("start_ts"), far.alias("end_ts"))
     runs = _replay(fx.spark, df, _late(F.col("start_ts"), F.col("run_id")), closing, f"{base}/run")
-    return run_available(ST.admit_runs_stream(runs, WATERMARK), base, "st4")
+    return run_available(ST.admit_runs_stream(runs, WATERMARK, _buckets(df)), base, "st4")
 
 
 @query("st4_stream_admit_runs", W10_SQL)

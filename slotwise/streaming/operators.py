@@ -7,10 +7,12 @@
 * ST4 ``admit_runs_stream``: W10 incrementally.
 
 ST2, ST3 and ST4 are stateful processors that do not depend on the order in which
-events arrive: a device's events wait in its state, by slots of time, until the
-watermark has passed them and are then folded in event-time order.  State is
-one small tuple and the events of the last ``watermark`` per device; a device
-without pending events and with its initial state keeps none.
+events arrive: events wait in the state, by slots of time, until the watermark
+has passed them and are then folded device by device in event-time order.  The
+key is a bucket of devices by hash, so that the calls of a micro-batch are as
+many as the buckets.  State is one small tuple and the events of the last
+``watermark`` per device; a device without pending events and with its initial
+state keeps none.
 """
 
 from __future__ import annotations
@@ -65,84 +67,117 @@ def log_totals(counts: DataFrame) -> DataFrame:
 # --- ordered state ----------------------------------------------------------
 
 Event = tuple[int, int, str, int]       # time (us), seq, what, until (us)
-EVENTS = "us array<long>, seq array<long>, what array<string>, until array<long>"
+EVENTS = "device array<long>, us array<long>, seq array<long>, what array<string>, until array<long>"
 SLOT = 3_600_000_000    # width of a slot of waiting events in us
+BUCKETS = 64            # of devices, at least
+BUCKET_ROWS = 1 << 15   # rows of a bucket over a whole stream, about
+NOBODY = -1             # the bucket of the device without an id
 # fold(key, state, events in order, watermark in us) -> (state, output rows, next deadline in us or None)
 Fold = Callable[[int, tuple, list[Event], int], tuple[tuple, list[tuple], "int | None"]]
 
 
 class InOrder(StatefulProcessor):
-    """Folds a device's events in order of (time, seq), however they arrive.
-
-    Events wait until the watermark has passed them, in a map state keyed by
-    the slot of time they lie in; a small index tells which slots there are and
-    the first event of each.  A call touches the slots of its new events and
-    those that have come due, whatever else waits.  An event-time timer wakes
-    the device for the next event, or for a deadline of the fold.
+    """Folds each device's events in order of (time, seq), however they arrive.
+
+    A key of the stream is a bucket of devices: one call, one timer and a few
+    reads and writes of state serve them all.  A bucket's events wait until the
+    watermark has passed them, in a map state keyed by the slot of time they lie
+    in and a number: a call adds its new events as further pieces of their slots
+    and reads the slots that have come due, whatever else waits.  A small index
+    tells which slots there are, their pieces and the first event of each.  The
+    folds' states are arrays of one value; a device in its initial state is not
+    in it.  An event-time timer wakes the bucket for the next event, or for the
+    first deadline of a fold.
     """
 
     def __init__(self, fold: Fold, state: str, initial: tuple, columns: dict[str, str]):
-        self.fold, self.schema, self.initial, self.columns = fold, state, initial, columns
+        self.fold, self.initial, self.columns = fold, initial, columns
+        fields = [f.split() for f in state.split(", ")]
+        self.schema = ", ".join(["device array<long>", *(f"{name} array<{kind}>" for name, kind in fields)])
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", "slot long", EVENTS)
-        self.index = handle.getValueState("index", "slot array<long>, first array<long>")
+        self.waiting = handle.getMapState("waiting", "slot long, piece long", EVENTS)
+        self.index = handle.getValueState("index", "slot array<long>, pieces array<long>, first array<long>")
         self.value = handle.getValueState("value", self.schema)
 
     def handleInputRows(self, key, rows, timerValues):
-        new = []
+        new: dict[int, list[Event]] = {}
         for df in rows:
-            new.extend(zip(df["us"].tolist(), df["seq"].tolist(), df["what"].tolist(), df["until"].tolist()))
-        yield self.advance(int(key[0]), new, timerValues.getCurrentWatermarkInMs() * 1000)
+            for device, *event in zip(*(df[c].tolist() for c in ("device", "us", "seq", "what", "until"))):
+                new.setdefault(device, []).append(tuple(event))
+        yield self.advance_all(new, timerValues.getCurrentWatermarkInMs() * 1000, int(key[0]) == NOBODY)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        yield self.advance(int(key[0]), [], timerValues.getCurrentWatermarkInMs() * 1000)
-
-    def stored(self, slot: int) -> list[Event]:
-        return list(zip(*self.waiting.getValue((slot,))))
-
-    def due(self, new: list[Event], watermark: int) -> tuple[list[Event], "int | None"]:
-        """The events before the watermark, out of those waiting and the new ones, and the time of the first that waits on."""
-        index = dict(zip(*self.index.get())) if self.index.exists() else {}
+        yield self.advance_all({}, timerValues.getCurrentWatermarkInMs() * 1000, int(key[0]) == NOBODY)
+
+    def stored(self, slot: int, pieces: int) -> list[tuple]:
+        """Take the (device, event...) rows of a slot out of the state."""
+        rows = []
+        for k in range(pieces):
+            rows.extend(zip(*self.waiting.getValue((slot, k))))
+            self.waiting.removeKey((slot, k))
+        return rows
+
+    def due(self, new: dict[int, list[Event]], watermark: int) -> tuple[dict[int, list[Event]], "int | None"]:
+        """Each device's events before the watermark, out of those waiting and the new ones, and the time of the first that waits on."""
+        index = {s: (n, first) for s, n, first in zip(*self.index.get())} if self.index.exists() else {}
         before = dict(index)
-        ready = [e for e in new if e[0] < watermark]
-        later: dict[int, list[Event]] = {}
-        for e in new:
-            if e[0] >= watermark:
-                later.setdefault(e[0] // SLOT, []).append(e)
-        for slot in [s for s, first in index.items() if first < watermark]:
-            events = self.stored(slot)
-            ready += [e for e in events if e[0] < watermark]
-            rest = [e for e in events if e[0] >= watermark]
-            del index[slot]
-            if rest:        # the slot that the watermark stands in
-                later.setdefault(slot, []).extend(rest)
+        ready: dict[int, list[Event]] = {}
+        later: dict[int, list[tuple]] = {}
+
+        def place(device: int, e: Event) -> None:
+            if e[0] < watermark:
+                ready.setdefault(device, []).append(e)
             else:
-                self.waiting.removeKey((slot,))
-        for slot, events in later.items():
-            if slot in index:
-                events = [*self.stored(slot), *events]
-            self.waiting.updateValue((slot,), tuple(map(list, zip(*events))))
-            index[slot] = min(e[0] for e in events)
+                later.setdefault(e[0] // SLOT, []).append((device, *e))
+
+        for device, events in new.items():
+            for e in events:
+                place(device, e)
+        for slot in [s for s, (_, first) in index.items() if first < watermark]:
+            for device, *e in self.stored(slot, index.pop(slot)[0]):
+                place(device, tuple(e))     # those of the slot that the watermark stands in go back
+        for slot, rows in later.items():
+            n, first = index.get(slot, (0, rows[0][1]))
+            self.waiting.updateValue((slot, n), tuple(map(list, zip(*rows))))
+            index[slot] = n + 1, min(first, min(r[1] for r in rows))
         if index != before:
             if index:
-                self.index.update((list(index), list(index.values())))
+                self.index.update((list(index), *map(list, zip(*index.values()))))
             else:
                 self.index.clear()
-        return sorted(ready), min(index.values(), default=None)
+        for events in ready.values():
+            events.sort()
+        return ready, min((first for _, first in index.values()), default=None)
+
+    def advance(self, device: int, new: list[Event], watermark: int) -> pd.DataFrame:
+        """A call with the new events of one device."""
+        return self.advance_all({device: new} if new else {}, watermark)
 
-    def advance(self, key: int, new: list[Event], watermark: int) -> pd.DataFrame:
+    def advance_all(self, new: dict[int, list[Event]], watermark: int, nobody: bool = False) -> pd.DataFrame:
+        """A call with each device's new events; ``nobody``: those of the device without an id."""
         due, waits = self.due(new, watermark)
-        state = tuple(self.value.get()) if self.value.exists() else self.initial
-        state, out, deadline = self.fold(key, state, due, watermark)
-        if state != self.initial:
-            self.value.update(state)
-        elif self.value.exists():
-            self.value.clear()
+        states = {device: tuple(state) for device, *state in zip(*self.value.get())} if self.value.exists() else {}
+        before = dict(states)
+        out, wake = [], [] if waits is None else [waits]
+        for device in {**states, **due}:
+            state, rows, deadline = self.fold(None if nobody else device, states.get(device, self.initial),
+                                              due.get(device, []), watermark)
+            if state != self.initial:
+                states[device] = state
+            else:
+                states.pop(device, None)
+            out.extend(rows)
+            if deadline is not None:
+                wake.append(deadline)
+        if states != before:
+            if states:
+                self.value.update((list(states), *map(list, zip(*states.values()))))
+            else:
+                self.value.clear()
         for t in list(self.handle.listTimers()):
             self.handle.deleteTimer(t)
-        wake = [t for t in (waits, deadline) if t is not None]
         if wake:
             self.handle.registerTimer(max(min(wake), watermark) // 1000 + 1)
         return pd.DataFrame(out, columns=list(self.columns)).astype(self.columns)
@@ -151,13 +186,25 @@ class InOrder(StatefulProcessor):
         pass
 
 
+def buckets_for(rows: int) -> int:
+    """Buckets of devices for a stream of about so many rows: a bucket's call has a part of ``BUCKET_ROWS``."""
+    return max(BUCKETS, -(-rows // BUCKET_ROWS))
+
+
 def _in_order(events: DataFrame, fold: Fold, state: str, initial: tuple, out: str, columns: dict[str, str],
-              watermark: str) -> DataFrame:
-    """``events``: device_id, at (timestamp), us, seq, what, until.  Needs the RocksDB state store, which is switched on."""
+              watermark: str, buckets: int) -> DataFrame:
+    """``events``: device_id, at (timestamp), us, seq, what, until.  Needs the RocksDB state store, which is switched on.
+
+    ``buckets``: keys that the devices are dealt to by hash.  It is part of the
+    state: a stream goes on from its checkpoint with the number it began with.
+    """
     spark = events.sparkSession
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) != ROCKSDB_PROVIDER:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-    return events.withWatermark("at", watermark).groupBy("device_id").transformWithStateInPandas(
+    device = F.col("device_id")
+    keyed = events.select(F.when(device.isNull(), NOBODY).otherwise(F.pmod(F.xxhash64(device), F.lit(buckets))).alias("bucket"),
+                          F.coalesce(device.cast("long"), F.lit(0)).alias("device"), "at", "us", "seq", "what", "until")
+    return keyed.withWatermark("at", watermark).groupBy("bucket").transformWithStateInPandas(
         statefulProcessor=InOrder(fold, state, initial, columns), outputStructType=out, outputMode="Append",
         timeMode="EventTime")
 
@@ -196,16 +243,17 @@ def lifecycle_fold(key: int, state: tuple, events: list[Event], watermark: int):
     return state, out, None
 
 
-def lifecycle_stream(actions: DataFrame, watermark: str = "1 hour") -> DataFrame:
+def lifecycle_stream(actions: DataFrame, watermark: str = "1 hour", buckets: int = BUCKETS) -> DataFrame:
     """ST2: outcome and state after every event, in event-time order; events later than ``watermark`` are dropped."""
     return _in_order(_action_events(actions), lifecycle_fold, "staged int, armed int, trial int", (0, 0, 0), LIFECYCLE_OUT,
-                     {"device_id": "int64", "seq": "int64", "ts": "datetime64[us]", "action": "object", "outcome": "object",
-                      "staged": "int32", "armed": "int32", "trial": "int32"}, watermark)
+                     {"device_id": "Int64", "seq": "int64", "ts": "datetime64[us]", "action": "object", "outcome": "object",
+                      "staged": "int32", "armed": "int32", "trial": "int32"}, watermark, buckets)
 
 
 # an episode's outcome, by the state it was in at its deadline
 ARMED_OUTCOME, TRIAL_OUTCOME = "armed but never tried", "on trial but never committed"
 NONE, REPORTED = -1, -2     # no episode open; the open episode has been reported
+NEVER = (1 << 63) - 1       # the end of a run that has none: its lock is held throughout
 
 
 def timeout_fold(timeout_us: int) -> Fold:
@@ -233,14 +281,14 @@ def timeout_fold(timeout_us: int) -> Fold:
     return fold
 
 
-def lifecycle_timeouts(actions: DataFrame, timeout_s: int, watermark: str = "1 hour") -> DataFrame:
+def lifecycle_timeouts(actions: DataFrame, timeout_s: int, watermark: str = "1 hour", buckets: int = BUCKETS) -> DataFrame:
     """ST2 timeout: episodes in which a device stayed armed (or on trial)
     without a commit or rollback for ``timeout_s`` of event time, reported once
     each, when the watermark passes the deadline."""
-    kinds = {"device_id": "int64", "since": "int64", "fired": "int64", "staged": "int32", "armed": "int32", "trial": "int32"}
+    kinds = {"device_id": "Int64", "since": "int64", "fired": "int64", "staged": "int32", "armed": "int32", "trial": "int32"}
     out = _in_order(_action_events(actions), timeout_fold(timeout_s * 1_000_000),
                     "staged int, armed int, trial int, since long", (0, 0, 0, NONE),
-                    "device_id long, since long, fired long, staged int, armed int, trial int", kinds, watermark)
+                    "device_id long, since long, fired long, staged int, armed int, trial int", kinds, watermark, buckets)
     return out.select("device_id",
                       F.timestamp_micros("since").cast("timestamp_ntz").alias("pending_since"),
                       F.timestamp_micros("fired").cast("timestamp_ntz").alias("deadline"),
@@ -261,13 +309,13 @@ def admit_fold(key: int, state: tuple, events: list[Event], watermark: int):
     return (NONE if held <= watermark else held,), out, held if held > watermark else None
 
 
-def admit_runs_stream(runs: DataFrame, watermark: str = "1 hour") -> DataFrame:
+def admit_runs_stream(runs: DataFrame, watermark: str = "1 hour", buckets: int = BUCKETS) -> DataFrame:
     """ST4: lock admission in order of (start, run_id); runs that start before the watermark are dropped."""
     at, end = F.col("start_ts").cast("timestamp"), F.col("end_ts").cast("timestamp")
     events = runs.select("device_id", at.alias("at"), F.unix_micros(at).alias("us"), F.col("run_id").alias("seq"),
-                         F.lit("run").alias("what"), F.unix_micros(end).alias("until"))
+                         F.lit("run").alias("what"), F.coalesce(F.unix_micros(end), F.lit(NEVER)).alias("until"))
     return _in_order(events, admit_fold, "held long", (NONE,), ADMIT_OUT,
-                     {"run_id": "int64", "device_id": "int64", "admitted": "bool", "exit_code": "int32"}, watermark)
+                     {"run_id": "int64", "device_id": "Int64", "admitted": "bool", "exit_code": "int32"}, watermark, buckets)
 
 
 # --- ST3 --------------------------------------------------------------------
@@ -303,7 +351,8 @@ def wait_fold(interval_us: int, timeout_us: int) -> Fold:
     return fold
 
 
-def wait_for_stream(events: DataFrame, interval_s: int = 3600, timeout_s: int = 21_600, watermark: str = "1 hour") -> DataFrame:
+def wait_for_stream(events: DataFrame, interval_s: int = 3600, timeout_s: int = 21_600, watermark: str = "1 hour",
+                    buckets: int = BUCKETS) -> DataFrame:
     """ST3 (= J11): device_id, seq, tick, timed_out, one row per start.
 
     ``events(device_id, seq, ts, kind)`` with kind ``start`` or ``signal``, in
@@ -318,4 +367,4 @@ def wait_for_stream(events: DataFrame, interval_s: int = 3600, timeout_s: int =
         F.col("kind").alias("what"), F.coalesce(F.col("seq").cast("long"), F.lit(0)).alias("until"))
     return _in_order(rows, wait_fold(interval_s * 1_000_000, timeout_s * 1_000_000), "t array<long>, seq array<long>", ([], []),
                      "device_id long, seq long, tick long, timed_out boolean",
-                     {"device_id": "int64", "seq": "int64", "tick": "Int64", "timed_out": "bool"}, watermark)
+                     {"device_id": "Int64", "seq": "int64", "tick": "Int64", "timed_out": "bool"}, watermark, buckets)

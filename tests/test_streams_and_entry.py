@@ -230,3 +230,73 @@ def test_files_of_a_slice_follow_its_rows(spark, tmp_path):
         found.setdefault(f.rsplit("/", 2)[1], []).append(f)
     assert {k: len(v) for k, v in found.items()} == {f"slice={k}": 4 for k in range(3)}
     assert spark.read.parquet(str(tmp_path / "s")).count() == 6000
+
+
+def test_devices_of_a_bucket_share_a_call():
+    """500 devices in one bucket: a micro-batch is one call with few state accesses, and each device is folded by itself."""
+    import random
+
+    import pandas as pd
+
+    from slotwise.streaming import operators as ST
+    rnd = random.Random(8)
+    hour = ST.SLOT
+    events = [(rnd.randrange(1000, 1500), rnd.randrange(20 * hour), i, rnd.choice(["write", "apply", "reboot", "commit"]), 0)
+              for i in range(20_000)]
+
+    class Time:
+        def __init__(self, ms):
+            self.ms = ms
+
+        def getCurrentWatermarkInMs(self):
+            return self.ms
+
+    class Counted(Kept):
+        calls = 0
+
+        def _state(self, name):
+            state, outer = super()._state(name), self
+
+            class Counting:
+                def __getattr__(self, what):
+                    outer.calls += 1
+                    return getattr(state, what)
+            return Counting()
+
+    kept = Counted()
+    bucket = ST.InOrder(ST.lifecycle_fold, "staged int, armed int, trial int", (0, 0, 0), {
+        "device_id": "Int64", "seq": "int64", "ts": "datetime64[us]", "action": "object", "outcome": "object",
+        "staged": "int32", "armed": "int32", "trial": "int32"})
+    bucket.init(kept)
+    got = []
+    for at in range(4):
+        df = pd.DataFrame(events[at::4], columns=["device", "us", "seq", "what", "until"])
+        for out in bucket.handleInputRows((3,), iter([df]), Time(0)):
+            got += out.itertuples(index=False, name=None)
+        assert len(kept.timers) == 1
+    for wm in (7 * hour + hour // 3, 30 * hour):
+        for out in bucket.handleExpiredTimer((3,), Time(wm // 1000), None):
+            got += out.itertuples(index=False, name=None)
+    assert kept.calls < 400             # 500 devices a call took thousands
+    want = []
+    for device in {e[0] for e in events}:
+        want += ST.lifecycle_fold(device, (0, 0, 0), sorted(e[1:] for e in events if e[0] == device), 0)[1]
+    assert sorted(r[:2] + r[3:] for r in got) == sorted(r[:2] + r[3:] for r in want)
+    assert [k for k in kept.values if k[0] != "value"] == [] and not kept.timers
+
+
+def test_events_without_a_device_are_one_device(spark, tmp_path):
+    """As in the batch twin, rows of a null id share a history; they change no other id, however large."""
+    from datetime import datetime, timedelta
+
+    from slotwise.plans import q_streams as QS
+    from slotwise.streaming import operators as ST
+    t, big = datetime(2024, 1, 1), (1 << 60) + 1
+    rows = [(d, s, t + timedelta(hours=s), a) for d in (None, big) for s, a in enumerate(("write", "apply", "reboot"))]
+    rows.append((-1, 9, datetime(2100, 1, 1), "fail"))
+    schema = "device_id long, seq long, ts timestamp_ntz, action string"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = ST.lifecycle_stream(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), "1 day", 1)
+    out = QS.run_available(stream, str(tmp_path), "st2").where("seq < 9").collect()
+    assert {(r["device_id"], r["seq"], r["outcome"]) for r in out} == {
+        (d, s, o) for d in (None, big) for s, o in enumerate(("staged", "accepted", "trial"))}
