@@ -224,10 +224,10 @@ def merged(rows: DataFrame, other: DataFrame, on: list[str] | Column, how: str =
     return rows.join(other.hint("merge"), on, how)
 
 
-def salted_join(rows: DataFrame, one: DataFrame, on: list[str], salt_by: str = "key") -> DataFrame:
+def salted_join(rows: DataFrame, one: DataFrame, on: list[str], salt_by: str = "key", how: str = "inner") -> DataFrame:
     """``rows`` with the columns of ``one`` (a row per value of ``on``); the rows of a hot value go to ``SALTS`` tasks."""
     return merged(rows.withColumn("salt", F.pmod(F.xxhash64(salt_by), F.lit(SALTS))),
-                  one.withColumn("salt", each(F.lit(SALTS))), [*on, "salt"]).drop("salt")
+                  one.withColumn("salt", each(F.lit(SALTS))), [*on, "salt"], how).drop("salt")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -247,8 +247,8 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """key and comp (the least key of its connected component) of every key in ``edges`` (a, b).
 
-    Alternating large-star and small-star steps; every step only rewires rows,
-    so no neighbourhood is collected.
+    Alternating large-star and small-star steps until every component is a
+    star; every step only rewires rows, so no neighbourhood is collected.
     """
     def star(e: DataFrame, large: bool) -> DataFrame:
         """large: neighbours above a node are moved to the least of all its neighbours; else those below it are."""
@@ -262,21 +262,32 @@ def components(edges: DataFrame) -> DataFrame:
         moved = j.select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
         return moved.filter(F.col("a") != F.col("b")).distinct()
 
-    def mark(e: DataFrame) -> tuple:
-        return tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+    def settled(e: DataFrame) -> bool:
+        """Whether every component is a star: a key is under one other key, or other keys are under it."""
+        ends = e.select(F.explode(F.array(F.struct(F.col("a").alias("key"), F.lit(1).alias("under")),
+                                          F.struct(F.col("b").alias("key"), F.lit(0).alias("under")))).alias("end"))
+        odd = (ends.groupBy("end.key").agg(F.sum("end.under").alias("n"), F.min("end.under").alias("under"))
+                   .filter((F.col("n") > 1) | (F.col("n") == 1) & (F.col("under") == 0)))
+        return odd.agg(F.count(F.lit(1))).first()[0] == 0
 
     now = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                    .filter(F.col("a") != F.col("b")).distinct())
-    seen = mark(now)
-    while seen[0]:
+    while not settled(now):
         now = cut(star(star(now, True), False))
-        was, seen = seen, mark(now)
-        if seen == was:
-            break
     return now.select(F.col("a").alias("key"), F.col("b").alias("comp")).union(
         now.select(F.col("b").alias("key"), F.col("b").alias("comp")).distinct())
 
 
+def joined(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """``comps`` (key, comp) after ``links`` (a, b) between components; a key that is not in ``comps`` is its own.
+
+    Only the components that have links are gone over again, as single keys.
+    """
+    least = cut(components(links))
+    moved = salted_join(comps, least.toDF("comp", "least"), ["comp"], "key", "left")
+    return moved.select("key", F.coalesce("least", "comp").alias("comp")).union(least).distinct()
+
+
 def open_blocks(shared: DataFrame, comps: DataFrame, reps: DataFrame) -> DataFrame:
     """Blocks of the buckets that hold several components: each outlier meets each other member once.
 
@@ -310,7 +321,7 @@ def open_blocks(shared: DataFrame, comps: DataFrame, reps: DataFrame) -> DataFra
 
 
 def block_links(out: list[tuple], rest: list[tuple], similarity: float) -> Iterator[tuple[bytes, bytes]]:
-    """Links that join components: (key, key) of an outlier and a member.
+    """Links that join components: (comp, comp) of an outlier and a member.
 
     ``out``, ``rest``: (key, comp, shingles).  The members' shingles are sorted
     together once; an outlier's intersections with all of them are then counts
@@ -327,7 +338,7 @@ def block_links(out: list[tuple], rest: list[tuple], similarity: float) -> Itera
     flat = np.concatenate([r[2] for r in rest])
     order = np.argsort(flat, kind="stable")
     flat, owner = flat[order], np.repeat(np.arange(len(rest)), sizes)[order]
-    for key, comp, mine in out:
+    for _, comp, mine in out:
         first, last = np.searchsorted(flat, mine, "left"), np.searchsorted(flat, mine, "right")
         n = last - first
         at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
@@ -336,11 +347,11 @@ def block_links(out: list[tuple], rest: list[tuple], similarity: float) -> Itera
             x, y = top(comp), top(rest[j][1])
             if x != y:
                 root[max(x, y)] = min(x, y)
-                yield key, rest[j][0]
+                yield comp, rest[j][1]
 
 
 def last_links(rows: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Links (a, b) between components that are left in the blocks of :func:`open_blocks`.
+    """Links (a, b: components) between components that are left in the blocks of :func:`open_blocks`.
 
     Every pair of a block is compared on whole sets, but only pairs that join
     two components are written down: fewer than the block has rows.
@@ -407,7 +418,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     # buckets that still hold several components: their outliers against all other members
     more = cut(last_links(open_blocks(shared, comps, reps), sets, similarity))
     if not more.isEmpty():
-        comps = cut(components(edges.union(more)))
+        comps = cut(joined(comps, more))
 
     labelled = cut(merged(reps.select("key", "rep", "copies"), comps, ["key"], "left")
                    .withColumn("comp", F.coalesce("comp", "key")))

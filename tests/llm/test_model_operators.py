@@ -354,3 +354,47 @@ def test_pipeline_stages_of_odd_rows(spark):
             got = out.collect()
             assert len(got) == (n if name != "near dedup" else n and n - 2), name      # the second 3, and one of null and empty
             assert name != "line dedup" or all(r["text"] is not None for r in got)
+
+
+def test_components_stop_once_all_are_stars(spark):
+    """Random graphs against a union-find; stars are seen to be stars without a round over them."""
+    import random
+    rnd = random.Random(12)
+
+    def least(edges):
+        root = {}
+
+        def top(x):
+            while root.setdefault(x, x) != x:
+                x = root[x]
+            return x
+        for a, b in edges:
+            x, y = top(a), top(b)
+            root[max(x, y)] = min(x, y)
+        return {x: top(x) for x in list(root)}
+
+    def found(df):
+        rows = [(bytes(r["key"]), bytes(r["comp"])) for r in df.collect()]
+        assert len(rows) == len(dict(rows))
+        return dict(rows)
+
+    name = lambda k: b"%03d" % k
+    chain = [(name(k), name(k + 1)) for k in range(40)]
+    loose = [tuple(rnd.sample([name(k) for k in range(100, 200)], 2)) for _ in range(60)]
+    first = chain + loose
+    frame = lambda edges: spark.createDataFrame(edges, "a binary, b binary").repartition(3)
+    comps = N.components(frame(first))
+    assert found(comps) == least(first)
+    # links between components, single keys among them
+    of = lambda k: least(first).get(k, k)
+    more = [(of(name(5)), of(first[45][0])), (name(300), name(301)), (of(first[50][1]), name(302))]
+    assert found(N.joined(comps, frame(more))) == least(first + more)
+
+    stars = frame([(name(k), name(k % 7)) for k in range(7, 90)])
+    rounds = []
+    cut, N.cut = N.cut, lambda df: rounds.append(df) or cut(df)
+    try:
+        assert found(N.components(stars)) == {name(k): name(k if k < 7 else k % 7) for k in range(90)}
+    finally:
+        N.cut = cut
+    assert len(rounds) == 1
