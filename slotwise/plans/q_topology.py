@@ -209,9 +209,9 @@ def s1_read_block_files(fx):
     folders = W.write_files(text, "device_id", "line", root)
 
     def read(paths):
-        lines = R.read_lines(fx.spark, paths, device=r"device_id=([^/.]+)")
+        lines = R.read_lines(fx.spark, paths, device=r"device_id=([^/.]+)", by_tasks=True)
         return R.read_block(lines.withColumn("device_id", F.col("device_id").cast("long")))
-    return W.read_folders(fx.spark, root, folders, read)
+    return W.read_folders(fx.spark, root, folders, read, at_once=None)
 
 
 @query("s2_read_blkid", "SELECT device_id, dev, uuid, partuuid FROM fx_blkid")

@@ -2,13 +2,14 @@
 
 A folder per file, its rename at the end of the job and its listing cost more
 than the file.  Here a task writes its files into few flat folders, and the
-driver knows folders only; a reader takes some folders at a time, so that the
-list of files it holds is bounded, whatever their number.
+driver knows folders only; the tasks list and read them (:func:`read_texts`), or
+a reader of Spark takes some folders at a time.
 """
 
 from __future__ import annotations
 
 import gzip
+import re
 import sys
 from collections.abc import Callable, Iterator
 from urllib.parse import quote
@@ -25,6 +26,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 FOLDER_FILES = 5_000        # files of a folder
 READ_FOLDERS = 10           # folders read by one job
+TEXT_BYTES = 4 << 20        # text a task hands over at once; one file at least
+HIDDEN = re.compile(r"\.|_[^=]*$")      # names that Spark's readers leave out
 NO_KEY = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -92,12 +95,44 @@ def key_of(path: Column, key: str) -> Column:
     return F.when(name != NO_KEY, name)
 
 
-def read_folders(spark, root: str, folders: list[str], read: Callable[[list[str]], DataFrame], at_once: int = READ_FOLDERS) -> DataFrame:
-    """What ``read`` makes of the files in ``folders``, ``at_once`` folders a job, stored under the shared folder.
+def read_texts(spark, folders: list[str]) -> DataFrame:
+    """``path, value``: every file of the flat ``folders`` as one text, listed and read by the tasks.
+
+    As in Spark's reader of whole texts, hidden and empty files are left out and
+    packed ones unpacked; that reader lists the files in the driver, which also
+    keeps the lists of earlier jobs (some 800 bytes a file).
+    """
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(values, pa.binary())], names=["path", "value"])
+
+        for folder in (f for b in batches for f in b.column(0).to_pylist()):
+            system, base = file_system(folder)
+            paths, values, size = [], [], 0
+            for file in system.get_file_info(afs.FileSelector(base)):
+                if not file.is_file or file.size == 0 or HIDDEN.match(file.base_name):
+                    continue
+                with system.open_input_stream(file.path) as f:
+                    values.append(f.read())
+                paths.append(file.path)
+                size += len(values[-1])
+                if size >= TEXT_BYTES:
+                    yield batch()
+                    paths, values, size = [], [], 0
+            yield batch()
+
+    tasks = min(len(folders), 2 * spark.sparkContext.defaultParallelism)
+    names = spark.createDataFrame([(f,) for f in folders], "folder string").repartition(tasks)
+    return names.mapInArrow(task, "path string, value binary").withColumn("value", F.col("value").cast("string"))
+
+
+def read_folders(spark, root: str, folders: list[str], read: Callable[[list[str]], DataFrame], at_once: int | None = READ_FOLDERS) -> DataFrame:
+    """What ``read`` makes of the files in ``folders``, ``at_once`` folders a job (None: all), stored under the shared folder.
 
     ``read`` takes paths and returns rows that are small beside the files.
     """
     out = scratch(spark, "read")
+    at_once = at_once or max(1, len(folders))
     groups = [folders[i:i + at_once] for i in range(0, len(folders), at_once)] or [[root]]
     for paths in groups:
         # files are many and small: two tasks a core, not one and an output file for every 32

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from slotwise import constants as K
 from slotwise.functions import columns as C
+from slotwise.sources.files import read_texts
 
 
 def read_block(lines: DataFrame) -> DataFrame:
@@ -144,7 +145,7 @@ def read_log(lines: DataFrame, *keep: str) -> DataFrame:
 
 
 def read_lines(spark, path: str | list[str], device: str = r"device_id=([^/]+)", order: str = "ord", stream: bool = False,
-               max_files: int | None = None) -> DataFrame:
+               max_files: int | None = None, by_tasks: bool = False) -> DataFrame:
     """Lines of real text files as the readers above take them: ``device_id, <order>, line``.
 
     One file is one output of a device (a listing, a configuration, a boot
@@ -153,14 +154,18 @@ def read_lines(spark, path: str | list[str], device: str = r"device_id=([^/]+)",
     A file is read as one text, so its lines keep their numbers however files
     are packed into tasks; both line endings are known, and the end of the last
     line begins no further one.  With ``stream`` the files come as a file
-    stream, ``max_files`` a micro-batch.
+    stream, ``max_files`` a micro-batch.  With ``by_tasks`` the paths are flat
+    folders of very many files, which the tasks list and read, not the driver.
     """
-    reader = spark.readStream if stream else spark.read
-    reader = reader.option("recursiveFileLookup", "true")
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    files = reader.text(path, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_path"), device, 1).alias("device_id"),
-                                     F.regexp_replace("value", r"\r?\n\z", "").alias("value"))
+    if by_tasks:
+        texts = read_texts(spark, [path] if isinstance(path, str) else path)
+    else:
+        reader = spark.readStream if stream else spark.read
+        reader = reader.option("recursiveFileLookup", "true")
+        if max_files:
+            reader = reader.option("maxFilesPerTrigger", max_files)
+        texts = reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
+    files = texts.select(F.regexp_extract("path", device, 1).alias("device_id"), F.regexp_replace("value", r"\r?\n\z", "").alias("value"))
     return files.select("device_id", F.posexplode(F.split("value", r"\r?\n")).alias(order, "line"))
 
 

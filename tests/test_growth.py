@@ -80,6 +80,53 @@ def test_very_many_files_lie_in_few_folders(spark, tmp_path):
     assert W.read_folders(spark, str(empty), [], lambda p: R.read_images(spark, p).select("path")).count() == 0
 
 
+def test_device_files_are_not_listed_by_the_driver(spark, catalog, tmp_path):
+    """Spark's reader held a status of every file in the driver, and kept those of earlier jobs."""
+    sf = tmp_path / "sf"
+    sf.mkdir()
+    for t in fixtures.BASE_TABLES:
+        if t != "customer":
+            (sf / f"{t}.parquet").symlink_to(f"{SF_SMALL}/{t}.parquet")
+    rows = [(k, "c", 1, 1.0, "m") for k in [*range(-3, 700), 5, 5]]     # key 5 three times
+    spark.createDataFrame(rows, "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").coalesce(1).write.parquet(
+        str(sf / "customer.parquet"))
+    listed = spark._jvm.org.apache.spark.metrics.source.HiveCatalogMetrics.METRIC_FILES_DISCOVERED()
+    fixtures.Fleet(spark, str(sf)).block.count()
+    before = listed.getCount()
+    df = catalog.QUERIES["s1_read_block_files"](spark, str(sf))
+    got = df.count()
+    assert listed.getCount() - before < 200
+    block = fixtures.Fleet(spark, str(sf)).block
+    assert got == block.count() and df.select("device_id").distinct().count() == 703
+    columns = ["device_id", "depth", "fstype", "partlabel", "mountpoint"]
+    assert df.select(columns).exceptAll(block.select(columns)).isEmpty()
+
+
+def test_tasks_read_the_files_that_spark_reads(spark, tmp_path, monkeypatch):
+    import gzip
+
+    from slotwise.sources import files as W
+    from slotwise.sources import readers as R
+    folders = [tmp_path / n for n in ("a", "b", "c")]
+    for f in folders:
+        f.mkdir()
+    texts = {"1": b"a\nb\n\nc\n", "2": b"one\r\ntwo", "3": b"\n", "4": b"", "5": b"\xff\xfe x\n", "-6": "\u251c\u2500sda \u00e9\n".encode()}
+    for k, v in texts.items():
+        (folders[0] / f"device_id={k}.txt").write_bytes(v)
+    for k in range(40):
+        (folders[1] / f"device_id={100 + k}.txt").write_bytes(b"line\n" * k)
+    (folders[1] / "device_id=99.txt.gz").write_bytes(gzip.compress(b"x\ny\n"))
+    for hidden in (".device_id=7.txt.crc", "_SUCCESS"):
+        (folders[1] / hidden).write_bytes(b"no line\n")
+    monkeypatch.setattr(W, "TEXT_BYTES", 50)
+    paths = [f"file://{f}" for f in folders]
+    cells = lambda df: sorted((r["device_id"], r["ord"], bytes(r["b"])) for r in df.selectExpr("device_id", "ord", "CAST(line AS BINARY) AS b").collect())
+    got = cells(R.read_lines(spark, paths, device=r"device_id=([^/.]+)", by_tasks=True))
+    assert got == cells(R.read_lines(spark, paths, device=r"device_id=([^/.]+)"))
+    assert len(got) == 4 + 2 + 1 + 1 + 1 + sum(range(40)) + 2 and ("99", 1, b"y") in got
+    assert R.read_lines(spark, str(folders[2]), by_tasks=True).isEmpty()
+
+
 def test_small_files_share_a_task(spark):
     from slotwise.sources import digests as D
     rows = spark.createDataFrame([(f"/f{k}", 10) for k in range(3000)], "path string, length long")
